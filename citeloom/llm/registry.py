@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, mixing, quality, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": decontaminate.op1_decontaminate}
+    return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op5_secret_scan": secrets.op5_secret_scan,
+        "op8_quality": quality.op8_quality,
+        "op10_mix_sources": mixing.op10_mix_sources,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontaminate.OP1_SQL}
+    return {"op1_decontaminate": decontaminate.OP1_SQL, "op5_secret_scan": secrets.OP5_SQL}
