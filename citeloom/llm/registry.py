@@ -6,17 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, secrets
+from . import decontaminate, language, mixing, near_dedup, neighbours, quality, secrets, suffix_dedup, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
+        "op3_url_filter": url_filter.op3_url_filter,
+        "op4_near_duplicates": near_dedup.op4_near_duplicates,
         "op5_secret_scan": secrets.op5_secret_scan,
+        "op6_nearest": neighbours.op6_nearest,
+        "op7_token_counts": token_counts.op7_token_counts,
         "op8_quality": quality.op8_quality,
+        "op9_language": language.op9_language,
         "op10_mix_sources": mixing.op10_mix_sources,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """Where SQL can express the whole result."""
     return {"op1_decontaminate": decontaminate.OP1_SQL, "op5_secret_scan": secrets.OP5_SQL}
