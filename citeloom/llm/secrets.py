@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import checkpointed, table
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 RULE_VERSION = "2024-1"
+#: Rows of a broadcast, at most; beyond it the texts are shuffled.
+SKIPPED_ROWS = 500_000
 
 SPAN = "struct<start:int,rank:int,end:int>"
 NO_SPANS = f"cast(array() as array<{SPAN}>)"
@@ -80,31 +82,53 @@ def scan_texts(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for rule in rules:
         likely = likely | text.rlike(rule.pattern)
     found = F.array_sort(F.concat(*[_spans(text, rule, rank) for rank, rule in enumerate(rules)]))
-    return blobs.where(likely).select("blob", found.alias("spans")).where(F.size("spans") > 0)
+    return blobs.where(likely).select("blob", found.alias("spans")).where(F.size("spans") > 0).dropDuplicates(["blob"])
 
 
 def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def unseen_blobs(versions: DataFrame, ledger: DataFrame | None, *, text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
-    """One text per blob that the ledger doesn't have under this rule version. Copies meet on the map side first."""
-    named = versions.select(blob_of(versions[text]).alias("blob"), F.coalesce(versions[text], F.lit("")).alias("text"))
-    distinct = named.groupBy("blob").agg(F.first("text").alias("text"))
-    if ledger is None:
-        return distinct
-    seen = ledger.where(F.col("rule_version") == rule_version).select("blob").distinct()
-    return distinct.join(seen, "blob", "left_anti")
+def unseen_texts(
+    versions: DataFrame, ledger: DataFrame | None, *, path: str = "doc_id", text: str = "text", rule_version: str = RULE_VERSION
+) -> DataFrame:
+    """(blob, text) of the blobs that the ledger doesn't have under this rule version, from the smallest path of each.
+
+    Which rows to leave out is found without their texts. Up to SKIPPED_ROWS of them are broadcast, and no text moves;
+    beyond that the texts are joined by a shuffle. Equal rows may both be scanned.
+    """
+    named = versions.select(versions[path].alias("path"), blob_of(versions[text]).alias("blob"))
+    first = named.groupBy("blob").agg(F.min("path").alias("first"))
+    if ledger is not None:
+        seen = ledger.where(F.col("rule_version") == rule_version).select("blob", F.lit(True).alias("seen")).distinct()
+        first = first.join(seen, "blob", "left")
+    else:
+        first = first.withColumn("seen", F.lit(False))
+    part = F.conv(F.substring("blob", 1, 15), 16, 10).cast("long").alias("part")
+    skip = named.join(first, "blob").where(F.col("seen") | ~F.col("path").eqNullSafe(F.col("first"))).select("path", part).distinct()
+    skip = checkpointed(skip)
+    if skip.count() <= SKIPPED_ROWS:
+        skip = F.broadcast(skip)
+    rows = versions.select(versions[path].alias("path"), F.coalesce(versions[text], F.lit("")).alias("text"))
+    rows = rows.withColumn("blob", F.sha2("text", 256))
+    mine = rows.select("path", "blob", "text", part)
+    return mine.join(skip, mine["path"].eqNullSafe(skip["path"]) & (mine["part"] == skip["part"]), "left_anti").select("blob", "text")
 
 
 def scan_ledger(
-    versions: DataFrame, ledger: DataFrame | None = None, *, text: str = "text", rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION
+    versions: DataFrame,
+    ledger: DataFrame | None = None,
+    *,
+    path: str = "doc_id",
+    text: str = "text",
+    rules: tuple[Rule, ...] = RULES,
+    rule_version: str = RULE_VERSION,
 ) -> DataFrame:
     """New rows of the ledger: (blob, rule_version, spans), also for blobs without a finding, so none is scanned twice."""
-    blobs = unseen_blobs(versions, ledger, text=text, rule_version=rule_version)
+    blobs = unseen_texts(versions, ledger, path=path, text=text, rule_version=rule_version)
     value = F.col("text")
     found = F.array_sort(F.concat(*[_spans(value, rule, rank) for rank, rule in enumerate(rules)]))
-    return blobs.select("blob", F.lit(rule_version).alias("rule_version"), found.alias("spans"))
+    return blobs.select("blob", F.lit(rule_version).alias("rule_version"), found.alias("spans")).dropDuplicates(["blob"])
 
 
 def findings_of(versions: DataFrame, ledger: DataFrame, *, keep: list[str], text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
@@ -134,19 +158,22 @@ def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     return F.aggregate(spans, start, step, lambda state: F.concat(state.out, F.substring(text, state.at + 1, end)))
 
 
-def redact(docs: DataFrame, *, text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
+def redact(docs: DataFrame, *, path: str = "doc_id", text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
     """docs with secrets masked; columns stay as they are. Only texts with findings change."""
-    new = scan_texts(unseen_blobs(docs, ledger, text=text))
+    new = scan_texts(unseen_texts(docs, ledger, path=path, text=text))
     known = new if ledger is None else new.unionByName(ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans"))
-    rows = docs.withColumn("__blob", blob_of(docs[text]))
-    joined = rows.join(known.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "__blob", "left")
+    known = checkpointed(known.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
+    n, spans = known.agg(F.count("*"), F.coalesce(F.sum(F.size("__spans")), F.lit(0))).first()
+    if n + spans <= SKIPPED_ROWS:
+        known = F.broadcast(known)
+    joined = docs.withColumn("__blob", blob_of(docs[text])).join(known, "__blob", "left")
     clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col("__spans")))
     return joined.withColumn(text, clean).select(*docs.columns)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    found = scan_texts(unseen_blobs(documents, None)).withColumn("rule_version", F.lit(RULE_VERSION))
+    found = scan_texts(unseen_texts(documents, None)).withColumn("rule_version", F.lit(RULE_VERSION))
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["rank"] < len(BASE_RULES))
     count = lambda rank: F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
