@@ -76,3 +76,23 @@ def arrow_map(
                 yield pa.RecordBatch.from_arrays([*kept, *new], names=[f.name for f in schema.fields])
 
     return source.mapInArrow(run, schema)
+
+
+def guarded(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """docs with the columns but `names` renamed, so that no operator's column clashes, and what names them again.
+
+    Further columns given to the second are returned too, under their own names or, where taken, with underscores added.
+    """
+    safe = [c if c in names else f"__extra_{k}" for k, c in enumerate(docs.columns)]
+
+    def restore(df: DataFrame, *more: str) -> DataFrame:
+        taken, extra = set(docs.columns), []
+        for c in more:
+            name = c
+            while name in taken:
+                name += "_"
+            taken.add(name)
+            extra.append(df[c].alias(name))
+        return df.select(*[df[s].alias(c) for s, c in zip(safe, docs.columns, strict=True)], *extra)
+
+    return docs.toDF(*safe), restore

@@ -16,6 +16,8 @@ are no candidates of it; repeated candidates count each; ties go to the smaller
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,15 +26,15 @@ from pyspark.sql.window import Window
 
 from .common import checkpointed, table
 
-LINES = 32
+LINES = 64
 #: Windows in which a candidate is found, at least.
-THRESHOLD = 22
+THRESHOLD = 34
 #: First half width of a window, and the factor of virtual rehashing.
-HALF_WIDTH = 0.05
-FACTOR = 1.5
+HALF_WIDTH = 0.1
+FACTOR = 1.3
 #: Candidates of a query in a block, at least: a share of the block and a number.
-SHARE = 0.02
-LEAST = 100
+SHARE = 0.05
+LEAST = 400
 BLOCK_ROWS = 1 << 16
 QUERY_ROWS = 1 << 12
 SEED = 5
@@ -61,20 +63,37 @@ class Block:
         self.order = np.argsort(places, axis=0, kind="stable").astype(np.int32).T.copy()
         self.places = np.take_along_axis(places.T, self.order, axis=1)
 
-    def candidates(self, places: np.ndarray, need: int) -> np.ndarray:
-        """Rows found by widening windows around a query's projections until `need` rows collide often enough."""
-        n = len(self.ids)
-        half = HALF_WIDTH
-        while True:
-            low = [np.searchsorted(p, x - half, "left") for p, x in zip(self.places, places, strict=True)]
-            high = [np.searchsorted(p, x + half, "right") for p, x in zip(self.places, places, strict=True)]
-            inside = np.concatenate([o[a:b] for o, a, b in zip(self.order, low, high, strict=True)])
-            found = np.flatnonzero(np.bincount(inside, minlength=n) >= THRESHOLD)
-            if len(found) >= need or len(inside) == n * LINES:
-                return found
+    def nearest(self, queries: dict[int, np.ndarray], k: int) -> Iterator[tuple[int, int, float]]:
+        """(query, id, score) of the k best candidates of each query. All queries widen their windows together."""
+        n, names, data = len(self.ids), list(queries), np.array(list(queries.values()))
+        norms = np.sqrt((data * data).sum(axis=1))
+        places = (data / norms[:, None]) @ self.unit
+        own = np.array([(self.ids == q).sum() for q in names])
+        need = np.minimum(n, max(LEAST, int(SHARE * n)) + own)
+        left, half = list(range(len(names))), HALF_WIDTH
+        while left:
+            low = np.array([np.searchsorted(p, x - half, "left") for p, x in zip(self.places, places[left].T, strict=True)])
+            high = np.array([np.searchsorted(p, x + half, "right") for p, x in zip(self.places, places[left].T, strict=True)])
+            total = (high - low).sum(axis=0)
+            more = []
+            for j, q in enumerate(left):
+                if total[j] < THRESHOLD * need[q] and total[j] < n * LINES:
+                    more.append(q)  # too few collisions for so many rows
+                    continue
+                inside = np.concatenate([o[a:b] for o, a, b in zip(self.order, low[:, j].tolist(), high[:, j].tolist(), strict=True)])
+                found = np.flatnonzero(np.bincount(inside, minlength=n) >= THRESHOLD)
+                if len(found) < need[q] and total[j] < n * LINES:
+                    more.append(q)
+                    continue
+                found = found[self.ids[found] != names[q]]
+                score = (self.vectors[found] * data[q]).sum(axis=1) / (self.norms[found] * norms[q])
+                for at in np.lexsort((self.ids[found], -score))[:k]:
+                    yield names[q], int(self.ids[found[at]]), float(score[at])
+            left = more
             half *= FACTOR
 
-    def nearest(self, query: int, vector: np.ndarray, k: int) -> list[tuple[int, float]]:
+
+def nearest(self, query: int, vector: np.ndarray, k: int) -> list[tuple[int, float]]:
         norm = np.sqrt((vector * vector).sum())
         own = int((self.ids == query).sum())
         need = min(len(self.ids), max(LEAST, int(SHARE * len(self.ids))) + own)
@@ -106,9 +125,8 @@ def nearest(
                 out = []
                 for size, (ids, data) in hold.items():
                     block = Block(np.array(ids, np.int64), np.array(data))
-                    for query, vector in shared.value.items():
-                        if len(vector) == size:
-                            out += [(query, i, s) for i, s in block.nearest(query, vector, k)]
+                    mine = {q: v for q, v in shared.value.items() if len(v) == size}
+                    out += block.nearest(mine, k) if mine else []
                 hold.clear()
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], kind) for c, kind in enumerate(kinds)], names=["query_id", "vec_id", "score"])

@@ -13,34 +13,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import decontaminate, mixing, near_dedup, quality, secrets
-from citeloom.llm.common import table
+from citeloom.llm.common import guarded, table
+
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    machine = quality.fitted(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, machine, keep=docs.columns).where(F.col("quality_score") >= quality.THRESHOLD).select(*docs.columns)
+    rows, restore = guarded(docs, COLUMNS)
+    machine = quality.fitted(rows, table(spark, sf_dir, "labels"))
+    return restore(quality.scored(rows, machine, keep=rows.columns).where(F.col("quality_score") >= quality.THRESHOLD))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return near_dedup.keep_one(docs)
+    rows, restore = guarded(docs, COLUMNS)
+    return restore(near_dedup.keep_one(rows))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    rows, restore = guarded(docs, COLUMNS)
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), keep=rows.columns)
+    return restore(found.where(~F.col("contaminated")))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; all documents stay."""
-    return secrets.redact(docs)
+    rows, restore = guarded(docs, COLUMNS)
+    return restore(secrets.redact(rows))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents get their places in the mix."""
-    return mixing.mix(docs, keep=docs.columns, size=F.octet_length("text"))
+    """All documents get their places in the mix: read them in order of slot and block_offset."""
+    rows, restore = guarded(docs, COLUMNS)
+    return restore(mixing.mix(rows, keep=rows.columns, size=F.octet_length("text")), "slot", "block_no", "block_offset")
 
 
 STAGES = [
