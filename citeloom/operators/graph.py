@@ -3,25 +3,57 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a local one is made only where the session names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    kept = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if kept.isEmpty():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        kept = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return kept.get().rstrip("/")
+
+
+def _path(spark: SparkSession, name: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Rows as kept in the folder of spark.checkpoint.dir; a local folder is set only where the session names none."""
-    spark: SparkSession = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        spark.sparkContext.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+    """The rows, written to the shared folder as a table and read again.
+
+    Lineage is cut and executors may be lost; unlike a checkpoint, the table has its own size, not an estimate that
+    multiplies with every join of a loop. The table goes when the application ends, or with drop_kept().
+    """
+    spark = df.sparkSession
+    name = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(name)
+    where, files = _path(spark, name)
+    files.deleteOnExit(where)
+    kept = spark.read.schema(df.schema).parquet(name)
+    kept._kept_in = name
+    return kept
+
+
+def drop_kept(df: DataFrame | None) -> None:
+    """Deletes a table of cut_lineage() that nothing will read again."""
+    if name := getattr(df, "_kept_in", None):
+        where, files = _path(df.sparkSession, name)
+        files.delete(where, True)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
     """(node, component): the smallest node that each node of an edge is connected with.
 
     Alternating large-star and small-star rounds, as joins with minima that combine on the map side: no neighbour list is
-    ever gathered, so a node with very many neighbours is no hot spot in memory. Each round is checkpointed. Null
+    ever gathered, so a node with very many neighbours is no hot spot in memory. Each round is written. Null
     endpoints are ignored; a self-loop makes its node a component; directions and repeats don't matter.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
@@ -36,7 +68,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         # every node and its smaller neighbours go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", "low"), F.struct(F.col("b").alias("a"), "low"))).alias("x"))
-        links = cut_lineage(small.select(F.col("x.a").alias("a"), F.col("x.low").alias("b")).where("a <> b").distinct())
+        old, links = links, cut_lineage(small.select(F.col("x.a").alias("a"), F.col("x.low").alias("b")).where("a <> b").distinct())
+        drop_kept(old)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if before is not None and tuple(state) == before:
             break

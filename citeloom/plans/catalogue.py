@@ -2,35 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
+from . import catalog_queries, corpus_queries, graph_queries, label_queries, paper_queries  # noqa: F401  they register themselves
+from .registry import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def _category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "ts", "value")
-    tier = F.pmod(F.col("value").cast("int"), F.lit(4))
-    best = events.groupBy("user_id").agg(F.max_by("event_type", F.struct(tier, "ts", -F.col("event_id"))).alias("category"))
-    return best.groupBy("category").agg(F.count("*").alias("n"))
-
-
-_QUERIES["category_counts"] = _category_counts
-_SQL["category_counts"] = """
-SELECT category, count(*) AS n FROM (
-  SELECT event_type AS category, row_number() OVER (PARTITION BY user_id ORDER BY CAST(trunc(value) AS INT) % 4 DESC, ts DESC, event_id) AS r
-  FROM events) WHERE r = 1 GROUP BY category
-"""
+    return dict(SQL)
