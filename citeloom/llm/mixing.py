@@ -31,7 +31,7 @@ from .common import table
 
 BLOCK_BYTES = 64 << 10
 #: Documents of one hash range of a source.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 #: The sum of the weights, and so the length of a round.
 ROUND_SLOTS = 1_000
 #: Rows that the driver gets, one a source.
