@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from citeloom.operators.graph import cut_lineage
+
 #: Rows of one Arrow batch are handed on in slices of about this many bytes, so that Python objects stay bounded.
 SLICE_BYTES = 8 << 20
 
@@ -31,18 +32,9 @@ def split_words(text: str | bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def shared_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder in spark.checkpoint.dir; only where a session names none is a local one set."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(where)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows as written to the shared checkpoint folder: lineage is cut, and executors may be lost."""
-    shared_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as written to the shared folder: lineage is cut, and executors may be lost."""
+    return cut_lineage(df)
 
 
 def shuffle_width(spark: SparkSession) -> int:

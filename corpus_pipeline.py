@@ -6,7 +6,6 @@ one adds the places in the mix. Between stages the rows are written as Parquet t
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm import decontaminate, mixing, near_dedup, quality, secrets
 from citeloom.llm.common import guarded, table
+from citeloom.operators.graph import shared_folder
 
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -64,8 +64,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    place = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    place = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}-{name}")
