@@ -43,8 +43,11 @@ PLACES = LENGTH - GRAM + 1
 #: Occurrences beyond which a gram's zones are cut into pieces.
 HOT = 4096
 PIECE = 8
-#: Bytes of text for each home and each hash range.
+#: Bytes of text for each home, and for each hash range.
+HOME_BYTES = 8 << 20
 SHARE_BYTES = 16 << 20
+#: Bytes of text whose grams are hashed at a time; the arrays are about 50 times as large.
+HASHED_BYTES = 2 << 20
 #: Suffixes that a home sorts as one run.
 RUN_ROWS = 1 << 18
 _LAST = 2**63 - 1
@@ -86,15 +89,16 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     if len(data) < LENGTH:
         return none, none, none, none, none.astype(np.uint64)
     h = gram_hashes(data)
-    bits = np.uint64(int(len(h)).bit_length())
-    key = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)
+    # 32 bits of hash over 32 bits of place: of equal ones the leftmost is least, in any batch of texts
+    low = np.uint64(0xFFFFFFFF)
+    key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     width = 1
     while 2 * width <= PLACES:
         key = np.minimum(key[:-width], key[width:])
         width *= 2
     if width < PLACES:
         key = np.minimum(key[: len(key) - (PLACES - width)], key[PLACES - width :])
-    at = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)  # the anchor of each window
+    at = (key & low).astype(np.int64)  # the anchor of each window
     turn = np.zeros(len(at) + 1, np.int8)
     whole = lengths >= LENGTH
     np.add.at(turn, starts[:-1][whole], 1)
@@ -216,7 +220,7 @@ def _send_grams(width: int):
         hold: dict[int, list] = {}
 
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, HASHED_BYTES):
                 homes, ids, texts = (c.to_pylist() for c in batch.columns)
                 data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
                 number, place, _, _, h = anchors(data)
@@ -501,7 +505,8 @@ def repeated_strings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     total = docs.agg(F.coalesce(F.sum(F.octet_length(docs[text])), F.lit(0))).first()[0]
     width = max(shuffle_width(spark), total // SHARE_BYTES + 1)
-    home = F.pmod(F.xxhash64(F.coalesce(docs[doc_id].cast("long"), F.xxhash64(docs[text]))), F.lit(width)).cast("int")
+    homes = max(width, total // HOME_BYTES + 1)
+    home = F.pmod(F.xxhash64(F.coalesce(docs[doc_id].cast("long"), F.xxhash64(docs[text]))), F.lit(homes)).cast("int")
     rows = docs.select(home.alias("home"), docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     texts = rows.mapInArrow(_pack_texts, "home int, payload binary")
     grams = rows.mapInArrow(_send_grams(width), "range int, payload binary")
