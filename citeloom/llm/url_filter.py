@@ -4,7 +4,7 @@ A rule is a host with a path prefix; it fits the host and its subdomains, and of
 Other urls are judged by multinomial naive Bayes. Their hosts are often words run together, so every host label is split by
 Viterbi over a unigram model; host words and path words are the tokens, and runs of digits are one token.
 
-The unigram model holds counts of all words of all page titles, of which the `VOCABULARY` most frequent are kept. Naive
+The unigram model holds counts of all words of all page titles, of which the most frequent are kept, `VOCABULARY` at most. Naive
 Bayes learns from all urls that a rule decides: counts of the hashed tokens (`SLOTS`) of blocked and allowed ones.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and no tokens, so the class shares decide;
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, table
+from .common import arrow_map, checkpointed, table
 
 #: Fixed by the contract: verdict, host, path prefix.
 RULES = (
@@ -133,7 +133,16 @@ def unigrams(pages: DataFrame, html: str = "html", most: int = VOCABULARY) -> di
     """Counts of the words of all titles; the most frequent are kept."""
     title = F.lower(F.regexp_extract(pages[html], r"(?is)<title[^>]*>(.*?)</title>", 1))
     words = pages.select(F.explode(F.split(title, r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    return {r["word"]: r["n"] for r in words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()}
+    counts = checkpointed(words.groupBy("word").agg(F.count("*").alias("n")))
+    # how many words have about which count: a few hundred rows say which count the last kept word has
+    level = F.floor(8 * F.log2("n")).cast("int")
+    least, room = 0, most
+    for row in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
+        room -= row["n"]
+        if room < 0:
+            least = row["level"] + 1
+            break
+    return {r["word"]: r["n"] for r in counts.where(level >= least).collect()}
 
 
 def fitted(pages: DataFrame, counts: dict[str, int], *, url: str = "url", rules=RULES) -> Bayes:
