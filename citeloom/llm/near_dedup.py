@@ -7,11 +7,15 @@ over all documents in hashed features (`IDF_SLOTS`), so the table has one size f
 1. Improved consistent weighted sampling draws 64 samples a document; two documents agree in a sample with the probability
    of their weighted Jaccard similarity. Texts of equal words are one node from here on, with one signature.
 2. Sixteen bands of four samples are the bucket keys. A pair of similarity 0.8 shares a bucket with probability 0.9998.
-3. Every node of a bucket is held against the smallest one. Pairs are verified by the weighted Jaccard similarity of the
-   whole texts, as a stream sorted by the smaller node, so a group of any size needs the memory of two documents.
-4. Nodes of one bucket that are still in different components are held against each other if their one-bit sketches
-   don't rule it out, and verified in the same way. That loses no link, and large groups are already one component then.
-5. The classes are the connected components of the verified pairs.
+3. Every node of a bucket is held against its lightest node, the hub. Pairs are verified by the weighted Jaccard similarity
+   of the whole texts, as a stream sorted by the hub, so a group of any size needs the memory of two documents.
+4. The classes are the connected components of the verified pairs.
+5. Two nodes of a bucket that aren't both linked with the hub can still be similar. What one of them shares with the hub is
+   less than what the two must share, because the hub is no heavier; so they share enough beyond the hub. Shingles beyond a
+   hub that no other of its nodes has can't be shared, and a node without enough of the others is done. In copies of a
+   text with changes of their own that leaves very few. The shingles they share beyond the hub are the bucket keys of
+   another round, or, once their pairs are a few for each node of the corpus, the pairs themselves are verified. No pair is lost, and
+   groups of copies that aren't similar enough are told apart without holding all against all.
 
 Defined cases: null, empty and wordless texts are alone in a class of their own; a class is named by its smallest doc_id
 that isn't null, or null if all are; repeated rows of a document are repeated in the result and in one class; very long
@@ -21,14 +25,13 @@ texts count whole; empty tables give no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from citeloom.operators.graph import connected_components
 
@@ -42,10 +45,12 @@ BANDS = SAMPLES // BAND_ROWS
 IDF_SLOTS = 1 << 18
 #: Counts of features leave a task in so many parts.
 IDF_PARTS = 64
-#: Of 64 sketch bits, about 6 differ at a similarity of 0.8 and 32 at 0.
-SKETCH_DIFFER = 20
-#: Pairs with one smaller node that a task verifies as one run.
+#: Pairs with one hub that a task verifies as one run.
 RUN_PAIRS = 256
+#: Rows of a broadcast, at most; beyond it texts are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Rows of the last round's join for each node of the corpus, at most; before that, further rounds have fewer.
+PAIRS_A_NODE = 5
 _POOL = 1 << 12
 _KEPT_WORDS = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -188,7 +193,7 @@ class Sampler:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, node, bands, sketch); node is null for texts without words."""
+    """(doc_id, node, bands, weight); node is null for texts without words."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def setup():
@@ -202,7 +207,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, *, doc_id: str = "doc_id", text
                 if words:
                     parts.append(weighted(words, hashes, weights))
                     at.append(i)
-            bands, sketch = [None] * len(nodes), [None] * len(nodes)
+            bands, total = [None] * len(nodes), [None] * len(nodes)
             if parts:
                 starts = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])[:-1]])
                 found = sampler.samples(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), starts)
@@ -210,105 +215,149 @@ def signatures(docs: DataFrame, idf: np.ndarray, *, doc_id: str = "doc_id", text
                 for k in range(BAND_ROWS):
                     keys = (keys ^ found[:, k::BAND_ROWS]) * np.uint64(_ODD)
                     keys ^= keys >> np.uint64(29)
-                # one well-mixed bit a sample
-                bits = ((found * np.uint32(0xC2B2AE35)) >> np.uint32(31)).astype(np.uint64)
-                marks = (bits << np.arange(SAMPLES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
                 for j, i in enumerate(at):
-                    bands[i], sketch[i] = keys[j].view(np.int64), int(marks[j])
-            return [pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.int64())]
+                    bands[i], total[i] = keys[j].view(np.int64), float(parts[j][1].sum())
+            return [pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(total, pa.float64())]
 
         return run
 
-    fields = [T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.LongType())]
+    fields = [T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("weight", T.DoubleType())]
     named = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     return arrow_map(named, ["text"], ["doc_id"], fields, setup)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, *, doc_id: str, text: str, similarity: float) -> DataFrame:
-    """(low, high, similarity) of the pairs that are similar enough.
+def texts_of(nodes: DataFrame, docs: DataFrame, *, doc_id: str, text: str) -> DataFrame:
+    """(node, text) of (node, doc_id). Up to BROADCAST_ROWS nodes are broadcast, and no other text moves."""
+    ids = checkpointed(nodes.select("node", F.col("doc_id").alias("__id")))
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.select(docs[doc_id].alias("__id"), docs[text].alias("text")).join(ids, "__id").select("node", "text")
+
+
+def beyond(hub: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The similarity with the hub; what a node no lighter than the hub that is similar to `own` must share with it beyond
+    the hub at least; and the shingles beyond the hub with their weights there."""
+    at = np.minimum(np.searchsorted(hub[0], own[0]), len(hub[0]) - 1)
+    shared = np.where(hub[0][at] == own[0], np.minimum(own[1], hub[1][at]), 0.0)
+    common, weight, other = shared.sum(), own[1].sum(), hub[1].sum()
+    rest = own[1] - shared
+    more = rest > 0
+    least = similarity / (1 + similarity) * (weight + other) - common - 1e-6 * weight
+    return float(common / (weight + other - common)), float(least), own[0][more], rest[more]
 
-    A pair sends the larger node's text to its run of the smaller node, whose text comes first. A run has about RUN_PAIRS
-    pairs, so a node in very many pairs is spread over many runs.
+
+def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, similarity: float) -> DataFrame:
+    """(low, high, weight, similarity, least, keys, rests) of pairs (low, high, weight): low is the hub, the rest is high's.
+
+    A pair sends the node's text to a run of the hub, whose text comes first. A run has about RUN_PAIRS pairs, so a hub of
+    very many pairs is spread over many runs.
     """
-    spark = docs.sparkSession
+    spark = pairs.sparkSession
     width = shuffle_width(spark)
     degree = pairs.groupBy("low").agg((F.floor(F.count("*") / RUN_PAIRS) + 1).cast("int").alias("runs"))
     run = F.pmod(F.xxhash64("high"), F.col("runs")).cast("int")
-    members = pairs.join(degree, "low").select("low", run.alias("run"), F.col("high").alias("node"))
-    heads = degree.select("low", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run")).select("low", "run", F.col("low").alias("node"))
-    wanted = members.unionByName(heads)
-    ids = nodes.select("node", F.col("doc_id").alias("__id"))
-    asked = wanted.join(ids, "node").groupBy("__id").agg(F.collect_list(F.struct("low", "run", "node")).alias("asked"))
-    texts = docs.select(docs[doc_id].alias("__id"), docs[text].alias("text"))
-    rows = asked.join(texts, "__id").select(F.explode("asked").alias("x"), "text").select("x.low", "x.run", "x.node", "text")
-    rows = rows.withColumn("role", (F.col("low") != F.col("node")).cast("int"))
-    rows = rows.repartition(width, "low", "run").sortWithinPartitions("low", "run", "role", "node")
+    members = pairs.join(degree, "low").select("low", run.alias("run"), F.col("high").alias("node"), "weight")
+    every = F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run")
+    heads = degree.select("low", every).select("low", "run", F.col("low").alias("node"), F.lit(0.0).alias("weight"))
+    rows = members.unionByName(heads).join(texts, "node").withColumn("role", (F.col("low") != F.col("node")).cast("int"))
+    rows = rows.select("low", "run", "node", "weight", "text", "role").repartition(width, "low", "run").sortWithinPartitions("low", "run", "role", "node")
     shared = spark.sparkContext.broadcast(idf)
+    kinds = (pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float32()))
+    names = ["low", "high", "weight", "similarity", "least", "keys", "rests"]
 
     def compare(batches):
         hashes, weights, at, head = WordHashes(), shared.value, None, None
         for whole in batches:
             for batch in slices(whole):
                 out = []
-                for low, part, node, value, role in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                for low, part, node, weight, value, role in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                     words = split_words(value)
                     if digest(words) != node:  # another text under the same doc_id
                         continue
                     own = weighted(words, hashes, weights)
                     if not role:
                         at, head = (low, part), own
-                    elif at == (low, part) and (found := weighted_jaccard(head, own)) >= similarity:
-                        out.append((low, node, found))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.float64()))], names=["low", "high", "similarity"])
+                    elif at == (low, part):
+                        found, least, keys, rests = beyond(head, own, similarity)
+                        keys = (keys ^ np.uint64(xxhash.xxh3_64_intdigest(low))) * np.uint64(_ODD)
+                        out.append((low, node, weight, found, least, keys.view(np.int64), rests.astype(np.float32)))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=names)
+
+    return rows.mapInArrow(compare, "low binary, high binary, weight double, similarity double, least double, keys array<long>, rests array<float>")
 
-    return rows.select("low", "run", "node", "text", "role").mapInArrow(compare, "low binary, high binary, similarity double").distinct()
+
+def _shared_keys(rows: DataFrame, owner: str) -> DataFrame:
+    """The rows of keys that two owners have at least."""
+    often = rows.groupBy("key").agg(F.min(owner).alias("lo"), F.max(owner).alias("hi")).where("lo <> hi").select("key")
+    return rows.join(often, "key", "left_semi")
+
+
+def _open_keys(compared: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, node, weight, part, alive, pairs): nodes under a hub that can be similar to others there, with those others.
+
+    A key is a hub with a shingle beyond it. A node that isn't linked with the hub is alive if it shares enough beyond it;
+    keys need an alive node and nodes of two components. `pairs` is how many pairs with alive nodes the key has.
+    """
+    compared = compared.withColumn("pair", F.xxhash64("low", "high"))
+    rows = compared.select("pair", F.explode(F.arrays_zip("keys", "rests")).alias("x")).select("pair", F.col("x.keys").alias("key"), F.col("x.rests").alias("rest"))
+    rows = checkpointed(_shared_keys(rows, "pair"))
+    # a pair's rows repeat if its texts do; the mass is only the larger then
+    mass = rows.groupBy("pair").agg(F.sum("rest").alias("mass"))
+    able = compared.select("pair", F.col("high").alias("node"), "weight", "least").distinct().join(mass, "pair").where("least <= 0 or mass >= least")
+    able = able.select("pair", "node", "weight", "least", (F.col("least") > 0).alias("alive")).join(parts.withColumnRenamed("component", "part"), "node", "left")
+    placed = rows.join(able, "pair").withColumn("part", F.coalesce("part", "node"))
+    # of an alive node's keys in order, the last ones that weigh too little together can be left out: a pair meets before
+    tail = F.sum("rest").over(Window.partitionBy("pair").orderBy(F.desc("key")))
+    placed = placed.withColumn("tail", tail).where("not alive or tail >= least")
+    placed = placed.groupBy("key", "node").agg(F.max("weight").alias("weight"), F.max("part").alias("part"), F.bool_or("alive").alias("alive"))
+    state = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count_if("alive").alias("live"), F.count("*").alias("n"))
+    state = state.where("lo <> hi and live > 0").select("key", (F.col("live") * F.col("n")).alias("pairs"))
+    return placed.join(state, "key")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, class_size, n_links): every row of docs with its class; n_links counts verified links of its text."""
+    """(doc_id, class_id, class_size): every row of docs with its class and the number of rows in it."""
     n, frequencies = document_frequencies(docs, text)
     idf = idf_weights(n, frequencies)
     rows = checkpointed(signatures(docs, idf, doc_id=doc_id, text=text))
     nodes = checkpointed(
-        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    )
-    buckets = nodes.select("node", "sketch", F.posexplode("bands").alias("band", "key"))
-    heads = buckets.groupBy("band", "key").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = buckets.join(heads, ["band", "key"]).where("node <> low").select("low", F.col("node").alias("high")).distinct()
-    links = checkpointed(verified(stars, nodes, docs, idf, doc_id=doc_id, text=text, similarity=similarity))
-    parts = connected_components(links, "low", "high")
-
-    # what a bucket's first node doesn't connect
-    placed = buckets.join(heads, ["band", "key"], "left_semi").join(parts.withColumnRenamed("component", "part"), "node", "left")
-    placed = placed.withColumn("part", F.coalesce("part", "node"))
-    mixed = placed.groupBy("band", "key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band", "key")
-    open_ = checkpointed(placed.join(mixed, ["band", "key"], "left_semi"))
-    a, b = open_.alias("a"), open_.alias("b")
-    near = (
-        (F.col("a.band") == F.col("b.band"))
-        & (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.node") < F.col("b.node"))
-        & (F.col("a.part") != F.col("b.part"))
-        & (F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= SKETCH_DIFFER)
+        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
     )
-    rest = a.join(b, near).select(F.col("a.node").alias("low"), F.col("b.node").alias("high")).distinct()
-    rest = checkpointed(rest.join(stars, ["low", "high"], "left_anti"))
-    if not rest.isEmpty():
-        more = verified(rest, nodes, docs, idf, doc_id=doc_id, text=text, similarity=similarity)
-        links = checkpointed(links.unionByName(more).distinct())
-        parts = connected_components(links, "low", "high")
-
-    degree = links.select(F.explode(F.array("low", "high")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    member = nodes.select("node", "doc_id").join(parts, "node", "left").join(degree, "node", "left")
-    member = member.select("node", "doc_id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    # a key is a band's samples mixed with the band, so it names the bucket
+    buckets = checkpointed(_shared_keys(nodes.select("node", "weight", F.explode("bands").alias("key")), "node"))
+    inside = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
+    texts = checkpointed(texts_of(inside, docs, doc_id=doc_id, text=text))
+    most, links = PAIRS_A_NODE * nodes.count(), None
+
+    def linked(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        compared = checkpointed(verified(pairs, texts, idf, similarity=similarity))
+        new = compared.where(F.col("similarity") >= similarity).select("low", "high").distinct()
+        known = checkpointed(new if links is None else links.unionByName(new).distinct())
+        return compared, known, connected_components(known, "low", "high")
+
+    while True:
+        hubs = buckets.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("low"))
+        stars = buckets.join(hubs, "key").where("node <> low").select("low", F.col("node").alias("high"), "weight").distinct()
+        compared, links, parts = linked(stars)
+        buckets = checkpointed(_open_keys(compared, parts))
+        pairs = buckets.groupBy("key").agg(F.max("pairs").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if not pairs:
+            break
+        if pairs <= most:
+            a, b = buckets.where("alive").alias("a"), buckets.alias("b")
+            near = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part")))
+            near = near.select(F.least("a.node", "b.node").alias("low"), F.greatest("a.node", "b.node").alias("high"), F.lit(0.0).alias("weight")).distinct()
+            _, links, parts = linked(near)
+            break
+
+    member = nodes.select("node", "doc_id").join(parts, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     copies = rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
     classes = member.join(copies, "node").groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    by_node = member.join(classes, "component").select("node", "class_id", "class_size", "n_links")
+    by_node = member.join(classes, "component").select("node", "class_id", "class_size")
     return rows.select("doc_id", "node").join(by_node, "node", "left").select(
         "doc_id",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
@@ -318,12 +367,17 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     A null doc_id can't be told from another, so rows without one all stay.
     """
     classes = near_duplicates(docs, doc_id=doc_id, text=text)
-    kept = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = checkpointed(kept)
-    left = docs.join(kept.select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi")
-    if not kept.where("n > 1").isEmpty():
-        left = left.dropDuplicates([doc_id])
-    return reduce(DataFrame.unionByName, [left, docs.where(docs[doc_id].isNull())]).select(*docs.columns)
+    rows = classes.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("class_id")).alias("kept"), F.count("*").alias("n"))
+    rows = checkpointed(rows.where("not kept or n > 1"))
+    gone = rows.where("not kept").select(F.col("doc_id").alias(doc_id))
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, doc_id, "left_anti")
+    repeated = rows.where("kept").select(F.col("doc_id").alias(doc_id))
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    twice = left.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id])
+    return left.join(repeated, doc_id, "left_anti").unionByName(twice).select(*docs.columns)
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

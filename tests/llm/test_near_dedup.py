@@ -80,6 +80,49 @@ def test_against_brute_force(spark):
     assert found == brute(rows)
 
 
+def test_wide_group_of_copies(spark):
+    """Copies with such different numbers of changes that many aren't similar to the hub, and families within."""
+    base = words(300, 1, 10_000)
+    rows = [(k, changed(base, k, (k % 20) / 250)) for k in range(150)]
+    for k in range(150, 200):
+        rows.append((k, changed(rows[k - 150][1], k, 0.01)))
+    line = " ".join(words(60, 2, 10_000).split())
+    for k in range(200, 240):
+        rows.append((k, changed(base, k, 0.05) + " " + line))
+    found = {r.doc_id: r.class_id for r in nd.near_duplicates(documents(spark, rows)).collect()}
+    want = brute(rows)
+    assert found == want and len(set(want.values())) > 5
+
+
+def test_beyond_the_hub():
+    """Two similar sets that are no lighter than a hub, and not both similar to it, share what each must beyond it."""
+    r = np.random.default_rng(3)
+    met = 0
+    for _ in range(4000):
+        base = r.choice(10**6, 40, replace=False)
+
+        def near(share):
+            own = base.copy()
+            swap = r.random(40) < share
+            own[swap] = r.integers(0, 10**6, swap.sum())
+            own = np.unique(own[: r.integers(30, 41)]).astype(np.uint64)
+            return own, 1.0 + (own % np.uint64(7)).astype(float) * r.choice([1, 1, 2], len(own))
+
+        sets = sorted((near(s) for s in (0.1, 0.12, 0.02)), key=lambda s: s[1].sum())
+        if r.random() < 0.5:
+            keep = r.random(len(sets[1][0])) < 0.95
+            sets[2] = (sets[1][0][keep], sets[1][1][keep])
+        hub, a, b = sorted(sets, key=lambda s: s[1].sum())
+        (ja, la, ka, ra), (jb, lb, kb, rb) = nd.beyond(hub, a, 0.8), nd.beyond(hub, b, 0.8)
+        assert abs(ja - nd.weighted_jaccard(hub, a)) < 1e-9
+        if nd.weighted_jaccard(a, b) >= 0.8 and min(ja, jb) < 0.8:
+            met += 1
+            _, i, j = np.intersect1d(ka, kb, return_indices=True)
+            shared = np.minimum(ra[i], rb[j]).sum()
+            assert shared >= max(la, lb) and (la > 0 or lb > 0)
+    assert met > 50
+
+
 def test_large_group_of_near_copies(spark):
     base = words(400, 1)
     rows = [(k, changed(base, k, 0.004)) for k in range(300)] + [(1000 + k, words(50, k + 10)) for k in range(50)]
