@@ -287,9 +287,9 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, similarity:
 
 
 def _shared_keys(rows: DataFrame, owner: str) -> DataFrame:
-    """The rows of keys that two owners have at least."""
-    often = rows.groupBy("key").agg(F.min(owner).alias("lo"), F.max(owner).alias("hi")).where("lo <> hi").select("key")
-    return rows.join(often, "key", "left_semi")
+    """The rows of keys that two owners have at least, with how often the key occurs."""
+    often = rows.groupBy("key").agg(F.min(owner).alias("lo"), F.max(owner).alias("hi"), F.count("*").alias("often")).where("lo <> hi").select("key", "often")
+    return rows.join(often, "key")
 
 
 def _open_keys(compared: DataFrame, parts: DataFrame) -> DataFrame:
@@ -306,8 +306,8 @@ def _open_keys(compared: DataFrame, parts: DataFrame) -> DataFrame:
     able = compared.select("pair", F.col("high").alias("node"), "weight", "least").distinct().join(mass, "pair").where("least <= 0 or mass >= least")
     able = able.select("pair", "node", "weight", "least", (F.col("least") > 0).alias("alive")).join(parts.withColumnRenamed("component", "part"), "node", "left")
     placed = rows.join(able, "pair").withColumn("part", F.coalesce("part", "node"))
-    # of an alive node's keys in order, the last ones that weigh too little together can be left out: a pair meets before
-    tail = F.sum("rest").over(Window.partitionBy("pair").orderBy(F.desc("key")))
+    # of an alive node's keys, rare ones first, the last that weigh too little together can be left out: a pair meets before
+    tail = F.sum("rest").over(Window.partitionBy("pair").orderBy(F.desc("often"), F.desc("key")))
     placed = placed.withColumn("tail", tail).where("not alive or tail >= least")
     placed = placed.groupBy("key", "node").agg(F.max("weight").alias("weight"), F.max("part").alias("part"), F.bool_or("alive").alias("alive"))
     state = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count_if("alive").alias("live"), F.count("*").alias("n"))
@@ -324,7 +324,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
     )
     # a key is a band's samples mixed with the band, so it names the bucket
-    buckets = checkpointed(_shared_keys(nodes.select("node", "weight", F.explode("bands").alias("key")), "node"))
+    buckets = checkpointed(_shared_keys(nodes.select("node", "weight", F.explode("bands").alias("key")), "node").drop("often"))
     inside = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
     texts = checkpointed(texts_of(inside, docs, doc_id=doc_id, text=text))
     most, links = PAIRS_A_NODE * nodes.count(), None

@@ -118,3 +118,13 @@ def test_cases(spark):
     got = sd.repeated_strings(documents(spark, [(1, text), (1, text), (2, text)])).collect()
     assert sorted((r.doc_id, sum(s.end - s.start for s in r.removed)) for r in got) == [(1, 0), (1, 0), (2, 300)]
     assert sd.repeated_strings(documents(spark, [])).collect() == []
+
+
+def test_very_common_line(spark):
+    """A line in more documents than HOT, between other bytes; its zones are cut into pieces."""
+    r = random.Random(9)
+    line = "".join(r.choices("abcdefgh ", k=140))
+    text = lambda n: "".join(r.choices("ijklmnop ", k=n))
+    near = [text(9) for _ in range(6)]
+    rows = [(k, text(r.randrange(0, 60)) + r.choice(near) + line + r.choice(near) + text(r.randrange(0, 60))) for k in range(sd.HOT + 400)]
+    assert found(spark, rows) == brute(rows)
