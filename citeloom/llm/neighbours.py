@@ -2,8 +2,11 @@
 
 Every vector, scaled to length one, is projected on single random lines. For each line the projections of a block of rows
 are a sorted array. A query opens a window around its own projection in each array and counts how often a row falls into
-one; virtual rehashing widens all windows by a factor until enough rows have collided in at least `THRESHOLD` of the lines.
-Those rows are verified: their cosine is computed in double precision on the original vectors.
+one. Rows that have collided in at least `THRESHOLD` of the lines are verified: their cosine is computed in double precision
+on the original vectors. Virtual rehashing widens all windows by a factor until they reach as far as the k-th best verified
+row asks: the projections of two rows at a distance d differ by a normal variable of deviation d on each line, so with a half
+width of `REACH` times the k-th best distance, a row that is nearer is verified with a probability of `FOUND` at least. That
+holds for blocks of any size and for any vectors.
 
 Rows are indexed in blocks of at most `BLOCK_ROWS`, each by the task that holds it, so all rows are indexed and no index
 outgrows a task. Queries go to all tasks in batches of at most `QUERY_ROWS`, and a batch's best rows of all blocks are
@@ -17,6 +20,7 @@ are no candidates of it; repeated candidates count each; ties go to the smaller
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb, erf
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +36,8 @@ THRESHOLD = 34
 #: First half width of a window, and the factor of virtual rehashing.
 HALF_WIDTH = 0.1
 FACTOR = 1.3
-#: Candidates of a query in a block, at least: a share of the block and a number.
-SHARE = 0.05
-LEAST = 400
+#: Probability that a row no farther than the k-th best verified one is verified too, at least.
+FOUND = 0.98
 BLOCK_ROWS = 1 << 16
 QUERY_ROWS = 1 << 12
 SEED = 5
@@ -52,6 +55,20 @@ def lines_of(size: int) -> np.ndarray:
     return np.random.default_rng([SEED, size]).normal(size=(size, LINES))
 
 
+def reach_of(found: float) -> float:
+    """Half width over distance with which a row collides in THRESHOLD of the lines with this probability."""
+    low, high = 0.0, 8.0
+    for _ in range(50):
+        half = (low + high) / 2
+        hit = erf(half / 2**0.5)
+        chance = sum(comb(LINES, m) * hit**m * (1 - hit) ** (LINES - m) for m in range(THRESHOLD, LINES + 1))
+        low, high = (half, high) if chance < found else (low, half)
+    return high
+
+
+REACH = reach_of(FOUND)
+
+
 class Block:
     """Sorted projections of the vectors of one length."""
 
@@ -68,40 +85,37 @@ class Block:
         n, names, data = len(self.ids), list(queries), np.array(list(queries.values()))
         norms = np.sqrt((data * data).sum(axis=1))
         places = (data / norms[:, None]) @ self.unit
-        own = np.array([(self.ids == q).sum() for q in names])
-        need = np.minimum(n, max(LEAST, int(SHARE * n)) + own)
-        left, half = list(range(len(names))), HALF_WIDTH
+        left, half = list(range(len(names))), np.full(len(names), HALF_WIDTH)
         while left:
-            low = np.array([np.searchsorted(p, x - half, "left") for p, x in zip(self.places, places[left].T, strict=True)])
-            high = np.array([np.searchsorted(p, x + half, "right") for p, x in zip(self.places, places[left].T, strict=True)])
+            wide = half[left]
+            low = np.array([np.searchsorted(p, x - wide, "left") for p, x in zip(self.places, places[left].T, strict=True)])
+            high = np.array([np.searchsorted(p, x + wide, "right") for p, x in zip(self.places, places[left].T, strict=True)])
             total = (high - low).sum(axis=0)
             more = []
             for j, q in enumerate(left):
-                if total[j] < THRESHOLD * need[q] and total[j] < n * LINES:
-                    more.append(q)  # too few collisions for so many rows
+                whole = total[j] == n * LINES
+                if total[j] < THRESHOLD * min(n, k):  # too few collisions for k rows
+                    half[q] *= FACTOR
+                    more.append(q)
                     continue
                 inside = np.concatenate([o[a:b] for o, a, b in zip(self.order, low[:, j].tolist(), high[:, j].tolist(), strict=True)])
                 found = np.flatnonzero(np.bincount(inside, minlength=n) >= THRESHOLD)
-                if len(found) < need[q] and total[j] < n * LINES:
+                found = found[self.ids[found] != names[q]]
+                if len(found) < k and not whole:
+                    half[q] *= FACTOR
                     more.append(q)
                     continue
-                found = found[self.ids[found] != names[q]]
                 score = (self.vectors[found] * data[q]).sum(axis=1) / (self.norms[found] * norms[q])
-                for at in np.lexsort((self.ids[found], -score))[:k]:
+                best = np.lexsort((self.ids[found], -score))[:k]
+                # the distance of unit vectors; REACH times it is as wide as the windows have to be
+                asked = REACH * np.sqrt(max(0.0, 2 - 2 * score[best[-1]])) if len(best) else 0.0
+                if half[q] < asked and not whole:
+                    half[q] = min(half[q] * FACTOR, asked)
+                    more.append(q)
+                    continue
+                for at in best:
                     yield names[q], int(self.ids[found[at]]), float(score[at])
             left = more
-            half *= FACTOR
-
-
-def nearest(self, query: int, vector: np.ndarray, k: int) -> list[tuple[int, float]]:
-        norm = np.sqrt((vector * vector).sum())
-        own = int((self.ids == query).sum())
-        need = min(len(self.ids), max(LEAST, int(SHARE * len(self.ids))) + own)
-        found = self.candidates((vector / norm) @ self.unit, need)
-        found = found[self.ids[found] != query]
-        score = (self.vectors[found] * vector).sum(axis=1) / (self.norms[found] * norm)
-        best = np.lexsort((self.ids[found], -score))[:k]
-        return list(zip(self.ids[found][best].tolist(), score[best].tolist(), strict=True))
 
 
 def nearest(

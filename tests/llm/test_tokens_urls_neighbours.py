@@ -164,6 +164,19 @@ def test_recall_against_brute_force(spark, sf):
             assert abs(s - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-12
 
 
+@pytest.mark.parametrize("rows", [4_000, 8_000, 20_000, nn.BLOCK_ROWS])
+def test_recall_of_whole_blocks(rows):
+    """Random vectors are the hardest: the k-th best is hardly nearer than all others."""
+    data = np.random.default_rng(rows).normal(size=(rows, 64))
+    unit = data / np.sqrt((data * data).sum(axis=1))[:, None]
+    queries = range(0, rows, rows // 60)
+    found = {}
+    for q, i, _ in nn.Block(np.arange(rows), data).nearest({q: data[q] for q in queries}, 5):
+        found.setdefault(q, set()).add(i)
+    want = {q: [i for i in np.argsort(-(unit @ unit[q])).tolist() if i != q][:5] for q in queries}
+    assert np.mean([len(found[q] & set(want[q])) / 5 for q in queries]) >= 0.95
+
+
 def test_neighbour_cases(spark):
     r = np.random.default_rng(2)
     rows = [(k, r.normal(size=8).tolist(), 0) for k in range(1, 40)] + [(50, r.normal(size=8).tolist(), 0)]
