@@ -226,12 +226,26 @@ def signatures(docs: DataFrame, idf: np.ndarray, *, doc_id: str = "doc_id", text
     return arrow_map(named, ["text"], ["doc_id"], fields, setup)
 
 
+def nodes_of(texts: pa.Array) -> pa.Array:
+    """The nodes of texts; null for texts without words."""
+    return pa.array([digest(words) if (words := split_words(t)) else None for t in texts.to_pylist()], pa.binary())
+
+
 def texts_of(nodes: DataFrame, docs: DataFrame, *, doc_id: str, text: str) -> DataFrame:
-    """(node, text) of (node, doc_id). Up to BROADCAST_ROWS nodes are broadcast, and no other text moves."""
+    """(node, text) of (node, doc_id). Up to BROADCAST_ROWS nodes are broadcast, and no other text moves.
+
+    A node without a doc_id is found by the digests of the texts without one, and gets one of them.
+    """
     ids = checkpointed(nodes.select("node", F.col("doc_id").alias("__id")))
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    return docs.select(docs[doc_id].alias("__id"), docs[text].alias("text")).join(ids, "__id").select("node", "text")
+    source = docs.select(docs[doc_id].alias("__id"), docs[text].alias("text"))
+    found = source.join(ids.where("__id is not null"), "__id").select("node", "text")
+    nameless = ids.where("__id is null").select("node")
+    if nameless.isEmpty():
+        return found
+    digests = arrow_map(source.where("__id is null"), ["text"], ["text"], [T.StructField("node", T.BinaryType())], lambda: lambda texts: [nodes_of(texts)])
+    return found.unionByName(digests.join(nameless, "node").groupBy("node").agg(F.min("text").alias("text")))
 
 
 def beyond(hub: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[float, float, np.ndarray, np.ndarray]:

@@ -143,6 +143,22 @@ def test_cases(spark):
     assert nd.near_duplicates(documents(spark, [])).collect() == []
 
 
+def test_near_copies_without_a_doc_id(spark):
+    """The shortest of a group, its hub, has no doc_id; another group has none at all; a third has it in two texts."""
+    base, other, third = words(300, 1, 10_000), words(300, 2, 10_000), words(300, 3, 10_000)
+    rows = [(None, " ".join(base.split()[:290])), (None, changed(base, 9, 0.004)), *((k, changed(base, k, 0.004)) for k in range(1, 8))]
+    rows += [(None, other), (None, other + " end"), (None, other.upper() + " end")]
+    rows += [(50, third), (None, third + " a"), (None, third + " b c"), (60, words(40, 4)), (None, words(40, 5)), (None, None)]
+    named = [(100 + k, t) for k, (_, t) in enumerate(rows)]
+    want = brute(named)
+    sizes = [list(want.values()).count(want[i]) for i, _ in named]
+    found = nd.near_duplicates(documents(spark, rows, extra=True)).collect()
+    classes = {i: min((j for (j, _), (k, _) in zip(rows, named) if want[k] == want[i] and j is not None), default=None) for i, _ in named}
+    expected = [(str(j), str(classes[i]), n) for (j, _), (i, _), n in zip(rows, named, sizes)]
+    assert sorted((str(r.doc_id), str(r.class_id), r.class_size) for r in found) == sorted(expected)
+    assert max(sizes) == 9
+
+
 def test_keep_one(spark):
     text = words(50, 3)
     docs = documents(spark, [(7, text), (3, text), (9, None), (20, "a b c d e f g"), (20, "a b c d e f g"), (None, "x y")], extra=True)
