@@ -1,7 +1,7 @@
 """Language identification of mixed texts: scripts narrow the candidates, then Viterbi labels the words.
 
-A word's script (a range of code points) says which languages can be meant: those that have at least a hundredth of the
-script's letters in the training texts, or all if none has. Among them a word gets a score for each language, the mean over
+A word's script (a range of code points) says which languages can be meant: those that have at least a hundredth of their
+own letters of the training texts in the script, or all if none has. So a language's share of the texts doesn't matter. Among them a word gets a score for each language, the mean over
 the gram lengths of the log probabilities of its byte grams with word boundaries. Viterbi over the words of a text, with a
 penalty for each switch, labels every word; equal labels in a row are spans. The language of a text is the one with most
 letters, and the score is its share of them.
@@ -35,6 +35,7 @@ GRAMS = (2, 3, 4, 5)
 SLOTS = 1 << 17
 #: Log probability that a change of language costs.
 SWITCH = 8.0
+#: Share of a language's letters that are of a script it can be meant by, at least.
 CANDIDATE_SHARE = 0.01
 WORD = re.compile(r"[^\W\d_]+")
 _KEPT_WORDS = 1 << 19
@@ -100,7 +101,7 @@ def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     grams = np.array([counts[x][0] for x in languages], np.float64).reshape(len(languages), SLOTS)
     letters = np.array([counts[x][1] for x in languages], np.float64).reshape(len(languages), len(SCRIPTS))
     chance = np.log((grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * SLOTS))
-    share = letters / np.maximum(1, letters.sum(axis=0))
+    share = letters / np.maximum(1, letters.sum(axis=1, keepdims=True))
     candidates = share.T >= CANDIDATE_SHARE
     candidates[~candidates.any(axis=1)] = True
     return Model(languages, np.ascontiguousarray(chance.T.astype(np.float32)), candidates)

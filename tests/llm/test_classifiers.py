@@ -63,6 +63,18 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_of_few_documents(spark):
+    """A few dozen short documents beside large languages of the same script: far less than a hundredth of its letters."""
+    r = np.random.default_rng(4)
+    sounds = {"aa": "bdgkst", "bb": "flmnrz", "rare": "hjpqvx"}
+    text = lambda lang, n: " ".join("".join(r.choice(list(sounds[lang] + "aeiou"), 6)) for _ in range(n))
+    rows = [(k, text("aa" if k % 2 else "bb", 300), "aa" if k % 2 else "bb") for k in range(300)]
+    rows += [(k, text("rare", 8), "rare") for k in range(300, 336)]
+    docs = documents(spark, rows)
+    found = lg.identified(docs, lg.fitted(docs), keep=["doc_id", "lang"]).where(lg.held_out(F.col("doc_id"))).collect()
+    assert sum(x.lang == "rare" for x in found) > 5 and all(x.lang_pred == x.lang for x in found)
+
+
 def plain_viterbi(scores, penalty):
     value, back = scores[0].astype(float), []
     for s in scores[1:]:
