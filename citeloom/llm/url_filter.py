@@ -4,8 +4,9 @@ A rule is a host with a path prefix; it fits the host and its subdomains, and of
 Other urls are judged by multinomial naive Bayes. Their hosts are often words run together, so every host label is split by
 Viterbi over a unigram model; host words and path words are the tokens, and runs of digits are one token.
 
-The unigram model holds counts of all words of all page titles, of which the most frequent are kept, `VOCABULARY` at most. Naive
-Bayes learns from all urls that a rule decides: counts of the hashed tokens (`SLOTS`) of blocked and allowed ones.
+The unigram model counts all words of all page titles. Of them only those that are a piece of some host label can be looked
+up, so only their counts leave the executors, with the total over all words; no word is left out for its rank. Naive Bayes
+learns from all urls that a rule decides: counts of the hashed tokens (`SLOTS`) of blocked and allowed ones.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and no tokens, so the class shares decide;
 without urls of both kinds to learn from, what no rule blocks is allowed; null page ids stay null; repeated rows are judged
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, checkpointed, table
+from .common import arrow_map, checkpointed, slices, table
 
 #: Fixed by the contract: verdict, host, path prefix.
 RULES = (
@@ -36,7 +37,6 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-VOCABULARY = 50_000
 LONGEST_WORD = 24
 SLOTS = 1 << 16
 _KEPT_LABELS = 1 << 17
@@ -78,8 +78,8 @@ class Rules:
 class Segmenter:
     """Splits run-together words: the likeliest split under the unigram model; unknown pieces cost by their length."""
 
-    def __init__(self, counts: dict[str, int]) -> None:
-        self.total = sum(counts.values()) or 1
+    def __init__(self, counts: dict[str, int], total: int | None = None) -> None:
+        self.total = (sum(counts.values()) if total is None else total) or 1
         self.cost = {w: math.log(n / self.total) for w, n in counts.items()}
         self.known: dict[str, list[str]] = {}
 
@@ -129,11 +129,18 @@ def slot_of(token: str) -> int:
     return zlib.crc32(token.encode("utf-8", "surrogatepass")) % SLOTS
 
 
-def unigrams(pages: DataFrame, html: str = "html", most: int = VOCABULARY) -> dict[str, int]:
-    """Counts of the words of all titles; the most frequent are kept."""
+def title_words(pages: DataFrame, html: str = "html") -> DataFrame:
+    """(word, n): counts of the words of all titles."""
     title = F.lower(F.regexp_extract(pages[html], r"(?is)<title[^>]*>(.*?)</title>", 1))
     words = pages.select(F.explode(F.split(title, r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counts = checkpointed(words.groupBy("word").agg(F.count("*").alias("n")))
+    return checkpointed(words.groupBy("word").agg(F.count("*").alias("n")))
+
+
+def unigrams(pages: DataFrame, html: str = "html", most: int | None = None) -> dict[str, int]:
+    """Counts of the words of all titles. With `most`, the most frequent so many at most."""
+    counts = title_words(pages, html)
+    if most is None:
+        return {r["word"]: r["n"] for r in counts.collect()}
     # how many words have about which count: a few hundred rows say which count the last kept word has
     level = F.floor(8 * F.log2("n")).cast("int")
     least, room = 0, most
@@ -145,12 +152,40 @@ def unigrams(pages: DataFrame, html: str = "html", most: int = VOCABULARY) -> di
     return {r["word"]: r["n"] for r in counts.where(level >= least).collect()}
 
 
-def fitted(pages: DataFrame, counts: dict[str, int], *, url: str = "url", rules=RULES) -> Bayes:
-    """Counts tokens of all urls that a rule decides."""
+def host_pieces(pages: DataFrame, url: str = "url") -> DataFrame:
+    """(word): the pieces of host labels that a split can look up, each once."""
+
+    def labels(batches):
+        seen: set[str] = set()
+        for batch in batches:
+            new = {run for value in batch.column(0).to_pylist() for run in _WORD.findall(parts_of(value)[0]) if not run[0].isdigit()} - seen
+            if len(seen) >= _KEPT_LABELS:
+                seen.clear()
+            seen |= new
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.string())], names=["label"])
+
+    def pieces(batches):
+        for batch in batches:
+            for whole in slices(batch, 1 << 15):  # a label has up to LONGEST_WORD pieces a letter
+                found = {run[k : k + n] for run in whole.column(0).to_pylist() for k in range(len(run)) for n in range(1, min(LONGEST_WORD, len(run) - k) + 1)}
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["word"])
+
+    return pages.select(pages[url]).mapInArrow(labels, "label string").distinct().mapInArrow(pieces, "word string").distinct()
+
+
+def host_unigrams(pages: DataFrame, html: str = "html", url: str = "url") -> tuple[dict[str, int], int]:
+    """Counts of all title words that are pieces of host labels, and the total over all title words."""
+    counts = title_words(pages, html)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return {r["word"]: r["n"] for r in counts.join(host_pieces(pages, url), "word", "left_semi").collect()}, total
+
+
+def fitted(pages: DataFrame, counts: dict[str, int], *, total: int | None = None, url: str = "url", rules=RULES) -> Bayes:
+    """Counts tokens of all urls that a rule decides. `total` is over all words, if counts lack some."""
     shared = pages.sparkSession.sparkContext.broadcast(counts)
 
     def count(batches):
-        segment, known = Segmenter(shared.value), Rules(rules)
+        segment, known = Segmenter(shared.value, total), Rules(rules)
         seen: dict[str, Counter] = {"block": Counter(), "allow": Counter()}
         for batch in batches:
             for value in batch.column(0).to_pylist():
@@ -176,12 +211,12 @@ def fitted(pages: DataFrame, counts: dict[str, int], *, url: str = "url", rules=
     return Bayes(float(np.log(urls[0] / urls[1])), chance[:, 0] - chance[:, 1])
 
 
-def judged(pages: DataFrame, counts: dict[str, int], bayes: Bayes, *, keep: list[str], url: str = "url", rules=RULES) -> DataFrame:
-    """Columns `keep` of pages with host, path, rule, host_words, block_odds and verdict."""
+def judged(pages: DataFrame, counts: dict[str, int], bayes: Bayes, *, keep: list[str], total: int | None = None, url: str = "url", rules=RULES) -> DataFrame:
+    """Columns `keep` of pages with host, path, rule, host_words, block_odds and verdict. `total` is as for `fitted`."""
     shared = pages.sparkSession.sparkContext.broadcast((counts, bayes))
 
     def setup():
-        segment, known, bayes = Segmenter(shared.value[0]), Rules(rules), shared.value[1]
+        segment, known, bayes = Segmenter(shared.value[0], total), Rules(rules), shared.value[1]
 
         def run(urls):
             rows = []
@@ -207,6 +242,6 @@ def judged(pages: DataFrame, counts: dict[str, int], bayes: Bayes, *, keep: list
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    counts = unigrams(pages)
-    found = judged(pages, counts, fitted(pages, counts), keep=["page_id"])
+    counts, total = host_unigrams(pages)
+    found = judged(pages, counts, fitted(pages, counts, total=total), keep=["page_id"], total=total)
     return found.select("page_id", "host", "path", "rule", "verdict")

@@ -102,6 +102,25 @@ def test_vocabulary_keeps_the_most_frequent(spark):
     assert 1 <= len(found) <= 5 and set(found) == set(sorted((f"w{chr(97 + k)}" for k in range(26)), reverse=True)[: len(found)])
 
 
+def test_rare_words_of_many_titles(spark, tmp_path):
+    """Hosts of words that titles hold once, beside more than 60,000 other words, are split as with all counts."""
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = sorted({"".join(w) for w in letters[np.random.default_rng(6).integers(0, 26, (62_000, 7))]})
+    titles = [" ".join(words[k : k + 100]) + " the" for k in range(0, len(words), 100)]
+    rows = [(k, f"http://{words[7 * k]}{words[9 * k + 1]}.{'comnetorg'[k % 3 * 3 :][:3]}/{'en de es xx'.split()[k % 4]}/{k}", f"<title>{t}</title>") for k, t in enumerate(titles)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts, total = uf.host_unigrams(pages)
+    assert total == len(words) + len(titles) and all(counts[w] == 1 for k in range(len(titles)) for w in (words[7 * k], words[9 * k + 1]))
+    found = uf.judged(pages, counts, uf.fitted(pages, counts, total=total), keep=["page_id"], total=total).collect()
+    assert all(r.host_words[:2] == [words[7 * r.page_id], words[9 * r.page_id + 1]] for r in found)
+    every = uf.unigrams(pages)
+    assert len(every) == len(words) + 1
+    whole = uf.judged(pages, every, uf.fitted(pages, every), keep=["page_id"]).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, found))
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted((r.page_id, r.verdict) for r in uf.op3_url_filter(spark, str(tmp_path)).collect()) == sorted((r.page_id, r.verdict) for r in whole)
+
+
 def test_segmentation():
     segment = uf.Segmenter({"the": 50, "end": 20, "then": 10, "d": 1})
     assert segment.split("theend") == ["the", "end"] and segment.split("then") == ["then"]
