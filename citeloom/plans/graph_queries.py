@@ -246,11 +246,8 @@ def canonical_edges(spark, sf_dir):
 
 @query()
 def communities(spark, sf_dir):
-    """Suppliers and nations by regions: each region's nations and suppliers are a component."""
-    nation, supplier = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
-    edges = nation.select(F.concat(F.lit("n"), "n_nationkey").alias("src"), F.concat(F.lit("r"), "n_regionkey").alias("dst"))
-    edges = edges.union(supplier.select(F.concat(F.lit("s"), "s_suppkey"), F.concat(F.lit("n"), "s_nationkey")))
-    return M.communities(edges)
+    """All orders and parts, by the edges of every other graph query."""
+    return M.communities(edges_of(spark, sf_dir))
 
 
 @query("""

@@ -1,5 +1,7 @@
 """Operators on small hand-made tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +130,31 @@ def test_communities(spark):
     assert best["size"] == 5 and best.top_venues == ["V", "U"] and best.top_keywords[0] == "graph"
 
 
+def modularity(edges, found):
+    pairs = {tuple(sorted(e)) for e in edges if e[0] != e[1]}
+    degree, inside = {}, 0
+    for a, b in pairs:
+        inside += found[a] == found[b]
+        for n in (a, b):
+            degree[found[n]] = degree.get(found[n], 0) + 1
+    return inside / len(pairs) - sum((d / (2 * len(pairs))) ** 2 for d in degree.values())
+
+
+def test_communities_of_a_large_component(spark):
+    """A component above the size of one task's work is split too, about as well as pair by pair."""
+    r = random.Random(3)
+    edges = [(f"g{g}n{a}", f"g{g}n{b}") for g in range(12) for a in range(20) for b in r.sample(range(20), 5)]
+    edges += [(f"g{g}n{r.randrange(20)}", f"g{(g + 1) % 12}n{r.randrange(20)}") for g in range(12) for _ in range(3)]
+    edges += [("hub", f"leaf{k}") for k in range(200)] + [("hub", "g0n0"), ("small", "pair")]
+    found = {x.node: (x.component, x.community) for x in M.communities(spark.createDataFrame(edges, "src string, dst string"), 50).collect()}
+    assert set(found) == {n for e in edges for n in e} and len({c for c, _ in found.values()}) == 2
+    exact = M.greedy_communities([e for e in edges if e[0] != "small"])
+    large = [e for e in edges if e[0] != "small"]
+    assert modularity(large, found) > 0.95 * modularity(large, exact) > 0.5
+    sizes = [sum(g == (found["hub"][0], k) for g in found.values()) for k in range(len(set(found.values())) - 1)]
+    assert sizes == sorted(sizes, reverse=True) and min(sizes) > 0
+
+
 def test_titles(spark):
     papers = spark.createDataFrame([("a", "Brain connectivity graphs", 2020, ["Jane Doe"]), ("b", "Brain connectivity", 2021, ["X Roe"]), ("c", "the of", 2020, []), ("d", None, 2020, [])], "paper_id string, title string, year int, authors array<string>")
     titles = S.tokenized(papers)
