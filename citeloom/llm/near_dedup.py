@@ -13,10 +13,14 @@ over all documents in hashed features (`IDF_SLOTS`), so the table has one size f
 5. Two nodes of a bucket that aren't both linked with the hub can still be similar. What one of them shares with the hub is
    less than what the two must share, because the hub is no heavier; so they share enough beyond the hub. Shingles beyond a
    hub that no other of its nodes has can't be shared, and a node without enough of the others is done. In copies of a
-   text with changes of their own that leaves very few. The shingles they share beyond the hub are the bucket keys of
-   another round, or, once their pairs are a few for each node of the corpus, the pairs themselves are verified. No pair is lost, and
+   text with changes of their own that leaves very few; a hub with one run tells that within its task. Further hubs of the
+   keys that are left join what the first left apart, with no shingles sent. Pairs of two components are then verified, or
+   where they are many for each node of the corpus, the keys are the buckets of another round. No pair is lost, and
    groups of copies that aren't similar enough are told apart without holding all against all.
 
+The share of all documents that a hashed feature holds doesn't depend on how many they are, so weights are alike at every
+size: a shingle of under 0.1 % of the documents (mean shingles by slots) counts as rare, a common one by its share.
+
 Defined cases: null, empty and wordless texts are alone in a class of their own; a class is named by its smallest doc_id
 that isn't null, or null if all are; repeated rows of a document are repeated in the result and in one class; very long
 texts count whole; empty tables give no rows; other columns are ignored.
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from citeloom.operators.graph import connected_components
+from citeloom.operators.graph import connected_components, drop_kept
 
 from .common import arrow_map, checkpointed, shuffle_width, slices, split_words, table
 
@@ -45,10 +49,15 @@ BANDS = SAMPLES // BAND_ROWS
 IDF_SLOTS = 1 << 18
 #: Counts of features leave a task in so many parts.
 IDF_PARTS = 64
-#: Pairs with one hub that a task verifies as one run.
-RUN_PAIRS = 256
-#: Rows of a broadcast, at most; beyond it texts are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Pairs with one hub that a task verifies as one run, and the shingles beyond the hub that it holds of them, at most.
+RUN_PAIRS = 512
+RUN_KEYS = 1 << 21
+#: Rows of 24 bytes in a broadcast, at most; beyond it texts are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+#: Nodes whose rows get their class by a broadcast, at most: those with at least this part of all rows.
+HOT_NODES = 1024
+#: Further hubs of a key that join components before the next round.
+SWEEP_HUBS = 4
 #: Rows of the last round's join for each node of the corpus, at most; before that, further rounds have fewer.
 PAIRS_A_NODE = 5
 _POOL = 1 << 12
@@ -232,20 +241,20 @@ def nodes_of(texts: pa.Array) -> pa.Array:
 
 
 def texts_of(nodes: DataFrame, docs: DataFrame, *, doc_id: str, text: str) -> DataFrame:
-    """(node, text) of (node, doc_id). Up to BROADCAST_ROWS nodes are broadcast, and no other text moves.
+    """(node, text) of (node, doc_id), one row a node. Up to BROADCAST_ROWS nodes are broadcast, and no other text moves.
 
-    A node without a doc_id is found by the digests of the texts without one, and gets one of them.
+    A node's text is found by the node's doc_id, and by its digest: other texts can have the same doc_id, or none.
     """
-    ids = checkpointed(nodes.select("node", F.col("doc_id").alias("__id")))
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
+    ids = checkpointed(nodes.select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
+    small = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
     source = docs.select(docs[doc_id].alias("__id"), docs[text].alias("text"))
-    found = source.join(ids.where("__id is not null"), "__id").select("node", "text")
-    nameless = ids.where("__id is null").select("node")
-    if nameless.isEmpty():
-        return found
-    digests = arrow_map(source.where("__id is null"), ["text"], ["text"], [T.StructField("node", T.BinaryType())], lambda: lambda texts: [nodes_of(texts)])
-    return found.unionByName(digests.join(nameless, "node").groupBy("node").agg(F.min("text").alias("text")))
+    found = source.join(small(ids.where("__id is not null").select("__id").distinct()), "__id", "left_semi")
+    nameless = ids.where("__id is null")
+    if not nameless.isEmpty():
+        found = found.unionByName(source.where("__id is null"))
+    digests = arrow_map(found, ["text"], ["text"], [T.StructField("node", T.BinaryType())], lambda: lambda texts: [nodes_of(texts)])
+    wanted = small(ids.select(F.col("__node").alias("node")))
+    return digests.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
 
 def beyond(hub: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[float, float, np.ndarray, np.ndarray]:
@@ -260,42 +269,72 @@ def beyond(hub: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray
     return float(common / (weight + other - common)), float(least), own[0][more], rest[more]
 
 
+def still_open(least: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rests: np.ndarray) -> np.ndarray:
+    """Which rows of (keys, rests), `sizes` of them for each node under one hub, can belong to a similar pair.
+
+    All of the hub's nodes have to be given. A key needs two nodes, one of them not linked with the hub (least > 0), and
+    such a node needs enough weight in keys that others have. What goes can make more go, so that is repeated.
+    """
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, key = np.unique(keys, return_inverse=True)
+    kept = np.ones(len(keys), bool)
+    while True:
+        often = np.bincount(key[kept], minlength=len(keys))
+        alive = np.bincount(key[kept & (least[owner] > 0)], minlength=len(keys))
+        new = kept & (often[key] > 1) & (alive[key] > 0)
+        mass = np.bincount(owner[new], rests[new], minlength=len(sizes))
+        new &= ((least <= 0) | (mass >= least))[owner]
+        if new.sum() == kept.sum():
+            return kept
+        kept = new
+
+
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, similarity: float) -> DataFrame:
     """(low, high, weight, similarity, least, keys, rests) of pairs (low, high, weight): low is the hub, the rest is high's.
 
     A pair sends the node's text to a run of the hub, whose text comes first. A run has about RUN_PAIRS pairs, so a hub of
-    very many pairs is spread over many runs.
+    very many pairs is spread over many runs. Of a hub's only run, shingles leave the task only where still_open().
     """
     spark = pairs.sparkSession
     width = shuffle_width(spark)
     degree = pairs.groupBy("low").agg((F.floor(F.count("*") / RUN_PAIRS) + 1).cast("int").alias("runs"))
     run = F.pmod(F.xxhash64("high"), F.col("runs")).cast("int")
-    members = pairs.join(degree, "low").select("low", run.alias("run"), F.col("high").alias("node"), "weight")
+    members = pairs.join(degree, "low").select("low", run.alias("run"), "runs", F.col("high").alias("node"), "weight")
     every = F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run")
-    heads = degree.select("low", every).select("low", "run", F.col("low").alias("node"), F.lit(0.0).alias("weight"))
+    heads = degree.select("low", "runs", every).select("low", "run", "runs", F.col("low").alias("node"), F.lit(0.0).alias("weight"))
     rows = members.unionByName(heads).join(texts, "node").withColumn("role", (F.col("low") != F.col("node")).cast("int"))
-    rows = rows.select("low", "run", "node", "weight", "text", "role").repartition(width, "low", "run").sortWithinPartitions("low", "run", "role", "node")
+    rows = rows.select("low", "run", "runs", "node", "weight", "text", "role").repartition(width, "low", "run").sortWithinPartitions("low", "run", "role", "node")
     shared = spark.sparkContext.broadcast(idf)
     kinds = (pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float32()))
     names = ["low", "high", "weight", "similarity", "least", "keys", "rests"]
 
+    def sent(out: list[list], whole_hub: bool) -> pa.RecordBatch:
+        if whole_hub and out:
+            sizes = np.array([len(x[5]) for x in out])
+            kept = still_open(np.array([x[4] for x in out]), sizes, np.concatenate([x[5] for x in out]), np.concatenate([x[6] for x in out]).astype(np.float64))
+            for x, mine in zip(out, np.split(kept, np.cumsum(sizes)[:-1]), strict=True):
+                x[5:] = x[5][mine], x[6][mine]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=names)
+
     def compare(batches):
-        hashes, weights, at, head = WordHashes(), shared.value, None, None
+        hashes, weights, at, head, out, size, whole_hub = WordHashes(), shared.value, None, None, [], 0, True
         for whole in batches:
             for batch in slices(whole):
-                out = []
-                for low, part, node, weight, value, role in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                    words = split_words(value)
-                    if digest(words) != node:  # another text under the same doc_id
-                        continue
-                    own = weighted(words, hashes, weights)
+                for low, part, runs, node, weight, value, role in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    own = weighted(split_words(value), hashes, weights)
                     if not role:
-                        at, head = (low, part), own
+                        yield sent(out, whole_hub)
+                        at, head, out, size, whole_hub = (low, part), own, [], 0, runs == 1
                     elif at == (low, part):
                         found, least, keys, rests = beyond(head, own, similarity)
                         keys = (keys ^ np.uint64(xxhash.xxh3_64_intdigest(low))) * np.uint64(_ODD)
-                        out.append((low, node, weight, found, least, keys.view(np.int64), rests.astype(np.float32)))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=names)
+                        out.append([low, node, weight, found, least, keys.view(np.int64), rests.astype(np.float32)])
+                        size += len(keys)
+                        if size > RUN_KEYS:  # the run is told apart by the tables alone
+                            whole_hub = False
+                            yield sent(out, False)
+                            out, size = [], 0
+        yield sent(out, whole_hub)
 
     return rows.mapInArrow(compare, "low binary, high binary, weight double, similarity double, least double, keys array<long>, rests array<float>")
 
@@ -306,92 +345,135 @@ def _shared_keys(rows: DataFrame, owner: str) -> DataFrame:
     return rows.join(often, "key")
 
 
-def _open_keys(compared: DataFrame, parts: DataFrame) -> DataFrame:
-    """(key, node, weight, part, alive, pairs): nodes under a hub that can be similar to others there, with those others.
+def _open_keys(compared: DataFrame) -> DataFrame:
+    """(key, node, weight, alive): nodes under a hub that can be similar to others there, with those others.
 
-    A key is a hub with a shingle beyond it. A node that isn't linked with the hub is alive if it shares enough beyond it;
-    keys need an alive node and nodes of two components. `pairs` is how many pairs with alive nodes the key has.
+    A key is a hub with a shingle beyond it. A node that isn't linked with the hub is alive if it shares enough beyond it.
     """
     compared = compared.withColumn("pair", F.xxhash64("low", "high"))
     rows = compared.select("pair", F.explode(F.arrays_zip("keys", "rests")).alias("x")).select("pair", F.col("x.keys").alias("key"), F.col("x.rests").alias("rest"))
     rows = checkpointed(_shared_keys(rows, "pair"))
-    # a pair's rows repeat if its texts do; the mass is only the larger then
     mass = rows.groupBy("pair").agg(F.sum("rest").alias("mass"))
-    able = compared.select("pair", F.col("high").alias("node"), "weight", "least").distinct().join(mass, "pair").where("least <= 0 or mass >= least")
-    able = able.select("pair", "node", "weight", "least", (F.col("least") > 0).alias("alive")).join(parts.withColumnRenamed("component", "part"), "node", "left")
-    placed = rows.join(able, "pair").withColumn("part", F.coalesce("part", "node"))
+    able = compared.select("pair", F.col("high").alias("node"), "weight", "least").join(mass, "pair").where("least <= 0 or mass >= least")
+    placed = rows.join(able.select("pair", "node", "weight", "least", (F.col("least") > 0).alias("alive")), "pair")
     # of an alive node's keys, rare ones first, the last that weigh too little together can be left out: a pair meets before
     tail = F.sum("rest").over(Window.partitionBy("pair").orderBy(F.desc("often"), F.desc("key")))
     placed = placed.withColumn("tail", tail).where("not alive or tail >= least")
-    placed = placed.groupBy("key", "node").agg(F.max("weight").alias("weight"), F.max("part").alias("part"), F.bool_or("alive").alias("alive"))
-    state = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count_if("alive").alias("live"), F.count("*").alias("n"))
-    state = state.where("lo <> hi and live > 0").select("key", (F.col("live") * F.col("n")).alias("pairs"))
-    return placed.join(state, "key")
+    placed = checkpointed(placed.select("key", "node", "weight", "alive"))
+    drop_kept(rows)
+    return placed
+
+
+def _apart(placed: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
+    """The rows of keys with an alive node and nodes of two components, with components (part), and the pairs to verify."""
+    placed = placed.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    within = placed.groupBy("key", "part").agg(F.count("*").alias("n"), F.count_if("alive").alias("live"))
+    state = within.groupBy("key").agg(F.sum("n").alias("n"), F.sum("live").alias("live"), F.sum(F.col("n") * F.col("live")).alias("inside"))
+    state = state.withColumn("pairs", F.col("n") * F.col("live") - F.col("inside")).where("pairs > 0")
+    state = checkpointed(state.select("key", "pairs"))
+    left = checkpointed(placed.join(state.select("key"), "key"))
+    return left, state.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, class_size): every row of docs with its class and the number of rows in it."""
+    return _classes(docs, doc_id=doc_id, text=text, similarity=similarity)[0].select("doc_id", "class_id", "class_size")
+
+
+def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node, class_id, class_node, class_size) of every row, and (node, doc_id, class_id, class_node, class_size) of
+    every node. The class is named by its smallest doc_id and the smallest node that has it."""
     n, frequencies = document_frequencies(docs, text)
     idf = idf_weights(n, frequencies)
     rows = checkpointed(signatures(docs, idf, doc_id=doc_id, text=text))
-    nodes = checkpointed(
-        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
-    )
-    # a key is a band's samples mixed with the band, so it names the bucket
-    buckets = checkpointed(_shared_keys(nodes.select("node", "weight", F.explode("bands").alias("key")), "node").drop("often"))
-    inside = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
+    each = rows.where("node is not null").groupBy("node")
+    nodes = checkpointed(each.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.count("*").alias("copies")))
+    # a key is a band's samples mixed with the band, so it names the bucket; the exchange of its rows serves both uses
+    placed = nodes.select("node", "weight", F.explode("bands").alias("key")).repartition("key")
+    hubs = placed.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub"), F.count("*").alias("n")).where("n > 1")
+    stars = placed.join(hubs.select("key", F.col("hub.node").alias("low")), "key").where("node <> low")
+    stars = checkpointed(stars.select("low", F.col("node").alias("high"), "weight").distinct())
+    inside = nodes.join(stars.select(F.col("high").alias("node")).union(stars.select("low")).distinct(), "node", "left_semi")
     texts = checkpointed(texts_of(inside, docs, doc_id=doc_id, text=text))
-    most, links = PAIRS_A_NODE * nodes.count(), None
+    most = PAIRS_A_NODE * nodes.count()
+    links, parts = None, None
 
-    def linked(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def linked(pairs: DataFrame) -> DataFrame:
+        nonlocal links, parts
         compared = checkpointed(verified(pairs, texts, idf, similarity=similarity))
-        new = compared.where(F.col("similarity") >= similarity).select("low", "high").distinct()
-        known = checkpointed(new if links is None else links.unionByName(new).distinct())
-        return compared, known, connected_components(known, "low", "high")
+        new = compared.where(F.col("similarity") >= similarity).select("low", "high")
+        links = checkpointed(new if links is None else links.unionByName(new).distinct())
+        parts = connected_components(links, "low", "high")
+        return compared
 
     while True:
-        hubs = buckets.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("low"))
-        stars = buckets.join(hubs, "key").where("node <> low").select("low", F.col("node").alias("high"), "weight").distinct()
-        compared, links, parts = linked(stars)
-        buckets = checkpointed(_open_keys(compared, parts))
-        pairs = buckets.groupBy("key").agg(F.max("pairs").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        compared = linked(stars)
+        opened = _open_keys(compared)
+        drop_kept(compared)
+        left, pairs = _apart(opened, parts)
+        if pairs > most:
+            # other hubs join what the lightest left apart, and leave fewer pairs of two components
+            seeds = [F.min_by("node", F.xxhash64("node", F.lit(seed))).alias(f"hub{seed}") for seed in range(SWEEP_HUBS)]
+            hubs = left.groupBy("key").agg(*seeds).select("key", F.explode(F.array(*[f"hub{k}" for k in range(SWEEP_HUBS)])).alias("hub"))
+            hubs = hubs.distinct().join(left.select("key", F.col("node").alias("hub"), F.col("part").alias("of")), ["key", "hub"])
+            near = left.join(hubs, "key").where("part <> of")
+            near = near.select(F.least("hub", "node").alias("low"), F.greatest("hub", "node").alias("high"), F.lit(0.0).alias("weight")).distinct()
+            drop_kept(linked(checkpointed(near)))
+            left, pairs = _apart(opened, parts)
+        drop_kept(opened)
         if not pairs:
             break
         if pairs <= most:
-            a, b = buckets.where("alive").alias("a"), buckets.alias("b")
+            a, b = left.where("alive").alias("a"), left.alias("b")
             near = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part")))
             near = near.select(F.least("a.node", "b.node").alias("low"), F.greatest("a.node", "b.node").alias("high"), F.lit(0.0).alias("weight")).distinct()
-            _, links, parts = linked(near)
+            drop_kept(linked(checkpointed(near)))
             break
-
-    member = nodes.select("node", "doc_id").join(parts, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
-    copies = rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
-    classes = member.join(copies, "node").groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    by_node = member.join(classes, "component").select("node", "class_id", "class_size")
-    return rows.select("doc_id", "node").join(by_node, "node", "left").select(
+        hubs = left.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("low"))
+        stars = checkpointed(left.join(hubs, "key").where("node <> low").select("low", F.col("node").alias("high"), "weight").distinct())
+    drop_kept(texts)
+
+    member = nodes.select("node", "doc_id", "copies").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")).alias("first")
+    classes = member.groupBy("component").agg(first, F.sum("copies").alias("class_size"))
+    classes = classes.select("component", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node"), "class_size")
+    by_node = checkpointed(member.join(classes, "component").select("node", "copies", "class_id", "class_node", "class_size"))
+    # nodes of very many rows, HOT_NODES at most, are joined by a broadcast, so no task gets all rows of one
+    total = rows.count()
+    hot = by_node.where(F.col("copies") * HOT_NODES >= total).drop("copies")
+    own = rows.select("doc_id", "node")
+    named = own.join(F.broadcast(hot), "node").unionByName(own.join(F.broadcast(hot), "node", "left_anti").join(by_node.drop("copies"), "node", "left"))
+    return named.select(
         "doc_id",
+        "node",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "class_node",
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-    )
+    ), by_node
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without near copies: of each class the rows of its smallest doc_id stay, once. Columns stay as they are.
+    """docs without near copies: of each class one row stays, of its smallest doc_id. Columns stay as they are.
 
-    A null doc_id can't be told from another, so rows without one all stay.
+    Rows are told apart by doc_id and text, so another text under the same doc_id, or without one, is a document of its
+    own. Of rows equal in both one stays. Rows without words all stay.
     """
-    classes = near_duplicates(docs, doc_id=doc_id, text=text)
-    rows = classes.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("class_id")).alias("kept"), F.count("*").alias("n"))
-    rows = checkpointed(rows.where("not kept or n > 1"))
-    gone = rows.where("not kept").select(F.col("doc_id").alias(doc_id))
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    left = docs.join(gone, doc_id, "left_anti")
-    repeated = rows.where("kept").select(F.col("doc_id").alias(doc_id))
-    if repeated.isEmpty():
-        return left.select(*docs.columns)
-    twice = left.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id])
-    return left.join(repeated, doc_id, "left_anti").unionByName(twice).select(*docs.columns)
+    rows, _ = _classes(docs, doc_id=doc_id, text=text, similarity=SIMILARITY)
+    each = rows.where("node is not null").groupBy(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
+    kept = (F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_node") == F.col("node")))
+    each = checkpointed(each.agg(F.bool_or(kept).alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"))
+    small = F.broadcast if each.count() <= BROADCAST_ROWS else lambda x: x
+    names = docs.columns
+    plain = docs.toDF(*[f"__{k}" for k in range(len(names))])
+    own_id, own_text = (f"__{names.index(c)}" for c in (doc_id, text))
+    plain = arrow_map(plain, [own_text], plain.columns, [T.StructField("__own", T.BinaryType())], lambda: lambda texts: [nodes_of(texts)])
+    same = F.col(own_id).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__node"))
+    left = plain.join(small(each.where("not kept")), same, "left_anti")
+    repeated = each.where("kept").select("__id", "__node")
+    if not repeated.isEmpty():
+        twice = left.join(small(repeated), same, "left_semi").dropDuplicates([own_id, "__own"])
+        left = left.join(small(repeated), same, "left_anti").unionByName(twice)
+    return left.drop("__own").toDF(*names)
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

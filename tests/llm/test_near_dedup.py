@@ -80,8 +80,14 @@ def test_against_brute_force(spark):
     assert found == brute(rows)
 
 
-def test_wide_group_of_copies(spark):
-    """Copies with such different numbers of changes that many aren't similar to the hub, and families within."""
+@pytest.mark.parametrize("pairs, run", [(nd.PAIRS_A_NODE, nd.RUN_PAIRS), (0, nd.RUN_PAIRS), (0, 8), (0.5, 8)])
+def test_wide_group_of_copies(spark, monkeypatch, pairs, run):
+    """Copies with such different numbers of changes that many aren't similar to the hub, and families within.
+
+    With pairs verified at once or only by rounds of hubs, and with hubs in one run or in many.
+    """
+    monkeypatch.setattr(nd, "PAIRS_A_NODE", pairs)
+    monkeypatch.setattr(nd, "RUN_PAIRS", run)
     base = words(300, 1, 10_000)
     rows = [(k, changed(base, k, (k % 20) / 250)) for k in range(150)]
     for k in range(150, 200):
@@ -123,6 +129,28 @@ def test_beyond_the_hub():
     assert met > 50
 
 
+def test_still_open():
+    """Nodes 0 and 1 share enough beyond the hub; 2 is linked with it; 3 and 4 share too little; 5 shares nothing."""
+    keys = [[1, 2, 3], [1, 2, 9], [3, 4], [4, 5], [5, 6], [7]]
+    least = np.array([1.5, 2.0, -1.0, 5.0, 1.5, 0.5])
+    flat = np.array([k for own in keys for k in own])
+    kept = nd.still_open(least, np.array([len(k) for k in keys]), flat, np.ones(len(flat)))
+    assert flat[kept].tolist() == [1, 2, 3, 1, 2, 3]
+    assert nd.still_open(np.array([]), np.array([], int), np.array([], np.int64), np.array([])).tolist() == []
+
+
+def test_recall_of_pairs(spark, capsys):
+    """Of all pairs of weighted similarity 0.8 or more, those in one class."""
+    rows = [(8 * k + j, changed(words(150 + 5 * k, k, 10_000), 100 * k + j, j / 100)) for k in range(60) for j in range(8)]
+    sets = weighted_sets(rows)
+    classes = {r.doc_id: r.class_id for r in nd.near_duplicates(documents(spark, rows)).collect()}
+    near = [(a, b) for k in range(60) for a, b in combinations(range(8 * k, 8 * k + 8), 2) if similarity(sets[a], sets[b]) >= nd.SIMILARITY]
+    caught = sum(classes[a] == classes[b] for a, b in near)
+    with capsys.disabled():
+        print(f"\n{caught} of {len(near)} pairs of similarity {nd.SIMILARITY} or more in one class")
+    assert len(near) > 100 and caught >= 0.99 * len(near)
+
+
 def test_large_group_of_near_copies(spark):
     base = words(400, 1)
     rows = [(k, changed(base, k, 0.004)) for k in range(300)] + [(1000 + k, words(50, k + 10)) for k in range(50)]
@@ -167,6 +195,15 @@ def test_keep_one(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 3), (False, 9), (False, 20), (True, 0)]
 
 
+def test_keep_one_tells_rows_apart_by_text(spark):
+    """Two texts under one doc_id are two documents, and so are texts without one; copies of either kind go."""
+    a, b, c = (words(100, 30 + k, 10_000) for k in range(3))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (None, a + " tail"), (None, c), (None, c), (None, c + " end"), (5, None), (None, None), (6, b), (6, c + " more")]
+    docs = documents(spark, rows, extra=True)
+    kept = sorted((str(r.doc_id), r.text or "") for r in nd.keep_one(docs).collect())
+    assert kept == sorted([("1", a), ("1", b), ("6", c + " more"), ("5", ""), ("None", "")])
+
+
 @pytest.mark.parametrize("share", [0.05, 0.2, 0.5])
 def test_samples_agree_as_often_as_sets_are_similar(share):
     r = np.random.default_rng(8)
