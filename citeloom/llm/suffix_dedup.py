@@ -5,8 +5,8 @@ one. Sorting all suffixes would move the text a hundred times, so the suffixes a
 of 100 bytes is the leftmost of its 69 grams of 32 bytes with the least hash. It depends on the window's bytes only, so equal
 windows have equal anchors; neighbouring windows mostly share theirs. The bytes of an anchor's windows are its zone.
 
-1. Tasks send gram hashes, packed by hash, and learn which anchors have a gram that occurs twice.
-2. A home (a hash group of documents) sends those anchors' suffixes: from the anchor on to the zone's end, then the zone's
+1. Homes (hash groups of documents) send the hashes of their different grams with counts, and learn which occur twice.
+2. A home sends the suffixes of anchors with such a gram: from the anchor on to the zone's end, then the zone's
    bytes before the anchor backwards. Equal zones meet there first: only the earliest goes on, the others are removed
    at once. What goes on is a sorted run, front-coded: length of the common prefix with the suffix before, then the rest.
 3. Runs of one hash range are merged by a loser tree. A node keeps the prefix length that a suffix shares with the last
@@ -18,8 +18,9 @@ Hot grams, such as those of a line that a third of all documents have, would put
 zones are cut into pieces of eight windows, and a piece goes where the hash of the 93 bytes common to its windows sends it.
 
 Defined cases: null is the empty text; texts under 100 bytes have nothing to remove; a null doc_id comes after all others;
-repeated rows (equal doc_id and text) are one document and have equal results; different texts under one doc_id are
-ordered by a hash of the text; empty tables give no rows; other columns are ignored.
+repeated rows (equal doc_id and text) are one document and have equal results; different texts under one doc_id, or
+without one, are told apart and ordered by a hash of 128 bits of the text; a doc_id counts as a long, and one that can't
+be cast to it as null; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -213,33 +214,27 @@ def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, Run, int]]:
             node //= 2
 
 
+def _gram_keys(h: np.ndarray, width: int) -> np.ndarray:
+    """The hash range of each gram, and 32 bits of its hash below."""
+    return (((h >> np.uint64(32)) % np.uint64(width)) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+
+
 def _send_grams(width: int):
-    """Rows (range, payload) with what each document sends; a payload is (homes, ids, tags, counts, marks, places)."""
-
-    def run(batches):
-        hold: dict[int, list] = {}
-
-        for whole in batches:
-            for batch in slices(whole, HASHED_BYTES):
-                homes, ids, texts = (c.to_pylist() for c in batch.columns)
-                data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-                number, place, _, _, h = anchors(data)
-                if not len(number):
-                    continue
-                of = ((h >> np.uint64(32)) % np.uint64(width)).astype(np.int64)
-                order = np.argsort(of, kind="stable")
-                cuts = np.searchsorted(of[order], np.arange(width + 1))
-                ids = np.array([_LAST if i is None else i for i in ids], np.int64)
-                tags = np.array([xxhash.xxh3_64_intdigest(d) & 0xFFFFFFFF for d in data], np.uint32)
-                homes = np.array(homes, np.int32)
-                for k in np.flatnonzero(np.diff(cuts)):
-                    mine = order[cuts[k] : cuts[k + 1]]
-                    docs, counts = np.unique(number[mine], return_counts=True)
-                    part = (homes[docs], ids[docs], tags[docs], counts.astype(np.uint32), h[mine].astype(np.uint32), place[mine].astype(np.uint32))
-                    hold.setdefault(int(k), []).append(part)
-        for k, parts in hold.items():
-            payload = pickle.dumps(tuple(np.concatenate(c) for c in zip(*parts, strict=True)), protocol=5)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([payload], pa.binary())], names=["range", "payload"])
+    """Homes: rows (range, payload) of their different grams with counts, so that a hot one is sent once a home."""
+
+    def run(texts: pa.Table) -> pa.Table:
+        home = texts.column("home")[0].as_py()
+        found, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for batch in _batches(texts):
+            keys, often = np.unique(_gram_keys(anchors([data for _, data in batch])[4], width), return_counts=True)
+            found.append(keys)
+            counts.append(often)
+        keys, where = np.unique(np.concatenate(found), return_inverse=True)
+        often = np.bincount(where, np.concatenate(counts), len(keys)).astype(np.uint32)
+        of = (keys >> np.uint64(32)).astype(np.int64)
+        ranges, firsts = np.unique(of, return_index=True)
+        rows = [pickle.dumps((home, keys[lo:hi].astype(np.uint32), often[lo:hi]), protocol=5) for lo, hi in zip(firsts, [*firsts[1:], len(keys)])]
+        return pa.table({"range": pa.array(ranges, pa.int32()), "payload": pa.array(rows, pa.binary())})
 
     return run
 
@@ -259,50 +254,64 @@ def _by_key(batches) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _repeated_grams(batches):
-    """Rows (home, payload): anchors whose gram occurs twice, as (ids, tags, places, hot)."""
-    for _, payloads in _by_key(batches):
-        homes, ids, tags, counts, marks, places = (np.concatenate(c) for c in zip(*map(pickle.loads, payloads), strict=True))
-        _, where, often = np.unique(marks, return_inverse=True, return_counts=True)
-        often = often[where]
-        owner = np.repeat(np.arange(len(ids)), counts)
-        keep = np.flatnonzero(often > 1)
-        home = homes[owner[keep]]
-        keep = keep[np.argsort(home, kind="stable")]
-        home = np.sort(home, kind="stable")
-        out_homes, firsts = np.unique(home, return_index=True)
+    """Rows (home, payload): the grams of a home that occur twice anywhere, as (range, marks, hot)."""
+    for of, payloads in _by_key(batches):
+        homes, marks, counts = zip(*map(pickle.loads, payloads), strict=True)
+        _, where = np.unique(np.concatenate(marks), return_inverse=True)
+        often = np.bincount(where, np.concatenate(counts))[where]
         rows = []
-        for lo, hi in zip(firsts, [*firsts[1:], len(home)], strict=True):
-            mine = keep[lo:hi]
-            rows.append(pickle.dumps((ids[owner[mine]], tags[owner[mine]], places[mine], often[mine] > HOT), protocol=5))
-        yield pa.RecordBatch.from_arrays([pa.array(out_homes, pa.int32()), pa.array(rows, pa.binary())], names=["home", "payload"])
+        for home, mine, n in zip(homes, marks, np.split(often, np.cumsum([len(m) for m in marks])[:-1]), strict=True):
+            keep = n > 1
+            if keep.any():
+                rows.append((home, pickle.dumps((of, mine[keep], n[keep] > HOT), protocol=5)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["home", "payload"])
 
 
 def _pack_texts(batches):
-    """Rows (home, payload): a task's documents of each home, as (ids, nulls, texts)."""
-    hold: dict[int, list] = {}
+    """Rows (home, payload): a task's documents of each home, as (ids, texts, copies). Repeated rows are packed once."""
+    hold: dict[int, dict[tuple, int]] = {}
     size = 0
 
     def flush():
         for home, rows in hold.items():
-            yield pa.RecordBatch.from_arrays([pa.array([home], pa.int32()), pa.array([packed([i for i, _ in rows], [t for _, t in rows])], pa.binary())], names=["home", "payload"])
+            payload = packed([i for i, _ in rows], [t for _, t in rows], list(rows.values()))
+            yield pa.RecordBatch.from_arrays([pa.array([home], pa.int32()), pa.array([payload], pa.binary())], names=["home", "payload"])
         hold.clear()
 
     for whole in batches:
         for batch in slices(whole):
             for home, i, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                data = (text or "").encode("utf-8", "surrogatepass")
-                hold.setdefault(home, []).append((i, data))
-                size += len(data)
+                row = i, (text or "").encode("utf-8", "surrogatepass")
+                mine = hold.setdefault(home, {})
+                if row not in mine:
+                    size += len(row[1])
+                mine[row] = mine.get(row, 0) + 1
             if size > 4 * SHARE_BYTES:
                 yield from flush()
                 size = 0
     yield from flush()
 
 
-def _documents(texts: pa.Table) -> Iterator[tuple[int | None, tuple[int, int], bytes]]:
+def _documents(texts: pa.Table) -> Iterator[tuple[int | None, tuple[int, bytes], bytes, int]]:
+    """(doc_id, key, text, copies). Keys order documents and tell texts apart; a document can come from several tasks."""
     for payload in texts.column("payload").to_pylist():
-        for i, data in zip(*unpacked(payload), strict=True):
-            yield i, (_LAST if i is None else i, xxhash.xxh3_64_intdigest(data) & 0xFFFFFFFF), data
+        for i, data, copies in zip(*unpacked(payload), strict=True):
+            yield i, (_LAST if i is None else i, xxhash.xxh3_128_digest(data)), data, copies
+
+
+def _batches(texts: pa.Table) -> Iterator[list[tuple[tuple[int, bytes], bytes]]]:
+    """(key, text) of a home's different documents, about HASHED_BYTES at a time."""
+    done: set[tuple[int, bytes]] = set()
+    batch, size = [], 0
+    for _, key, data, _ in _documents(texts):
+        if key not in done:
+            done.add(key)
+            batch.append((key, data))
+            size += len(data)
+            if size >= HASHED_BYTES:
+                yield batch
+                batch, size = [], 0
+    yield batch
 
 
 def _zone_pieces(data: bytes, place: int, first: int, last: int, hot: bool) -> Iterator[tuple[bytes, int, int, int]]:
@@ -329,14 +338,18 @@ def _send_runs(width: int):
 
     def run(texts: pa.Table, grams: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, bytes]] = []
-        wanted: dict[tuple[int, int], dict[int, bool]] = {}
         home = None
+        wanted, hot = [np.empty(0, np.uint64)], [np.empty(0, bool)]
         for at, payload in zip(grams.column("home").to_pylist(), grams.column("payload").to_pylist(), strict=True):
             home = at
-            for i, tag, place, hot in zip(*[x.tolist() for x in pickle.loads(payload)], strict=True):
-                wanted.setdefault((i, tag), {})[place] = hot
+            of, marks, often = pickle.loads(payload)
+            wanted.append((np.uint64(of) << np.uint64(32)) | marks.astype(np.uint64))
+            hot.append(often)
+        repeated = np.concatenate(wanted)
+        order = np.argsort(repeated)
+        repeated, is_hot = repeated[order], np.concatenate(hot)[order]
         seen: dict[bytes, tuple] = {}
-        gone: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        gone: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
 
         def flush() -> None:
             by_range: dict[int, list[bytes]] = {}
@@ -350,39 +363,23 @@ def _send_runs(width: int):
                 rows.append((0, k, packed(home, list(names), *columns, *front_coded(suffixes))))
             seen.clear()
 
-        done: set[tuple[int, int]] = set()
-        batch: list[tuple[tuple[int, int], bytes]] = []
-
-        def work() -> None:
-            columns = [c.tolist() for c in anchors([d for _, d in batch])[:4]]
-            for number, place, first, last in zip(*columns, strict=True):
+        for batch in _batches(texts) if len(repeated) else ():
+            *columns, h = anchors([data for _, data in batch])
+            keys = _gram_keys(h, width)
+            at = np.minimum(np.searchsorted(repeated, keys), len(repeated) - 1)
+            mine = np.flatnonzero(repeated[at] == keys)
+            for number, place, first, last, often in zip(*[c[mine].tolist() for c in columns], is_hot[at[mine]].tolist(), strict=True):
                 key, data = batch[number]
-                hot = wanted[key].get(place)
-                if hot is None:
-                    continue
-                for suffix, head, begin, end in _zone_pieces(data, place, first, last, hot):
-                    mine = (key, head, begin, end)
-                    other = seen.setdefault(suffix, mine)
-                    if other is not mine:
+                for suffix, head, begin, end in _zone_pieces(data, place, first, last, often):
+                    own = (key, head, begin, end)
+                    other = seen.setdefault(suffix, own)
+                    if other is not own:
                         if (key, head) < other[:2]:
-                            seen[suffix], mine = mine, other
-                        gone.setdefault(mine[0], []).append((mine[2], mine[3] + LENGTH))
-            batch.clear()
+                            seen[suffix], own = own, other
+                        gone.setdefault(own[0], []).append((own[2], own[3] + LENGTH))
             if len(seen) >= RUN_ROWS:
                 flush()
-
-        if wanted:
-            size = 0
-            for _, key, data in _documents(texts):
-                if key in wanted and key not in done:
-                    done.add(key)
-                    batch.append((key, data))
-                    size += len(data)
-                    if size >= 1 << 20:
-                        work()
-                        size = 0
-            work()
-            flush()
+        flush()
         if gone:
             rows.append((1, home, packed(gone)))
         return pa.table({"kind": pa.array([r[0] for r in rows], pa.int32()), "to": pa.array([r[1] for r in rows], pa.int32()), "payload": pa.array([r[2] for r in rows], pa.binary())})
@@ -481,23 +478,23 @@ def spans_of(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _finish(texts: pa.Table, removed: pa.Table) -> pa.Table:
-    gone: dict[tuple[int, int], list] = {}
+    gone: dict[tuple[int, bytes], list] = {}
     for payload in removed.column("payload").to_pylist():
         for key, ranges in unpacked(payload)[0].items():
             gone.setdefault(key, []).extend(ranges)
-    columns: list[list] = [[], [], [], []]
-    for i, key, data in _documents(texts):
+    columns: list[list] = [[], [], [], [], []]
+    for i, key, data, copies in _documents(texts):
         spans = spans_of(gone.get(key, []))
         kept, at = hashlib.sha256(), 0
         for start, end in spans:
             kept.update(data[at:start])
             at = end
         kept.update(data[at:])
-        for c, x in zip(columns, (i, len(data), [{"start": s, "end": e} for s, e in spans], kept.hexdigest()), strict=True):
+        for c, x in zip(columns, (i, len(data), [{"start": s, "end": e} for s, e in spans], kept.hexdigest(), copies), strict=True):
             c.append(x)
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    kinds = (pa.int64(), pa.int64(), spans_type, pa.string())
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "removed", "kept_sha256"])
+    kinds = (pa.int64(), pa.int64(), spans_type, pa.string(), pa.int64())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "removed", "kept_sha256", "copies"])
 
 
 def repeated_strings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -509,14 +506,15 @@ def repeated_strings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     home = F.pmod(F.xxhash64(F.coalesce(docs[doc_id].cast("long"), F.xxhash64(docs[text]))), F.lit(homes)).cast("int")
     rows = docs.select(home.alias("home"), docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     texts = rows.mapInArrow(_pack_texts, "home int, payload binary")
-    grams = rows.mapInArrow(_send_grams(width), "range int, payload binary")
+    grams = texts.groupBy("home").applyInArrow(_send_grams(width), "range int, payload binary")
     grams = grams.repartition(width, "range").sortWithinPartitions("range").mapInArrow(_repeated_grams, "home int, payload binary")
     runs = texts.groupBy("home").cogroup(grams.groupBy("home")).applyInArrow(_send_runs(width), "kind int, to int, payload binary")
     runs = runs.repartition(width, "to").sortWithinPartitions("kind", "to")
     removed = runs.mapInArrow(_merge_runs, "home int, payload binary")
-    return texts.groupBy("home").cogroup(removed.groupBy("home")).applyInArrow(
-        _finish, "doc_id long, n_bytes long, removed array<struct<start:int,end:int>>, kept_sha256 string"
+    found = texts.groupBy("home").cogroup(removed.groupBy("home")).applyInArrow(
+        _finish, "doc_id long, n_bytes long, removed array<struct<start:int,end:int>>, kept_sha256 string, copies long"
     )
+    return found.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

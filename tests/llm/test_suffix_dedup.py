@@ -120,6 +120,49 @@ def test_cases(spark):
     assert sd.repeated_strings(documents(spark, [])).collect() == []
 
 
+def test_nothing_repeats(spark):
+    """No hash range has a repeated gram; then some have one."""
+    letters = lambda seed, n: "".join(random.Random(seed).choices("abcdefghijklmnop ", k=n))
+    for rows in ([(1, letters(1, 200))], [(1, letters(1, 300)), (2, letters(2, 300))], [(1, letters(1, 300)), (2, letters(2, 300) + letters(1, 120))]):
+        assert found(spark, rows) == brute(rows)
+
+
+def test_texts_without_a_doc_id(spark):
+    """They are told apart by the whole text; one that repeats nothing loses nothing."""
+    r = random.Random(12)
+    letters = lambda n: "".join(r.choices("abcdefghijklmnop ", k=n))
+    shared = letters(150)
+    rows = [(None, letters(130 + k)) for k in range(300)] + [(1, letters(50) + shared), (None, letters(40) + shared), (4, letters(120)), (4, letters(125))]
+    got = sd.repeated_strings(documents(spark, rows)).collect()
+    assert sorted(sum(s.end - s.start for s in g.removed) for g in got) == [0] * 303 + [150]
+    assert [g.n_bytes for g in got if g.removed] == [190]
+
+
+def test_many_repeated_rows(spark):
+    """A document in very many rows is packed once a task and returned as often as it came."""
+    text = "".join(random.Random(13).choices("abcdefgh ", k=200))
+    rows = [(1, text)] * 3000 + [(2, text)] + [(None, text)] * 500
+    got = sd.repeated_strings(documents(spark, rows)).collect()
+    assert sorted((g.doc_id or 0, sum(s.end - s.start for s in g.removed)) for g in got) == [(0, 200)] * 500 + [(1, 0)] * 3000 + [(2, 200)]
+
+
+def test_hot_gram_is_sent_once_a_home():
+    """All zones of a line have one gram; a home sends it with a count, and a range answers with one row a home."""
+    import pickle
+
+    import pyarrow as pa
+
+    line = b"".join(random.Random(14).choices([b"a", b"b", b"c", b" "], k=130))
+    table = lambda home: pa.table({"home": [home], "payload": [sd.packed(list(range(2000)), [b"%d" % k + line for k in range(2000)], [1] * 2000)]})
+    sent = [sd._send_grams(1)(table(h)) for h in (3, 8, 9)]
+    sizes = [sum(len(pickle.loads(p)[1]) for p in s.column("payload").to_pylist()) for s in sent]
+    assert max(sizes) < 2500 * 2  # a few grams a document over its own number, and those of the line once
+    answers = list(sd._repeated_grams(b for s in sent for b in s.to_batches()))
+    rows = [(h, *pickle.loads(p)) for b in answers for h, p in zip(*[c.to_pylist() for c in b.columns])]
+    assert sorted(r[0] for r in rows) == [3, 8, 9]
+    assert 6000 > sd.HOT and any(x for r in rows for x in r[3])
+
+
 def test_very_common_line(spark):
     """A line in more documents than HOT, between other bytes; its zones are cut into pieces."""
     r = random.Random(9)
