@@ -1,26 +1,32 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The documents of a source, in a fixed pseudo-random order, are cut into blocks of about `block_size` units (here bytes of
-text). With integer weights w and W = sum of w over the sources that still have blocks, block j of a source is released at
-slot floor(j*W/w) and due by slot ceil((j+1)*W/w). In every slot the released block with the earliest deadline goes next.
-That schedule is feasible, so after any number t of slots a source has had t*w/W blocks to within less than one block.
+The documents of a source, in a fixed pseudo-random order, are cut into blocks of `block_size` units (here bytes of text).
+Let the sources that still have blocks get their weights' shares of every slot without a break: block j of a source of
+weight w is then worked on in virtual time from j/w to (j+1)/w. A virtual time V is the real time N + V*W, with W the weights
+of the sources that last beyond V and N the blocks of those that don't. Block j is released in the slot in which its work
+begins, and due when it ends. In every slot the released block with the earliest deadline goes next. As the ideal shares are
+a schedule in parts that keeps all releases and deadlines, earliest deadline first keeps them too, and at any time a source is
+less than one block from its share, also after others ran out. Weights are whole numbers, of any sum, and nothing is rounded.
 
-The schedule repeats after W slots, so one round of W slots is all that is computed; the slot of any block follows from it
-by arithmetic on the executors. When a source runs out, a new phase begins with the other sources. A phase adds one round,
-and there are at most as many phases as sources. The driver sees one row a source, never documents or blocks.
+The driver sees one row a source and schedules blocks, `MOST_BLOCKS` and one a source at most: where blocks of `BLOCK_BYTES`
+would be more, they are larger. The plan that is broadcast, three numbers a block, is bounded by that, for any corpus.
 
 The place of a document in its source needs no sort of a whole source: documents are dealt by source and hash range, sums
 of the ranges give the offsets, and each range is ordered by itself, so a source with a third of all rows is spread.
 
 Defined cases: null is a source of its own; null and empty texts have size 0 and stay in the mix; a document longer than a
-block takes as many blocks; repeated rows are mixed one by one, in any order among themselves; a weight for a source
-without documents is ignored, and a source without a weight counts as 1; empty tables give no rows.
+block takes as many blocks; repeated rows are mixed one by one, in any order among themselves, and so are rows without a
+doc_id; a weight for a source without documents is ignored, a source without a weight counts as 1, and weights that aren't
+whole numbers of 1 or more raise an error, as do more than MOST_SOURCES sources; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import heapq
-from math import gcd, isqrt
+from bisect import bisect_right
+from fractions import Fraction
+from itertools import accumulate
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,59 +36,51 @@ from pyspark.sql.window import Window
 from .common import table
 
 BLOCK_BYTES = 64 << 10
+#: Blocks of the schedule, but for one more a source, at most.
+MOST_BLOCKS = 1 << 20
 #: Documents of one hash range of a source.
 RANGE_ROWS = 2_000
-#: The sum of the weights, and so the length of a round.
-ROUND_SLOTS = 1_000
 #: Rows that the driver gets, one a source.
-MOST_SOURCES = 100_000
+MOST_SOURCES = 1 << 20
 
 
-def round_of(weights: list[int]) -> list[int]:
-    """One round of the schedule: the source of each slot, by earliest deadline among released blocks."""
-    total = sum(weights)
-    coming = [(0, s, 0) for s, w in enumerate(weights) if w]  # release, source, block
-    heapq.heapify(coming)
-    ready: list[tuple[int, int, int]] = []
+def windows_of(blocks: list[int], weights: list[int]) -> list[tuple[list[int], list[int]]]:
+    """Releases and deadlines of every source's blocks."""
+    ends = sorted((Fraction(n, w), n, w) for n, w in zip(blocks, weights, strict=True))
+    when = [e[0] for e in ends]
+    done = [0, *accumulate(e[1] for e in ends)]
+    live = [sum(weights), *(sum(weights) - x for x in accumulate(e[2] for e in ends))]
     out = []
-    for slot in range(total):
-        while coming and coming[0][0] <= slot:
-            _, s, j = heapq.heappop(coming)
-            heapq.heappush(ready, (-(-(j + 1) * total // weights[s]), s, j))
-        _, s, j = heapq.heappop(ready)
-        out.append(s)
-        if j + 1 < weights[s]:
-            heapq.heappush(coming, ((j + 1) * total // weights[s], s, j + 1))
-    return out
-
-
-def phases_of(blocks: list[int], weights: list[int]) -> list[tuple[int, int, int, int, int, list[int]]]:
-    """(source, first block, blocks, first slot, round length, slots within a round) for each source and phase."""
-    left, done, base, out = list(blocks), [0] * len(blocks), 0, []
-    while any(left):
-        live = [s for s, n in enumerate(left) if n]
-        common = gcd(*[weights[s] for s in live])
-        own = [weights[s] // common for s in live]
-        length = sum(own)
-        slots: list[list[int]] = [[] for _ in live]
-        for slot, at in enumerate(round_of(own)):
-            slots[at].append(slot)
-        # the phase ends with the slot of the first last block
-        end = min((left[s] - 1) // w * length + mine[(left[s] - 1) % w] for s, w, mine in zip(live, own, slots, strict=True)) + 1
-        for s, w, mine in zip(live, own, slots, strict=True):
-            n = end // length * w + sum(x < end % length for x in mine)
-            if n:
-                out.append((s, done[s], n, base, length, mine))
-            done[s] += n
-            left[s] -= n
-        base += end
+    for n, w in zip(blocks, weights, strict=True):
+        release, deadline, at = [], [], 0
+        for j in range(n + 1):
+            # sources that end by the virtual time j/w; real time is continuous there, so either side of an end will do
+            at = bisect_right(when, Fraction(j, w), at)
+            real, rest = divmod(j * live[at], w)
+            if j < n:
+                release.append(done[at] + real)
+            if j:
+                deadline.append(done[at] + real + (rest > 0))
+        out.append((release, deadline))
     return out
 
 
-def integer_weights(weights: list[float], total: int = ROUND_SLOTS) -> list[int]:
-    """Whole weights, each 1 at least, in proportion and with about this sum."""
-    whole = sum(weights)
-    return [max(1, round(w * total / whole)) for w in weights] if whole > 0 else [1] * len(weights)
+def schedule(blocks: list[int], weights: list[int]) -> list[tuple[list[int], list[int], list[int]]]:
+    """Slots, releases and deadlines of every source's blocks, by earliest deadline among released blocks."""
+    windows = windows_of(blocks, weights)
+    coming = [(release[0], s) for s, (release, _) in enumerate(windows) if release]
+    heapq.heapify(coming)
+    ready: list[tuple[int, int]] = []  # deadline, source
+    slots: list[list[int]] = [[] for _ in blocks]
+    for slot in range(sum(blocks)):
+        while coming and coming[0][0] <= slot:
+            _, s = heapq.heappop(coming)
+            heapq.heappush(ready, (windows[s][1][len(slots[s])], s))
+        _, s = heapq.heappop(ready)
+        slots[s].append(slot)
+        if len(slots[s]) < blocks[s]:
+            heapq.heappush(coming, (windows[s][0][len(slots[s])], s))
+    return [(own, release, deadline) for own, (release, deadline) in zip(slots, windows, strict=True)]
 
 
 def mix(
@@ -96,19 +94,22 @@ def mix(
     block_size: int = BLOCK_BYTES,
     seed: int = 42,
 ) -> DataFrame:
-    """Columns `keep` with slot, block_no, release, deadline (slots) and block_offset. Read in order of slot, block_offset.
+    """Columns `keep` with weight, slot, block_no, release, deadline (slots) and block_offset. Read in order of slot, block_offset.
 
     Without weights a source's weight is the square root of its size, which favours small sources.
     """
+    # rows without a doc_id are told apart by their place, so that many of them don't meet in one range
+    spread = F.when(docs[doc_id].isNull(), F.xxhash64(F.monotonically_increasing_id(), F.lit(seed))).otherwise(F.xxhash64(docs[doc_id], F.lit(seed)))
     rows = docs.select(
         *[docs[c] for c in dict.fromkeys([*keep, source, doc_id])],
         F.coalesce(F.concat(F.lit("="), docs[source].cast("string")), F.lit("")).alias("__source"),
         F.coalesce(size.cast("long"), F.lit(0)).alias("__size"),
-        F.xxhash64(docs[doc_id], F.lit(seed)).alias("__hash"),
+        spread.alias("__hash"),
     )
     totals = rows.groupBy("__source").agg(F.sum("__size").alias("size"), F.count("*").alias("rows")).orderBy("__source").limit(MOST_SOURCES + 1).collect()
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
+    block_size = max(block_size, sum(r["size"] for r in totals) // MOST_BLOCKS + 1)
     ranges = max(1, -(-max([0, *(r["rows"] for r in totals)]) // RANGE_ROWS))
     of_range = F.shiftrightunsigned((F.shiftright("__hash", 32) + F.lit(1 << 31)) * F.lit(ranges), 32).cast("int")
     rows = rows.withColumn("__range", of_range)
@@ -123,26 +124,19 @@ def mix(
 
     blocks = [r["size"] // block_size + 1 for r in totals]
     if weights is None:
-        whole = integer_weights([float(isqrt(r["size"])) for r in totals])
+        whole = [max(1, isqrt(r["size"])) for r in totals]
     else:
+        if any(isinstance(v, bool) or int(v) != v or v < 1 for v in weights.values()):
+            raise ValueError("weights are whole numbers of 1 or more")
         by_key = {"" if k is None else f"={k}": int(v) for k, v in weights.items()}
         whole = [by_key.get(r["__source"], 1) for r in totals]
-    plan = [(totals[s]["__source"], first, n, base, length, slots, whole[s]) for s, first, n, base, length, slots in phases_of(blocks, whole)]
-    schema = T.StructType(
-        [
-            T.StructField("__source", T.StringType()),
-            *[T.StructField(c, T.LongType()) for c in ("__first", "__n", "__base", "__length")],
-            T.StructField("__slots", T.ArrayType(T.IntegerType())),
-            T.StructField("weight", T.IntegerType()),
-        ]
-    )
-    rounds = docs.sparkSession.createDataFrame(plan, schema)  # at most ROUND_SLOTS numbers a phase
-    found = placed.join(F.broadcast(rounds), "__source").where((F.col("block_no") >= F.col("__first")) & (F.col("block_no") < F.col("__first") + F.col("__n")))
-    nth, share = F.col("block_no") - F.col("__first"), F.size("__slots").cast("long")
-    slot = F.col("__base") + F.expr("(block_no - __first) div size(__slots)") * F.col("__length") + F.get("__slots", (nth % share).cast("int"))
-    release = F.col("__base") + F.expr("((block_no - __first) * __length) div size(__slots)")
-    deadline = F.col("__base") + F.expr("((block_no - __first + 1) * __length + size(__slots) - 1) div size(__slots)")
-    return found.select(*keep, "weight", "block_no", "block_offset", slot.alias("slot"), release.alias("release"), deadline.alias("deadline"))
+    plan = [(r["__source"], w, *windows) for r, w, windows in zip(totals, whole, schedule(blocks, whole), strict=True)]
+    places = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("__slots", "__releases", "__deadlines")]
+    schema = T.StructType([T.StructField("__source", T.StringType()), T.StructField("weight", T.LongType()), *places])
+    found = placed.join(F.broadcast(docs.sparkSession.createDataFrame(plan, schema)), "__source")  # one row a source, three numbers a block
+    at = F.col("block_no").cast("int")
+    named = [F.get(f"__{c}s", at).alias(c) for c in ("slot", "release", "deadline")]
+    return found.select(*keep, "weight", "block_no", "block_offset", *named)
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
