@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is made only where the session names none."""
+    """The folder in spark.checkpoint.dir or of setCheckpointDir(). A local one is made only where all runs in one process;
+    on a cluster, where executors don't share it, a session without one is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     kept = spark.sparkContext._jsc.sc().getCheckpointDir()
     if kept.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
     return kept.get().rstrip("/")
@@ -26,6 +29,11 @@ def _path(spark: SparkSession, name: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def folder_exists(spark: SparkSession, name: str) -> bool:
+    where, files = _path(spark, name)
+    return files.exists(where)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder as a table and read again.
 
