@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citeloom.operators.graph import cut_lineage
@@ -13,6 +14,9 @@ from citeloom.operators.graph import cut_lineage
 #: Rows of one Arrow batch are handed on in slices of about this many bytes, so that Python objects stay bounded.
 SLICE_BYTES = 8 << 20
 
+#: Keys that a spread join broadcasts, at most.
+HOT_KEYS = 1024
+
 #: Lower-cases A-Z and turns every other ASCII byte that isn't a digit or a-z into a space; bytes of other characters stay.
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -41,6 +45,20 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """rows left-joined with lookup, which has one row a key at most.
+
+    A key of one part in HOT_KEYS of all rows or more is joined by a broadcast, and there are HOT_KEYS of them at most; the
+    others by a shuffle. So no task gets all rows of a key, and what is broadcast has a bound.
+    """
+    total = rows.count()
+    often = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") * HOT_KEYS >= total)
+    hot = checkpointed(lookup.join(F.broadcast(often.select(key)), key, "left_semi"))
+    rest = lookup.join(F.broadcast(hot.select(key)), key, "left_anti")
+    near = rows.join(F.broadcast(hot), key)
+    return near.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, "left"))
+
+
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     rows = batch.num_rows
     step = max(1, int(rows * most / max(most, batch.nbytes)))

@@ -1,8 +1,10 @@
 """Secret scans over an incremental ledger of content-addressed texts, in DataFrame functions only.
 
 Every version of every path has a blob, named by the SHA-256 of its text. The ledger holds the pairs (blob, rule_version)
-that were scanned, with their findings. A scan takes one text per distinct blob, leaves out the pairs that the ledger has,
-searches the others, and joins the findings of old and new blobs back to all paths.
+that were scanned, with their findings, clean blobs included. A scan takes one text per distinct blob, leaves out the pairs
+that the ledger has, searches the others, appends them to the ledger, and joins the ledger's findings back to all paths. The
+ledger is a table in a folder: a later scan of more versions reads it and searches new blobs only, and a new rule version
+searches all again. Without a folder of its own a scan keeps its ledger in the shared folder.
 
 A rule is a pattern, the group whose length counts, and the least length. Matches are leftmost and do not overlap within a
 rule, and a match that is too short is dropped after it has been taken. The text between the matches (`split`) and the
@@ -14,12 +16,16 @@ stays null; empty tables give no rows; other columns are ignored; spans of two r
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from citeloom.operators.graph import folder_exists, shared_folder
+
+from .common import checkpointed, spread_join, table
 
 
 @dataclass(frozen=True)
@@ -43,13 +49,21 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 RULE_VERSION = "2024-1"
+#: Matches of a text whose spans are gathered together.
+PIECE = 256
 #: Rows of a broadcast, at most; beyond it the texts are shuffled.
 SKIPPED_ROWS = 500_000
 
+LEDGER = "blob string, rule_version string, spans array<struct<start:int,rank:int,end:int>>"
 SPAN = "struct<start:int,rank:int,end:int>"
 NO_SPANS = f"cast(array() as array<{SPAN}>)"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(text: Column, rule: Rule, rank: int) -> Column:
     """array<struct<start,rank,end>> of one rule."""
     pattern = F.lit(rule.pattern)
@@ -62,7 +76,6 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
         ),
         lambda before, match: F.struct(F.length(before).alias("before"), match.length.alias("length"), match.value.alias("value")),
     )  # the piece after the last match has no match
-    start = F.struct(F.lit(0).alias("at"), F.expr(NO_SPANS).alias("found"))
 
     def step(state: Column, part: Column) -> Column:
         begin = state.at + part.before
@@ -71,18 +84,20 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
         found = F.when(part.value >= rule.least, F.concat(state.found, F.array(span))).otherwise(state.found)
         return F.struct(end.alias("at"), found.alias("found"))
 
-    spans = F.aggregate(parts, start, step, lambda state: state.found)
-    return F.when(text.rlike(rule.pattern), spans).otherwise(F.expr(NO_SPANS))
+    def within(piece: Column, offset: Column) -> Column:
+        start = F.struct(offset.alias("at"), F.expr(NO_SPANS).alias("found"))
+        return F.aggregate(piece, start, step, lambda state: state.found)
 
+    def offsets(pieces: Column) -> Column:
+        sizes = F.transform(pieces, lambda piece: F.aggregate(piece, F.lit(0), lambda n, part: n + part.before + F.coalesce(part.length, F.lit(0))))
+        start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("all"))
+        more = lambda state, n: F.struct((state.at + n).alias("at"), F.concat(state.all, F.array(state.at)).alias("all"))
+        return F.aggregate(sizes, start, more, lambda state: state.all)
 
-def scan_texts(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(blob, text) -> (blob, spans) for blobs with a finding; spans are ordered by start, then rule."""
-    text = F.col("text")
-    likely = F.lit(False)
-    for rule in rules:
-        likely = likely | text.rlike(rule.pattern)
-    found = F.array_sort(F.concat(*[_spans(text, rule, rank) for rank, rule in enumerate(rules)]))
-    return blobs.where(likely).select("blob", found.alias("spans")).where(F.size("spans") > 0).dropDuplicates(["blob"])
+    # an array that grows is copied with each match, so the parts go in pieces; the array of pieces is short
+    cut = lambda parts: F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / PIECE).cast("int")), lambda k: F.slice(parts, k * PIECE + 1, F.lit(PIECE)))
+    spans = _let(parts, lambda parts: _let(cut(parts), lambda pieces: F.flatten(F.zip_with(pieces, offsets(pieces), within))))
+    return F.when(text.rlike(rule.pattern), spans).otherwise(F.expr(NO_SPANS))
 
 
 def blob_of(text: Column) -> Column:
@@ -97,16 +112,18 @@ def unseen_texts(
     Which rows to leave out is found without their texts. Up to SKIPPED_ROWS of them are broadcast, and no text moves;
     beyond that the texts are joined by a shuffle. Equal rows may both be scanned.
     """
-    named = versions.select(versions[path].alias("path"), blob_of(versions[text]).alias("blob"))
-    first = named.groupBy("blob").agg(F.min("path").alias("first"))
+    named = checkpointed(versions.select(versions[path].alias("path"), blob_of(versions[text]).alias("blob")))
+    first = named.groupBy("blob").agg(F.min("path").alias("first"), F.count("*").alias("copies"))
     if ledger is not None:
         seen = ledger.where(F.col("rule_version") == rule_version).select("blob", F.lit(True).alias("seen")).distinct()
         first = first.join(seen, "blob", "left")
     else:
-        first = first.withColumn("seen", F.lit(False))
+        first = first.withColumn("seen", F.lit(None).cast("boolean"))
     part = F.conv(F.substring("blob", 1, 15), 16, 10).cast("long").alias("part")
-    skip = named.join(first, "blob").where(F.col("seen") | ~F.col("path").eqNullSafe(F.col("first"))).select("path", part).distinct()
-    skip = checkpointed(skip)
+    known = spread_join(named, checkpointed(first.where("copies > 1 or seen").drop("copies")), "blob")
+    # a blob that is neither repeated nor seen has no row in the lookup
+    other = F.col("seen") | (F.col("first").isNotNull() & ~F.col("path").eqNullSafe(F.col("first")))
+    skip = checkpointed(known.where(other).select("path", part).distinct())
     if skip.count() <= SKIPPED_ROWS:
         skip = F.broadcast(skip)
     rows = versions.select(versions[path].alias("path"), F.coalesce(versions[text], F.lit("")).alias("text"))
@@ -124,18 +141,42 @@ def scan_ledger(
     rules: tuple[Rule, ...] = RULES,
     rule_version: str = RULE_VERSION,
 ) -> DataFrame:
-    """New rows of the ledger: (blob, rule_version, spans), also for blobs without a finding, so none is scanned twice."""
+    """New rows of the ledger: (blob, rule_version, spans), also for blobs without a finding, so none is scanned twice.
+
+    Spans are ordered by start, then rule.
+    """
     blobs = unseen_texts(versions, ledger, path=path, text=text, rule_version=rule_version)
     value = F.col("text")
+    likely = F.lit(False)
+    for rule in rules:
+        likely = likely | value.rlike(rule.pattern)
     found = F.array_sort(F.concat(*[_spans(value, rule, rank) for rank, rule in enumerate(rules)]))
-    return blobs.select("blob", F.lit(rule_version).alias("rule_version"), found.alias("spans")).dropDuplicates(["blob"])
+    spans = F.when(likely, found).otherwise(F.expr(NO_SPANS))
+    return blobs.select("blob", F.lit(rule_version).alias("rule_version"), spans.alias("spans")).dropDuplicates(["blob"])
+
+
+def scanned(versions: DataFrame, folder: str | None = None, **more) -> DataFrame:
+    """The ledger in the folder after all blobs of the versions were scanned that it lacked. A new folder has no ledger yet."""
+    spark = versions.sparkSession
+    folder = folder or f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    ledger = spark.read.schema(LEDGER).parquet(folder) if folder_exists(spark, folder) else None
+    scan_ledger(versions, ledger, **more).write.mode("append").parquet(folder)
+    return spark.read.schema(LEDGER).parquet(folder)
 
 
 def findings_of(versions: DataFrame, ledger: DataFrame, *, keep: list[str], text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
     """Columns `keep` of every version with blob and spans from the ledger."""
-    named = versions.select(*[versions[c] for c in keep], blob_of(versions[text]).alias("blob"))
-    known = ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
-    return named.join(known, "blob", "left").withColumn("spans", F.coalesce("spans", F.expr(NO_SPANS)))
+    named = checkpointed(versions.select(*[versions[c] for c in keep], blob_of(versions[text]).alias("blob")))
+    return _with_spans(named, ledger, rule_version).withColumn("spans", F.coalesce("spans", F.expr(NO_SPANS)))
+
+
+def _with_spans(named: DataFrame, ledger: DataFrame, rule_version: str) -> DataFrame:
+    """Rows with a blob, with its spans from the ledger, or null without any."""
+    known = checkpointed(ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans").dropDuplicates(["blob"]))
+    n, spans = known.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
+    if n + spans <= SKIPPED_ROWS:
+        return named.join(F.broadcast(known), "blob", "left")
+    return spread_join(named, known, "blob")
 
 
 def as_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -158,26 +199,23 @@ def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     return F.aggregate(spans, start, step, lambda state: F.concat(state.out, F.substring(text, state.at + 1, end)))
 
 
-def redact(docs: DataFrame, *, path: str = "doc_id", text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
-    """docs with secrets masked; columns stay as they are. Only texts with findings change."""
-    new = scan_texts(unseen_texts(docs, ledger, path=path, text=text))
-    known = new if ledger is None else new.unionByName(ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans"))
-    known = checkpointed(known.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
-    n, spans = known.agg(F.count("*"), F.coalesce(F.sum(F.size("__spans")), F.lit(0))).first()
-    if n + spans <= SKIPPED_ROWS:
-        known = F.broadcast(known)
-    joined = docs.withColumn("__blob", blob_of(docs[text])).join(known, "__blob", "left")
-    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col("__spans")))
-    return joined.withColumn(text, clean).select(*docs.columns)
+def redact(docs: DataFrame, *, path: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
+    """docs with secrets masked; columns stay as they are. Only texts with findings change. The folder is the ledger's."""
+    names = docs.columns
+    plain = docs.toDF(*[f"__{k}" for k in range(len(names))])
+    own_path, own = (f"__{names.index(c)}" for c in (path, text))
+    ledger = scanned(plain, folder, path=own_path, text=own)
+    joined = _with_spans(plain.withColumn("blob", blob_of(F.col(own))), ledger, RULE_VERSION)
+    clean = F.when(F.col("spans").isNull(), F.col(own)).otherwise(redacted(F.col(own), F.col("spans")))
+    return joined.withColumn(own, clean).select(*plain.columns).toDF(*names)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    found = scan_texts(unseen_texts(documents, None)).withColumn("rule_version", F.lit(RULE_VERSION))
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["rank"] < len(BASE_RULES))
     count = lambda rank: F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
-    return findings_of(documents, found, keep=["doc_id"]).select(
+    return findings_of(documents, scanned(documents), keep=["doc_id"]).select(
         "doc_id",
         *[count(rank).alias(f"n_{rule.kind}") for rank, rule in enumerate(BASE_RULES)],
         F.sha2(as_text(base), 256).alias("base_sha256"),

@@ -29,10 +29,9 @@ def texts():
     return ["".join(r.choices(pieces, k=r.randrange(0, 25))) for _ in range(400)]
 
 
-def scanned(spark, rows, ledger=None, extra=False):
+def scanned(spark, rows, extra=False):
     docs = documents(spark, rows, extra=extra)
-    found = sc.scan_texts(sc.unseen_texts(docs, ledger)).withColumn("rule_version", F.lit(sc.RULE_VERSION))
-    return sc.findings_of(docs, found, keep=["doc_id"])
+    return sc.findings_of(docs, sc.scanned(docs), keep=["doc_id"])
 
 
 def test_against_brute_force(spark):
@@ -67,6 +66,33 @@ def test_ledger_scans_each_blob_once(spark):
     assert found == {3: 2, 4: 2, 5: 0}  # an assignment and a run of hexadecimal digits each
 
 
+def test_kept_ledger(spark, tmp_path):
+    """A second scan of the same versions reads the ledger and scans nothing; clean blobs are in it; new rules scan all."""
+    folder = str(tmp_path / "ledger")
+    rows = [(1, "secret=aaaaaaaaaaaaaaaa"), (2, "clean"), (3, "clean"), (4, None), (5, "token: bbbbbbbbbbbbbbbb")]
+    docs = documents(spark, rows, extra=True)
+    first = {(r.blob, r.rule_version, len(r.spans)) for r in sc.scanned(docs, folder).collect()}
+    assert len(first) == 4 and sorted(n for _, _, n in first) == [0, 0, 2, 2]
+    assert sc.scan_ledger(docs, spark.read.parquet(folder)).collect() == []
+    again = sc.scanned(docs, folder)
+    assert again.count() == 4 and {(r.blob, r.rule_version, len(r.spans)) for r in again.collect()} == first
+    more = sc.scanned(documents(spark, [*rows, (9, "new token=cccccccccccccccc")]), folder)
+    assert more.count() == 5
+    assert sc.scanned(docs, folder, rule_version="other").count() == 9
+    found = {r.doc_id: len(r.spans) for r in sc.findings_of(docs, spark.read.parquet(folder), keep=["doc_id"]).collect()}
+    assert found == {1: 2, 2: 0, 3: 0, 4: 0, 5: 2}
+
+
+def test_very_many_matches_and_copies(spark, monkeypatch):
+    """More matches in a text than are gathered together; and a blob of most rows, joined without a broadcast of all."""
+    monkeypatch.setattr(sc, "SKIPPED_ROWS", 0)
+    long = " ".join(f"x token=abcdefghijkl{k % 10} é" for k in range(sc.PIECE * 3 + 5))
+    common = "0123456789abcdef"
+    rows = [(1, long), *((k, common) for k in range(2, 400)), *((k, f"secret={k:016}") for k in range(400, 420))]
+    found = {r.doc_id: [(s.start, s["rank"], s.end) for s in r.spans] for r in scanned(spark, rows).collect()}
+    assert found == {i: brute(text) for i, text in rows}
+
+
 def test_redaction(spark, monkeypatch):
     rows = [(1, "a secret=abcdefghijklmnop b 0123456789abcdef"), (2, "clean"), (3, None), (4, "token=0123456789abcdef01"), (4, "token=0123456789abcdef01")]
     docs = documents(spark, rows, extra=True)
