@@ -102,3 +102,23 @@ CATEGORY_HEADINGS = {
     "fmri_graph_classical": "Classical graph analysis",
 }
 SOURCE_GROUPS = {"doi": "DOI", "arxiv": "arXiv", "pubmed": "PubMed or PMC", "other": "Other stable source", "pending": "Source link pending"}
+
+# Identifiers with the addresses of their pages (name, pattern, address before and behind), in order.
+IDENTIFIER_PATTERN = r"[A-Za-z0-9._/;()-]+"
+SOURCE_LINKS = (
+    ("DOI", IDENTIFIER_PATTERN, "https://doi.org/", ""),
+    ("arXiv", IDENTIFIER_PATTERN, "https://arxiv.org/abs/", ""),
+    ("PMC", "[0-9]+", "https://pmc.ncbi.nlm.nih.gov/articles/PMC", "/"),
+    ("PubMed", "[0-9]+", "https://pubmed.ncbi.nlm.nih.gov/", "/"),
+)
+
+# Hosts whose pages an identifier leads to.
+SOURCE_HOSTS = {
+    "doi.org": "DOI",
+    "dx.doi.org": "DOI",
+    "arxiv.org": "arXiv",
+    "www.arxiv.org": "arXiv",
+    "ncbi.nlm.nih.gov": "PMC",
+    "www.ncbi.nlm.nih.gov": "PMC",
+    "pmc.ncbi.nlm.nih.gov": "PMC",
+}

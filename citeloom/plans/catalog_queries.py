@@ -77,7 +77,8 @@ def first_links(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("paper_id"), link.alias("link"))
 
 
-@query()
+@query("""SELECT page_id, '[DOI](https://doi.org/10.1/' || page_id || ')' || CASE WHEN page_id % 2 = 0 THEN ' [PubMed](https://pubmed.ncbi.nlm.nih.gov/' || page_id || '/)' ELSE '' END
+  || CASE WHEN NOT contains(url, '?') AND NOT contains(url, '#') THEN ' [Source: ' || split_part(url, '/', 3) || '](' || url || ')' ELSE '' END AS links FROM pages""")
 def source_links(spark, sf_dir):
     none = F.lit(None).cast("string")
     pages = table(spark, sf_dir, "pages")
@@ -85,12 +86,12 @@ def source_links(spark, sf_dir):
     return pages.select("page_id", F.array_join(links, " ").alias("links"))
 
 
-@query()
+@query(f"WITH {_P} SELECT paper_id, '- ' || title || ' — ' || replace(venue, '#', '#') || '. [DOI](https://doi.org/10.1/' || paper_id || ')' AS line FROM p")
 def catalog_lines(spark, sf_dir):
     none = F.lit(None).cast("string")
     papers = _papers(spark, sf_dir)
     links = D.source_links(F.concat(F.lit("doi:10.1/"), "paper_id"), none, none, none, none, none)
-    return papers.select("paper_id", K.paper_line(D.literal_markdown("title"), D.literal_markdown("venue"), links).alias("line"))
+    return papers.select("paper_id", K.paper_line(D.literal_markdown(F.col("title")), D.literal_markdown(F.col("venue")), links).alias("line"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'references' WHEN doc_id % 3 = 1 THEN 'Results > References' ELSE 'References > Notes' END AS heading, doc_id % 3 < 2 AS back FROM documents")

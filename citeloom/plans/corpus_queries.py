@@ -91,14 +91,32 @@ def document_lines(spark, sf_dir):
     return R.read_lines(table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "document_id"))
 
 
-@query()
+_PAGE_TEXT = r"""
+m AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style)[^>]*>.*?</(script|style)>', '', 'gs'), '\s+', ' ', 'g') || '<' AS h FROM pages),
+n AS (SELECT page_id, regexp_replace(h, '> *([^< ](?:[^<]*[^< ])?) *<', '>\1 <', 'g') AS h FROM m),
+b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '<$', ''), '<h1[^>]*>', E'\n\n# ', 'g'), '<(p|div|section|article|li|tr)( [^>]*)?>|</(p|li|h1)>', E'\n', 'g'), '<[^>]*>', '', 'g') AS h FROM n),
+e AS (SELECT page_id, replace(replace(replace(replace(h, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS h FROM b),
+md AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(h, '[ \t]+\n', E'\n', 'g'), '\n{3,}', E'\n\n', 'g'), '^\s+|\s+$', '', 'g') AS text FROM e)"""
+
+
+@query(rf"""
+WITH RECURSIVE {_PAGE_TEXT},
+l AS (SELECT page_id, CAST(i AS INT) AS line_no, lines[i] AS line, regexp_matches(trim(lines[i]), '^#{{1,6}}\s+') AS head FROM (SELECT page_id, string_split(text, chr(10)) AS lines FROM md WHERE text <> ''), unnest(range(1, len(lines) + 1)) AS t(i)),
+s AS (SELECT *, count(*) FILTER (head) OVER (PARTITION BY page_id ORDER BY line_no) AS part FROM l),
+k AS (SELECT *, row_number() OVER (PARTITION BY page_id, part ORDER BY line_no) AS r, len(line) + 1 AS cost FROM s),
+p AS (SELECT page_id, part, r, line_no, line, cost AS size, 0 AS piece FROM k WHERE r = 1
+  UNION ALL SELECT k.page_id, k.part, k.r, k.line_no, k.line, CASE WHEN p.size + k.cost > 4500 THEN k.cost ELSE p.size + k.cost END, CASE WHEN p.size + k.cost > 4500 THEN p.piece + 1 ELSE p.piece END
+    FROM p JOIN k ON k.page_id = p.page_id AND k.part = p.part AND k.r = p.r + 1),
+c AS (SELECT page_id, part, piece, min(line_no) AS line_start, max(line_no) AS line_end, regexp_replace(string_agg(line, chr(10) ORDER BY line_no), '^\s+|\s+$', '', 'g') AS body FROM p GROUP BY ALL)
+SELECT c.page_id AS document_id, CAST(row_number() OVER (PARTITION BY c.page_id ORDER BY c.line_start) - 1 AS INT) AS chunk_no, coalesce(regexp_replace(regexp_replace(trim(h.line), '^#{{1,6}}\s+', ''), '\s*#*$', ''), 'Document') AS heading, c.line_start, c.line_end, sha256(c.body) AS sha256
+FROM c LEFT JOIN s AS h ON h.page_id = c.page_id AND h.part = c.part AND h.head AND c.part > 0 WHERE c.body <> ''""")
 def chunks(spark, sf_dir):
     """Pages as Markdown, in chunks by heading and size."""
     docs = table(spark, sf_dir, "pages").select(F.col("page_id").alias("document_id"), D.html_to_markdown("html").alias("text"))
     return R.chunked(docs).select("document_id", "chunk_no", "heading", "line_start", "line_end", F.sha2("text", 256).alias("sha256"))
 
 
-@query()
+@query(f"WITH {_PAGE_TEXT} SELECT page_id, text FROM md")
 def html_to_markdown(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", D.html_to_markdown("html").alias("text"))
 

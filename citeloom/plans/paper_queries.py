@@ -192,7 +192,7 @@ def title_matches(spark, sf_dir):
     return pairs.agg(F.count_if(P.titles_match(pairs, "a", "b")).alias("matches"), F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH {_TITLES} SELECT paper_id, trim(regexp_replace(regexp_replace(strip_accents(lower(title)), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), '\\s+', ' ', 'g')) AS key FROM t")
 def loose_titles(spark, sf_dir):
     return page_titles(spark, sf_dir).select("paper_id", D.normalize_loosely("title").alias("key"))
 

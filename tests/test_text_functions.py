@@ -99,12 +99,33 @@ def test_chunks():
 def test_html_and_links():
     assert D.readable("<h1>A <b>b</b></h1><script>x</script><p>one</p><p>two &amp; three</p><h4>d</h4>") == "# A# b\n\none\n\ntwo & three\nd"
     assert "script" not in D.readable("<script>script</script><p>x</p>")
-    assert D.links_of("doi:10.48550/arXiv.2301.1", None, None, "PMC12", "34", "https://arxiv.org/x") == [
-        "[DOI](https://doi.org/10.48550/arXiv.2301.1)", "[arXiv](https://arxiv.org/abs/2301.1)", "[PMC](https://pmc.ncbi.nlm.nih.gov/articles/PMC12/)", "[PubMed](https://pubmed.ncbi.nlm.nih.gov/34/)",
+    assert D.readable("<h2 title='a>b'>T</h2><svg><p>no<svg/></svg>yes<br/>too<!-- <p> --><math>x</math> 1 < 2<style>p{}</style>") == "## T\n\nyes too 1 < 2"
+    assert D.readable(None) == D.readable("<script>never closed <p>x") == ""
+
+
+def test_links_and_literals(spark):
+    rows = [
+        ("doi:10.48550/arXiv.2301.1", None, None, "PMC12", "34", "https://arxiv.org/x"),
+        ("x", None, None, None, None, "https://a.org/p q.pdf"),
+        ("x", "bad doi", None, None, None, "https://u:p@a.org/"),
+        ("x", None, None, None, None, "https://a.org/?k=1"),
+        ("arXiv:2301.7", "https://doi.org/10.1/a(b);c", None, "12x", "3a", "HTTP://Doi.org:80/ü/a%20b+c*?"),
+        ("arXiv:2301.7", " ", None, None, None, "http://B.org:80/ü/a%20b+c*?"),
+        (None, None, None, None, None, None),
+    ]
+    names = "paper_id string, doi string, arxiv string, pmc string, pubmed string, url string"
+    got = [r[0] for r in values(spark, rows, names, D.source_links(*map(F.col, ("paper_id", "doi", "arxiv", "pmc", "pubmed", "url"))))]
+    assert got == [
+        ["[DOI](https://doi.org/10.48550/arXiv.2301.1)", "[arXiv](https://arxiv.org/abs/2301.1)", "[PMC](https://pmc.ncbi.nlm.nih.gov/articles/PMC12/)", "[PubMed](https://pubmed.ncbi.nlm.nih.gov/34/)"],
+        ["[Source: a.org](https://a.org/p%20q.pdf)"],
+        [],
+        [],
+        ["[DOI](https://doi.org/10.1/a%28b%29%3Bc)", "[arXiv](https://arxiv.org/abs/2301.7)"],
+        ["[arXiv](https://arxiv.org/abs/2301.7)", "[Source: b.org](http://B.org:80/%C3%BC/a%20b+c%2A)"],
+        [],
     ]
-    assert D.links_of("x", None, None, None, None, "https://a.org/p q.pdf") == ["[Source: a.org](https://a.org/p%20q.pdf)"]
-    assert D.links_of("x", "bad doi", None, None, None, "https://u:p@a.org/") == [] == D.links_of("x", None, None, None, None, "https://a.org/?k=1")
-    assert D.literal("<i>A</i>  *b* &lt;c_d&gt;") == "A \\*b\\* &lt;c\\_d&gt;"
+    texts = [("<i>A</i>  *b* &lt;c_d&gt;",), (None,), ("a < b\u2003[x]`\\ &amp;amp; ",)]
+    assert [r[0] for r in values(spark, texts, "t string", D.literal_markdown(F.col("t")))] == ["A \\*b\\* &lt;c\\_d&gt;", "", "a &lt; b \\[x\\]\\`\\\\ &amp;"]
 
 
 @pytest.mark.parametrize("seed", range(3))
