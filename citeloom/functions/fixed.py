@@ -122,3 +122,10 @@ SOURCE_HOSTS = {
     "www.ncbi.nlm.nih.gov": "PMC",
     "pmc.ncbi.nlm.nih.gov": "PMC",
 }
+
+# File names of source groups, and names of the venue groups that aren't letters.
+SOURCE_PAGES = {"doi": "doi", "arxiv": "arxiv", "pubmed": "pubmed-pmc", "other": "other", "pending": "pending"}
+VENUE_GROUPS = {"0-9": "0–9 / symbols", "other": "Other", "unknown": "Unknown"}
+
+# Columns of released nodes.
+RELEASE_COLUMNS = ("paper_id", "title", "year", "venue", "category", "doi", "arxiv", "pubmed", "pmc", "citation_count")

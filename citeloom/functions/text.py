@@ -229,6 +229,17 @@ def source_group(doi: Column, arxiv: Column, pubmed: Column, pmc: Column, other:
     )
 
 
+def links_group(links: Column) -> Column:
+    """The source group of a paper's links: that of the best one."""
+    first = lambda *names: F.exists(links, lambda x: x.rlike(r"^\[(" + "|".join(names) + r")\]"))
+    return F.when(first("DOI"), "doi").when(first("arXiv"), "arxiv").when(first("PubMed", "PMC"), "pubmed").when(F.size(links) > 0, "other").otherwise("pending")
+
+
+def arxiv_number(c: Column) -> Column:
+    """An arXiv number without its prefix."""
+    return F.regexp_replace(F.trim(c), "^(arXiv:)?(arxiv:)?", "")
+
+
 def safe_url(c: Column) -> Column:
     """http(s) addresses of plain hosts, without user, password, query or fragment."""
     return F.when(c.rlike(r"^https?://[A-Za-z0-9.-]+(:[0-9]+)?(/[^?#]*)?$"), c)

@@ -170,9 +170,18 @@ def normalized_answers(rows: DataFrame) -> DataFrame:
     )
 
 
-def numbered_batches(df: DataFrame, order: list[Column], size: int) -> DataFrame:
+def audit_batches(log: DataFrame, *, sample: int = 100, size: int = 50, seed: int = 0) -> DataFrame:
+    """(paper_id, category, batch) of a sample of labelled papers, with the label of their last row. The seed fixes the sample."""
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col("paper_id").cast("string"))), F.col("paper_id")]
+    drawn = last_labels(log).select("paper_id", "category").orderBy(*order).limit(sample)
+    return numbered_batches(drawn, order, size).select("paper_id", "category", F.col("batch").cast("int").alias("batch"))
+
+
+def numbered_batches(df: DataFrame, order: list[Column], size: int, start: int = 0) -> DataFrame:
     """df with batch and place: consecutive numbers in an order, without sorting everything in one task.
 
+    `start` is the number of the first batch, for batches that continue others.
+
     Rows are range-partitioned and numbered within their partition; partition sizes, one row each, give the offsets.
     """
     if size < 1:
@@ -186,4 +195,4 @@ def numbered_batches(df: DataFrame, order: list[Column], size: int) -> DataFrame
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     place = F.col("__before") + F.col("__at") - 1
-    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, F.expr(f"(__before + __at - 1) div {size}").alias("batch"), place.alias("place"))
+    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, (F.expr(f"(__before + __at - 1) div {size}") + start).alias("batch"), place.alias("place"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog_queries, corpus_queries, graph_queries, label_queries, paper_queries  # noqa: F401  they register themselves
+from . import catalog_queries, corpus_queries, graph_queries, label_queries, paper_queries, workflow_queries  # noqa: F401  they register themselves
 from .registry import QUERIES, SQL, Query
 
 
