@@ -4,9 +4,10 @@ A rule is a host with a path prefix; it fits the host and its subdomains, and of
 Other urls are judged by multinomial naive Bayes. Their hosts are often words run together, so every host label is split by
 Viterbi over a unigram model; host words and path words are the tokens, and runs of digits are one token.
 
-The unigram model counts all words of all page titles. Of them only those that are a piece of some host label can be looked
-up, so only their counts leave the executors, with the total over all words; no word is left out for its rank. Naive Bayes
-learns from all urls that a rule decides: counts of the hashed tokens (`SLOTS`) of blocked and allowed ones.
+The unigram model counts all words of all page titles, and its total is over all of them. Each different host is split once:
+its labels' pieces meet the word counts in a join, and a label with the counts of its own pieces is a row that Viterbi reads.
+So no vocabulary has to fit the driver or a broadcast, and no word is left out for its rank. Naive Bayes learns from all urls
+that a rule decides: counts of the hashed tokens (`SLOTS`) of blocked and allowed ones.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and no tokens, so the class shares decide;
 without urls of both kinds to learn from, what no rule blocks is allowed; null page ids stay null; repeated rows are judged
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, checkpointed, slices, table
+from .common import arrow_map, checkpointed, slices, spread_join, table
 
 #: Fixed by the contract: verdict, host, path prefix.
 RULES = (
@@ -39,7 +40,6 @@ RULES = (
 )
 LONGEST_WORD = 24
 SLOTS = 1 << 16
-_KEPT_LABELS = 1 << 17
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _HOST = re.compile(r"[^/?#]*")
 _PATH = re.compile(r"[^?#]*")
@@ -75,43 +75,35 @@ class Rules:
                 return best
 
 
-class Segmenter:
-    """Splits run-together words: the likeliest split under the unigram model; unknown pieces cost by their length."""
-
-    def __init__(self, counts: dict[str, int], total: int | None = None) -> None:
-        self.total = (sum(counts.values()) if total is None else total) or 1
-        self.cost = {w: math.log(n / self.total) for w, n in counts.items()}
-        self.known: dict[str, list[str]] = {}
-
-    def unknown(self, length: int) -> float:
-        return math.log(1.0 / self.total) - 2.3 * length
-
-    def split(self, label: str) -> list[str]:
-        found = self.known.get(label)
-        if found is None:
-            found = [w for run in _WORD.findall(label) for w in (["0"] if run[0].isdigit() else self._viterbi(run))]
-            if len(self.known) >= _KEPT_LABELS:
-                self.known.clear()
-            self.known[label] = found
-        return found
-
-    def _viterbi(self, run: str) -> list[str]:
-        n = len(run)
-        best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - LONGEST_WORD), end):
-                piece = run[start:end]
-                cost = best[start] + self.cost.get(piece, self.unknown(end - start))
-                if cost > best[end]:
-                    best[end], back[end] = cost, start
-        out = []
-        while n:
-            out.append(run[back[n] : n])
-            n = back[n]
-        return out[::-1]
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        return [f"h:{w}" for label in host.split(".") for w in self.split(label)] + [f"p:{w.lower() if w.isalpha() else '0'}" for w in _WORD.findall(path)]
+def pieces_of(run: str) -> set[str]:
+    """What a split of a run of letters can hold."""
+    return {run[k : k + n] for k in range(len(run)) for n in range(1, min(LONGEST_WORD, len(run) - k) + 1)}
+
+
+def split_run(run: str, counts: dict[str, int], total: int) -> list[str]:
+    """The likeliest split under the unigram model; unknown pieces cost by their length."""
+    total = max(1, total)
+    n = len(run)
+    best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
+    for end in range(1, n + 1):
+        for start in range(max(0, end - LONGEST_WORD), end):
+            cost = best[start] + cost_of(run[start:end], counts, total)
+            if cost > best[end]:
+                best[end], back[end] = cost, start
+    out = []
+    while n:
+        out.append(run[back[n] : n])
+        n = back[n]
+    return out[::-1]
+
+
+def cost_of(piece: str, counts: dict[str, int], total: int) -> float:
+    n = counts.get(piece)
+    return math.log(n / total) if n else math.log(1.0 / total) - 2.3 * len(piece)
+
+
+def tokens_of(host_words: list[str], path: str) -> list[str]:
+    return [f"h:{w}" for w in host_words] + [f"p:{w.lower() if w.isalpha() else '0'}" for w in _WORD.findall(path)]
 
 
 @dataclass
@@ -136,71 +128,78 @@ def title_words(pages: DataFrame, html: str = "html") -> DataFrame:
     return checkpointed(words.groupBy("word").agg(F.count("*").alias("n")))
 
 
-def unigrams(pages: DataFrame, html: str = "html", most: int | None = None) -> dict[str, int]:
-    """Counts of the words of all titles. With `most`, the most frequent so many at most."""
-    counts = title_words(pages, html)
-    if most is None:
-        return {r["word"]: r["n"] for r in counts.collect()}
-    # how many words have about which count: a few hundred rows say which count the last kept word has
-    level = F.floor(8 * F.log2("n")).cast("int")
-    least, room = 0, most
-    for row in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
-        room -= row["n"]
-        if room < 0:
-            least = row["level"] + 1
-            break
-    return {r["word"]: r["n"] for r in counts.where(level >= least).collect()}
-
-
-def host_pieces(pages: DataFrame, url: str = "url") -> DataFrame:
-    """(word): the pieces of host labels that a split can look up, each once."""
-
-    def labels(batches):
-        seen: set[str] = set()
-        for batch in batches:
-            new = {run for value in batch.column(0).to_pylist() for run in _WORD.findall(parts_of(value)[0]) if not run[0].isdigit()} - seen
-            if len(seen) >= _KEPT_LABELS:
-                seen.clear()
-            seen |= new
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.string())], names=["label"])
+def parsed(pages: DataFrame, *, keep: list[str], url: str = "url", rules=RULES) -> DataFrame:
+    """Columns `keep` of pages with host, path, rule and the rule's verdict (decided)."""
+
+    def setup():
+        known = Rules(rules)
+
+        def run(urls):
+            parts = [parts_of(value) for value in urls.to_pylist()]
+            found = [known.find(*p) or (None, None) for p in parts]
+            return [pa.array([x[k] for x in rows], pa.string()) for rows in (parts, found) for k in range(2)]
+
+        return run
+
+    return arrow_map(pages, [url], keep, [T.StructField(c, T.StringType()) for c in ("host", "path", "rule", "decided")], setup)
+
+
+def split_hosts(hosts: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """(host, host_words) of different hosts, with word counts (word, n) of which `total` is the sum."""
+
+    def runs(batches):
+        for whole in batches:
+            for batch in slices(whole):
+                rows = [(host, at, run) for host in batch.column(0).to_pylist() for at, run in enumerate(_WORD.findall(host))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int32(), pa.string()))], names=["host", "at", "run"])
 
     def pieces(batches):
         for batch in batches:
-            for whole in slices(batch, 1 << 15):  # a label has up to LONGEST_WORD pieces a letter
-                found = {run[k : k + n] for run in whole.column(0).to_pylist() for k in range(len(run)) for n in range(1, min(LONGEST_WORD, len(run) - k) + 1)}
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["word"])
+            for whole in slices(batch, 1 << 15):  # a run has up to LONGEST_WORD pieces a letter
+                rows = [(run, piece) for run in whole.column(0).to_pylist() for piece in pieces_of(run)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(2)], names=["run", "word"])
 
-    return pages.select(pages[url]).mapInArrow(labels, "label string").distinct().mapInArrow(pieces, "word string").distinct()
+    def splits(batches):
+        for batch in batches:
+            words = [split_run(run, dict(known or ()), total) for run, known in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=["run", "words"])
+
+    placed = checkpointed(hosts.select("host").mapInArrow(runs, "host string, at int, run string"))
+    letters = checkpointed(placed.where(~F.col("run").rlike(r"^\d")).select("run").distinct())
+    # a piece such as a single letter is in very many runs
+    meets = spread_join(checkpointed(letters.mapInArrow(pieces, "run string, word string")), counts, "word").where("n is not null")
+    known = meets.groupBy("run").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))
+    made = checkpointed(letters.join(known, "run", "left").mapInArrow(splits, "run string, words array<string>"))
+    joined = spread_join(placed, made, "run").withColumn("words", F.coalesce("words", F.array(F.lit("0"))))  # runs of digits
+    return joined.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x.words)).alias("host_words"))
 
 
-def host_unigrams(pages: DataFrame, html: str = "html", url: str = "url") -> tuple[dict[str, int], int]:
-    """Counts of all title words that are pieces of host labels, and the total over all title words."""
+def segmented(pages: DataFrame, *, keep: list[str], url: str = "url", html: str = "html", rules=RULES) -> DataFrame:
+    """Columns `keep` of pages with host, path, rule, decided and host_words; the unigram model is of the pages' titles."""
     counts = title_words(pages, html)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return {r["word"]: r["n"] for r in counts.join(host_pieces(pages, url), "word", "left_semi").collect()}, total
+    rows = checkpointed(parsed(pages, keep=[c for c in keep if c != html], url=url, rules=rules))
+    made = checkpointed(split_hosts(rows.select("host").distinct(), counts, total))
+    return spread_join(rows, made, "host").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>")))
 
 
-def fitted(pages: DataFrame, counts: dict[str, int], *, total: int | None = None, url: str = "url", rules=RULES) -> Bayes:
-    """Counts tokens of all urls that a rule decides. `total` is over all words, if counts lack some."""
-    shared = pages.sparkSession.sparkContext.broadcast(counts)
+def fitted(rows: DataFrame) -> Bayes:
+    """Counts the tokens of all rows of segmented() that a rule decides."""
 
     def count(batches):
-        segment, known = Segmenter(shared.value, total), Rules(rules)
         seen: dict[str, Counter] = {"block": Counter(), "allow": Counter()}
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                host, path = parts_of(value)
-                if (rule := known.find(host, path)) is not None:
-                    seen[rule[1]].update(map(slot_of, segment.tokens(host, path)))
-                    seen[rule[1]][-1] += 1  # urls
+            for words, path, verdict in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                seen[verdict].update(map(slot_of, tokens_of(words, path)))
+                seen[verdict][-1] += 1  # urls
         rows = [(s, seen["block"][s], seen["allow"][s]) for s in seen["block"].keys() | seen["allow"].keys()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["slot", "block", "allow"])
 
-    each = pages.select(pages[url]).mapInArrow(count, "slot long, block long, allow long")
-    rows = each.groupBy("slot").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).collect()
+    each = rows.where("decided is not null").select("host_words", "path", "decided").mapInArrow(count, "slot long, block long, allow long")
+    counts = each.groupBy("slot").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).collect()  # SLOTS + 1 rows at most
     table_ = np.zeros((SLOTS, 2))
     urls = np.zeros(2)
-    for r in rows:
+    for r in counts:
         if r["slot"] < 0:
             urls[:] = r["block"], r["allow"]
         else:
@@ -211,37 +210,19 @@ def fitted(pages: DataFrame, counts: dict[str, int], *, total: int | None = None
     return Bayes(float(np.log(urls[0] / urls[1])), chance[:, 0] - chance[:, 1])
 
 
-def judged(pages: DataFrame, counts: dict[str, int], bayes: Bayes, *, keep: list[str], total: int | None = None, url: str = "url", rules=RULES) -> DataFrame:
-    """Columns `keep` of pages with host, path, rule, host_words, block_odds and verdict. `total` is as for `fitted`."""
-    shared = pages.sparkSession.sparkContext.broadcast((counts, bayes))
+def judged(rows: DataFrame, bayes: Bayes, *, keep: list[str]) -> DataFrame:
+    """Columns `keep` of segmented() with host, path, rule, host_words, block_odds and verdict."""
+    shared = rows.sparkSession.sparkContext.broadcast(bayes)
 
     def setup():
-        segment, known, bayes = Segmenter(shared.value[0], total), Rules(rules), shared.value[1]
-
-        def run(urls):
-            rows = []
-            for value in urls.to_pylist():
-                host, path = parts_of(value)
-                rule = known.find(host, path)
-                score = bayes.score(segment.tokens(host, path))
-                words = [w for label in host.split(".") for w in segment.split(label)]
-                rows.append((host, path, rule and rule[0], words, score, rule[1] if rule else "block" if score > 0 else "allow"))
-            kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.float64(), pa.string())
-            return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-
-        return run
+        return lambda words, paths: [pa.array([shared.value.score(tokens_of(*row)) for row in zip(words.to_pylist(), paths.to_pylist(), strict=True)], pa.float64())]
 
-    fields = [
-        *[T.StructField(c, T.StringType()) for c in ("host", "path", "rule")],
-        T.StructField("host_words", T.ArrayType(T.StringType())),
-        T.StructField("block_odds", T.DoubleType()),
-        T.StructField("verdict", T.StringType()),
-    ]
-    return arrow_map(pages, [url], keep, fields, setup)
+    own = [*keep, "host", "path", "rule", "decided", "host_words"]
+    scored = arrow_map(rows, ["host_words", "path"], own, [T.StructField("block_odds", T.DoubleType())], setup)
+    verdict = F.coalesce("decided", F.when(F.col("block_odds") > 0, "block").otherwise("allow"))
+    return scored.withColumn("verdict", verdict).drop("decided")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    counts, total = host_unigrams(pages)
-    found = judged(pages, counts, fitted(pages, counts, total=total), keep=["page_id"], total=total)
-    return found.select("page_id", "host", "path", "rule", "verdict")
+    rows = checkpointed(segmented(table(spark, sf_dir, "pages"), keep=["page_id"]))
+    return judged(rows, fitted(rows), keep=["page_id"]).select("page_id", "host", "path", "rule", "verdict")
