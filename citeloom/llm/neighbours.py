@@ -9,12 +9,16 @@ width of `REACH` times the k-th best distance, a row that is nearer is verified
 holds for blocks of any size and for any vectors.
 
 Rows are indexed in blocks of at most `BLOCK_ROWS`, each by the task that holds it, so all rows are indexed and no index
-outgrows a task. Queries go to all tasks in batches of at most `QUERY_ROWS`, and a batch's best rows of all blocks are
-ranked together. The lines are drawn from a seed, so nothing is fitted.
+outgrows a task. A block is indexed once for all queries of a pass, `PASS_BYTES` of them at most, which are broadcast; the
+best rows of all blocks are ranked together. The lines are drawn from a seed, so nothing is fitted.
+
+What a query walks depends on the data: with d the k-th best distance, each line gives the rows whose projection is within
+REACH * d. Vectors in clusters have near neighbours and short windows; for vectors drawn at random in many dimensions, where
+the k-th best is hardly nearer than all others, windows hold most rows, as they must for the recall that is asked for.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, neither as queries nor as
 candidates; neither do rows with a null id, nor candidates of another length than the query; rows with a query's own id
-are no candidates of it; repeated candidates count each; ties go to the smaller id; empty tables give no rows.
+are no candidates of it; of query rows with one id the smallest usable vector counts, by its components in order; repeated candidates count each; ties go to the smaller id; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +43,9 @@ FACTOR = 1.3
 #: Probability that a row no farther than the k-th best verified one is verified too, at least.
 FOUND = 0.98
 BLOCK_ROWS = 1 << 16
-QUERY_ROWS = 1 << 12
+#: Queries of one pass over all rows, in bytes, and how many widen their windows together.
+PASS_BYTES = 16 << 20
+QUERY_ROWS = 1 << 11
 SEED = 5
 
 
@@ -81,7 +87,12 @@ class Block:
         self.places = np.take_along_axis(places.T, self.order, axis=1)
 
     def nearest(self, queries: dict[int, np.ndarray], k: int) -> Iterator[tuple[int, int, float]]:
-        """(query, id, score) of the k best candidates of each query. All queries widen their windows together."""
+        """(query, id, score) of the k best candidates of each query."""
+        names = list(queries)
+        for at in range(0, len(names), QUERY_ROWS):
+            yield from self._together({q: queries[q] for q in names[at : at + QUERY_ROWS]}, k)
+
+    def _together(self, queries: dict[int, np.ndarray], k: int) -> Iterator[tuple[int, int, float]]:
         n, names, data = len(self.ids), list(queries), np.array(list(queries.values()))
         norms = np.sqrt((data * data).sum(axis=1))
         places = (data / norms[:, None]) @ self.unit
@@ -119,17 +130,22 @@ class Block:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 5, query_rows: int = QUERY_ROWS
+    vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 5, pass_bytes: int = PASS_BYTES
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its k nearest rows of `vectors`, nearest first."""
     spark = vectors.sparkSession
     rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].alias("embedding")).where("vec_id is not null")
     asked = queries.select(queries[vec_id].cast("long").alias("query_id"), queries[embedding].alias("embedding")).where("query_id is not null")
-    batches = max(1, -(-asked.count() // (query_rows // 2)))  # batches by hash differ in size
+    size = asked.agg(F.coalesce(F.sum(8 * F.size("embedding")), F.lit(0))).first()[0]
+    batches = max(1, -(-size // max(1, pass_bytes // 2)))  # batches by hash differ in size
     found = None
     for batch in range(batches):
-        mine = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == batch).collect()
-        mine = {r["query_id"]: v for r in mine if (v := usable(r["embedding"])) is not None}
+        rest = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == batch).toArrow()
+        mine: dict[int, np.ndarray] = {}
+        for part in rest.to_batches(max_chunksize=QUERY_ROWS):
+            for q, value in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                if (vector := usable(value)) is not None and (q not in mine or vector.tolist() < mine[q].tolist()):
+                    mine[q] = vector
         shared = spark.sparkContext.broadcast(mine)
 
         def search(chunks, shared=shared):

@@ -237,6 +237,24 @@ def test_recall_of_whole_blocks(rows):
     assert np.mean([len(found[q] & set(want[q])) / 5 for q in queries]) >= 0.95
 
 
+def test_near_vectors_have_short_windows():
+    """In clusters a query walks few entries of its lines: all rows of a large block are indexed, few are looked at."""
+    r = np.random.default_rng(3)
+    rows, middles = nn.BLOCK_ROWS, r.normal(size=(rows_of := 512, 64))
+    data = middles[np.arange(rows) % rows_of] + 0.05 * r.normal(size=(rows, 64))
+    block = nn.Block(np.arange(rows), data)
+    unit = data / np.sqrt((data * data).sum(axis=1))[:, None]
+    walked, hits = [], []
+    for q in range(0, rows, rows // 20):
+        found = [i for _, i, _ in block.nearest({q: data[q]}, 5)]
+        want = [i for i in np.argsort(-(unit @ unit[q])).tolist() if i != q][:5]
+        hits.append(len(set(found) & set(want)) / 5)
+        half = nn.REACH * np.sqrt(2 - 2 * unit[q] @ unit[found[-1]])
+        places = unit[q] @ block.unit
+        walked.append(sum(int(np.searchsorted(p, x + half) - np.searchsorted(p, x - half)) for p, x in zip(block.places, places)) / nn.LINES)
+    assert np.mean(hits) >= 0.95 and np.mean(walked) < 0.15 * rows
+
+
 def test_neighbour_cases(spark):
     r = np.random.default_rng(2)
     rows = [(k, r.normal(size=8).tolist(), 0) for k in range(1, 40)] + [(50, r.normal(size=8).tolist(), 0)]
@@ -247,7 +265,9 @@ def test_neighbour_cases(spark):
     assert set(found) == {50, 350}
     assert [i for i, _ in found[350]] == [1, 60, 61, 62, 63]
     assert all(i not in (50, 100, 150, 200, 250, 300) for i, _ in found[50])
-    small = by_query(nn.nearest(df, df.where("vec_id % 50 = 0"), query_rows=2))
+    two = spark.createDataFrame([(50, [1.0, 0.0], 0), (50, [0.0, 1.0], 0), (1, [0.0, 2.0], 0), (2, [3.0, 0.0], 0)], "vec_id long, embedding array<float>, label int")
+    assert by_query(nn.nearest(two, two.where("vec_id = 50")))[50][0] == (1, 1.0)
+    small = by_query(nn.nearest(df, df.where("vec_id % 50 = 0"), pass_bytes=128))
     assert small == found
     assert nn.nearest(df.limit(0), df.where("vec_id = 50")).collect() == []
     assert nn.nearest(df, df.limit(0)).collect() == []
