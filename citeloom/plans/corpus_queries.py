@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from citeloom.functions import documents as D
 from citeloom.functions import text
 from citeloom.operators import corpus as R
 from citeloom.operators import search as S
+from citeloom.operators.graph import cut_lineage
 
 from .registry import query, table
 
@@ -138,6 +138,11 @@ def path_identities(spark, sf_dir):
     return docs.select("doc_id", key.alias("key"), paper_id.alias("paper_id"), converter.alias("converter"))
 
 
+def _index(chunks):
+    """Postings, written once: every phrase, match and length of a query reads them. Sorted by term, a term's are together."""
+    return cut_lineage(S.postings(chunks).repartition("term").sortWithinPartitions("term", "chunk_id"))
+
+
 def _turns(spark, sf_dir):
     """Conversation turns as chunks of conversations."""
     turns = table(spark, sf_dir, "conversations")
@@ -149,7 +154,7 @@ WITH t AS (SELECT conv_id * 1000 + turn AS chunk_id, regexp_extract_all(lower(ro
 SELECT chunk_id, CAST(len(h) + len(w) AS BIGINT) AS words FROM t""")
 def index_lengths(spark, sf_dir):
     turns = _turns(spark, sf_dir)
-    return S.chunk_lengths(S.postings(turns), turns)
+    return S.chunk_lengths(_index(turns), turns)
 
 
 @query("""
@@ -160,22 +165,117 @@ SELECT chunk_id, round(-greatest(ln((n_all - df + 0.5::DOUBLE) / (df + 0.5::DOUB
 def bm25_term(spark, sf_dir):
     """BM25 of one word that its stem equals and no other word shares."""
     turns = _turns(spark, sf_dir)
-    index = S.postings(turns)
+    index = _index(turns)
     return S.bm25(index, S.chunk_lengths(index, turns), S.Parser("that").parse()).select("chunk_id", F.round("score", 9).alias("score"))
 
 
 @query()
 def phrase_search(spark, sf_dir):
     turns = _turns(spark, sf_dir)
-    index = S.postings(turns)
+    index = _index(turns)
     return S.bm25(index, S.chunk_lengths(index, turns), S.Parser('heading : user "of the" OR (that NOT the)').parse()).select("chunk_id", F.round("score", 9).alias("score"))
 
 
 @query("SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS r FROM conversations) WHERE r <= 2")
 def per_document(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
-    order = Window.partitionBy("conv_id").orderBy(F.desc(F.length("text")), "turn")
-    return turns.withColumn("r", F.row_number().over(order)).where("r <= 2").select("conv_id", "turn")
+    """The two longest turns of each conversation, as hits whose score is the better the longer they are."""
+    turns = _turns(spark, sf_dir).withColumn("score", -F.length("text").cast("double")).withColumn("year", F.lit(None).cast("int"))
+    best = S.per_document(turns, 2, 2**31 - 1)
+    return best.select(F.col("document_id").alias("conv_id"), (F.col("chunk_id") % 1_000).alias("turn"))
+
+
+_LONG_TITLE = "A long title that a tenth of these reports have in common"
+
+
+def _folder():
+    """Directories with an encoded DOI or S2 id, and others."""
+    kind, doc = F.col("doc_id") % 3, F.col("doc_id").cast("string")
+    return F.when(kind == 0, F.concat(F.lit("doi_10.1_X"), doc, F.lit(".manual"))).when(kind == 1, F.concat(F.lit("s2_"), doc)).otherwise(F.concat(F.lit("Other"), doc))
+
+
+def _built(spark, sf_dir):
+    """Documents and chunks of all texts as Markdown files; a sixth has metadata, of which a fifth shares a long title."""
+    docs = table(spark, sf_dir, "documents")
+    doc = F.col("doc_id").cast("string")
+    files = docs.select(F.concat(_folder(), F.lit("/paper.md")).alias("source_path"), F.coalesce("text", F.lit("")).alias("text"), F.when(F.col("lang") == "de", "drive").otherwise("yearly").alias("origin"), F.col("doc_id").alias("ord"))
+    paper_id = F.concat(F.lit("doi:10.1/x"), doc)
+    papers = docs.where("doc_id % 6 = 0").select(
+        paper_id.alias("paper_id"), F.when(F.col("doc_id") % 30 == 0, _LONG_TITLE).otherwise(F.concat(F.lit("Report "), doc)).alias("title"),
+        (F.col("doc_id") % 30 + 1990).cast("int").alias("year"), F.lit("V").alias("venue"), F.concat(F.lit("10.1/x"), doc).alias("doi"),
+    )
+    labels = docs.where("doc_id % 3 = 0").select(paper_id.alias("paper_id"), F.col("lang").alias("category"))
+    return R.build_documents(files, papers, labels)
+
+
+_BUILT = f"""
+d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, lower(coalesce(text, '')) AS low, lang, source, CASE WHEN lang = 'de' THEN 'drive' ELSE 'yearly' END AS origin, doc_id % 6 = 0 AS m,
+  CASE doc_id % 3 WHEN 0 THEN 'doi:10.1/x' || doc_id WHEN 1 THEN 's2:' || doc_id ELSE 'other' || doc_id END AS own, CASE doc_id % 3 WHEN 0 THEN 'doi_10.1_X' || doc_id || '.manual' WHEN 1 THEN 's2_' || doc_id ELSE 'Other' || doc_id END AS folder FROM documents),
+l AS (SELECT doc_id, i AS r, lines[i] AS line, length(lines[i]) + 1 AS cost FROM (SELECT doc_id, string_split(CASE WHEN suffix(text, chr(10)) THEN left(text, n - 1) ELSE text END, chr(10)) AS lines FROM d WHERE n > 0), unnest(range(1, len(lines) + 1)) AS t(i)),
+w AS (SELECT doc_id, r, cost, 0 AS piece, cost AS size FROM l WHERE r = 1 UNION ALL
+  SELECT l.doc_id, l.r, l.cost, CASE WHEN w.size + l.cost > 4500 THEN w.piece + 1 ELSE w.piece END, CASE WHEN w.size + l.cost > 4500 THEN l.cost ELSE w.size + l.cost END FROM w JOIN l ON l.doc_id = w.doc_id AND l.r = w.r + 1),
+c AS (SELECT w.doc_id, piece, min(w.r) AS line_start, max(w.r) AS line_end, bool_or(trim(line, ' ' || chr(9) || chr(10) || chr(13)) <> '') AS filled FROM w JOIN l ON l.doc_id = w.doc_id AND l.r = w.r GROUP BY ALL),
+t AS (SELECT d.*, CASE WHEN NOT m THEN 'paper' WHEN doc_id % 30 = 0 THEN '{_LONG_TITLE}' ELSE 'Report ' || doc_id END AS title, (SELECT count(*) FROM c WHERE c.doc_id = d.doc_id AND filled) AS pieces, min(doc_id) OVER (PARTITION BY sha256(text)) AS first FROM d),
+k AS (SELECT a.*, CASE WHEN b.m AND b.doc_id % 30 = 0 THEN (SELECT 'doi:10.1/x' || min(doc_id) FROM t WHERE doc_id % 30 = 0 AND doc_id = first) ELSE b.own END AS canonical_key FROM t a JOIN t b ON b.doc_id = a.first),
+e AS (SELECT *, CASE WHEN origin = 'drive' THEN 'ready' WHEN n < 2000 THEN 'short'
+  WHEN (contains(low, 'references & citations') AND contains(low, 'loading...') AND n < 15000) OR (contains(low, 'current browse context') AND n < 8000) THEN 'stub'
+  WHEN contains(left(low, 5000), 'access denied') OR contains(left(low, 5000), 'just a moment...') OR contains(left(low, 5000), 'captcha') OR contains(left(low, 5000), '403 forbidden') THEN 'blocked'
+  WHEN doc_id % 30 = 0 THEN 'title_mismatch' WHEN n < 10000 THEN 'thin' ELSE 'ready' END AS evidence_status FROM k),
+v AS (SELECT *, row_number() OVER (PARTITION BY canonical_key ORDER BY CASE doc_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END, evidence_status = 'ready' DESC,
+  round_even(least(n, 100000) / 1000.0::DOUBLE + least(pieces, 40) * 1.5::DOUBLE - (n - length(replace(text, chr(65533), ''))) * 0.25::DOUBLE, 3) DESC, n DESC, folder) = 1 AS preferred FROM e)"""
+
+
+@query(f"""WITH RECURSIVE {_BUILT} SELECT doc_id AS document_id, canonical_key, CASE WHEN doc_id % 3 < 2 THEN own ELSE '' END AS paper_id, CASE WHEN doc_id % 3 = 0 THEN substr(own, 5) ELSE '' END AS doi, title,
+  CASE WHEN doc_id % 3 = 0 THEN coalesce(lang, '') ELSE '' END AS category, CASE WHEN doc_id % 3 = 0 THEN 'manual' ELSE 'unknown' END AS converter_source, evidence_status, m AS metadata_matched, preferred FROM v""")
+def build_index(spark, sf_dir):
+    """All texts as a corpus, with titles that make versions of different texts one."""
+    docs = _built(spark, sf_dir)[0]
+    return docs.select("document_id", "canonical_key", "paper_id", "doi", "title", "category", "converter_source", "evidence_status", "metadata_matched", "preferred")
+
+
+@query(f"WITH RECURSIVE {_BUILT} SELECT doc_id AS document_id, 'Document' AS heading, CAST(line_start AS INT) AS line_start, CAST(line_end AS INT) AS line_end FROM c WHERE filled")
+def document_chunks(spark, sf_dir):
+    return _built(spark, sf_dir)[1].select("document_id", "heading", "line_start", "line_end")
+
+
+@query(f"WITH RECURSIVE {_BUILT} SELECT doc_id AS document_id, title, preferred FROM v WHERE lower(own) = 'doi:10.1/x60' UNION ALL SELECT doc_id, title, preferred FROM v WHERE lower(folder) = 'other8' UNION ALL SELECT doc_id, title, preferred FROM v WHERE doc_id = 7")
+def find_document(spark, sf_dir):
+    """By a DOI in capitals, by a path, and by number."""
+    docs = cut_lineage(_built(spark, sf_dir)[0].drop("text"))
+    found = R.find_document(docs, "DOI:10.1/X60").unionByName(R.find_document(docs, "OTHER8/Paper.md")).unionByName(R.find_document(docs, "7"))
+    return found.select("document_id", "title", "preferred")
+
+
+def _searched(spark, sf_dir, query_text, **more):
+    docs, chunks = _built(spark, sf_dir)
+    docs = cut_lineage(docs)
+    chunks = cut_lineage(chunks.withColumn("chunk_id", F.col("document_id") * 100_000 + F.col("chunk_no")))
+    return S.search(docs, chunks, _index(S.searchable(docs, chunks)), query_text, **more)
+
+
+@query()
+def corpus_search(spark, sf_dir):
+    """The ten best pieces of all preferred documents, two a document, with snippets."""
+    return _searched(spark, sf_dir, 'the "of the" NOT zzz', low_quality=True, back_matter=True)
+
+
+@query()
+def corpus_search_filtered(spark, sf_dir):
+    """With all filters of the search: category, years, all versions, ready evidence only, one hit a document."""
+    return _searched(spark, sf_dir, "title : report OR the*", category="de", year_min=1995, year_max=2015, all_versions=True, per_doc=1, limit=20)
+
+
+@query("""WITH x AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN 'doi:10.1/' || doc_id // 4 WHEN 1 THEN 'S2:' || doc_id // 4 END AS paper_id, 'Full/' || doc_id // 2 || '.md' AS f, CASE WHEN doc_id // 2 % 2 = 0 THEN 'full/' ELSE 'Full/' END || doc_id // 2 || '.md' AS path FROM documents),
+r AS (SELECT *, CASE WHEN paper_id LIKE 'doi:%' THEN 2 ELSE 1 END AS k, f = path AS exact, doc_id % 2 = 0 AS meta, doc_id % 5 <> 0 AS titled, coalesce(n_chars, 0) AS n FROM x WHERE paper_id IS NOT NULL),
+a AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY path ORDER BY k DESC, exact DESC, meta DESC, titled DESC, n DESC, doc_id) = 1)
+SELECT doc_id AS ord, paper_id, path FROM a QUALIFY row_number() OVER (PARTITION BY lower(paper_id) ORDER BY k DESC, exact DESC, meta DESC, titled DESC, n DESC, doc_id) = 1""")
+def yearly_selection(spark, sf_dir):
+    """Two records a file and four a paper, of which some name the file in other letters or lack metadata or a title."""
+    docs, kind = table(spark, sf_dir, "documents"), F.col("doc_id") % 3
+    half, quarter = F.expr("cast(doc_id div 2 as string)"), F.expr("cast(doc_id div 4 as string)")
+    paper_id = F.when(kind == 0, F.concat(F.lit("doi:10.1/"), quarter)).when(kind == 1, F.concat(F.lit("S2:"), quarter))
+    index = docs.select(paper_id.alias("paper_id"), F.concat(F.lit("Full/"), half, F.lit(".md")).alias("fulltext_file"), (F.col("doc_id") % 2 == 0).alias("has_metadata"), F.when(F.col("doc_id") % 5 != 0, "t").alias("title"), "n_chars", F.col("doc_id").alias("ord"))
+    files = docs.select(F.concat(F.when(F.expr("doc_id div 2 % 2 = 0"), "full/").otherwise("Full/"), half, F.lit(".md")).alias("path")).distinct()
+    return R.yearly_selection(index, files).select("ord", "paper_id", "path")
 
 
 @query("SELECT doc_id, regexp_replace(regexp_replace(lower(trim(text)), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g') AS a, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS b FROM documents")
