@@ -85,6 +85,37 @@ def lookup_id(corpus_id: Column, paper_id: Column, doi: Column, corpus_prefix: s
     )
 
 
+def map_key(kind: str, value: Column) -> Column:
+    """An identifier as a key of the id map: its prefix and itself; DOIs in their normal form."""
+    prefix = {"doi": "doi", "s2_id": "s2", "arxiv_id": "arxiv", "pubmed_id": "pubmed", "mag_id": "mag", "dblp_id": "dblp"}.get(kind, kind)
+    return F.concat(F.lit(f"{prefix}:"), normalize_doi(value) if prefix == "doi" else value.cast("string"))
+
+
+def _behind(prefix: str, paper_id: Column) -> Column:
+    return F.when(paper_id.startswith(prefix), F.substring(paper_id, F.lit(len(prefix) + 1), F.length(paper_id)))
+
+
+def expansion_lookup(paper_id: Column, doi: Column, corpus_id: Column) -> Column:
+    """What the recursive expansion asks for: a doi: or s2: id first, then the paper's DOI, then its corpus id."""
+    corpus = lambda c: F.concat(F.lit("CorpusId:"), falsy_to_null(c.cast("string")))
+    return F.coalesce(_behind("doi:", paper_id), corpus(_behind("s2:", paper_id)), falsy_to_null(doi), corpus(corpus_id))
+
+
+def citation_lookup(paper_id: Column, doi: Column, corpus_id: Column) -> Column:
+    """What the limited expansion asks for: the corpus id or the DOI as they are, then an s2: or doi: id without its prefix."""
+    return F.coalesce(falsy_to_null(corpus_id.cast("string")), falsy_to_null(doi), _behind("s2:", paper_id), _behind("doi:", paper_id))
+
+
+def openalex_lookup(paper_id: Column, openalex_id: Column) -> Column:
+    return F.coalesce(falsy_to_null(openalex_id), _behind("oa:", paper_id))
+
+
+def external_id(value: Column, paper_id: Column, prefix: str) -> Column:
+    """A paper's identifier of a kind, or what stands behind that prefix, in any case, in its id; empty if neither."""
+    own = F.when(F.lower(paper_id).startswith(f"{prefix}:"), F.substring(paper_id, F.lit(len(prefix) + 2), F.length(paper_id)))
+    return F.coalesce(falsy_to_null(value), own, F.lit(""))
+
+
 def missing_metadata(title: Column, year: Column, venue: Column) -> Column:
     """A blank or missing title or venue, or a year that is missing or 0."""
     return ~has_text(title) | (F.coalesce(year, F.lit(0)) == 0) | ~has_text(venue)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import text
 
-from .papers import backfilled, titles_match
+from .papers import backfilled, titles_match, with_abstracts
 
 #: A cached response: a paper or work, or pages of citations around them.
 CACHED = (
@@ -136,9 +136,7 @@ def consolidated_seeds(positive: list[DataFrame], papers: DataFrame, discovered:
     columns = [c for c in papers.columns if c not in ("paper_id", "ord")]
     last = lambda df: df.join(ids, "paper_id", "left_semi").groupBy("paper_id").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ord"))).alias(c) for c in columns])
     old, new = last(papers), last(discovered).select("paper_id", *[F.col(c).alias(f"__{c}") for c in columns])
-    texts = abstracts.where(text.has_text(F.col("abstract"))).groupBy("paper_id").agg(F.min_by("abstract", "ord").alias("__text"))
-    joined = ids.join(old, "paper_id", "left").join(new, "paper_id", "left").join(texts, "paper_id", "left")
-    made = {c: F.coalesce(f"__{c}", c) for c in columns}
-    made["abstract"] = F.coalesce(text.falsy_to_null(made["abstract"]), "__text")
-    rows = joined.select("paper_id", *[made[c].alias(c) for c in columns])
+    joined = ids.join(old, "paper_id", "left").join(new, "paper_id", "left")
+    rows = joined.select("paper_id", *[F.coalesce(f"__{c}", c).alias(c) for c in columns])
+    rows = with_abstracts(rows, abstracts)
     return rows.where(~F.coalesce(text.eeg_only(F.col("title"), F.col("abstract")), F.lit(False)))

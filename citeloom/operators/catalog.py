@@ -45,6 +45,19 @@ def any_column_contains(columns: list[str], needle: str) -> Column:
     return found
 
 
+def suggestions(papers: DataFrame, needle: str, limit: int = 8) -> DataFrame:
+    """The first papers by title that hold the needle in title, venue, year or DOI; a needle of under two characters finds none."""
+    columns = [c for c in ("title", "venue", "year", "doi") if c in papers.columns]
+    found = papers.where(any_column_contains(columns, needle.strip())) if len(needle.strip()) >= 2 else papers.limit(0)
+    return found.orderBy("title", "paper_id").limit(limit)
+
+
+def venues(papers: DataFrame) -> DataFrame:
+    """(venue, n) in order of the venue's name in any case."""
+    name = text.venue_name(F.col("venue"))
+    return papers.groupBy(name.alias("venue")).agg(F.count("*").alias("n")).orderBy(F.lower("venue"), "venue")
+
+
 def paper_line(title: Column, venue: Column, links: Column) -> Column:
     """One line of a page: title, venue, a full stop where none is, and links or a note that none is known."""
     shown = F.concat(title, F.when(F.coalesce(venue, F.lit("")) != "", F.concat(F.lit(" — "), venue)).otherwise(""))

@@ -38,9 +38,19 @@ def degrees(edges: DataFrame) -> DataFrame:
     return sums.withColumn("degree", F.col("in_degree") + F.col("out_degree"))
 
 
-def node_stats(edges: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Degrees, label and node data of everything known; core follows the label."""
+def duplicate_edges(edges: DataFrame) -> DataFrame:
+    """One row: edges, distinct ones, and how many repeat others."""
+    distinct = F.countDistinct("src", "dst")
+    return edges.agg(F.count("*").alias("n_rows"), distinct.alias("n_edges"), (F.count("*") - distinct).alias("duplicates"))
+
+
+def node_stats(edges: DataFrame, labels: DataFrame, nodes: DataFrame, clusters: DataFrame | None = None, confirmed: DataFrame | None = None) -> DataFrame:
+    """Degrees, label and node data of everything known, with cluster_id and is_confirmed if those are given; core follows the label."""
     joined = degrees(edges).join(labels.select("paper_id", "category", "is_core"), "paper_id", "full").join(nodes, "paper_id", "full")
+    if clusters is not None:
+        joined = joined.join(clusters.select("paper_id", "cluster_id"), "paper_id", "left")
+    if confirmed is not None:
+        joined = joined.join(confirmed.select("paper_id", F.lit(True).alias("is_confirmed")), "paper_id", "left").na.fill(False, ["is_confirmed"])
     return joined.na.fill(0, ["in_degree", "out_degree", "degree"]).na.fill(False, ["is_core"])
 
 
@@ -98,6 +108,18 @@ def network_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return counts.withColumn("density", F.round(F.when(pairs > 0, 2.0 * F.col("n_edges") / pairs).otherwise(0.0), 8))
 
 
+def category_distribution(nodes: DataFrame, labels: DataFrame, default: str) -> DataFrame:
+    """(node_type, category, n) of a network's nodes; nodes without a label have the default one."""
+    joined = nodes.join(labels.select("paper_id", "category"), "paper_id", "left").na.fill(default, ["category"])
+    return joined.groupBy("node_type", "category").agg(F.count("*").alias("n"))
+
+
+def network_records(nodes: DataFrame, labels: DataFrame, papers: DataFrame, default: str) -> DataFrame:
+    """One record a node: its type, its label or the default one, and its metadata, if any."""
+    joined = nodes.join(labels.select("paper_id", "category"), "paper_id", "left").na.fill(default, ["category"])
+    return joined.join(papers.drop("category"), "paper_id", "left")
+
+
 def core_connections(edges: DataFrame, core: DataFrame) -> DataFrame:
     """(paper_id, links, stage): distinct core neighbours in either direction of papers that aren't core."""
     both = edges.select("src", "dst").union(edges.select("dst", "src")).toDF("paper_id", "core_id")

@@ -140,6 +140,17 @@ def distribution(log: DataFrame, column: str = "category") -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).select(column, "n", F.round(F.col("n") * 100.0 / F.col("total"), 1).alias("pct"))
 
 
+def unclassified(candidates: DataFrame, *logs: DataFrame, key: str = "paper_id") -> DataFrame:
+    """Candidates that no log has, each once: the first row (`ord`) of a repeated one, any where there is no order."""
+    left = candidates
+    for log in logs:
+        left = left.join(log.select(key), key, "left_anti")
+    if "ord" not in left.columns:
+        return left.dropDuplicates([key])
+    rest = [c for c in left.columns if c != key]
+    return left.groupBy(key).agg(F.min_by(F.struct(*rest), "ord").alias("x")).select(key, "x.*").select(*left.columns)
+
+
 def agreement(sample: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """(first, second, n): how two labellers labelled a sample; what is missing is unknown."""
     a = first.select("paper_id", F.col("category").alias("first"))

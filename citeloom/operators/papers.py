@@ -56,6 +56,13 @@ def backfilled(papers: DataFrame, found: DataFrame, key: str = "paper_id") -> Da
     return joined.select(*columns, (take["title"] | take["year"] | take["venue"]).alias("changed"))
 
 
+def with_abstracts(papers: DataFrame, abstracts: DataFrame, key: str = "paper_id") -> DataFrame:
+    """papers with the first abstract of `abstracts` (ord) where their own is missing or empty."""
+    first = abstracts.where(text.has_text(F.col("abstract"))).groupBy(key).agg(F.min_by("abstract", "ord").alias("__text"))
+    own = F.coalesce(text.falsy_to_null(F.col("abstract")), "__text")
+    return papers.join(first, key, "left").select(*[own.alias(c) if c == "abstract" else papers[c] for c in papers.columns])
+
+
 def resolved_ids(wanted: DataFrame, ids: DataFrame) -> DataFrame:
     """(raw, kind, canonical): identifiers by shape, looked up in ids (kind, value, canonical) in the order tried.
 

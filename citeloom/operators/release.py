@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions import fixed
+from citeloom.functions import fixed, text
 
 from .citations import induced_edges, isolates
 from .graph import connected_components, cut_lineage
 
 
 def released_nodes(papers: DataFrame) -> DataFrame:
-    """The columns of a release of the papers of core categories, each id once; a column that papers lack is null."""
-    columns = [F.col(c) if c in papers.columns else F.lit(None).cast("string").alias(c) for c in fixed.RELEASE_COLUMNS]
+    """The columns of a release of the papers of core categories, each id once. Identifiers also come from the id itself."""
+    given = lambda c: F.col(c) if c in papers.columns else F.lit(None).cast("string")
+    made = {c: text.external_id(given(c), F.col("paper_id"), c) for c in ("doi", "arxiv", "pubmed", "pmc")}
+    columns = [made.get(c, given(c)).alias(c) for c in fixed.RELEASE_COLUMNS]
     return papers.where(F.col("category").isin(*fixed.CORE_CATEGORIES)).select(*columns).dropDuplicates(["paper_id"])
 
 

@@ -62,7 +62,7 @@ def catalog_filter(spark, sf_dir):
 @query(f"WITH {_P} SELECT paper_id, title FROM p WHERE contains(lower(title), 'ring') OR contains(lower(venue), 'ring') OR contains(CAST(year AS VARCHAR), 'ring') ORDER BY title, paper_id LIMIT 8")
 def map_search(spark, sf_dir):
     papers = _papers(spark, sf_dir)
-    return papers.where(K.any_column_contains(["title", "venue", "year"], "ring")).orderBy("title", "paper_id").limit(8).select("paper_id", "title")
+    return K.suggestions(papers, " Ring").unionByName(K.suggestions(papers, "r")).select("paper_id", "title")
 
 
 @query(f"WITH {_P} SELECT DISTINCT year FROM p WHERE year IS NOT NULL")

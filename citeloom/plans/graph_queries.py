@@ -86,7 +86,7 @@ def isolates(spark, sf_dir):
     return C.isolates(nodes, edges_of(spark, sf_dir))
 
 
-def _network(spark, sf_dir):
+def network(spark, sf_dir):
     """Parts of some sizes are core, orders of one priority secondary; the rest is boundary or out."""
     core = table(spark, sf_dir, "part").where("p_size > 45").select(F.concat(F.lit("p"), "p_partkey").alias("paper_id"))
     secondary = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.concat(F.lit("o"), "o_orderkey").alias("paper_id"))
@@ -104,12 +104,12 @@ nodes AS (SELECT id, 'core' AS node_type FROM core UNION ALL SELECT id, 'seconda
 
 @query(f"WITH {_NET} SELECT id AS paper_id FROM bound")
 def boundary_nodes(spark, sf_dir):
-    return C.boundary_nodes(_network(spark, sf_dir)[2])
+    return C.boundary_nodes(network(spark, sf_dir)[2])
 
 
 @query(f"WITH {_NET} SELECT node_type, count(*) AS n FROM nodes GROUP BY 1")
 def network_nodes(spark, sf_dir):
-    core, secondary, edges = _network(spark, sf_dir)
+    core, secondary, edges = network(spark, sf_dir)
     return C.network_nodes(core, secondary, C.boundary_nodes(edges)).groupBy("node_type").agg(F.count("*").alias("n"))
 
 
@@ -125,7 +125,7 @@ SELECT (SELECT count(*) FROM nodes) AS n_nodes, (SELECT count(*) FROM core) AS c
   (SELECT count(*) FROM k) AS n_edges, count(*) AS components, max(size) AS largest, count(*) FILTER (size = 1) AS isolated,
   round(2.0::DOUBLE * (SELECT count(*) FROM k) / ((SELECT count(*) FROM nodes) * ((SELECT count(*) FROM nodes) - 1)), 8) AS density FROM sizes""")
 def network_stats(spark, sf_dir):
-    core, secondary, edges = _network(spark, sf_dir)
+    core, secondary, edges = network(spark, sf_dir)
     edges = graph.cut_lineage(edges)
     return C.network_stats(C.network_nodes(core, secondary, C.boundary_nodes(edges)), edges)
 
@@ -174,8 +174,7 @@ def neighbourhood(spark, sf_dir):
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_partkey)) AS n_edges, count(*) - count(DISTINCT (l_orderkey, l_partkey)) AS duplicates FROM lineitem")
 def duplicate_edges(spark, sf_dir):
-    edges = edges_of(spark, sf_dir)
-    return edges.agg(F.count("*").alias("n_rows"), F.countDistinct("src", "dst").alias("n_edges"), (F.count("*") - F.countDistinct("src", "dst")).alias("duplicates"))
+    return C.duplicate_edges(edges_of(spark, sf_dir))
 
 
 @query(f"""

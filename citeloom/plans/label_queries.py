@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.operators import labels as L
+from citeloom.operators.graph import shared_folder
+from citeloom.streaming import logs
 
 from .registry import query, table
 
@@ -162,25 +166,25 @@ def any_label(spark, sf_dir):
 @query("SELECT c_custkey AS paper_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)")
 def unclassified_papers(spark, sf_dir):
     papers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"))
-    return papers.join(label_log(spark, sf_dir).select("paper_id"), "paper_id", "left_anti")
+    return L.unclassified(papers.unionByName(papers), label_log(spark, sf_dir))
 
 
 @query(f"WITH {_REDUCED} SELECT paper_id, category, CAST(tier AS INT) AS tier FROM reduced")
 def incremental_labels(spark, sf_dir):
-    """The log in three parts, each reduced with the winners so far: the same as reducing it at once."""
-    log, kept = label_log(spark, sf_dir), None
-    rank = F.struct(F.coalesce("tier", F.lit(-1)), F.col("classified_at").cast("string"), -F.col("ord"))
+    """The log in three parts, as batches of a stream: the same as reducing it at once."""
+    log = label_log(spark, sf_dir)
+    state = f"{shared_folder(spark)}/labels-{uuid.uuid4().hex}"
+    add = logs.upsert_labels(state)
     for part in range(3):
-        rows = log.where(F.col("ord") % 3 == part)
-        rows = rows if kept is None else rows.unionByName(kept)
-        kept = rows.groupBy("paper_id").agg(F.max_by(F.struct(*[c for c in log.columns if c != "paper_id"]), rank).alias("x")).select("paper_id", "x.*")
-    return kept.select("paper_id", "category", "tier")
+        add(log.where(F.col("ord") % 3 == part), part)
+    return logs.labels_of_state(spark, state, 2).select("paper_id", "category", "tier")
 
 
 @query("SELECT event_type, date_trunc('day', ts)::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2")
 def event_days(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return events.groupBy("event_type", F.window(F.col("ts").cast("timestamp"), "1 day").alias("w")).agg(F.count("*").alias("n")).select("event_type", F.to_date("w.start").alias("day"), "n")
+    counts = logs.event_windows(events.withColumn("ts", F.col("ts").cast("timestamp")))
+    return counts.select("event_type", F.to_date("window.start").alias("day"), "n")
 
 
 @query("SELECT CAST(json_extract_string(props, '$.k') AS INT) AS k, count(*) AS n FROM events GROUP BY 1")

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from citeloom.functions import documents as D
 from citeloom.functions import fixed, text
 from citeloom.operators import backfill as B
+from citeloom.operators import catalog as K
 from citeloom.operators import citations as C
 from citeloom.operators import expansion as X
 from citeloom.operators import labels as L
 from citeloom.operators import neighbourhood as N
 from citeloom.operators import pages as G
+from citeloom.operators import papers as P
 from citeloom.operators import release as R
 
-from .graph_queries import _CC, _P, parts_of
+from .graph_queries import _CC, _NET, _P, edges_of, network, parts_of
 from .registry import query, table
 
 _HEADING = "CASE category " + " ".join(f"WHEN '{c}' THEN '{h}'" for c, h in fixed.CATEGORY_HEADINGS.items()) + " END"
@@ -85,7 +87,7 @@ def release_edges(spark, sf_dir):
     return edges.select(F.col("src").alias("source"), F.col("dst").alias("target"), F.lit("cites").alias("relation"))
 
 
-@query(f"WITH {_INSIDE} SELECT paper_id, title, CAST(year AS INT) AS year, venue, category, NULL AS doi, NULL AS arxiv, NULL AS pubmed, NULL AS pmc, citation_count FROM n")
+@query(f"WITH {_INSIDE} SELECT paper_id, title, CAST(year AS INT) AS year, venue, category, '' AS doi, '' AS arxiv, '' AS pubmed, '' AS pmc, citation_count FROM n")
 def release_nodes(spark, sf_dir):
     return R.released_nodes(parts_of(spark, sf_dir))
 
@@ -345,3 +347,73 @@ SELECT paper_id, category, CAST(k // 20 AS INT) AS batch FROM s WHERE k < 100"""
 def audit_batches(spark, sf_dir):
     log = table(spark, sf_dir, "events").select(F.col("user_id").alias("paper_id"), F.col("event_type").alias("category"), F.col("event_id").alias("ord"))
     return L.audit_batches(log, sample=100, size=20, seed=7)
+
+
+# ------------------------------------------------------------------ identifiers and records
+_IDS = """i AS (SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'doi:10.1/' || p_partkey WHEN 1 THEN 's2:' || p_partkey WHEN 2 THEN 'oa:W' || p_partkey ELSE 'PMC:' || p_partkey END AS paper_id,
+  CASE WHEN p_size % 3 = 0 THEN '10.2/' || p_size ELSE '' END AS doi, CASE WHEN p_size % 5 = 0 THEN CAST(p_size AS VARCHAR) END AS corpus FROM part)"""
+
+
+def _ids(spark, sf_dir):
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    kind = F.col("p_partkey") % 4
+    paper_id = F.when(kind == 0, F.concat(F.lit("doi:10.1/"), key)).when(kind == 1, F.concat(F.lit("s2:"), key)).when(kind == 2, F.concat(F.lit("oa:W"), key)).otherwise(F.concat(F.lit("PMC:"), key))
+    doi = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("10.2/"), size)).otherwise("")
+    return table(spark, sf_dir, "part").select("p_partkey", paper_id.alias("paper_id"), doi.alias("doi"), F.when(F.col("p_size") % 5 == 0, size).alias("corpus"))
+
+
+@query(f"""WITH {_IDS} SELECT k AS p_partkey, CASE WHEN k % 4 = 0 THEN '10.1/' || k WHEN k % 4 = 1 THEN 'CorpusId:' || k WHEN doi <> '' THEN doi WHEN corpus IS NOT NULL THEN 'CorpusId:' || corpus END AS expansion,
+  CASE WHEN corpus IS NOT NULL THEN corpus WHEN doi <> '' THEN doi WHEN k % 4 = 1 THEN CAST(k AS VARCHAR) WHEN k % 4 = 0 THEN '10.1/' || k END AS citation, CASE WHEN k % 4 = 2 THEN 'W' || k END AS openalex, CASE WHEN k % 4 = 3 THEN CAST(k AS VARCHAR) ELSE '' END AS pmc FROM i""")
+def lookup_variants(spark, sf_dir):
+    paper_id, doi, corpus, none = F.col("paper_id"), F.col("doi"), F.col("corpus"), F.lit(None).cast("string")
+    return _ids(spark, sf_dir).select(
+        "p_partkey", text.expansion_lookup(paper_id, doi, corpus).alias("expansion"), text.citation_lookup(paper_id, doi, corpus).alias("citation"),
+        text.openalex_lookup(paper_id, none).alias("openalex"), text.external_id(none, paper_id, "pmc").alias("pmc"),
+    )
+
+
+@query("SELECT p_partkey, 'doi:10.1/ab' || p_size AS doi, 's2:' || p_partkey AS s2, 'mag:' || p_size AS mag FROM part")
+def map_keys(spark, sf_dir):
+    number = F.col("p_size").cast("string")
+    doi = F.concat(F.lit(" https://doi.org/10.1/AB"), number)
+    return table(spark, sf_dir, "part").select("p_partkey", text.map_key("doi", doi).alias("doi"), text.map_key("s2_id", F.col("p_partkey")).alias("s2"), text.map_key("mag_id", number).alias("mag"))
+
+
+def _labelled(spark, sf_dir):
+    return table(spark, sf_dir, "part").where("p_size > 40").select(F.concat(F.lit("p"), "p_partkey").alias("paper_id"), F.col("p_brand").alias("category"))
+
+
+@query(f"WITH {_NET} SELECT node_type, coalesce(p_brand, 'out_of_scope') AS category, count(*) AS n FROM nodes LEFT JOIN (SELECT * FROM part WHERE p_size > 40) ON id = 'p' || p_partkey GROUP BY 1, 2")
+def network_categories(spark, sf_dir):
+    core, secondary, edges = network(spark, sf_dir)
+    return C.category_distribution(C.network_nodes(core, secondary, C.boundary_nodes(edges)), _labelled(spark, sf_dir), fixed.EXCLUDED_CATEGORY)
+
+
+@query(f"WITH {_NET} SELECT id AS paper_id, node_type, CASE WHEN p_size > 40 THEN p_brand ELSE 'out_of_scope' END AS category, p_name AS title, p_brand AS venue, p_size + 1985 AS year, CAST(floor(p_retailprice) AS INT) AS citation_count FROM nodes LEFT JOIN part ON id = 'p' || p_partkey")
+def network_records(spark, sf_dir):
+    core, secondary, edges = network(spark, sf_dir)
+    return C.network_records(C.network_nodes(core, secondary, C.boundary_nodes(edges)), _labelled(spark, sf_dir), parts_of(spark, sf_dir), fixed.EXCLUDED_CATEGORY)
+
+
+@query("""WITH s AS (SELECT s_nationkey AS k, arg_min('n' || s_suppkey, s_suppkey) AS late FROM supplier GROUP BY 1) SELECT n_nationkey AS paper_id, CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE late END AS abstract FROM nation LEFT JOIN s ON k = n_nationkey""")
+def abstract_overlay(spark, sf_dir):
+    """Nations have an abstract, none or an empty one; the first of their suppliers has one for those without."""
+    key = F.col("n_nationkey")
+    papers = table(spark, sf_dir, "nation").select(key.alias("paper_id"), F.when(key % 3 == 0, F.col("n_name")).when(key % 3 == 1, "").alias("abstract"))
+    found = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("paper_id"), F.concat(F.lit("n"), "s_suppkey").alias("abstract"), F.col("s_suppkey").alias("ord"))
+    return P.with_abstracts(papers, found)
+
+
+@query(f"WITH {_P} SELECT venue, count(*) AS n FROM p GROUP BY 1 ORDER BY lower(venue), venue")
+def venue_order(spark, sf_dir):
+    return K.venues(parts_of(spark, sf_dir))
+
+
+@query(f"""WITH {_P}, x AS (SELECT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst FROM lineitem), d AS (SELECT DISTINCT src, dst FROM x), g AS (SELECT dst AS id, count(*) AS n FROM d GROUP BY 1)
+SELECT paper_id, coalesce(n, 0) AS in_degree, category LIKE 'fmri%' AS is_core, CASE WHEN CAST(substr(paper_id, 2) AS INT) % 2 = 0 THEN 'c' || year END AS cluster_id, year % 5 = 0 AS is_confirmed FROM p LEFT JOIN g ON id = paper_id""")
+def clustered_stats(spark, sf_dir):
+    papers = parts_of(spark, sf_dir)
+    labels = papers.select("paper_id", "category", F.col("category").startswith("fmri").alias("is_core"))
+    clusters = papers.where(F.substring("paper_id", 2, 20).cast("int") % 2 == 0).select("paper_id", F.concat(F.lit("c"), F.col("year").cast("string")).alias("cluster_id"))
+    found = C.node_stats(C.clean_edges(edges_of(spark, sf_dir)), labels, papers.select("paper_id", "citation_count"), clusters, papers.where("year % 5 = 0"))
+    return found.where(F.col("paper_id").startswith("p")).select("paper_id", "in_degree", "is_core", "cluster_id", "is_confirmed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 AUTHORS = "array<struct<name:string,authorId:string>>"
 PAPERS = "paper_id string, title string, year string, venue string, authors string, doi string, corpusId string, openalex_id string, externalIds map<string,string>, external_ids map<string,string>, abstract string, citation_count string, citationCount string, open_access_pdf string, openAccessPdf string, s2_paper_id string, paperId string, arxiv_id string, source string, seed_tag string, provenance struct<source:string,fetched_at:string,confidence:double>"
@@ -31,12 +32,23 @@ def read_log(spark: SparkSession, path: str, schema: str, *, strict: bool = True
         return spark.createDataFrame([], declared).withColumn("ord", F.lit(0).cast("long"))
     reader = spark.read.schema(declared if strict else declared.add("_corrupt_record", "string"))
     rows = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
-    if not strict:
-        rows = rows.where("_corrupt_record is null").drop("_corrupt_record")
-    # files in order of name, blocks in order of place, rows in order within
-    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("id"))
-    rows = rows.select("*", place.alias("__place"))
-    return rows.withColumn("ord", F.col("__place.id")).drop("__place")
+    rows = _in_file_order(rows)
+    return rows if strict else rows.where("_corrupt_record is null").drop("_corrupt_record")
+
+
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """rows with `ord`: files in order of name, blocks in order of place, rows in order within.
+
+    Tasks read files packed by size, so their numbers alone don't tell. A block is read by one task in order; blocks, a row
+    each, are ranked, and `ord` is the rank above the row's number in its task.
+    """
+    columns = [F.col(c) for c in rows.columns]
+    numbered = rows.select(*columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
+    blocks = numbered.select("__path", "__start").distinct()
+    ranked = blocks.withColumn("__rank", F.row_number().over(Window.orderBy("__path", "__start")) - 1)  # as many rows as blocks
+    placed = numbered.join(ranked.hint("broadcast"), ["__path", "__start"])
+    row = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*[F.col(c) for c in rows.columns], F.shiftleft(F.col("__rank").cast("long"), 33).bitwiseOR(row).alias("ord"))
 
 
 def normalize_papers(rows: DataFrame) -> DataFrame:

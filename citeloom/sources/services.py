@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.functions import text
+
 Transport = Callable[[str, dict], dict | None]
 
 
@@ -81,6 +83,96 @@ def looked_up(ids: DataFrame, column: str, service: str, transport: Callable[[],
     return wanted.mapInPandas(ask, "id string, record string")
 
 
+# Calls of services (path, parameters, and where the records lie).
+CALLS = {
+    ("semantic_scholar", "search"): ("/paper/search", {"query": "{id}", "limit": "{limit}"}, "data"),
+    ("semantic_scholar", "paper"): ("/paper/{id}", {}, ""),
+    ("semantic_scholar", "references"): ("/paper/{id}/references", {"limit": "{limit}"}, "data.citedPaper"),
+    ("semantic_scholar", "citations"): ("/paper/{id}/citations", {"limit": "{limit}"}, "data.citingPaper"),
+    ("openalex", "search"): ("/works", {"search": "{id}", "per-page": "{limit}"}, "results"),
+    ("openalex", "paper"): ("/works/{id}", {}, ""),
+    ("openalex", "citations"): ("/works", {"filter": "cites:{id}", "per-page": "{limit}"}, "results"),
+    ("crossref", "paper"): ("/works/{id}", {}, "message"),
+    ("europe_pmc", "title"): ("/search", {"query": 'TITLE:"{id}"', "format": "json", "resultType": "core", "pageSize": "{limit}"}, "resultList.result"),
+    ("doi", "paper"): ("/{id}", {}, ""),
+}
+
+
+def records_in(answer, where: str) -> list:
+    """The records of an answer, by the names on the way to them; lists on the way are gone through."""
+    found = [answer]
+    for name in filter(None, where.split(".")):
+        found = [r.get(name) for r in found if isinstance(r, dict)]
+        found = [x for r in found for x in (r if isinstance(r, list) else [r])]
+    return [r for r in found if r]
+
+
+def called(ids: DataFrame, column: str, service: str, call: str, transport: Callable[[], Transport], *, limit: int = 25, partitions: int = 1) -> DataFrame:
+    """(id, ord, record): one call for each id, with its records as JSON in the order of the answer."""
+    path, params, where = CALLS[service, call]
+    rate = CALLS_A_MINUTE.get(service, 60) / partitions
+
+    def ask(frames):
+        import pandas as pd
+
+        get, pace = transport(), Pace(rate)
+        for frame in frames:
+            for i in frame["id"]:
+                pace.wait()
+                filled = {k: v.format(id=i, limit=limit) for k, v in params.items()}
+                found = records_in(fetch(get, path.format(id=i), filled), where)[:limit]
+                yield pd.DataFrame({"id": [i] * len(found), "ord": range(len(found)), "record": [json.dumps(r) for r in found]})
+
+    wanted = ids.select(F.col(column).cast("string").alias("id")).where("id is not null").distinct().repartition(partitions)
+    return wanted.mapInPandas(ask, "id string, ord long, record string")
+
+
+def first_answer(ids: DataFrame, column: str, calls: list[tuple[str, str, Callable[[DataFrame], DataFrame]]], transport: Callable[[], Transport]) -> DataFrame:
+    """(id, paper columns, source): the first record of the first service that has one; others are asked for what is left."""
+    left, found = ids.select(F.col(column).alias("id")).distinct(), None
+    for service, call, standardize in calls:
+        got = called(left, "id", service, call, transport, limit=1)
+        rows = standardize(got.where("ord = 0")).withColumn("source", F.lit(service))
+        found = rows if found is None else found.unionByName(rows)
+        left = left.join(rows.select("id"), "id", "left_anti")
+    return found
+
+
+def europe_pmc_query(dois: list[str]) -> str:
+    """What asks for some DOIs at once."""
+    return " OR ".join(f'DOI:"{d}"' for d in dois)
+
+
+def europe_pmc_abstracts(records: DataFrame) -> DataFrame:
+    """(id, ord, doi, title, abstract) of records of a search; DOIs in lower case."""
+    r = records.select("id", "ord", F.from_json("record", "struct<doi:string,title:string,abstractText:string>").alias("r")).where("r is not null")
+    return r.select("id", "ord", F.lower("r.doi").alias("doi"), "r.title", text.strip_html(F.col("r.abstractText")).alias("abstract"))
+
+
+def csl_abstracts(records: DataFrame) -> DataFrame:
+    """(id, abstract) of citation records that DOIs resolve to."""
+    r = records.select("id", F.get_json_object("record", "$.abstract").alias("abstract"))
+    return r.where(text.has_text(F.col("abstract"))).select("id", text.strip_html(F.col("abstract")).alias("abstract"))
+
+
+def arxiv_page(get: Callable[[str], tuple[int, str]], number: str, address: str | None = None) -> tuple[str, str]:
+    """(address, page) of a paper: of the given address, the archive's own page and its mirror, the first that has one."""
+    # Where pages are, from what status on an answer is an error, and of how many characters a page has more.
+    places = ("https://arxiv.org/html/{}", "https://ar5iv.labs.arxiv.org/html/{}")
+    for at in [*filter(None, [address]), *(p.format(number) for p in places)]:
+        status, page = get(at)
+        if status < 400 and len(page) > 1000:
+            return at, page
+    raise LookupError(f"no page for {number}")
+
+
+def standardize_crossref(records: DataFrame, column: str = "record") -> DataFrame:
+    """(id, title, year, venue) of works; of titles, containers and dates the first."""
+    schema = "struct<title:array<string>,`container-title`:array<string>,issued:struct<`date-parts`:array<array<int>>>>"
+    r = records.select("id", F.from_json(column, schema).alias("r")).where("r is not null")
+    return r.select("id", F.get("r.title", F.lit(0)).alias("title"), F.get(F.get("r.issued.date-parts", F.lit(0)), F.lit(0)).alias("year"), F.get("r.container-title", F.lit(0)).alias("venue"))
+
+
 def standardize_s2(records: DataFrame, column: str = "record") -> DataFrame:
     """Paper columns of records with title, year, venue, authors, corpusId and externalIds."""
     schema = "struct<title:string,year:int,venue:string,authors:array<struct<name:string,authorId:string>>,corpusId:string,externalIds:map<string,string>>"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
 import json
+from collections.abc import Callable
 from pathlib import Path
 from xml.sax.saxutils import escape, quoteattr
 
@@ -10,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions import text
+from citeloom.operators.graph import cut_lineage
+from citeloom.operators.labels import numbered_batches
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -81,16 +86,44 @@ def write_gexf(nodes: DataFrame, edges: DataFrame, path: str, colors: dict[str,
 
 
 def write_cx(nodes: DataFrame, edges: DataFrame, path: str, name: str) -> None:
-    """CX JSON; nodes are numbered in order of their id and named by their title."""
-    number: dict[str, int] = {}
-    node_rows, attributes = [], []
-    for k, r in enumerate(nodes.orderBy("paper_id").toLocalIterator()):
-        number[r["paper_id"]] = k
-        node_rows.append({"@id": k, "n": r["title"] or str(r["paper_id"]), "r": str(r["paper_id"])})
-        attributes += [{"po": k, "n": c, "v": str(r[c])} for c in nodes.columns if c not in ("paper_id", "title") and r[c] not in (None, "")]
-    pairs = [(r["src"], r["dst"]) for r in edges.orderBy("src", "dst").toLocalIterator()]
-    edge_rows = [{"@id": k, "s": number[a], "t": number[b], "i": "cites"} for k, (a, b) in enumerate(pairs) if a in number and b in number]
-    Path(path).write_text(json.dumps([{"networkAttributes": [{"n": "name", "v": name}]}, {"nodes": node_rows}, {"edges": edge_rows}, {"nodeAttributes": attributes}], ensure_ascii=False), encoding="utf-8")
+    """CX JSON; nodes are numbered in order of their id and named by their title. Rows are written one after the other.
+
+    The numbers of the ends of edges come from joins, so the driver holds no list of nodes.
+    """
+    numbered = numbered_batches(nodes, [F.col("paper_id")], 1).select(*nodes.columns, F.col("place").alias("__n"))
+    numbered = cut_lineage(numbered)
+    ids = numbered.select("paper_id", "__n")
+    pairs = edges.join(ids.toDF("src", "__s"), "src").join(ids.toDF("dst", "__t"), "dst").orderBy("src", "dst")
+    extra = [c for c in nodes.columns if c not in ("paper_id", "title")]
+
+    def aspect(out, key: str, rows) -> None:
+        out.write(f',\n{{"{key}": [')
+        for k, row in enumerate(rows):
+            out.write((",\n" if k else "\n") + json.dumps(row, ensure_ascii=False))
+        out.write("\n]}")
+
+    ordered = numbered.orderBy("__n")
+    with Path(path).open("w", encoding="utf-8") as out:
+        out.write(json.dumps([{"networkAttributes": [{"n": "name", "v": name}]}], ensure_ascii=False)[:-1])
+        aspect(out, "nodes", ({"@id": r["__n"], "n": r["title"] or str(r["paper_id"]), "r": str(r["paper_id"])} for r in ordered.toLocalIterator()))
+        aspect(out, "edges", ({"@id": k, "s": r["__s"], "t": r["__t"], "i": "cites"} for k, r in enumerate(pairs.toLocalIterator())))
+        aspect(out, "nodeAttributes", ({"po": r["__n"], "n": c, "v": str(r[c])} for r in ordered.toLocalIterator() for c in extra if r[c] not in (None, "")))
+        out.write("]")
+
+
+def write_web_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """The JSON of a web viewer: nodes (paper_id, title, year, venue, category, x, y, size, degree) and pairs of their numbers."""
+    numbered = cut_lineage(numbered_batches(nodes, [F.col("paper_id")], 1).select(*nodes.columns, F.col("place").alias("__n")))
+    ids = numbered.select("paper_id", "__n")
+    pairs = edges.join(ids.toDF("src", "__s"), "src").join(ids.toDF("dst", "__t"), "dst").orderBy("__s", "__t")
+    with Path(path).open("w", encoding="utf-8") as out:
+        out.write('{"nodes": [')
+        for k, r in enumerate(numbered.orderBy("__n").drop("__n").toLocalIterator()):
+            out.write((",\n" if k else "\n") + json.dumps(r.asDict(), ensure_ascii=False))
+        out.write('\n], "edges": [')
+        for k, r in enumerate(pairs.toLocalIterator()):
+            out.write(("," if k else "") + f"[{r['__s']},{r['__t']}]")
+        out.write("]}\n")
 
 
 def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -99,13 +132,141 @@ def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
 
 
+def write_checksums(folder: str, names: list[str]) -> None:
+    """SHA256SUMS of files of a folder, in the order of their names given."""
+    lines = [f"{hashlib.sha256((Path(folder) / n).read_bytes()).hexdigest()}  {n}" for n in names]
+    (Path(folder) / "SHA256SUMS").write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def write_table(rows: DataFrame, path: str, *order: str) -> int:
+    """One CSV file with a header and empty cells for nulls, row after row. Returns the rows written."""
+    n = 0
+    with Path(path).open("w", encoding="utf-8", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(rows.columns)
+        for n, r in enumerate(rows.orderBy(*order).toLocalIterator(), 1):
+            writer.writerow(["" if x is None else x for x in r])
+    return n
+
+
+def write_release(nodes: DataFrame, edges: DataFrame, stats: DataFrame, folder: str, version: str = "v1") -> dict:
+    """The files of a released graph: tables, GraphML, statistics, a page about them, and checksums. Returns the statistics."""
+    where = Path(folder)
+    found = {"version": version, **stats.first().asDict()}
+    sizes = {"nodes": found["nodes"], "edges": found["edges"], "isolated nodes": found["isolated_nodes"], "nodes of the largest component": found["largest"], "self-loops removed": found["self_loops_removed"]}
+    where.mkdir(parents=True, exist_ok=True)
+    write_page(f"{folder}/README.md", "\n".join([f"# Citation graph {version}", "", *(f"- {n:,} {name}" for name, n in sizes.items()), ""]))
+    write_table(nodes, f"{folder}/nodes.csv", "paper_id")
+    write_table(edges.select(F.col("src").alias("source"), F.col("dst").alias("target"), F.lit("cites").alias("relation")), f"{folder}/edges.csv", "source", "target")
+    write_graphml(nodes, edges, f"{folder}/network.graphml")
+    (where / "stats.json").write_text(json.dumps(found, indent=2) + "\n", encoding="utf-8")
+    write_checksums(folder, ["nodes.csv", "edges.csv", "network.graphml", "stats.json", "README.md"])
+    return found
+
+
+def write_pages(lines: DataFrame, folder: str) -> int:
+    """Pages of (page, place, line) rows, each written line after line. Returns the pages written.
+
+    All pages are looked at first, so one edited by hand stops the run before anything changes; generated pages of the
+    folders written to that are no more go.
+    """
+    names = [r["page"] for r in lines.select("page").distinct().toLocalIterator()]
+    folders = {(Path(folder) / n).parent for n in names}
+    old = [p for f in folders if f.exists() for p in f.glob("*.md")]
+    for p in old:
+        if not _generated(p):
+            raise FileExistsError(f"{p} was edited by hand")
+    for f in folders:
+        f.mkdir(parents=True, exist_ok=True)
+    out, at = None, None
+    for r in lines.orderBy("page", "place").toLocalIterator():
+        if r["page"] != at:
+            if out:
+                out.close()
+            at = r["page"]
+            out = (Path(folder) / at).open("w", encoding="utf-8")
+            out.write(MARKER + "\n")
+        out.write(("\n" if r["line"].startswith("#") else "") + r["line"] + "\n" + ("" if r["line"].startswith(("- ", "|")) else "\n"))
+    if out:
+        out.close()
+    kept = {Path(folder) / n for n in names}
+    for p in old:
+        if p not in kept:
+            p.unlink()
+    return len(names)
+
+
+def write_neighbourhood(nodes: DataFrame, edges: DataFrame, page: str, folder: str, name: str) -> dict:
+    """A neighbourhood's nodes and edges as JSON lines and its summary page. Returns the counts."""
+    where = Path(folder)
+    where.mkdir(parents=True, exist_ok=True)
+    counts = {}
+    for kind, rows in (("nodes", nodes.orderBy("paper_id")), ("edges", edges.orderBy("source", "target", "relation"))):
+        with (where / f"{name}.{kind}.jsonl").open("w", encoding="utf-8") as out:
+            counts[kind] = 0
+            for r in rows.toLocalIterator():
+                out.write(json.dumps(r.asDict(True), ensure_ascii=False, sort_keys=True) + "\n")
+                counts[kind] += 1
+    (where / f"{name}.md").write_text(page, encoding="utf-8")
+    return counts
+
+
+def write_batches(numbered: DataFrame, folder: str, prefix: str = "batch", start: int | None = None) -> int:
+    """Numbered batches as JSON arrays, a file each, row after row. Without `start` older files go; else they stay.
+
+    numbered has `batch` and what a file shall hold. Returns the files written.
+    """
+    where, n, at, out = Path(folder), 0, None, None
+    where.mkdir(parents=True, exist_ok=True)
+    if start is None:
+        for old in where.glob(f"{prefix}_*.json"):
+            old.unlink()
+    columns = [c for c in numbered.columns if c != "batch"]
+    for r in numbered.orderBy("batch", *[c for c in ("place",) if c in numbered.columns]).toLocalIterator():
+        if r["batch"] != at:
+            if out:
+                out.write("\n]\n")
+                out.close()
+            at, n = r["batch"], n + 1
+            out = (where / f"{prefix}_{at + (start or 0):04d}.json").open("w", encoding="utf-8")
+            out.write("[\n")
+        else:
+            out.write(",\n")
+        out.write(json.dumps({c: r[c] for c in columns if c != "place"}, ensure_ascii=False))
+    if out:
+        out.write("\n]\n")
+        out.close()
+    return n
+
+
+def upserted(rows: DataFrame, client: Callable[[], Callable[[str, list[dict]], None]], statement: str, size: int = 500) -> None:
+    """Sends rows to a graph database in batches, from the tasks that hold them. The statement has to be idempotent (a merge),
+    as a lost task is run again; client() makes a connection in the task, which takes a statement and rows."""
+
+    def send(part) -> None:
+        run, batch = client(), []
+        for r in part:
+            batch.append(r.asDict(True))
+            if len(batch) >= size:
+                run(statement, batch)
+                batch = []
+        if batch:
+            run(statement, batch)
+
+    rows.foreachPartition(send)
+
+
 MARKER = "<!-- generated page; do not edit -->"
 
 
+def _generated(path: Path) -> bool:
+    return path.read_text(encoding="utf-8").startswith(MARKER)
+
+
 def write_page(path: str, body: str) -> None:
     """Writes a page, unless a file without the marker, so one edited by hand, is there."""
     where = Path(path)
-    if where.exists() and MARKER not in where.read_text(encoding="utf-8"):
+    if where.exists() and not _generated(where):
         raise FileExistsError(f"{path} was edited by hand")
     where.parent.mkdir(parents=True, exist_ok=True)
     where.write_text(f"{MARKER}\n{body}", encoding="utf-8")
@@ -116,5 +277,5 @@ def sync_pages(folder: str, pages: dict[str, str]) -> None:
     for name, body in pages.items():
         write_page(f"{folder}/{name}", body)
     for old in Path(folder).glob("*.md"):
-        if old.name not in pages and MARKER in old.read_text(encoding="utf-8"):
+        if old.name not in pages and _generated(old):
             old.unlink()

@@ -16,9 +16,50 @@ def stream_log(spark: SparkSession, folder: str, schema: str, files_a_batch: int
     return spark.readStream.schema(schema).option("mode", "DROPMALFORMED").option("maxFilesPerTrigger", files_a_batch).json(folder)
 
 
-def first_wins(stream: DataFrame, key: str = "paper_id") -> DataFrame:
-    """The first row of each key. No watermark: a key stays known for ever, as late rows must not come back."""
-    return stream.dropDuplicates([key])
+def first_wins(state_path: str, key: str = "paper_id", order: str = "ord") -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: keeps the first row of each key, that of the least `order`, also if it comes in a later batch.
+
+    No watermark: a key stays known for ever, as late rows must not come back. Versions are kept as by upsert_labels.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        rest = [c for c in batch.columns if c != key]
+        rows = _with_state(batch, state_path, number).where(F.col(key).isNotNull())
+        kept = rows.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("x")).select(key, "x.*")
+        _next_state(kept.select(*batch.columns), state_path, number)
+
+    return run
+
+
+def _versions(spark: SparkSession, state_path: str) -> list[int]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(state_path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    # a version counts once its job has marked it as whole
+    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v=*/_SUCCESS"))
+    return sorted(int(s.getPath().getParent().getName()[2:]) for s in done)
+
+
+def _with_state(batch: DataFrame, state_path: str, number: int) -> DataFrame:
+    """The batch's rows and the state before it: the last whole version below `number`. Batch 0 begins without one; a later
+    batch that finds none raises, as its state was lost."""
+    spark = batch.sparkSession
+    before = [v for v in _versions(spark, state_path) if v < number]
+    if before:
+        return batch.unionByName(spark.read.schema(batch.schema).parquet(f"{state_path}/v={before[-1]}"))
+    if number:
+        raise RuntimeError(f"no state before batch {number} in {state_path}")
+    return batch
+
+
+def _next_state(rows: DataFrame, state_path: str, number: int) -> None:
+    """Writes version `number`; of older ones the last stays, for a batch that is run again."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{state_path}/v={number}")
+    for old in [v for v in _versions(spark, state_path) if v < number][:-1]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v={old}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def upsert_labels(state_path: str) -> Callable[[DataFrame, int], None]:
@@ -28,14 +69,11 @@ def upsert_labels(state_path: str) -> Callable[[DataFrame, int], None]:
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("paper_id", "category", "tier", "confidence", "classified_at", "is_core", "ord")
-        before = f"{state_path}/v={number - 1}"
-        if number and path_exists(spark, before):
-            rows = rows.unionByName(spark.read.parquet(before))
+        columns = ["category", "tier", "confidence", "classified_at", "is_core", "ord"]
+        rows = _with_state(batch.select("paper_id", *columns), state_path, number)
         rank = F.struct(F.coalesce("tier", F.lit(-1)), F.coalesce(F.col("classified_at").cast("string"), F.lit("")), -F.col("ord"))
-        kept = rows.where("paper_id is not null").groupBy("paper_id").agg(F.max_by(F.struct("category", "tier", "confidence", "classified_at", "is_core", "ord"), rank).alias("x"))
-        kept.select("paper_id", "x.*").write.mode("overwrite").parquet(f"{state_path}/v={number}")
+        kept = rows.where("paper_id is not null").groupBy("paper_id").agg(F.max_by(F.struct(*columns), rank).alias("x"))
+        _next_state(kept.select("paper_id", "x.*"), state_path, number)
 
     return run
 
