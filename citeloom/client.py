@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import fixed, text
 from citeloom.operators import citations, labels, papers, titles
-from citeloom.sources import records
+from citeloom.sources import records, settings
 
 VERSION = "1.0"
 
@@ -186,16 +186,18 @@ class Warehouse:
     def _named(self, rows: DataFrame, name: str) -> list[str]:
         return sorted(r["paper_id"] for r in rows.where(F.col("name") == name.strip().lower()).select("paper_id").collect())
 
+    @cached_property
+    def clusters(self) -> DataFrame:
+        """(paper_id, cluster_id) of the clusters file, if there is one."""
+        return self._canonical(settings.read_clusters(self.spark, f"{self.data}/graph/clusters.yaml"), "paper_id").cache()
+
     def node_stats(self, paper_id: str) -> dict | None:
         canonical = self.canon(paper_id)
         mine = lambda df: df.where(F.col("paper_id") == canonical)
         near = self.edges.where((F.col("src") == canonical) | (F.col("dst") == canonical))
         nodes = mine(self.papers.select("paper_id", "citation_count").join(self.node_types, "paper_id", "full"))
-        row = mine(citations.node_stats(near, mine(self.labels), nodes)).first()
-        if row is None:
-            return None
-        confirmed = not mine(self.confirmed).isEmpty()
-        return {k: row[k] for k in ("in_degree", "out_degree", "node_type", "is_core", "citation_count")} | {"is_confirmed": confirmed}
+        row = mine(citations.node_stats(near, mine(self.labels), nodes, mine(self.clusters), mine(self.confirmed))).first()
+        return row and {k: row[k] for k in ("in_degree", "out_degree", "node_type", "cluster_id", "is_core", "is_confirmed", "citation_count")}
 
     def fulltext_path(self, paper_id: str) -> str | None:
         row = self.corpus.where(F.col("paper_id") == self.canon(paper_id)).first()
@@ -207,9 +209,32 @@ class Warehouse:
     def has_fulltext_index(self) -> DataFrame:
         return self.corpus
 
+    def _lines(self, path: str) -> int:
+        """Lines of a file, counted without reading them as records; a missing file has none."""
+        return self.spark.read.text(path).count() if records.path_exists(self.spark, path) else 0
+
+    def _last_write(self) -> str | None:
+        """The day of the last change of the logs, in UTC."""
+        names = ("discovered_papers.jsonl", "citations.jsonl", "classifications_7cat.jsonl", "id_aliases.jsonl")
+        found = [f for n in names if records.path_exists(self.spark, f := f"{self.data}/{n}")]
+        if not found:
+            return None
+        last = self.spark.read.format("binaryFile").load(found).agg(F.max("modificationTime").alias("t"))
+        return last.select(F.date_format(F.to_utc_timestamp("t", F.current_timezone()), "yyyy-MM-dd")).first()[0]
+
+    def _audit_metric(self) -> str | None:
+        path = f"{self.data}/api_audit_metric.json"
+        if not records.path_exists(self.spark, path):
+            return None
+        row = self.spark.read.text(path, wholetext=True).select(F.get_json_object("value", "$.audit_metric")).first()
+        return row and row[0]
+
     def health(self) -> dict:
-        totals = {"classifications": self.labels, "papers": self.papers, "citations": self.edges, "corpus_papers": self.corpus}
-        return {"totals": {k: v.count() for k, v in totals.items()}, "layer_version": VERSION, "data_root": self.data, "corpus_root": self.corpus_root, "slim": self.slim}
+        """Totals of what was loaded before, and else of lines, so that a health check loads nothing but labels."""
+        own = {"papers": (f"{self.data}/discovered_papers.jsonl", "papers"), "citations": (f"{self.data}/citations.jsonl", "edges"), "authors": (f"{self.data}/authors.jsonl", None), "corpus_papers": (f"{self.corpus_root}/INDEX.jsonl", "corpus")}
+        totals = {k: getattr(self, index).count() if index in vars(self) else self._lines(path) for k, (path, index) in own.items()}
+        about = {"layer_version": VERSION, "data_root": self.data, "corpus_root": self.corpus_root, "slim": self.slim}
+        return {"totals": {"classifications": self.labels.count(), **totals}, "last_data_write": self._last_write(), "audit_metric": self._audit_metric(), **about}
 
     def reducer_spec(self) -> dict:
         return {

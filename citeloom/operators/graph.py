@@ -34,6 +34,15 @@ def folder_exists(spark: SparkSession, name: str) -> bool:
     return files.exists(where)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new, empty folder in the shared folder, which goes with all that was written there when the application ends."""
+    made = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    where, files = _path(spark, made)
+    files.mkdirs(where)  # only what is there can be marked
+    files.deleteOnExit(where)
+    return made
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder as a table and read again.
 
@@ -41,10 +50,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     multiplies with every join of a loop. The table goes when the application ends, or with drop_kept().
     """
     spark = df.sparkSession
-    name = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(name)
-    where, files = _path(spark, name)
-    files.deleteOnExit(where)
+    name = scratch(spark, "kept")
+    df.write.mode("append").parquet(name)
     kept = spark.read.schema(df.schema).parquet(name)
     kept._kept_in = name
     return kept

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.operators import labels as L
-from citeloom.operators.graph import shared_folder
+from citeloom.operators.graph import scratch
 from citeloom.streaming import logs
 
 from .registry import query, table
@@ -173,7 +171,7 @@ def unclassified_papers(spark, sf_dir):
 def incremental_labels(spark, sf_dir):
     """The log in three parts, as batches of a stream: the same as reducing it at once."""
     log = label_log(spark, sf_dir)
-    state = f"{shared_folder(spark)}/labels-{uuid.uuid4().hex}"
+    state = scratch(spark, "labels")
     add = logs.upsert_labels(state)
     for part in range(3):
         add(log.where(F.col("ord") % 3 == part), part)

@@ -112,19 +112,20 @@ def called(ids: DataFrame, column: str, service: str, call: str, transport: Call
     path, params, where = CALLS[service, call]
     rate = CALLS_A_MINUTE.get(service, 60) / partitions
 
-    def ask(frames):
-        import pandas as pd
+    def ask(parts):
+        import pyarrow as pa
 
         get, pace = transport(), Pace(rate)
-        for frame in frames:
-            for i in frame["id"]:
+        for part in parts:
+            for i in part.column(0).to_pylist():
                 pace.wait()
                 filled = {k: v.format(id=i, limit=limit) for k, v in params.items()}
                 found = records_in(fetch(get, path.format(id=i), filled), where)[:limit]
-                yield pd.DataFrame({"id": [i] * len(found), "ord": range(len(found)), "record": [json.dumps(r) for r in found]})
+                columns = [pa.array([i] * len(found), pa.string()), pa.array(range(len(found)), pa.int64()), pa.array([json.dumps(r) for r in found], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "ord", "record"])
 
     wanted = ids.select(F.col(column).cast("string").alias("id")).where("id is not null").distinct().repartition(partitions)
-    return wanted.mapInPandas(ask, "id string, ord long, record string")
+    return wanted.mapInArrow(ask, "id string, ord long, record string")
 
 
 def first_answer(ids: DataFrame, column: str, calls: list[tuple[str, str, Callable[[DataFrame], DataFrame]]], transport: Callable[[], Transport]) -> DataFrame:
@@ -182,6 +183,15 @@ def standardize_s2(records: DataFrame, column: str = "record") -> DataFrame:
     return r.select("id", "r.title", "r.year", "r.venue", F.transform("r.authors", lambda a: a["name"]).alias("authors"), doi.alias("doi"), corpus.alias("corpus_id"), F.lit(None).cast("string").alias("openalex_id"))
 
 
+def standardize_s2_rows(records: DataFrame) -> DataFrame:
+    """(id, ord, title, year, authors, abstract, doi, corpus_id, arxiv) of the records of called(), each on a row."""
+    schema = "struct<title:string,year:int,authors:array<struct<name:string>>,abstract:string,corpusId:string,externalIds:map<string,string>>"
+    r = records.select("id", "ord", F.from_json("record", schema).alias("r")).where("r is not null")
+    ids = F.col("r.externalIds")
+    corpus = F.coalesce(ids["CorpusId"], "r.corpusId")
+    return r.select("id", "ord", "r.title", "r.year", F.transform("r.authors", lambda a: a["name"]).alias("authors"), "r.abstract", ids["DOI"].alias("doi"), corpus.alias("corpus_id"), ids["ArXiv"].alias("arxiv"))
+
+
 def standardize_openalex(records: DataFrame, column: str = "record") -> DataFrame:
     """The same columns of works; the venue is the host's, else the primary location's."""
     schema = "struct<id:string,title:string,publication_year:int,doi:string,host_venue:struct<display_name:string>,primary_location:struct<source:struct<display_name:string>>,authorships:array<struct<author:struct<display_name:string>>>>"

@@ -21,6 +21,37 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def _plain(value):
+    return {k: _plain(v) for k, v in value.items() if v is not None} if isinstance(value, dict) else value
+
+
+def append_lines(df: DataFrame, path: str) -> int:
+    """Appends rows to one log file of a warehouse on this machine, one after the other. Returns the rows written."""
+    n = 0
+    with Path(path).open("a", encoding="utf-8") as out:
+        for n, r in enumerate(df.toLocalIterator(), 1):
+            out.write(json.dumps(_plain(r.asDict(True)), ensure_ascii=False) + "\n")
+    return n
+
+
+def write_lines(df: DataFrame, path: str, *order: str) -> int:
+    """The same into a new file that takes the old one's place when it is whole."""
+    fresh = Path(path + ".new")
+    fresh.unlink(missing_ok=True)
+    n = append_lines(df.orderBy(*order) if order else df, str(fresh))
+    fresh.replace(path)
+    return n
+
+
+def replace_line(path: str, record: dict, key: str = "paper_id") -> None:
+    """Puts a record into a log in place of those with its key in any case."""
+    where = Path(path)
+    lines = where.read_text(encoding="utf-8").splitlines() if where.exists() else []
+    kept = [x for x in lines if x.strip() and str(json.loads(x).get(key, "")).lower() != str(record[key]).lower()]
+    where.parent.mkdir(parents=True, exist_ok=True)
+    where.write_text("\n".join([*kept, json.dumps(record, ensure_ascii=False)]) + "\n", encoding="utf-8")
+
+
 def overwrite_log(df: DataFrame, path: str, *order: str) -> None:
     (df.orderBy(*order) if order else df).write.mode("overwrite").json(path)
 

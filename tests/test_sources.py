@@ -163,9 +163,14 @@ def test_streams(spark, tmp_path):
     got = {r.paper_id: r.category for r in St.labels_of_state(spark, state, 1).collect()}
     assert got == {"a": "x", "b": "w"}
 
-    first = St.first_wins(St.stream_log(spark, f"{tmp_path}/in", schema)).writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/ck2").start()
-    first.awaitTermination()
-    assert spark.table("firsts").count() == 2
+    first = St.stream_log(spark, f"{tmp_path}/in", schema, files_a_batch=1).writeStream.foreachBatch(St.first_wins(f"{tmp_path}/firsts"))
+    first.trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/ck2").start().awaitTermination()
+    assert sorted((r.paper_id, r.category) for r in spark.read.parquet(f"{tmp_path}/firsts/v=1").collect()) == [("a", "x"), ("b", "y")]
+    # a batch that is run again gives the same, one whose state was lost is an error
+    St.first_wins(f"{tmp_path}/firsts")(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(f"{tmp_path}/in/2.json"), 1)
+    assert sorted((r.paper_id, r.category) for r in spark.read.parquet(f"{tmp_path}/firsts/v=1").collect()) == [("a", "x"), ("b", "y")]
+    with pytest.raises(RuntimeError):
+        St.first_wins(f"{tmp_path}/lost")(spark.read.schema(schema).json(f"{tmp_path}/in"), 3)
 
     seen = []
     for k in range(2):
