@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from citeloom.operators.graph import cut_lineage
 
 #: Rows of one Arrow batch are handed on in slices of about this many bytes, so that Python objects stay bounded.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Keys that a spread join broadcasts, at most.
 HOT_KEYS = 1024

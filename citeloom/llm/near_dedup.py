@@ -61,7 +61,7 @@ SWEEP_HUBS = 4
 #: Rows of the last round's join for each node of the corpus, at most; before that, further rounds have fewer.
 PAIRS_A_NODE = 5
 _POOL = 1 << 12
-_KEPT_WORDS = 1 << 20
+_KEPT_WORDS = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
 
 

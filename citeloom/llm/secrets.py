@@ -16,14 +16,13 @@ stays null; empty tables give no rows; other columns are ignored; spans of two r
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.operators.graph import folder_exists, shared_folder
+from citeloom.operators.graph import folder_exists, scratch
 
 from .common import checkpointed, spread_join, table
 
@@ -158,8 +157,8 @@ def scan_ledger(
 def scanned(versions: DataFrame, folder: str | None = None, **more) -> DataFrame:
     """The ledger in the folder after all blobs of the versions were scanned that it lacked. A new folder has no ledger yet."""
     spark = versions.sparkSession
-    folder = folder or f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
-    ledger = spark.read.schema(LEDGER).parquet(folder) if folder_exists(spark, folder) else None
+    ledger = spark.read.schema(LEDGER).parquet(folder) if folder and folder_exists(spark, folder) else None
+    folder = folder or scratch(spark, "ledger")
     scan_ledger(versions, ledger, **more).write.mode("append").parquet(folder)
     return spark.read.schema(LEDGER).parquet(folder)
 
