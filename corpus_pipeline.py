@@ -1,19 +1,18 @@
 """The corpus pipeline: quality, near duplicates, decontamination, secrets, and the mix.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that it is given, and returns the columns of documents; the last
-one adds the places in the mix. Between stages the rows are written as Parquet to the shared folder and read again.
+one adds the places in the mix. Between stages the rows are written as Parquet to the shared folder and read again; they go
+when the application ends, as the last stage's rows are read by whoever runs the pipeline.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import decontaminate, mixing, near_dedup, quality, secrets
 from citeloom.llm.common import guarded, table
-from citeloom.operators.graph import shared_folder
+from citeloom.operators.graph import scratch
 
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -64,7 +63,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    place = scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}-{name}")
