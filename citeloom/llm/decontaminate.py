@@ -6,7 +6,8 @@ one length form a matcher: the shift table says, for a block of two words, how f
 confirms. On text without benchmark words a search of 13-word windows looks at every twelfth word.
 
 The windows are broadcast in blocks of items whose texts have a checked size (`block_bytes`). A benchmark beyond one block
-is searched block after block, with the hits so far kept in a checkpoint, so no task ever holds more than one block.
+is searched block after block, each in a pass over the documents that writes its hits alone, and the hits of all blocks are
+joined to the documents in the end; so no task ever holds more than one block.
 
 Defined cases: a null or empty text has no words, no hits and isn't contaminated; null and wordless items have no windows;
 items of equal text are all reported; a null item_id is searched but not reported; repeated documents are judged
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,7 @@ WINDOW_WORDS = 13
 BLOCK_BYTES = 8 << 20
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+FOUND = [T.StructField("n_words", T.LongType()), T.StructField("hit_spans", SPANS), T.StructField("hit_items", T.ArrayType(T.StringType()))]
 SPANS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -97,20 +99,17 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _searched(docs: DataFrame, items: list, keep: list[str], text: str, first: bool, window: int) -> DataFrame:
+def _searched(docs: DataFrame, items: list, keep: list[str], text: str, window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def setup():
         searcher = Searcher(shared.value, window)
 
-        def run(texts, *before):
+        def run(texts):
             counts, spans, found = [], [], []
-            for at, value in enumerate(texts.to_pylist()):
+            for value in texts.to_pylist():
                 words = split_words(value)
                 runs, names = searcher.search(words)
-                if before:
-                    runs = merged([*runs, *((s["start"], s["end"]) for s in before[0][at].as_py())])
-                    names |= set(before[1][at].as_py())
                 counts.append(len(words))
                 spans.append([{"start": s, "end": e} for s, e in runs])
                 found.append(sorted(names))
@@ -118,12 +117,28 @@ def _searched(docs: DataFrame, items: list, keep: list[str], text: str, first: b
 
         return run
 
-    fields = [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("hit_spans", SPANS),
-        T.StructField("hit_items", T.ArrayType(T.StringType())),
-    ]
-    return arrow_map(docs, [text] if first else [text, "hit_spans", "hit_items"], keep, fields, setup)
+    return arrow_map(docs, [text], keep, FOUND, setup)
+
+
+def _block_after_block(docs: DataFrame, items: DataFrame, blocks: int, of_block: Column, keep: list[str], text: str, window: int) -> DataFrame:
+    """The same for items of several blocks. Documents get a row number and are written once; a block adds its hits alone."""
+    spread = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])]).withColumn("__row", F.monotonically_increasing_id())
+    rows, hits = checkpointed(spread), None
+    for block in range(blocks):
+        here = [tuple(r) for r in items.where(of_block == block).collect()]  # one block's size
+        part = _searched(rows, here, ["__row"], text, window).where(F.size("hit_spans") > 0).select("__row", "hit_spans", "hit_items")
+        part = checkpointed(part)
+        hits = part if hits is None else hits.unionByName(part)
+    each = hits.groupBy("__row").agg(F.flatten(F.collect_list("hit_spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("hit_items"))
+
+    def setup():
+        return lambda spans: [pa.array([[{"start": s, "end": e} for s, e in merged([(x["start"], x["end"]) for x in own])] for own in spans.to_pylist()], SPANS_ARROW)]
+
+    each = checkpointed(arrow_map(each, ["spans"], ["__row", "hit_items"], FOUND[1:2], setup))
+    counted = arrow_map(rows, [text], [*keep, "__row"], FOUND[:1], lambda: lambda texts: [pa.array([len(split_words(t)) for t in texts.to_pylist()], pa.int64())])
+    joined = counted.join(each, "__row", "left")
+    empty = [F.coalesce(f.name, F.array().cast(f.dataType)).alias(f.name) for f in FOUND[1:]]
+    return joined.select(*keep, "n_words", *empty)
 
 
 def contamination(
@@ -142,13 +157,10 @@ def contamination(
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     of_block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    found = docs
-    for block in range(blocks):
-        here = [tuple(r) for r in items.where(of_block == block).collect()]
-        more = block + 1 < blocks
-        found = _searched(found, here, [*dict.fromkeys([*keep, text])] if more else keep, text, block == 0, window)
-        if more:
-            found = checkpointed(found)
+    if blocks > 1:
+        found = _block_after_block(docs, items, blocks, of_block, keep, text, window)
+    else:
+        found = _searched(docs, [tuple(r) for r in items.collect()], keep, text, window)
     n_hit = F.expr("aggregate(hit_spans, 0L, (n, s) -> n + s.end - s.start)")
     return found.select(
         *keep, "n_words", "hit_spans", "hit_items", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items")

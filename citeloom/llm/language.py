@@ -186,9 +186,9 @@ def fitted(docs: DataFrame, *, per_language: int = PER_LANGUAGE) -> Model:
     """Learns from about `per_language` documents of each language that aren't held out."""
     known = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1.0, per_language / n))) for x, n in sorted(sizes.items())], F.lit(0.0))
+    shares = docs.sparkSession.createDataFrame([(x, min(1.0, per_language / n)) for x, n in sorted(sizes.items())], "lang string, share double")
     place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_003)) / 1_000_003.0
-    sample = known.where(place < share).select("lang", "text")
+    sample = known.join(F.broadcast(shares), "lang").where(place < F.col("share")).select("lang", "text")  # a row a language
 
     def count(batches):
         sums: dict[str, list[np.ndarray]] = {}

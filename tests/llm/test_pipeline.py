@@ -2,9 +2,13 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline as cp
 import __spark_entry__ as entry
+from citeloom.llm import mixing, quality
 
+from . import test_decontaminate, test_near_dedup, test_secrets
 from .helpers import changed, documents, words
 
 
@@ -55,6 +59,52 @@ def test_stages_and_whole(spark, tmp_path):
     assert len(whole) == len(kept["mix"])
 
 
+def naive_score(machine, text, n_chars):
+    """The machine's score with every pair of features on its own."""
+    slots, values = quality.features(text, n_chars)
+    raw = machine.bias + float((machine.linear[slots] * values).sum())
+    vectors = machine.factors[slots].astype(np.float64) * values[:, None].astype(np.float64)
+    raw += sum(float(vectors[i] @ vectors[j]) for i in range(len(slots)) for j in range(i))
+    return 1 / (1 + np.exp(-raw))
+
+
+def masked(text):
+    spans = sorted((s, e) for s, _, e in test_secrets.brute(text))
+    out, at = "", 0
+    for s, e in spans:
+        out += (text[at:s] + "[SECRET]") if s >= at and (s > at or not at) else ""
+        at = max(at, e)
+    return out + (text or "")[at:] if spans else text
+
+
+def test_whole_against_brute_force(spark, tmp_path):
+    """run() against every stage worked out plainly: all pairs of features, of documents, of words, and the schedule."""
+    place = str(tmp_path)
+    rows = tables(spark, place)
+    docs, labels = spark.read.parquet(f"{place}/documents.parquet"), spark.read.parquet(f"{place}/labels.parquet")
+    machine = quality.fitted(docs, labels)
+    left = {i: t for i, t, *_ in rows if naive_score(machine, t, len(t)) >= quality.THRESHOLD}
+    classes = test_near_dedup.brute(sorted(left.items()))
+    left = {i: t for i, t in left.items() if classes[i] == i}
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{place}/benchmark.parquet").collect()]
+    judged = {i: test_decontaminate.brute(t, bench) for i, t in left.items()}
+    left = {i: masked(t) for i, t in left.items() if not (judged[i][1] and 20 * judged[i][1] >= judged[i][0])}
+    found = cp.run(spark, place).collect()
+    assert {r.doc_id: r.text for r in found} == left and len(found) == len(left)
+    source = {i: s for i, _, _, s in rows}
+    names = sorted({source[i] for i in left})
+    sizes = [sum(len(left[i].encode()) for i in left if source[i] == s) for s in names]
+    blocks = [n // mixing.BLOCK_BYTES + 1 for n in sizes]
+    slots = {s: p[0] for s, p in zip(names, mixing.schedule(blocks, [int(n**0.5) for n in sizes]))}
+    for s in names:
+        mine = sorted((r for r in found if r.source == s), key=lambda r: (r.block_no, r.block_offset))
+        at = 0
+        for r in mine:
+            assert at == r.block_no * mixing.BLOCK_BYTES + r.block_offset
+            assert r["slot_" if "slot" in docs.columns else "slot"] == slots[s][r.block_no]
+            at += len(left[r.doc_id].encode())
+
+
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
