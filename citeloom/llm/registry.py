@@ -26,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express the whole result."""
-    return {"op1_decontaminate": decontaminate.OP1_SQL, "op5_secret_scan": secrets.OP5_SQL}
+    return {"op1_decontaminate": decontaminate.OP1_SQL, "op2_suffix_dedup": suffix_dedup.OP2_SQL, "op5_secret_scan": secrets.OP5_SQL}

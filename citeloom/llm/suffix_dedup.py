@@ -521,3 +521,19 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_strings(table(spark, sf_dir, "documents"))
     n_removed = F.expr("aggregate(removed, 0L, (n, s) -> n + s.end - s.start)")
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
+#: Every window by its bytes, the runs of those that start earlier too, and what is left between the runs.
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i AS start, md5_number(substr(h, 2 * i + 1, {2 * LENGTH})) AS s FROM d, unnest(range(0, n - {LENGTH - 1})) AS t(i) WHERE n >= {LENGTH}),
+r AS (SELECT doc_id, start FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, start) > 1),
+g AS (SELECT *, start > coalesce(lag(start) OVER (PARTITION BY doc_id ORDER BY start), -{LENGTH + 1}) + {LENGTH} AS fresh FROM r),
+i AS (SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM g),
+u AS (SELECT doc_id, min(start) AS s, max(start) + {LENGTH} AS e FROM i GROUP BY doc_id, run),
+v AS (SELECT *, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM u),
+k AS (SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last, string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS kept FROM v JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
