@@ -18,8 +18,10 @@ over all documents in hashed features (`IDF_SLOTS`), so the table has one size f
    where they are many for each node of the corpus, the keys are the buckets of another round. No pair is lost, and
    groups of copies that aren't similar enough are told apart without holding all against all.
 
-The share of all documents that a hashed feature holds doesn't depend on how many they are, so weights are alike at every
-size: a shingle of under 0.1 % of the documents (mean shingles by slots) counts as rare, a common one by its share.
+Shingles of under 1 % of all documents weigh alike (`RARE_SHARE`), so that an edit isn't worth more than the text around it
+and near copies keep their similarity; more common ones, such as those of licences and page furniture, weigh the less the more
+documents have them. By chance a hashed feature holds about 0.1 % of the documents (mean shingles by slots), whatever their
+number, so hashing doesn't show in the weights, and they are alike at every size of a corpus.
 
 Defined cases: null, empty and wordless texts are alone in a class of their own; a class is named by its smallest doc_id
 that isn't null, or null if all are; repeated rows of a document are repeated in the result and in one class; very long
@@ -47,6 +49,8 @@ SAMPLES = 64
 BAND_ROWS = 4
 BANDS = SAMPLES // BAND_ROWS
 IDF_SLOTS = 1 << 18
+#: Shingles of a smaller share of all documents are alike rare.
+RARE_SHARE = 0.01
 #: Counts of features leave a task in so many parts.
 IDF_PARTS = 64
 #: Pairs with one hub that a task verifies as one run, and the shingles beyond the hub that it holds of them, at most.
@@ -131,8 +135,9 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
 
 
 def idf_weights(n: int, frequencies: np.ndarray) -> np.ndarray:
-    """Square root of ln((1+N)/(1+df)) + 1, per feature."""
-    return np.sqrt(np.maximum(0.0, np.log((1.0 + n) / (1.0 + np.minimum(frequencies, n)))) + 1).astype(np.float32)
+    """Square root of ln((1+N)/(1+df)) + 1, per feature, with df of RARE_SHARE of all documents at least."""
+    often = np.maximum(np.minimum(frequencies, n), RARE_SHARE * n)
+    return np.sqrt(np.maximum(0.0, np.log((1.0 + n) / (1.0 + often))) + 1).astype(np.float32)
 
 
 def weighted(words: list[bytes], hashes: WordHashes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
