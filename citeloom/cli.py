@@ -8,6 +8,8 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.functions import text
+
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("citeloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -81,7 +83,7 @@ def house_call(spark, a):
 
 def audit(spark, a):
     from citeloom.client import Warehouse
-    from citeloom.functions import fixed, text
+    from citeloom.functions import fixed
     from citeloom.operators import citations, labels
     from citeloom.sources import records
 
@@ -120,7 +122,7 @@ def classify(spark, a):
         lines = spark.read.text(a.path, wholetext=True)
         rows = labels.normalized_answers(records.answers_in_text(lines))
         new = writers.insert_new(rows, log, ["paper_id"], F.xxhash64("paper_id", "category"))
-        writers.append_log(new.withColumn("classified_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")), log_path)
+        writers.append_log(new.withColumn("classified_at", text.now_iso()), log_path)
         _show({"read": rows.count()})
     elif a.command == "extract-logs":
         _show(_rows(records.answers_in_logs(spark.read.text(a.path)).distinct()))
@@ -147,7 +149,9 @@ def build_network(spark, a):
     full = nodes.join(tags, "paper_id", "left").na.fill(fixed.EXCLUDED_CATEGORY, ["category"]).join(house.papers, "paper_id", "left")
     writers.overwrite_log(full, f"{a.data}/network/nodes", "paper_id")
     writers.overwrite_log(edges.select(F.col("src").alias("from"), F.col("dst").alias("to")), f"{a.data}/network/edges")
-    _show(_rows(citations.network_stats(nodes, edges)))
+    stats = {**citations.network_stats(nodes, edges).first().asDict(), "categories": _rows(citations.category_distribution(nodes, tags, fixed.EXCLUDED_CATEGORY).orderBy("node_type", "category"))}
+    writers.write_json(f"{a.data}/network/stats.json", stats)
+    _show(stats)
 
 
 def _read(spark, a):
@@ -158,8 +162,6 @@ def _read(spark, a):
 
 def _flat_papers(spark, a):
     """papers.jsonl with plain identifiers, in the order of the log."""
-    from citeloom.functions import text
-
     rows = _read(spark, a)("papers.jsonl", _schema("PAPERS"))
     corpus = F.coalesce("corpusId", F.col("externalIds")["CorpusId"])
     doi = text.falsy_to_null(text.normalize_doi(F.coalesce("doi", F.col("externalIds")["DOI"])))
@@ -211,7 +213,6 @@ def init(spark, a):
 
 def ingest_seeds(spark, a, transport=_transport):
     """The first paper that a search finds for each seed, if the log doesn't have it."""
-    from citeloom.functions import text
     from citeloom.sources import records, services, settings, writers
 
     seeds = settings.read_seeds(spark, f"{a.data}/seeds.yaml")
@@ -223,7 +224,7 @@ def ingest_seeds(spark, a, transport=_transport):
         left = left.join(rows.select("id"), "id", "left_anti")
     paper = text.canonical_id(F.col("doi"), F.col("corpus_id"), F.col("openalex_id"), F.col("title"), F.col("year"), F.get("authors", F.lit(0)))
     rows = found.withColumn("paper_id", paper).join(seeds.withColumnRenamed("query", "id"), "id")
-    stamp = F.struct("source", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"), F.lit(float(confidence)).alias("confidence"))
+    stamp = F.struct("source", text.now_iso().alias("fetched_at"), F.lit(float(confidence)).alias("confidence"))
     known = records.read_log(spark, f"{a.data}/papers.jsonl", records.PAPERS, strict=False)
     new = writers.insert_new(rows, known, ["paper_id"], F.col("ord"))
     kept = new.select("paper_id", "title", F.col("year").cast("string").alias("year"), "venue", "doi", F.col("corpus_id").alias("corpusId"), "openalex_id", F.col("tag").alias("seed_tag"), "source", stamp.alias("provenance"))
@@ -254,7 +255,7 @@ def backfill_metadata(spark, a):
         _show(_rows(backfill.missing_counts(papers)))
         return
     last = papers.groupBy("paper_id").agg(F.max_by(F.struct(*[c for c in papers.columns if c != "paper_id"]), "ord").alias("x")).select("paper_id", "x.*")
-    filled = backfill.filled(last, backfill.mined_metadata(last, _responses(spark, a)), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"), 0.7)
+    filled = backfill.filled(last, backfill.mined_metadata(last, _responses(spark, a)), text.now_iso(), 0.7)
     _show({"filled": writers.append_lines(filled.drop("ord", "abstract").withColumn("year", F.col("year").cast("string")).withColumnRenamed("corpus_id", "corpusId"), f"{a.data}/papers.jsonl")})
 
 
@@ -341,7 +342,6 @@ def expand(spark, a):
 
 def enrich(spark, a, transport=_transport):
     """Metadata of papers that lack it, by DOI."""
-    from citeloom.functions import text
     from citeloom.operators import backfill
     from citeloom.sources import services, writers
 
@@ -350,13 +350,13 @@ def enrich(spark, a, transport=_transport):
     open_ = last.where(text.missing_metadata(F.col("title"), F.col("year"), F.col("venue")) & text.has_text(F.col("doi")))
     got = services.standardize_crossref(services.called(open_, "doi", "crossref", "paper", transport("crossref")))
     found = open_.select("paper_id", "doi").join(got.withColumnRenamed("id", "doi"), "doi").select("paper_id", "title", "year", "venue", F.lit("crossref").alias("source"))
-    filled = backfill.filled(last, found, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"), 0.7)
+    filled = backfill.filled(last, found, text.now_iso(), 0.7)
     _show({"enriched": writers.append_lines(filled.drop("ord", "abstract").withColumn("year", F.col("year").cast("string")).withColumnRenamed("corpus_id", "corpusId"), f"{a.data}/papers.jsonl")})
 
 
 def recursive_expand(spark, a, transport=_transport):
     """Neighbours of core papers not expanded yet; new ones are written to be judged."""
-    from citeloom.functions import fixed, text
+    from citeloom.functions import fixed
     from citeloom.operators import expansion, labels
     from citeloom.operators.graph import cut_lineage
     from citeloom.sources import records, services, writers
@@ -381,7 +381,7 @@ def recursive_expand(spark, a, transport=_transport):
         rows = data if rows is None else rows.unionByName(data)
     run = expansion.recursive_expansion(core, state, judged, known, ids, cut_lineage(rows))
     run = {k: cut_lineage(v) for k, v in run.items()}
-    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    stamp = text.now_iso()
     # the state goes last, so a run that was broken off is done again
     writers.append_lines(run["edges"].select(F.col("src").alias("from"), F.col("dst").alias("to"), F.lit("cites").alias("relation"), F.lit("s2_recursive_expand").alias("source"), stamp.alias("fetched_at")), f"{a.data}/citations.jsonl")
     writers.append_lines(expansion.discovered_records(run["discovered"], "s2_recursive_expand", stamp), f"{a.data}/discovered_papers.jsonl")

@@ -93,7 +93,11 @@ class Warehouse:
     def titles(self) -> DataFrame:
         return titles.tokenized(self.papers.withColumn("authors", F.transform("authors", lambda a: a["name"]))).cache()
 
-    INDEXES = ("aliases", "ids", "papers", "labels", "edges", "corpus", "node_types", "confirmed", "titles")
+    @cached_property
+    def title_postings(self) -> DataFrame:
+        return titles.postings(self.titles)
+
+    INDEXES = ("aliases", "ids", "papers", "labels", "edges", "corpus", "node_types", "confirmed", "titles", "title_postings")
 
     def warm(self, *names: str) -> None:
         for name in names or self.INDEXES:
@@ -115,7 +119,7 @@ class Warehouse:
         return row["canonical"]
 
     def resolve_by_title(self, title: str, year: int | None = None, authors: list[str] | None = None, min_score: float = 0.85) -> tuple[str, float] | None:
-        row = titles.resolve_by_title(self.titles, title, year=year, authors=authors, min_score=min_score).first()
+        row = titles.resolve_by_title(self.titles, title, year=year, authors=authors, min_score=min_score, index=self.title_postings).first()
         return row and (row["paper_id"], row["score"])
 
     def metadata(self, paper_id: str) -> dict | None:
@@ -164,7 +168,7 @@ class Warehouse:
         tokens = titles.query_tokens(self.spark, query)
         if not tokens:
             return []
-        seeded = titles.candidates(self.titles, tokens).join(kept, "paper_id", "left_semi")
+        seeded = titles.candidates(self.titles, tokens, self.title_postings).join(kept, "paper_id", "left_semi")
         return [tuple(r) for r in titles.scored(seeded, tokens, top_k).collect()]
 
     def papers_by_author(self, name: str) -> list[str]:

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from . import fixed
 
 
+def now_iso() -> Column:
+    """The time of the query in UTC."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def falsy_to_null(c: Column) -> Column:
     """Null for the empty string as well."""
     return F.when(c != "", c)

@@ -23,6 +23,14 @@ def cited_by(edges: DataFrame, node) -> DataFrame:
     return edges.where(F.col("dst") == node).select(F.col("src").alias("paper_id")).distinct()
 
 
+def neighbours(edges: DataFrame, node) -> DataFrame:
+    """(paper_id, cites, cited_by): the other ends of a paper's edges, and whether it cites them, is cited by them, or both."""
+    near = edges.where(((F.col("src") == node) | (F.col("dst") == node)) & (F.col("src") != F.col("dst")))
+    out = F.col("src") == node
+    ends = near.select(F.when(out, F.col("dst")).otherwise(F.col("src")).alias("paper_id"), out.alias("out"))
+    return ends.groupBy("paper_id").agg(F.bool_or("out").alias("cites"), F.bool_or(~F.col("out")).alias("cited_by"))
+
+
 def co_cited_with(edges: DataFrame, node, *, top_k: int = 20, min_overlap: int = 2) -> DataFrame:
     """Papers that are cited together with one, by how many citing papers; the edges of its citers are all that is joined."""
     citers = edges.where(F.col("dst") == node).select("src").distinct()

@@ -291,46 +291,76 @@ def per_document(hits: DataFrame, most: int, limit: int) -> DataFrame:
     return ranked.where(F.col("__r") <= most).drop("__r").orderBy(*order).limit(limit)
 
 
-def excerpt(value: str | None, node, col: int, most: int = 32) -> tuple[str, str, bool]:
-    """(value with all matches in brackets, the best `most` words of it, whether there is a match).
-
-    The best piece holds most different phrases, then most matches; of equals the first.
-    """
-    value = value or ""
-    found = terms.words(value)
-    stems = [terms.porter(w) for w, _, _ in found]
-    marks: list[tuple[int, int, int]] = []
-    for number, phrase in enumerate(dict.fromkeys(phrases_of(node))):
+def _marks(stems: list[str], node, col: int) -> list[tuple[int, int, int]]:
+    """(first word, word behind the last, phrase) of all matches in a column's words, in order."""
+    found = []
+    for number, phrase in enumerate(phrases_of(node)):
         n = len(phrase.terms)
         if not n or (phrase.columns is not None and col not in phrase.columns):
             continue
-        for at in range(1 if phrase.first else max(0, len(stems) - n + 1)):
+        for at in range(min(1, len(stems)) if phrase.first else max(0, len(stems) - n + 1)):
             part = stems[at : at + n]
             if len(part) == n and part[:-1] == list(phrase.terms[:-1]) and (part[-1].startswith(phrase.terms[-1]) if phrase.prefix else part[-1] == phrase.terms[-1]):
-                marks.append((at, at + n, number))
-    spans: list[list[int]] = []
-    for start, end, _ in sorted(marks):
-        if spans and start < spans[-1][1]:
-            spans[-1][1] = max(end, spans[-1][1])
-        else:
-            spans.append([start, end])
+                found.append((at, at + n, number))
+    return sorted(found, key=lambda m: (m[0], m[2]))
+
+
+def _best_piece(value: str, words: list[tuple[str, int, int]], marks: list[tuple[int, int, int]], most: int) -> int:
+    """The word that the best piece of `most` words begins with, by the rules of the index that results are held against.
+
+    A piece is worth 1000 for each different phrase and 1 for each repeat in it. Tried are pieces around each match and, with a
+    bonus, from the start of the sentence of the match on; of equals the first tried stays.
+    """
+    # Worth of phrases, of a sentence's start, and of the text's start.
+    first_time, again, sentence, beginning = 1000, 1, 100, 120
+    behind = lambda k: value[words[k - 1][2] : words[k][1]].rstrip(" \t\n\r") if k else ""
+    spaced = lambda k: value[words[k][1] - 1] in " \t\n\r"
+    starts = [0, *(k for k in range(1, len(words)) if spaced(k) and behind(k).endswith((".", ":")))]
+
+    def worth(low: int) -> tuple[int, list[tuple[int, int, int]]]:
+        inside = [m for m in marks if low <= m[0] < low + most]
+        kinds = len({m[2] for m in inside})
+        return first_time * kinds + again * (len(inside) - kinds), inside
+
+    best, at = 0, 0
+    for mark in marks:
+        score, inside = worth(mark[0])
+        if score > best:
+            centred = inside[0][0] - (most - (inside[-1][1] - inside[0][0])) // 2
+            best, at = score, max(0, min(centred, len(words) - most))
+        own = max((k for k in starts if k <= mark[0]), default=0)
+        if len(words) > most and own < mark[0]:
+            score = worth(own)[0] + (sentence if own else beginning)
+            if score > best:
+                best, at = score, own
+    return at
+
+
+def excerpt(value: str | None, node, col: int, most: int = 32) -> tuple[str, str, bool]:
+    """(value with all matches in brackets, the best `most` words of it, whether there is a match)."""
+    value = value or ""
+    found = terms.words(value)
+    marks = _marks([terms.porter(w) for w, _, _ in found], node, col)
 
     def shown(low: int, high: int) -> str:
-        begin = 0 if low == 0 else found[low][1]
-        end = len(value) if high >= len(found) else found[high - 1][2]
-        out, at = "", begin
+        spans: list[list[int]] = []
+        for start, end, _ in marks:
+            if start < low or start >= high:
+                continue
+            if spans and start < spans[-1][1]:
+                spans[-1][1] = max(end, spans[-1][1])
+            else:
+                spans.append([start, end])
+        at = 0 if low == 0 else found[low][1]
+        out = ""
         for a, b in spans:
-            if low <= a and b <= high:
-                out += value[at : found[a][1]] + "[" + value[found[a][1] : found[b - 1][2]] + "]"
-                at = found[b - 1][2]
-        return ("" if low == 0 else " ... ") + out + value[at:end] + ("" if high >= len(found) else " ... ")
-
-    def worth(low: int) -> tuple[int, int]:
-        inside = [m for m in marks if low <= m[0] and m[1] <= low + most]
-        return len({m[2] for m in inside}), len(inside)
+            last = found[min(b, high) - 1][2]
+            out += value[at : found[a][1]] + "[" + value[found[a][1] : last] + "]"
+            at = last
+        whole = high >= len(found)
+        return ("" if low == 0 else " ... ") + out + value[at : len(value) if whole else found[high - 1][2]] + ("" if whole else " ... ")
 
-    starts = sorted({max(0, min(s - k, len(found) - most)) for s, _, _ in marks for k in (0, most // 2)} | {0})
-    low = max(starts, key=lambda s: (*worth(s), -s))
+    low = _best_piece(value, found, marks, most) if marks else 0
     return shown(0, len(found)), shown(low, min(len(found), low + most)), bool(marks)
 
 

@@ -52,6 +52,14 @@ def cited_by(spark, sf_dir):
     return C.cited_by(edges_of(spark, sf_dir), "p1")
 
 
+@query("WITH e AS (SELECT 'p' || l_partkey AS src, 'p' || l_suppkey AS dst FROM lineitem WHERE l_partkey <> l_suppkey) SELECT paper_id, bool_or(o) AS cites, bool_or(NOT o) AS cited_by FROM (SELECT dst AS paper_id, true AS o FROM e WHERE src = 'p7' UNION ALL SELECT src, false FROM e WHERE dst = 'p7') GROUP BY 1")
+def neighbours(spark, sf_dir):
+    """What part 7 cites and what cites it, where parts cite the parts with the numbers of their suppliers."""
+    lines = table(spark, sf_dir, "lineitem")
+    edges = lines.select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("p"), "l_suppkey").alias("dst"))
+    return C.neighbours(edges, "p7")
+
+
 @query(f"WITH {_E}, {_DEGREE} SELECT id AS paper_id, in_degree, out_degree, in_degree + out_degree AS degree FROM g")
 def degrees(spark, sf_dir):
     return C.degrees(C.clean_edges(edges_of(spark, sf_dir)))

@@ -36,19 +36,19 @@ def read_log(spark: SparkSession, path: str, schema: str, *, strict: bool = True
     return rows if strict else rows.where("_corrupt_record is null").drop("_corrupt_record")
 
 
-def _in_file_order(rows: DataFrame) -> DataFrame:
-    """rows with `ord`: files in order of name, blocks in order of place, rows in order within.
+def _in_file_order(rows: DataFrame, name: str | None = None) -> DataFrame:
+    """rows with `ord` (and `file`, if the column of its name is given): files in order of name, blocks in order of place, rows in order within.
 
     Tasks read files packed by size, so their numbers alone don't tell. A block is read by one task in order; blocks, a row
     each, are ranked, and `ord` is the rank above the row's number in its task.
     """
-    columns = [F.col(c) for c in rows.columns]
+    columns = [F.col(c) for c in rows.columns] + ([F.col(name).alias("file")] if name else [])
     numbered = rows.select(*columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
     blocks = numbered.select("__path", "__start").distinct()
     ranked = blocks.withColumn("__rank", F.row_number().over(Window.orderBy("__path", "__start")) - 1)  # as many rows as blocks
     placed = numbered.join(ranked.hint("broadcast"), ["__path", "__start"])
     row = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.select(*[F.col(c) for c in rows.columns], F.shiftleft(F.col("__rank").cast("long"), 33).bitwiseOR(row).alias("ord"))
+    return placed.select(*rows.columns, *(["file"] if name else []), F.shiftleft(F.col("__rank").cast("long"), 33).bitwiseOR(row).alias("ord"))
 
 
 def normalize_papers(rows: DataFrame) -> DataFrame:
@@ -81,11 +81,12 @@ def normalize_papers(rows: DataFrame) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, pattern: str) -> DataFrame:
-    """(file, paper_id, title, abstract) of JSON-array batch files."""
+    """(file, paper_id, title, abstract, ord) of JSON-array batch files, in order of their names and of the rows within."""
     schema = "paper_id string, title string, abstract string"
     if not path_exists(spark, pattern):
-        return spark.createDataFrame([], "file string, " + schema)
-    return spark.read.schema(schema).option("multiLine", True).json(pattern).select(F.col("_metadata.file_name").alias("file"), "paper_id", "title", "abstract")
+        return spark.createDataFrame([], "file string, " + schema + ", ord long")
+    rows = _in_file_order(spark.read.schema(schema).option("multiLine", True).json(pattern), "_metadata.file_name")
+    return rows.select("file", "paper_id", "title", "abstract", "ord")
 
 
 def read_graph_csv(spark: SparkSession, nodes: str, edges: str) -> tuple[DataFrame, DataFrame]:

@@ -43,6 +43,25 @@ def write_lines(df: DataFrame, path: str, *order: str) -> int:
     return n
 
 
+def write_json(path: str, value) -> None:
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2, default=str) + "\n", encoding="utf-8")
+
+
+def known_keys(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
+    """(key) of a table of worked keys; a table that isn't there yet has none."""
+    from citeloom.sources.records import path_exists
+
+    schema = f"{key} string"
+    return spark.read.schema(schema).parquet(path).distinct() if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def mark_keys(keys: DataFrame, path: str, key: str = "key") -> None:
+    """Adds keys to the table that known_keys() reads, those that it hasn't got."""
+    fresh = keys.select(F.col(key).cast("string").alias(key)).distinct().join(known_keys(keys.sparkSession, path, key), key, "left_anti")
+    fresh.write.mode("append").parquet(path)
+
+
 def replace_line(path: str, record: dict, key: str = "paper_id") -> None:
     """Puts a record into a log in place of those with its key in any case."""
     where = Path(path)

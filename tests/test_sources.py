@@ -43,7 +43,13 @@ def test_papers_of_several_spellings(spark, tmp_path):
 def test_files(spark, tmp_path):
     (tmp_path / "batch_0001.json").write_text(json.dumps([{"paper_id": "a", "title": "t"}, {"paper_id": "b"}]))
     assert sorted((r.file, r.paper_id) for r in Rd.read_batches(spark, f"{tmp_path}/batch_*.json").collect()) == [("batch_0001.json", "a"), ("batch_0001.json", "b")]
+    (tmp_path / "batch_0000.json").write_text(json.dumps([{"paper_id": f"x{k:03}"} for k in range(200)]))
+    ordered = Rd.read_batches(spark, f"{tmp_path}/batch_*.json").orderBy("ord").collect()
+    assert [r.paper_id for r in ordered] == [f"x{k:03}" for k in range(200)] + ["a", "b"]
     assert Rd.read_batches(spark, f"{tmp_path}/no_*.json").collect() == []
+    for _ in range(2):
+        Wr.mark_keys(spark.createDataFrame([("k1",), ("k2",), ("k1",), (None,)], "key string").where("key is not null"), f"{tmp_path}/keys")
+    assert sorted(r.key for r in Wr.known_keys(spark, f"{tmp_path}/keys").collect()) == ["k1", "k2"] and spark.read.parquet(f"{tmp_path}/keys").count() == 2
     (tmp_path / "cache" / "d").mkdir(parents=True)
     (tmp_path / "cache" / "d" / "x.md").write_bytes(b"# T\n\xff")
     (row,) = Rd.read_markdown(spark, f"{tmp_path}/cache").collect()
