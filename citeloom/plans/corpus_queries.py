@@ -169,7 +169,14 @@ def bm25_term(spark, sf_dir):
     return S.bm25(index, S.chunk_lengths(index, turns), S.Parser("that").parse()).select("chunk_id", F.round("score", 9).alias("score"))
 
 
-@query()
+@query("""
+WITH t AS (SELECT conv_id * 1000 + turn AS chunk_id, lower(role) AS role, list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'),
+  lambda x: CASE x WHEN 'thes' THEN 'the' WHEN 'ofs' THEN 'of' WHEN 'thats' THEN 'that' ELSE x END) AS w FROM conversations),
+f AS (SELECT chunk_id, 1 + len(w) AS n, CASE WHEN role = 'user' THEN 2.0::DOUBLE ELSE 0 END AS f1, len(list_filter(range(1, len(w)), lambda i: w[i] = 'of' AND w[i + 1] = 'the'))::DOUBLE AS f2, len(list_filter(w, lambda x: x = 'that'))::DOUBLE AS f3, list_contains(w, 'the') AS has FROM t),
+a AS (SELECT count(*) AS n_all, avg(n) AS mean, count(*) FILTER (f1 > 0) AS d1, count(*) FILTER (f2 > 0) AS d2, count(*) FILTER (f3 > 0) AS d3 FROM f),
+i AS (SELECT mean, list_transform([d1, d2, d3], lambda d: greatest(ln((n_all - d + 0.5::DOUBLE) / (d + 0.5::DOUBLE)), 1e-6)) AS idf FROM a),
+s AS (SELECT chunk_id, f1 > 0 AND f2 > 0 AS l, f3 > 0 AND NOT has AS r, idf, list_transform([f1, f2, f3], lambda x: x * 2.2::DOUBLE / (x + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / mean))) AS p FROM f, i)
+SELECT chunk_id, round(-(CASE WHEN l THEN idf[1] * p[1] + idf[2] * p[2] ELSE 0 END + CASE WHEN r THEN idf[3] * p[3] ELSE 0 END), 9) AS score FROM s WHERE l OR r""")
 def phrase_search(spark, sf_dir):
     turns = _turns(spark, sf_dir)
     index = _index(turns)
