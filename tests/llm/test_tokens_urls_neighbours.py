@@ -265,6 +265,9 @@ def test_neighbour_cases(spark):
     assert set(found) == {50, 350}
     assert [i for i, _ in found[350]] == [1, 60, 61, 62, 63]
     assert all(i not in (50, 100, 150, 200, 250, 300) for i, _ in found[50])
+    long = [(k, r.normal(size=20_000).tolist(), 0) for k in (50, 51, 52)]
+    wide = spark.createDataFrame(long, "vec_id long, embedding array<float>, label int")
+    assert {i for i, _ in by_query(nn.nearest(wide, wide.where("vec_id = 50")))[50]} == {51, 52}
     two = spark.createDataFrame([(50, [1.0, 0.0], 0), (50, [0.0, 1.0], 0), (1, [0.0, 2.0], 0), (2, [3.0, 0.0], 0)], "vec_id long, embedding array<float>, label int")
     assert by_query(nn.nearest(two, two.where("vec_id = 50")))[50][0] == (1, 1.0)
     small = by_query(nn.nearest(df, df.where("vec_id % 50 = 0"), pass_bytes=128))
