@@ -134,3 +134,23 @@ def token_counts(docs: DataFrame, *, keep: list[str], text: str = "text", vocabu
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(F.col("doc_id"), "n_words", "n_tokens", "n_unknown")
+
+
+def oracle_sql(vocabulary: str = VOCABULARY) -> str:
+    """SQL for op7: the longest piece at every place of every different word, then a walk over its places."""
+    begin, go_on = pieces_of(vocabulary)
+    quoted = lambda piece: "'" + piece.replace("'", "''") + "'"
+    rows = ", ".join(f"({quoted(p)}, {start})" for pieces, start in ((begin, "true"), (go_on, "false")) for p in pieces)
+    longest = max(map(len, [*begin, *go_on]))
+    return f"""
+WITH v(piece, begins) AS (VALUES {rows}),
+w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_\\s\\p{{Z}}]') AS words FROM documents),
+d AS (SELECT DISTINCT unnest(words) AS word FROM w),
+p AS (SELECT word, CAST(i AS INT) AS spot, CAST(n AS INT) AS n FROM d, unnest(range(1, length(word) + 1)) AS a(i), unnest(range(1, least({longest}, length(word) - i + 1) + 1)) AS b(n)),
+m AS (SELECT word, spot, max(n) AS n FROM p JOIN v ON v.piece = substr(word, spot, n) AND v.begins = (spot = 1) GROUP BY 1, 2),
+g AS (SELECT word, list({{'following': 0, 'pieces': 0, 'spot': spot, 'n': n}} ORDER BY spot) AS steps FROM m GROUP BY 1),
+e AS (SELECT word, list_reduce(list_prepend({{'following': 1, 'pieces': 0, 'spot': 0, 'n': 0}}, steps),
+  lambda a, x: CASE WHEN x.spot = a.following THEN {{'following': a.following + x.n, 'pieces': a.pieces + 1, 'spot': 0, 'n': 0}} ELSE a END) AS walk FROM g),
+c AS (SELECT word, CASE WHEN walk.following = length(word) + 1 THEN walk.pieces ELSE 0 END AS n FROM d LEFT JOIN e USING (word)),
+t AS (SELECT doc_id, sum(greatest(n, 1)) AS n_tokens, count(*) FILTER (n = 0) AS n_unknown FROM (SELECT doc_id, unnest(words) AS word FROM w) JOIN c USING (word) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens, CAST(coalesce(n_unknown, 0) AS BIGINT) AS n_unknown FROM w LEFT JOIN t USING (doc_id)"""
