@@ -99,7 +99,8 @@ def mix(
     Without weights a source's weight is the square root of its size, which favours small sources.
     """
     # rows without a doc_id are told apart by their place, so that many of them don't meet in one range
-    spread = F.when(docs[doc_id].isNull(), F.xxhash64(F.monotonically_increasing_id(), F.lit(seed))).otherwise(F.xxhash64(docs[doc_id], F.lit(seed)))
+    named = F.coalesce(docs[doc_id].cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
+    spread = F.md5(F.concat(F.lit(f"{seed}:"), named))
     rows = docs.select(
         *[docs[c] for c in dict.fromkeys([*keep, source, doc_id])],
         F.coalesce(F.concat(F.lit("="), docs[source].cast("string")), F.lit("")).alias("__source"),
@@ -111,7 +112,8 @@ def mix(
         raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
     block_size = max(block_size, sum(r["size"] for r in totals) // MOST_BLOCKS + 1)
     ranges = max(1, -(-max([0, *(r["rows"] for r in totals)]) // RANGE_ROWS))
-    of_range = F.shiftrightunsigned((F.shiftright("__hash", 32) + F.lit(1 << 31)) * F.lit(ranges), 32).cast("int")
+    first = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")  # 32 bits: ranges are in the order of the hash
+    of_range = F.shiftright(first * F.lit(ranges).cast("long"), 32).cast("int")
     rows = rows.withColumn("__range", of_range)
     sums = rows.groupBy("__source", "__range").agg(F.sum("__size").alias("__sum"))
     before = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,3 +144,20 @@ def mix(
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return mix(documents, keep=["doc_id", "source"], size=F.octet_length("text"))
+
+
+#: Places by sums in the order of the hash, releases and deadlines by the formula, and slots one after the other.
+OP10_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce('=' || source, '') AS s, coalesce(octet_length(encode(text)), 0) AS z, md5('42:' || doc_id) AS h FROM documents),
+p AS (SELECT *, coalesce(sum(z) OVER (PARTITION BY s ORDER BY h, doc_id, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at_byte FROM d),
+size AS (SELECT greatest({BLOCK_BYTES}, sum(z)::BIGINT // {MOST_BLOCKS} + 1) AS b FROM d),
+src AS (SELECT s, sum(z)::BIGINT // any_value(b) + 1 AS n, greatest(1, floor(sqrt(sum(z)))::BIGINT) AS w, CAST(row_number() OVER (ORDER BY s) AS INT) AS k FROM d, size GROUP BY s),
+j AS (SELECT src.*, t.v FROM src, unnest(range(0, n + 1)) AS t(v)),
+e AS (SELECT j.k, j.v, any_value(j.n) AS n, any_value(j.w) AS w, sum(CASE WHEN o.n * j.w <= j.v * o.w THEN o.n ELSE 0 END)::BIGINT AS done, sum(CASE WHEN o.n * j.w <= j.v * o.w THEN 0 ELSE o.w END)::BIGINT AS live FROM j, src AS o GROUP BY j.k, j.v),
+x AS (SELECT k, v, n, done + v * live // w AS begins, done + (v * live + w - 1) // w AS ends FROM e),
+blocks AS (SELECT a.k, a.v, a.begins AS release, b.ends AS deadline FROM x AS a JOIN x AS b ON b.k = a.k AND b.v = a.v + 1 WHERE a.v < a.n),
+r AS (SELECT 0::BIGINT AS slot, (SELECT list(0::BIGINT) FROM src) AS taken, NULL::INT AS k, NULL::BIGINT AS v
+  UNION ALL SELECT slot + 1, list_transform(range(1, len(any_value(taken)) + 1), lambda i: any_value(taken)[i] + CASE WHEN i = arg_min(blocks.k, deadline * 1000000 + blocks.k) THEN 1 ELSE 0 END), arg_min(blocks.k, deadline * 1000000 + blocks.k), arg_min(blocks.v, deadline * 1000000 + blocks.k)
+  FROM r JOIN blocks ON release <= slot AND blocks.v = taken[blocks.k] GROUP BY slot)
+SELECT doc_id, source, src.w AS weight, at_byte // b AS block_no, at_byte % b AS block_offset, r.slot - 1 AS slot, release, deadline
+FROM p JOIN src USING (s), size, blocks, r WHERE blocks.k = src.k AND blocks.v = at_byte // b AND r.k = src.k AND r.v = blocks.v"""
