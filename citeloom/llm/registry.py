@@ -27,7 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express the whole result. The vocabulary of op7 is part of its SQL, so that needs the file."""
-    found = {"op1_decontaminate": decontaminate.OP1_SQL, "op2_suffix_dedup": suffix_dedup.OP2_SQL, "op5_secret_scan": secrets.OP5_SQL, "op10_mix_sources": mixing.OP10_SQL}
+    found = {"op1_decontaminate": decontaminate.OP1_SQL, "op2_suffix_dedup": suffix_dedup.OP2_SQL, "op3_url_filter": url_filter.OP3_SQL, "op5_secret_scan": secrets.OP5_SQL, "op10_mix_sources": mixing.OP10_SQL}
     if Path(token_counts.VOCABULARY).exists():
         found["op7_token_counts"] = token_counts.oracle_sql()
     return found

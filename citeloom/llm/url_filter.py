@@ -16,9 +16,9 @@ one by one; of two fitting rules of one length the longer host decides; empty ta
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -118,7 +118,7 @@ class Bayes:
 
 
 def slot_of(token: str) -> int:
-    return zlib.crc32(token.encode("utf-8", "surrogatepass")) % SLOTS
+    return int.from_bytes(hashlib.md5(token.encode("utf-8", "surrogatepass")).digest()[:4]) % SLOTS
 
 
 def title_words(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -226,3 +226,34 @@ def judged(rows: DataFrame, bayes: Bayes, *, keep: list[str]) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = checkpointed(segmented(table(spark, sf_dir, "pages"), keep=["page_id"]))
     return judged(rows, fitted(rows), keep=["page_id"]).select("page_id", "host", "path", "rule", "verdict")
+
+
+_RULES_SQL = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+#: Rules by suffix and prefix; splits by a fold over the ends of pieces with their costs; naive Bayes by counts of slots.
+OP3_SQL = f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest, html FROM pages),
+v AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM u),
+p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path, row_number() OVER () AS id FROM v),
+rules(verdict, h, f) AS (VALUES {_RULES_SQL}),
+fits AS (SELECT id, arg_max(h || f, length(h || f) * 1000 + length(h)) AS rule, arg_max(verdict, length(h || f) * 1000 + length(h)) AS decided FROM p JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, f) GROUP BY id),
+words AS (SELECT w, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '[^\\p{{L}}]+')) AS w FROM u) WHERE w <> '' GROUP BY 1),
+total AS (SELECT greatest(1, coalesce(sum(n), 0)) AS n FROM words),
+runs AS (SELECT host, i, found[i] AS run FROM (SELECT DISTINCT host, regexp_extract_all(host, '\\p{{L}}+|\\p{{Nd}}+') AS found FROM p), unnest(range(1, len(found) + 1)) AS t(i)),
+letters AS (SELECT DISTINCT run FROM runs WHERE NOT regexp_matches(run, '^\\p{{Nd}}')),
+pieces AS (SELECT run, a AS low, b AS high, substr(run, a + 1, b - a) AS piece FROM letters, unnest(range(1, length(run) + 1)) AS x(b), unnest(range(greatest(0, b - {LONGEST_WORD}), b)) AS y(a)),
+costs AS (SELECT run, high, min(low) AS low, list(CASE WHEN words.n IS NOT NULL THEN ln(words.n / total.n) ELSE ln(1.0::DOUBLE / total.n) - 2.3::DOUBLE * length(piece) END ORDER BY low) AS costs FROM pieces LEFT JOIN words ON w = piece, total GROUP BY 1, 2),
+steps AS (SELECT run, list({{'best': []::DOUBLE[], 'split': []::VARCHAR[], 'costs': costs, 'low': low, 'high': high, 'run': run}} ORDER BY high) AS steps FROM costs GROUP BY 1),
+folded AS (SELECT run, list_reduce(list_prepend({{'best': [0.0::DOUBLE], 'split': [''], 'costs': []::DOUBLE[], 'low': 0::BIGINT, 'high': 0::BIGINT, 'run': run}}, steps), lambda s, x: {{
+  'best': list_append(s.best, list_max(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c))),
+  'split': list_append(s.split, s.split[x.low + list_position(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c), list_max(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c)))]
+    || chr(9) || substr(x.run, x.low + list_position(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c), list_max(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c))), x.high + 1 - x.low - list_position(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c), list_max(list_transform(x.costs, lambda c, i: s.best[x.low + i] + c))))),
+  'costs': x.costs, 'low': x.low, 'high': x.high, 'run': x.run}}) AS f FROM steps),
+tokens AS (SELECT id, 'h:' || unnest(string_split(coalesce(substr(f.split[-1], 2), '0'), chr(9))) AS token FROM p JOIN runs USING (host) LEFT JOIN folded USING (run)
+  UNION ALL SELECT id, 'p:' || CASE WHEN regexp_matches(w, '^\\p{{L}}') THEN lower(w) ELSE '0' END FROM (SELECT id, unnest(regexp_extract_all(path, '\\p{{L}}+|\\p{{Nd}}+')) AS w FROM p)),
+slots AS (SELECT id, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {SLOTS} AS slot FROM tokens),
+seen AS (SELECT slot, count(*) FILTER (decided = 'block') AS b, count(*) FILTER (decided = 'allow') AS a FROM slots JOIN fits USING (id) GROUP BY 1),
+sums AS (SELECT coalesce(sum(b), 0) + {SLOTS} AS b, coalesce(sum(a), 0) + {SLOTS} AS a FROM seen),
+urls AS (SELECT count(*) FILTER (decided = 'block') AS b, count(*) FILTER (decided = 'allow') AS a FROM fits),
+odds AS (SELECT id, sum(ln((coalesce(seen.b, 0) + 1) / sums.b) - ln((coalesce(seen.a, 0) + 1) / sums.a)) AS odds FROM slots LEFT JOIN seen USING (slot), sums GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN urls.b > 0 AND urls.a > 0 AND ln(urls.b / urls.a) + coalesce(odds, 0) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN fits USING (id) LEFT JOIN odds USING (id), urls"""
