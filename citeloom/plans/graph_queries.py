@@ -10,6 +10,7 @@ from citeloom.operators import citations as C
 from citeloom.operators import communities as M
 from citeloom.operators import layout as G
 from citeloom.operators import graph
+from citeloom.operators import idsets as S
 from citeloom.operators import labels as L
 
 from .registry import query, table
@@ -269,12 +270,7 @@ def id_sets(spark, sf_dir):
     a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
     b = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"))
     every = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    named = (("union", a.union(b).distinct()), ("difference", every.distinct().join(a, "id", "left_anti")), ("intersection", a.distinct().join(b, "id", "left_semi")), ("bag", a.union(b)))
-    out = None
-    for name, df in named:
-        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("op"), "n")
-        out = row if out is None else out.unionByName(row)
-    return out
+    return S.sizes({"union": S.union(a, b), "difference": S.difference(every, a), "intersection": S.intersection(a, b), "bag": S.concatenated(a, b)})
 
 
 @query(f"WITH {_P} SELECT paper_id, CASE WHEN length(title) > 10 THEN substr(title, 1, 10) || '...' ELSE title END AS label FROM p")

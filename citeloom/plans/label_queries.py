@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from citeloom.operators import labels as L
 from citeloom.operators.graph import scratch
+from citeloom.sources import records
 from citeloom.streaming import logs
 
 from .registry import query, table
@@ -187,15 +188,14 @@ def event_days(spark, sf_dir):
 
 @query("SELECT CAST(json_extract_string(props, '$.k') AS INT) AS k, count(*) AS n FROM events GROUP BY 1")
 def log_fields(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy(F.expr("try_cast(get_json_object(props, '$.k') as int)").alias("k")).agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "events").groupBy(records.json_field("props", "$.k", "int").alias("k")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS paper_id, event_type AS category FROM events")
 def log_extract(spark, sf_dir):
     """Answers out of agent-log lines, alone or in a message's content."""
-    from citeloom.sources.records import answers_in_logs
 
     events = table(spark, sf_dir, "events")
     answer = F.to_json(F.struct(F.col("user_id").cast("string").alias("paper_id"), F.col("event_type").alias("category")))
     wrapped = F.to_json(F.struct(F.struct(F.concat(F.lit("done\\n"), answer, F.lit("\\nend")).alias("content")).alias("message")))
-    return answers_in_logs(events.select(F.when(F.col("event_id") % 2 == 0, answer).otherwise(wrapped).alias("value")))
+    return records.answers_in_logs(events.select(F.when(F.col("event_id") % 2 == 0, answer).otherwise(wrapped).alias("value")))

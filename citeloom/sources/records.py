@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -80,6 +80,11 @@ def normalize_papers(rows: DataFrame) -> DataFrame:
     )
 
 
+def json_field(column: str, path: str, kind: str = "string") -> Column:
+    """A field of JSON texts; null where the text isn't JSON, has no such field, or the field is of another kind."""
+    return F.get_json_object(column, path).try_cast(kind)
+
+
 def read_batches(spark: SparkSession, pattern: str) -> DataFrame:
     """(file, paper_id, title, abstract, ord) of JSON-array batch files, in order of their names and of the rows within."""
     schema = "paper_id string, title string, abstract string"
