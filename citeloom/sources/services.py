@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import random
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +58,28 @@ def fetch(transport: Transport, path: str, params: dict, *, tries: int = 5, slee
     return None
 
 
+def cached(transport: Transport, folder: str, prefix: str = "") -> Transport:
+    """A transport that keeps answers as files and asks once for each path and parameters. A torn file is asked for again."""
+
+    def get(path: str, params: dict) -> dict | None:
+        name = hashlib.sha1(json.dumps([path, params], sort_keys=True).encode()).hexdigest()
+        where = Path(folder) / f"{prefix}{name}.json"
+        if where.exists():
+            try:
+                return json.loads(where.read_text(encoding="utf-8"))
+            except ValueError:
+                pass
+        found = transport(path, params)
+        if found is not None:
+            where.parent.mkdir(parents=True, exist_ok=True)
+            fresh = where.with_suffix(f".{os.getpid()}.new")
+            fresh.write_text(json.dumps(found), encoding="utf-8")
+            fresh.replace(where)
+        return found
+
+    return get
+
+
 def batches(values: list, size: int) -> Iterator[list]:
     for at in range(0, len(values), size):
         yield values[at : at + size]

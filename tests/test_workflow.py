@@ -178,6 +178,21 @@ def fake(service):
     return make
 
 
+def test_cached_answers(tmp_path):
+    asked = []
+
+    def get(path, params):
+        asked.append((path, params))
+        return {"n": len(asked)} if path != "/none" else None
+
+    kept = Sv.cached(get, f"{tmp_path}/cache", "s2_")
+    assert [kept("/a", {"q": "x"}), kept("/a", {"q": "x"}), kept("/a", {"q": "y"}), kept("/none", {}), kept("/none", {})] == [{"n": 1}, {"n": 1}, {"n": 2}, None, None]
+    files = sorted((tmp_path / "cache").glob("s2_*.json"))
+    assert len(files) == 2 and len(asked) == 4
+    files[0].write_text("{torn")
+    assert {kept("/a", {"q": "x"})["n"], kept("/a", {"q": "y"})["n"]} & {5}
+
+
 def rows_of(path):
     return [json.loads(x) for x in path.read_text().splitlines()]
 
