@@ -34,7 +34,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -207,7 +207,7 @@ class Sampler:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, node, bands, weight); node is null for texts without words."""
+    """(doc_id, raw, node, bands, weight): raw is a digest of the text; node is null for texts without words."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def setup():
@@ -236,8 +236,12 @@ def signatures(docs: DataFrame, idf: np.ndarray, *, doc_id: str = "doc_id", text
         return run
 
     fields = [T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("weight", T.DoubleType())]
-    named = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    return arrow_map(named, ["text"], ["doc_id"], fields, setup)
+    named = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), _raw(docs[text]).alias("raw"))
+    return arrow_map(named, ["text"], ["doc_id", "raw"], fields, setup)
+
+
+def _raw(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def nodes_of(texts: pa.Array) -> pa.Array:
@@ -382,17 +386,18 @@ def _apart(placed: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, class_size): every row of docs with its class and the number of rows in it."""
-    return _classes(docs, doc_id=doc_id, text=text, similarity=similarity)[0].select("doc_id", "class_id", "class_size")
+    return _classes(docs, doc_id=doc_id, text=text, similarity=similarity).select("doc_id", "class_id", "class_size")
 
 
-def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, class_id, class_node, class_size) of every row, and (node, doc_id, class_id, class_node, class_size) of
-    every node. The class is named by its smallest doc_id and the smallest node that has it."""
+def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> DataFrame:
+    """(doc_id, raw, node, class_id, class_raw, class_size) of every row. The class is named by its smallest doc_id, and of
+    the texts with that by the smallest digest."""
     n, frequencies = document_frequencies(docs, text)
     idf = idf_weights(n, frequencies)
     rows = checkpointed(signatures(docs, idf, doc_id=doc_id, text=text))
     each = rows.where("node is not null").groupBy("node")
-    nodes = checkpointed(each.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.count("*").alias("copies")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "raw"))
+    nodes = checkpointed(each.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.count("*").alias("copies"), first.alias("first")))
     # a key is a band's samples mixed with the band, so it names the bucket; the exchange of its rows serves both uses
     placed = nodes.select("node", "weight", F.explode("bands").alias("key")).repartition("key")
     hubs = placed.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub"), F.count("*").alias("n")).where("n > 1")
@@ -438,23 +443,23 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> t
         stars = checkpointed(left.join(hubs, "key").where("node <> low").select("low", F.col("node").alias("high"), "weight").distinct())
     drop_kept(texts)
 
-    member = nodes.select("node", "doc_id", "copies").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")).alias("first")
-    classes = member.groupBy("component").agg(first, F.sum("copies").alias("class_size"))
-    classes = classes.select("component", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node"), "class_size")
-    by_node = checkpointed(member.join(classes, "component").select("node", "copies", "class_id", "class_node", "class_size"))
+    member = nodes.select("node", "copies", "first").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = member.groupBy("component").agg(F.min("first").alias("first"), F.sum("copies").alias("class_size"))
+    classes = classes.select("component", F.col("first.doc_id").alias("class_id"), F.col("first.raw").alias("class_raw"), "class_size")
+    by_node = checkpointed(member.join(classes, "component").select("node", "copies", "class_id", "class_raw", "class_size"))
     # nodes of very many rows, HOT_NODES at most, are joined by a broadcast, so no task gets all rows of one
     total = rows.count()
     hot = by_node.where(F.col("copies") * HOT_NODES >= total).drop("copies")
-    own = rows.select("doc_id", "node")
+    own = rows.select("doc_id", "raw", "node")
     named = own.join(F.broadcast(hot), "node").unionByName(own.join(F.broadcast(hot), "node", "left_anti").join(by_node.drop("copies"), "node", "left"))
     return named.select(
         "doc_id",
+        "raw",
         "node",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        "class_node",
+        "class_raw",
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-    ), by_node
+    )
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -463,18 +468,18 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     Rows are told apart by doc_id and text, so another text under the same doc_id, or without one, is a document of its
     own. Of rows equal in both one stays. Rows without words all stay.
     """
-    rows, _ = _classes(docs, doc_id=doc_id, text=text, similarity=SIMILARITY)
-    each = rows.where("node is not null").groupBy(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
-    kept = (F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_node") == F.col("node")))
-    each = checkpointed(each.agg(F.bool_or(kept).alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"))
+    rows = _classes(docs, doc_id=doc_id, text=text, similarity=SIMILARITY).where("node is not null")
+    kept = F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_raw") == F.col("raw"))
+    each = rows.groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw")).agg(F.bool_or(kept).alias("kept"), F.count("*").alias("n"))
+    each = checkpointed(each.where("not kept or n > 1"))
     small = F.broadcast if each.count() <= BROADCAST_ROWS else lambda x: x
     names = docs.columns
     plain = docs.toDF(*[f"__{k}" for k in range(len(names))])
     own_id, own_text = (f"__{names.index(c)}" for c in (doc_id, text))
-    plain = arrow_map(plain, [own_text], plain.columns, [T.StructField("__own", T.BinaryType())], lambda: lambda texts: [nodes_of(texts)])
-    same = F.col(own_id).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__node"))
+    plain = plain.withColumn("__own", _raw(F.col(own_text)))
+    same = F.col(own_id).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__raw"))
     left = plain.join(small(each.where("not kept")), same, "left_anti")
-    repeated = each.where("kept").select("__id", "__node")
+    repeated = each.where("kept").select("__id", "__raw")
     if not repeated.isEmpty():
         twice = left.join(small(repeated), same, "left_semi").dropDuplicates([own_id, "__own"])
         left = left.join(small(repeated), same, "left_anti").unionByName(twice)
