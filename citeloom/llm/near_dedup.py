@@ -306,9 +306,13 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, similarity:
     """
     spark = pairs.sparkSession
     width = shuffle_width(spark)
-    degree = pairs.groupBy("low").agg((F.floor(F.count("*") / RUN_PAIRS) + 1).cast("int").alias("runs"))
+    degree = checkpointed(pairs.groupBy("low").agg((F.floor(F.count("*") / RUN_PAIRS) + 1).cast("int").alias("runs")))
+    # only hubs of several runs have to be told to their pairs: one for RUN_PAIRS pairs at most, so a hub of very many is no hot key
+    wide = degree.where("runs > 1")
+    wide = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else wide
+    members = pairs.join(wide, "low", "left").withColumn("runs", F.coalesce("runs", F.lit(1)))
     run = F.pmod(F.xxhash64("high"), F.col("runs")).cast("int")
-    members = pairs.join(degree, "low").select("low", run.alias("run"), "runs", F.col("high").alias("node"), "weight")
+    members = members.select("low", run.alias("run"), "runs", F.col("high").alias("node"), "weight")
     every = F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run")
     heads = degree.select("low", "runs", every).select("low", "run", "runs", F.col("low").alias("node"), F.lit(0.0).alias("weight"))
     rows = members.unionByName(heads).join(texts, "node").withColumn("role", (F.col("low") != F.col("node")).cast("int"))
