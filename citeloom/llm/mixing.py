@@ -111,10 +111,10 @@ def mix(
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
     block_size = max(block_size, sum(r["size"] for r in totals) // MOST_BLOCKS + 1)
-    ranges = max(1, -(-max([0, *(r["rows"] for r in totals)]) // RANGE_ROWS))
+    ranges = [(r["__source"], -(-r["rows"] // RANGE_ROWS)) for r in totals]
+    rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame(ranges, "__source string, __ranges long")), "__source")  # a row a source
     first = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")  # 32 bits: ranges are in the order of the hash
-    of_range = F.shiftright(first * F.lit(ranges).cast("long"), 32).cast("int")
-    rows = rows.withColumn("__range", of_range)
+    rows = rows.withColumn("__range", F.shiftright(first * F.col("__ranges"), 32).cast("int"))
     sums = rows.groupBy("__source", "__range").agg(F.sum("__size").alias("__sum"))
     before = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("__source", "__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
