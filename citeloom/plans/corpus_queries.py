@@ -259,16 +259,58 @@ def _searched(spark, sf_dir, query_text, **more):
     return S.search(docs, chunks, _index(S.searchable(docs, chunks)), query_text, **more)
 
 
-@query()
+_HITS = _BUILT + f""",
+y AS (SELECT w.doc_id, piece, min(w.r) AS line_start, max(w.r) AS line_end, string_agg(line, chr(10) ORDER BY w.r) AS body FROM w JOIN l ON l.doc_id = w.doc_id AND l.r = w.r GROUP BY ALL),
+z AS (SELECT y.*, row_number() OVER (PARTITION BY doc_id ORDER BY piece) - 1 AS chunk_no FROM y SEMI JOIN (SELECT doc_id, piece FROM c WHERE filled) USING (doc_id, piece)),
+a AS (SELECT z.doc_id, chunk_no, line_start, line_end, title, preferred, evidence_status, CASE WHEN doc_id % 3 = 0 THEN coalesce(lang, '') ELSE '' END AS category, CASE WHEN m THEN doc_id % 30 + 1990 END AS year, chunk_no = 0 AND doc_id % 30 = 0 AS long,
+  list_transform(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+'), lambda x: CASE x WHEN 'thes' THEN 'the' WHEN 'ofs' THEN 'of' ELSE x END) AS ws, CASE WHEN chunk_no = 0 THEN len(regexp_extract_all(lower(title), '[a-z0-9]+')) ELSE 0 END + 1 AS around FROM z JOIN v USING (doc_id)),
+n AS (SELECT a.*, around + len(ws) AS n FROM a),
+f AS (SELECT n.*, {{first}}::DOUBLE AS f1, {{second}}::DOUBLE AS f2 FROM n),
+q AS (SELECT avg(n) AS mean, greatest(ln((count(*) - count(*) FILTER (f1 > 0) + 0.5::DOUBLE) / (count(*) FILTER (f1 > 0) + 0.5::DOUBLE)), 1e-6) AS i1, greatest(ln((count(*) - count(*) FILTER (f2 > 0) + 0.5::DOUBLE) / (count(*) FILTER (f2 > 0) + 0.5::DOUBLE)), 1e-6) AS i2 FROM f),
+s AS (SELECT f.*, -(i1 * f1 * 2.2::DOUBLE / (f1 + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / mean)) + i2 * f2 * 2.2::DOUBLE / (f2 + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / mean))) AS score FROM f, q WHERE {{where}}),
+best AS (SELECT * FROM s ORDER BY score, year DESC NULLS LAST, doc_id, chunk_no LIMIT 200),
+few AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score, year DESC NULLS LAST, chunk_no) <= {{per_doc}})
+SELECT doc_id AS document_id, CASE WHEN f_title THEN 'Title match' ELSE 'Document' END AS heading, CAST(CASE WHEN f_title THEN 1 ELSE line_start END AS INT) AS line_start, CAST(CASE WHEN f_title THEN 1 ELSE line_end END AS INT) AS line_end, title, year, round(score, 9) AS score
+FROM (SELECT *, {{in_title}} AS f_title FROM few) ORDER BY score, year DESC NULLS LAST, doc_id, chunk_no LIMIT {{most}}"""
+_HIT_COLUMNS = ("document_id", "heading", "line_start", "line_end", "title", "year")
+
+
+def _hits_sql(**parts):
+    sql = _HITS
+    for name, part in parts.items():
+        sql = sql.replace("{" + name + "}", str(part))
+    return "WITH RECURSIVE " + sql
+
+
+@query(
+    _hits_sql(
+        first="len(list_filter(ws, lambda x: x = 'the'))", second="len(list_filter(range(1, len(ws)), lambda i: ws[i] = 'of' AND ws[i + 1] = 'the'))",
+        where="f1 > 0 AND f2 > 0 AND preferred AND NOT list_contains(ws, 'zzz')", per_doc=2, in_title="false", most=10,
+    )
+)
 def corpus_search(spark, sf_dir):
-    """The ten best pieces of all preferred documents, two a document, with snippets."""
-    return _searched(spark, sf_dir, 'the "of the" NOT zzz', low_quality=True, back_matter=True)
+    """The ten best pieces of all preferred documents, two a document."""
+    found = _searched(spark, sf_dir, 'the "of the" NOT zzz', low_quality=True, back_matter=True)
+    return found.select(*_HIT_COLUMNS, F.round("score", 9).alias("score"))
 
 
-@query()
+@query(
+    _hits_sql(
+        first="CASE WHEN chunk_no = 0 AND title <> 'paper' THEN 4.0 ELSE 0 END", second="CASE WHEN long THEN 4.0 ELSE 0 END + len(list_filter(ws, lambda x: starts_with(x, 'the')))",
+        where="(f1 > 0 OR f2 > 0) AND evidence_status = 'ready' AND category = 'de' AND year BETWEEN 1995 AND 2015", per_doc=1, in_title="len(list_filter(ws, lambda x: starts_with(x, 'the'))) = 0", most=20,
+    )
+)
 def corpus_search_filtered(spark, sf_dir):
     """With all filters of the search: category, years, all versions, ready evidence only, one hit a document."""
-    return _searched(spark, sf_dir, "title : report OR the*", category="de", year_min=1995, year_max=2015, all_versions=True, per_doc=1, limit=20)
+    found = _searched(spark, sf_dir, "title : report OR the*", category="de", year_min=1995, year_max=2015, all_versions=True, per_doc=1, limit=20)
+    return found.select(*_HIT_COLUMNS, F.round("score", 9).alias("score"))
+
+
+@query()
+def search_snippets(spark, sf_dir):
+    """Snippets of the best hits; tests hold them against SQLite's."""
+    found = _searched(spark, sf_dir, 'the "of the" OR that', low_quality=True, back_matter=True)
+    return found.select("document_id", "line_start", "snippet")
 
 
 @query("""WITH x AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN 'doi:10.1/' || doc_id // 4 WHEN 1 THEN 'S2:' || doc_id // 4 END AS paper_id, 'Full/' || doc_id // 2 || '.md' AS f, CASE WHEN doc_id // 2 % 2 = 0 THEN 'full/' ELSE 'Full/' END || doc_id // 2 || '.md' AS path FROM documents),
