@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, near_dedup, neighbours, phrases, quality, secrets, suffix_dedup, token_counts, url_filter
+from . import decontaminate, language, mixing, near_dedup, neighbours, phrases, quality, secrets, suffix_dedup, token_counts, toxicity, url_filter, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language": language.op9_language,
         "op10_mix_sources": mixing.op10_mix_sources,
         "op11_collocations": phrases.op11_collocations,
+        "op12_toxicity": toxicity.op12_toxicity,
+        "op13_whitening": whitening.op13_whitening,
     }
 
 
