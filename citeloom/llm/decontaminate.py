@@ -5,19 +5,25 @@ one length form a matcher: the shift table says, for a block of two words, how f
 0 opens the bucket of windows that end in it, the window's first block narrows that bucket, and a direct comparison
 confirms. On text without benchmark words a search of 13-word windows looks at every twelfth word.
 
-The windows are broadcast in blocks of items whose texts have a checked size (`block_bytes`). A benchmark beyond one block
-is searched block after block, each in a pass over the documents that writes its hits alone, and the hits of all blocks are
-joined to the documents in the end; so no task ever holds more than one block.
+The items are broadcast in blocks whose texts have a checked size (`block_bytes`). Windows, buckets and shifts are places in
+sorted arrays of word numbers, so a searcher takes about ten times its text, and tasks of one worker share it. A benchmark
+beyond one block is searched block after block, each in a pass over the documents that writes its hits alone, and the hits of
+all blocks are joined to the documents in the end; so no task ever holds more than one block.
 
 Defined cases: a null or empty text has no words, no hits and isn't contaminated; null and wordless items have no windows;
 items of equal text are all reported; a null item_id is searched but not reported; repeated documents are judged
-one by one; empty tables give no rows or no hits; other columns of either table are ignored.
+one by one; texts of any length are searched whole, in memory of a few times their length (about 60 bytes a word); empty
+tables give no rows or no hits; other columns of either table are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,68 +33,147 @@ from .common import arrow_map, checkpointed, split_words, table
 
 WINDOW_WORDS = 13
 #: Bytes of benchmark text that a task holds at a time.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 FOUND = [T.StructField("n_words", T.LongType()), T.StructField("hit_spans", SPANS), T.StructField("hit_items", T.ArrayType(T.StringType()))]
 SPANS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
+def pair_keys(first: np.ndarray, second: np.ndarray | None) -> np.ndarray:
+    return first.astype(np.int64) if second is None else first.astype(np.int64) << 32 | second
+
+
 class WuManber:
-    """Windows of one length over words; `owners` says which items a window belongs to."""
+    """Windows of one length over numbered words: places in one array of the items' words, in sorted arrays.
+
+    starts, ends are those of the items' words in `words`; owners are found by the item's number.
+    """
 
-    def __init__(self, windows: dict[tuple[bytes, ...], set[str]], length: int) -> None:
+    def __init__(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, items: np.ndarray, length: int) -> None:
         self.length, self.block = length, min(2, length)
         self.farthest = length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple, dict[tuple, list[tuple[tuple[bytes, ...], set[str]]]]] = {}
-        for window, owners in windows.items():
-            for end in range(self.block, length + 1):
-                block = window[end - self.block : end]
-                self.shift[block] = min(self.shift.get(block, self.farthest), length - end)
-            by_prefix = self.buckets.setdefault(window[-self.block :], {})
-            by_prefix.setdefault(window[: self.block], []).append((window, owners))
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, set[str]]]:
-        """Ends of occurrences with the owners, in order."""
-        length, block, farthest, shift = self.length, self.block, self.farthest, self.shift.get
+        self.words = words
+        at = np.concatenate([np.arange(s, e - length + 1) for s, e in zip(starts, ends, strict=True)])
+        owner = np.repeat(items, ends - starts - length + 1)
+        last, first = self._keys(at + length - self.block), self._keys(at)
+        # equal windows come together: by their ends, their beginnings, and a hash of all their words
+        mixed = np.zeros(len(at), np.uint64)
+        for k in range(length):
+            mixed = (mixed ^ words[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        order = np.lexsort((owner, mixed, first, last))
+        at, last, first, owner = at[order], last[order], first[order], owner[order]
+        fresh = np.ones(len(at), bool)
+        for low in range(1, len(at), 1 << 16):
+            high = min(len(at), low + (1 << 16))
+            rows = np.arange(length)
+            fresh[low:high] = (words[at[low:high, None] + rows] != words[at[low - 1 : high - 1, None] + rows]).any(axis=1)
+        heads = np.flatnonzero(fresh)
+        self.at = at[heads].astype(np.int64)
+        self.last, self.first = array("q", last[heads].tobytes()), array("q", first[heads].tobytes())
+        self.owner_ends = np.append(heads[1:], len(at))
+        self.owner_starts, self.owners = heads, owner.astype(np.int32)
+        # the least jump of a block: how far the window that begins first in its item still goes
+        spots = np.concatenate([np.arange(s, e - self.block + 1) for s, e in zip(starts, ends, strict=True)])
+        begins = np.repeat(starts, ends - starts - self.block + 1)
+        jumps = np.maximum(0, begins + length - self.block - spots)
+        keys = self._keys(spots)
+        order = np.lexsort((jumps, keys))
+        keys, jumps = keys[order], jumps[order]
+        kept = np.concatenate([[True], keys[1:] != keys[:-1]])
+        self.blocks, self.jumps = array("q", keys[kept].tobytes()), jumps[kept].astype(np.uint8 if length < 256 else np.int32)
+
+    def _keys(self, at: np.ndarray) -> np.ndarray:
+        return pair_keys(self.words[at], self.words[at + 1] if self.block == 2 else None)
+
+    def shift(self, key: int) -> int:
+        k = bisect_left(self.blocks, key)
+        return int(self.jumps[k]) if k < len(self.blocks) and self.blocks[k] == key else self.farthest
+
+    def search(self, words: list[bytes], number: dict[bytes, int]) -> Iterator[tuple[int, int]]:
+        """(end, window) of occurrences, in order."""
+        length, block, farthest, get = self.length, self.block, self.farthest, number.get
         end, total = length, len(words)
         while end <= total:
-            last = (words[end - 2], words[end - 1]) if block == 2 else (words[end - 1],)
-            jump = shift(last, farthest)
+            last = get(words[end - 1])
+            if last is None:  # no window holds the word
+                end += length
+                continue
+            if block == 2:
+                before = get(words[end - 2])
+                if before is None:
+                    end += farthest
+                    continue
+                last |= before << 32
+            jump = self.shift(last)
             if jump:
                 end += jump
                 continue
-            start = end - length
-            for window, owners in self.buckets[last].get(tuple(words[start : start + block]), ()):
-                if all(a == b for a, b in zip(window, words[start:end], strict=True)):
-                    yield end, owners
-                    break  # windows of one length are distinct
+            for window in self._windows(words, end, last, number):
+                yield end, window
             end += 1
 
+    def _windows(self, words: list[bytes], end: int, last: int, number: dict[bytes, int]) -> Iterator[int]:
+        here = [number.get(w) for w in words[end - self.length : end]]
+        if None in here:
+            return
+        first = here[0] << 32 | here[1] if self.block == 2 else here[0]
+        low, high = bisect_left(self.last, last), bisect_right(self.last, last)
+        low, high = bisect_left(self.first, first, low, high), bisect_right(self.first, first, low, high)
+        for k in range(low, high):
+            start = self.at[k]
+            if self.words[start : start + self.length].tolist() == here:
+                yield k
+
+    def owners_of(self, window: int) -> np.ndarray:
+        return self.owners[self.owner_starts[window] : self.owner_ends[window]]
+
 
 class Searcher:
+    """All items of a block: about 60 bytes a word and a dictionary of the different words."""
+
     def __init__(self, items: Iterable[tuple[str | None, str | None]], window: int) -> None:
-        by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = {}
+        self.names: list[str | None] = []
+        self.number: dict[bytes, int] = {}
+        parts: list[np.ndarray] = []
         for item, text in items:
             words = split_words(text)
-            length = min(window, len(words))
-            for at in range(len(words) - length + 1 if length else 0):
-                owners = by_length.setdefault(length, {}).setdefault(tuple(words[at : at + length]), set())
-                owners.update([] if item is None else [item])
-        self.matchers = [WuManber(w, n) for n, w in sorted(by_length.items())]
+            if words:
+                self.names.append(item)
+                parts.append(np.fromiter((self.number.setdefault(w, len(self.number)) for w in words), np.int32, len(words)))
+        sizes = np.array([len(p) for p in parts], np.int64)
+        ends = np.cumsum(sizes)
+        words = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.matchers = []
+        for length in np.unique(np.minimum(sizes, window)).tolist():
+            mine = np.flatnonzero(np.minimum(sizes, window) == length)
+            self.matchers.append(WuManber(words, ends[mine] - sizes[mine], ends[mine], mine, length))
 
     def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Maximal runs of hit words, and the items with occurring windows."""
         found: set[str] = set()
         spans: list[tuple[int, int]] = []
         for matcher in self.matchers:
-            for end, owners in matcher.search(words):
-                found |= owners
+            seen: set[int] = set()
+            for end, window in matcher.search(words, self.number):
                 spans.append((end - matcher.length, end))
+                seen.add(window)
+            for window in seen:
+                found.update(name for k in matcher.owners_of(window) if (name := self.names[k]) is not None)
         return merged(spans), found
 
 
+#: The searcher of the block that this worker saw last: tasks of one worker share it.
+_LAST: dict[str, Searcher] = {}
+
+
+def _searcher(key: str, items: list, window: int) -> Searcher:
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = Searcher(items, window)
+    return _LAST[key]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -100,10 +185,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _searched(docs: DataFrame, items: list, keep: list[str], text: str, window: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def setup():
-        searcher = Searcher(shared.value, window)
+        searcher = _searcher(key, shared.value, window)
 
         def run(texts):
             counts, spans, found = [], [], []

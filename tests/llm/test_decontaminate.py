@@ -68,3 +68,28 @@ def test_query_digest(spark, tmp_path):
     found = {r.doc_id: r for r in dc.op1_decontaminate(spark, str(tmp_path)).collect()}
     assert found[1].items_sha256 == hashlib.sha256(b"10,9").hexdigest() and found[1].n_items == 2
     assert found[2].items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_searcher_memory():
+    """Two megabytes of benchmark take some fifteen times as much, and equal windows keep all their owners."""
+    import tracemalloc
+
+    r = random.Random(3)
+    names = [f"w{k}" for k in range(30_000)]
+    items = [(str(k), " ".join(r.choices(names, k=3000))) for k in range(110)]
+    tracemalloc.start()
+    searcher = dc.Searcher(items, 13)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = sum(len(t) for _, t in items)
+    assert size > 1_900_000 and held < 20 * size and peak < 80 * size
+    same = dc.Searcher([(str(k), "a b c d e f g h i j k l m n") for k in range(500)] + [("x", "c d")], 13)
+    spans, owners = same.search(b"z a b c d e f g h i j k l m n z".split())
+    assert spans == [(1, 15)] and owners == {*map(str, range(500)), "x"}
+
+
+def test_very_long_text(spark):
+    items = spark.createDataFrame([("a", " ".join(f"b{k}" for k in range(20)))], "item_id string, text string")
+    text = "w " * 2_000_000 + " ".join(f"b{k}" for k in range(5, 18)) + " w" * 10
+    (row,) = dc.contamination(documents(spark, [(1, text)]), items, keep=["doc_id"]).collect()
+    assert (row.n_words, row.n_hit, row.hit_items) == (2_000_023, 13, ["a"])
