@@ -20,7 +20,8 @@ zones are cut into pieces of eight windows, and a piece goes where the hash of t
 Defined cases: null is the empty text; texts under 100 bytes have nothing to remove; a null doc_id comes after all others;
 repeated rows (equal doc_id and text) are one document and have equal results; different texts under one doc_id, or
 without one, are told apart and ordered by a hash of 128 bits of the text; a doc_id counts as a long, and one that can't
-be cast to it as null; empty tables give no rows; other columns are ignored.
+be cast to it as null; texts of any length are hashed in stretches, and only the text itself has to fit a task; empty tables
+give no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -226,7 +227,7 @@ def _send_grams(width: int):
         home = texts.column("home")[0].as_py()
         found, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for batch in _batches(texts):
-            keys, often = np.unique(_gram_keys(anchors([data for _, data in batch])[4], width), return_counts=True)
+            keys, often = np.unique(_gram_keys(anchors([data for _, data, _ in batch])[4], width), return_counts=True)
             found.append(keys)
             counts.append(often)
         keys, where = np.unique(np.concatenate(found), return_inverse=True)
@@ -299,18 +300,21 @@ def _documents(texts: pa.Table) -> Iterator[tuple[int | None, tuple[int, bytes],
             yield i, (_LAST if i is None else i, xxhash.xxh3_128_digest(data)), data, copies
 
 
-def _batches(texts: pa.Table) -> Iterator[list[tuple[tuple[int, bytes], bytes]]]:
-    """(key, text) of a home's different documents, about HASHED_BYTES at a time."""
+def _batches(texts: pa.Table) -> Iterator[list[tuple[tuple[int, bytes], bytes, int]]]:
+    """(key, stretch, place) of a home's different documents, about HASHED_BYTES at a time. Stretches of a longer text overlap
+    by a window less a byte, so each window is in one of them."""
     done: set[tuple[int, bytes]] = set()
     batch, size = [], 0
     for _, key, data, _ in _documents(texts):
         if key not in done:
             done.add(key)
-            batch.append((key, data))
-            size += len(data)
-            if size >= HASHED_BYTES:
-                yield batch
-                batch, size = [], 0
+            for at in range(0, max(1, len(data) - LENGTH + 1), HASHED_BYTES):
+                part = data[at : at + HASHED_BYTES + LENGTH - 1] if len(data) > HASHED_BYTES else data
+                batch.append((key, part, at))
+                size += len(part)
+                if size >= HASHED_BYTES:
+                    yield batch
+                    batch, size = [], 0
     yield batch
 
 
@@ -364,17 +368,17 @@ def _send_runs(width: int):
             seen.clear()
 
         for batch in _batches(texts) if len(repeated) else ():
-            *columns, h = anchors([data for _, data in batch])
+            *columns, h = anchors([data for _, data, _ in batch])
             keys = _gram_keys(h, width)
             at = np.minimum(np.searchsorted(repeated, keys), len(repeated) - 1)
             mine = np.flatnonzero(repeated[at] == keys)
             for number, place, first, last, often in zip(*[c[mine].tolist() for c in columns], is_hot[at[mine]].tolist(), strict=True):
-                key, data = batch[number]
+                key, data, low = batch[number]
                 for suffix, head, begin, end in _zone_pieces(data, place, first, last, often):
-                    own = (key, head, begin, end)
+                    own = (key, low + head, low + begin, low + end)
                     other = seen.setdefault(suffix, own)
                     if other is not own:
-                        if (key, head) < other[:2]:
+                        if own[:2] < other[:2]:
                             seen[suffix], own = own, other
                         gone.setdefault(own[0], []).append((own[2], own[3] + LENGTH))
             if len(seen) >= RUN_ROWS:
@@ -503,7 +507,7 @@ def repeated_strings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     total = docs.agg(F.coalesce(F.sum(F.octet_length(docs[text])), F.lit(0))).first()[0]
     width = max(shuffle_width(spark), total // SHARE_BYTES + 1)
     homes = max(width, total // HOME_BYTES + 1)
-    home = F.pmod(F.xxhash64(F.coalesce(docs[doc_id].cast("long"), F.xxhash64(docs[text]))), F.lit(homes)).cast("int")
+    home = F.pmod(F.xxhash64(docs[doc_id].cast("long"), docs[text]), F.lit(homes)).cast("int")
     rows = docs.select(home.alias("home"), docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     texts = rows.mapInArrow(_pack_texts, "home int, payload binary")
     grams = texts.groupBy("home").applyInArrow(_send_grams(width), "range int, payload binary")

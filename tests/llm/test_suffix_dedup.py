@@ -171,3 +171,27 @@ def test_very_common_line(spark):
     near = [text(9) for _ in range(6)]
     rows = [(k, text(r.randrange(0, 60)) + r.choice(near) + line + r.choice(near) + text(r.randrange(0, 60))) for k in range(sd.HOT + 400)]
     assert found(spark, rows) == brute(rows)
+
+
+def test_long_texts(spark):
+    """A repeat across the bound of two stretches of a text of some megabytes, and no stretch longer than it should be."""
+    import pyarrow as pa
+
+    r = random.Random(15)
+    letters = lambda n: "".join(r.choices("abcdefghijklmnop ", k=n))
+    part, bound = letters(500), sd.HASHED_BYTES
+    text = letters(100) + part + letters(bound - 850) + part + letters(bound + 1000)
+    got = sd.repeated_strings(documents(spark, [(1, text), (2, letters(50) + part[:150] + "z")])).collect()
+    assert {g.doc_id: [(s.start, s.end) for s in g.removed] for g in got} == {1: [(bound - 250, bound + 250)], 2: [(50, 200)]}
+    packed = pa.table({"payload": [sd.packed([1, 2], [text.encode(), b"a" * (bound + 99)], [1, 1])]})
+    parts = [x for b in sd._batches(packed) for x in b]
+    assert max(len(data) for _, data, _ in parts) <= bound + 99 and [at for _, _, at in parts] == [0, bound, 2 * bound, 0]
+
+
+def test_texts_of_one_id(spark):
+    """Very many different texts under one id are spread over homes."""
+    r = random.Random(16)
+    line = "".join(r.choices("abcdefgh ", k=120))
+    rows = [(7, f"{k} {line}") for k in range(400)]
+    got = sd.repeated_strings(documents(spark, rows)).collect()
+    assert len(got) == 400 and sum(bool(g.removed) for g in got) == 399
