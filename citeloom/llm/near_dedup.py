@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 
 from citeloom.operators.graph import connected_components, drop_kept
 
-from .common import arrow_map, checkpointed, shuffle_width, slices, split_words, table
+from .common import HOT_KEYS, arrow_map, checkpointed, shuffle_width, slices, split_words, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -64,6 +64,8 @@ HOT_NODES = 1024
 SWEEP_HUBS = 4
 #: Rows of the last round's join for each node of the corpus, at most; before that, further rounds have fewer.
 PAIRS_A_NODE = 5
+#: Rounds, at most: whatever is left in the last is verified pair by pair.
+MOST_ROUNDS = 8
 _POOL = 1 << 12
 _KEPT_WORDS = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
@@ -134,9 +136,9 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
     return max([0, *(r["n"] for r in rows)]), total.ravel()
 
 
-def idf_weights(n: int, frequencies: np.ndarray) -> np.ndarray:
-    """Square root of ln((1+N)/(1+df)) + 1, per feature, with df of RARE_SHARE of all documents at least."""
-    often = np.maximum(np.minimum(frequencies, n), RARE_SHARE * n)
+def idf_weights(n: int, frequencies: np.ndarray, rare_share: float = RARE_SHARE) -> np.ndarray:
+    """Square root of ln((1+N)/(1+df)) + 1, per feature, with df of a share of all documents at least."""
+    often = np.maximum(np.minimum(frequencies, n), rare_share * n)
     return np.sqrt(np.maximum(0.0, np.log((1.0 + n) / (1.0 + often))) + 1).astype(np.float32)
 
 
@@ -388,25 +390,32 @@ def _apart(placed: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
     return left, state.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, class_size): every row of docs with its class and the number of rows in it."""
-    return _classes(docs, doc_id=doc_id, text=text, similarity=similarity).select("doc_id", "class_id", "class_size")
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, rare_share: float = RARE_SHARE) -> DataFrame:
+    """(doc_id, class_id, class_size): every row of docs with its class and the number of rows in it.
+
+    With a `rare_share` of 0 all inverse document frequencies count as they are.
+    """
+    return _classes(docs, doc_id=doc_id, text=text, similarity=similarity, rare_share=rare_share).select("doc_id", "class_id", "class_size")
 
 
-def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> DataFrame:
+def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float, rare_share: float = RARE_SHARE) -> DataFrame:
     """(doc_id, raw, node, class_id, class_raw, class_size) of every row. The class is named by its smallest doc_id, and of
     the texts with that by the smallest digest."""
     n, frequencies = document_frequencies(docs, text)
-    idf = idf_weights(n, frequencies)
+    idf = idf_weights(n, frequencies, rare_share)
     rows = checkpointed(signatures(docs, idf, doc_id=doc_id, text=text))
     each = rows.where("node is not null").groupBy("node")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "raw"))
     nodes = checkpointed(each.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.count("*").alias("copies"), first.alias("first")))
-    # a key is a band's samples mixed with the band, so it names the bucket; the exchange of its rows serves both uses
-    placed = nodes.select("node", "weight", F.explode("bands").alias("key")).repartition("key")
+    # a key is a band's samples mixed with the band, so it names the bucket
+    placed = nodes.select("node", "weight", F.explode("bands").alias("key"))
     hubs = placed.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    stars = placed.join(hubs.select("key", F.col("hub.node").alias("low")), "key").where("node <> low")
-    stars = checkpointed(stars.select("low", F.col("node").alias("high"), "weight").distinct())
+    hubs = checkpointed(hubs.select("key", F.col("hub.node").alias("low"), "n"))
+    # the hubs of buckets that a large share of all nodes is in, HOT_KEYS at most, go to the nodes; no task gets such a bucket
+    total = BANDS * nodes.count()
+    hot, rest = F.broadcast(hubs.where(F.col("n") * HOT_KEYS >= total).drop("n")), hubs.where(F.col("n") * HOT_KEYS < total).drop("n")
+    met = placed.join(hot, "key").unionByName(placed.join(hot.select("key"), "key", "left_anti").join(rest, "key")).where("node <> low")
+    stars = checkpointed(met.select("low", F.col("node").alias("high"), "weight").distinct())
     inside = nodes.join(stars.select(F.col("high").alias("node")).union(stars.select("low")).distinct(), "node", "left_semi")
     texts = checkpointed(texts_of(inside, docs, doc_id=doc_id, text=text))
     most = PAIRS_A_NODE * nodes.count()
@@ -420,7 +429,7 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> D
         parts = connected_components(links, "low", "high")
         return compared
 
-    while True:
+    for turn in range(MOST_ROUNDS):
         compared = linked(stars)
         opened = _open_keys(compared)
         drop_kept(compared)
@@ -437,7 +446,7 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float) -> D
         drop_kept(opened)
         if not pairs:
             break
-        if pairs <= most:
+        if pairs <= most or turn + 1 == MOST_ROUNDS:
             a, b = left.where("alive").alias("a"), left.alias("b")
             near = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part")))
             near = near.select(F.least("a.node", "b.node").alias("low"), F.greatest("a.node", "b.node").alias("high"), F.lit(0.0).alias("weight")).distinct()
