@@ -48,15 +48,18 @@ def shuffle_width(spark: SparkSession) -> int:
 def spread_join(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """rows left-joined with lookup, which has one row a key at most.
 
-    A key of one part in HOT_KEYS of all rows or more is joined by a broadcast, and there are HOT_KEYS of them at most; the
-    others by a shuffle. So no task gets all rows of a key, and what is broadcast has a bound.
+    A key of one part in HOT_KEYS of all rows or more is joined by a broadcast, whether the lookup has it or not, and there are
+    HOT_KEYS of them at most; rows without a key are not joined at all; the others are joined by a shuffle. So no task gets all
+    rows of a key, and what is broadcast has a bound.
     """
     total = rows.count()
-    often = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") * HOT_KEYS >= total)
-    hot = checkpointed(lookup.join(F.broadcast(often.select(key)), key, "left_semi"))
-    rest = lookup.join(F.broadcast(hot.select(key)), key, "left_anti")
+    often = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") * HOT_KEYS >= total).select(key)
+    hot = checkpointed(often.join(lookup, key, "left"))
     near = rows.join(F.broadcast(hot), key)
-    return near.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, "left"))
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema.fields if f.name != key]
+    without = rows.where(F.col(key).isNull()).select(key, *[c for c in rows.columns if c != key], *added)
+    rest = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti").join(lookup, key, "left")
+    return near.unionByName(rest).unionByName(without)
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

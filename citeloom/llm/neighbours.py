@@ -8,7 +8,7 @@ row asks: the projections of two rows at a distance d differ by a normal variabl
 width of `REACH` times the k-th best distance, a row that is nearer is verified with a probability of `FOUND` at least. That
 holds for blocks of any size and for any vectors.
 
-Rows are indexed in blocks of at most `BLOCK_ROWS`, each by the task that holds it, so all rows are indexed and no index
+Rows are indexed in blocks of at most `BLOCK_ROWS` rows and `BLOCK_BYTES`, each by the task that holds it, so all rows are indexed and no index
 outgrows a task. A block is indexed once for all queries of a pass, `PASS_BYTES` of them at most, which are broadcast; the
 best rows of all blocks are ranked together. The lines are drawn from a seed, so nothing is fitted.
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, table
+from .common import checkpointed, slices, table
 
 LINES = 64
 #: Windows in which a candidate is found, at least.
@@ -43,6 +43,8 @@ FACTOR = 1.3
 #: Probability that a row no farther than the k-th best verified one is verified too, at least.
 FOUND = 0.98
 BLOCK_ROWS = 1 << 16
+#: Bytes of the vectors of a block; a worker takes some four times as much.
+BLOCK_BYTES = 48 << 20
 #: Queries of one pass over all rows, in bytes, and how many widen their windows together.
 PASS_BYTES = 16 << 20
 QUERY_ROWS = 1 << 11
@@ -150,6 +152,7 @@ def nearest(
 
         def search(chunks, shared=shared):
             hold: dict[int, tuple[list, list]] = {}
+            size_held = 0
 
             def answer():
                 out = []
@@ -161,14 +164,16 @@ def nearest(
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], kind) for c, kind in enumerate(kinds)], names=["query_id", "vec_id", "score"])
 
-            for chunk in chunks:
+            for chunk in (part for whole in chunks for part in slices(whole)):
                 for i, value in zip(*[c.to_pylist() for c in chunk.columns], strict=True):
                     if (vector := usable(value)) is not None:
                         ids, data = hold.setdefault(len(vector), ([], []))
                         ids.append(i)
                         data.append(vector)
-                        if len(ids) >= BLOCK_ROWS:
+                        size_held += vector.nbytes
+                        if len(ids) >= BLOCK_ROWS or size_held >= BLOCK_BYTES:
                             yield answer()
+                            size_held = 0
             if hold:
                 yield answer()
 

@@ -6,12 +6,15 @@ Viterbi over a unigram model; host words and path words are the tokens, and runs
 
 The unigram model counts all words of all page titles, and its total is over all of them. Each different host is split once:
 its labels' pieces meet the word counts in a join, and a label with the counts of its own pieces is a row that Viterbi reads.
-So no vocabulary has to fit the driver or a broadcast, and no word is left out for its rank. Naive Bayes learns from all urls
-that a rule decides: counts of the hashed tokens (`SLOTS`) of blocked and allowed ones.
+So no vocabulary has to fit the driver or a broadcast, and no word is left out for its rank. Hosts and labels go by numbers,
+and a bit for each of `SIEVE` hashes of title words keeps back pieces that can't be words, so what is sent grows with the
+length of a label, not with its square. Naive Bayes learns from all urls that a rule decides: counts of the hashed tokens
+(`SLOTS`) of blocked and allowed ones. Having no other labels, it mostly learns the given rules again.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and no tokens, so the class shares decide;
 without urls of both kinds to learn from, what no rule blocks is allowed; null page ids stay null; repeated rows are judged
-one by one; of two fitting rules of one length the longer host decides; empty tables give no rows; other columns are ignored.
+one by one; of two fitting rules of one length the longer host decides; hosts and labels of any length are split whole (a
+test has one of 1,000,000 letters); empty tables give no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, checkpointed, slices, spread_join, table
+from .common import SLICE_BYTES, arrow_map, checkpointed, slices, spread_join, table
 
 #: Fixed by the contract: verdict, host, path prefix.
 RULES = (
@@ -40,6 +45,9 @@ RULES = (
 )
 LONGEST_WORD = 24
 SLOTS = 1 << 16
+#: Bits that tell which pieces may be words, and pieces of an Arrow batch.
+SIEVE = 1 << 22
+_PIECES = 1 << 16
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _HOST = re.compile(r"[^/?#]*")
 _PATH = re.compile(r"[^?#]*")
@@ -63,21 +71,34 @@ class Rules:
             self.by_host.setdefault(host, []).append((path, verdict))
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
-        """The longest fitting rule, as written, and its verdict."""
-        best, at = None, 0
-        while True:
-            name = host[at:]
-            for prefix, verdict in self.by_host.get(name, ()):
-                if path.startswith(prefix) and (best is None or len(name) + len(prefix) > len(best[0])):
-                    best = (name + prefix, verdict)
-            at = host.find(".", at) + 1
-            if not at:
-                return best
+        """The longest fitting rule, as written, and its verdict; of equally long ones that of the longer host."""
+        best = None
+        for name, rules in self.by_host.items():
+            if host != name and not host.endswith("." + name):
+                continue
+            for prefix, verdict in rules:
+                if path.startswith(prefix) and (best is None or (len(name) + len(prefix), len(name)) > best[0]):
+                    best = ((len(name) + len(prefix), len(name)), name + prefix, verdict)
+        return best and best[1:]
 
 
-def pieces_of(run: str) -> set[str]:
-    """What a split of a run of letters can hold."""
-    return {run[k : k + n] for k in range(len(run)) for n in range(1, min(LONGEST_WORD, len(run) - k) + 1)}
+def pieces_of(run: str) -> Iterator[str]:
+    """What a split of a run of letters can hold, in order of place and length."""
+    for k in range(len(run)):
+        for n in range(1, min(LONGEST_WORD, len(run) - k) + 1):
+            yield run[k : k + n]
+
+
+def sieve_of(counts: DataFrame) -> np.ndarray:
+    """A bit for each hash that a counted word has: SIEVE numbers come to the driver at most."""
+    bits = np.zeros(SIEVE, bool)
+    bits[counts.select(F.pmod(F.crc32("word"), F.lit(SIEVE)).alias("bit")).distinct().toArrow().column(0).to_numpy()] = True
+    return np.packbits(bits)
+
+
+def may_be_word(piece: str, sieve: np.ndarray) -> bool:
+    bit = zlib.crc32(piece.encode("utf-8", "surrogatepass")) % SIEVE
+    return bool(sieve[bit >> 3] >> (7 - (bit & 7)) & 1)
 
 
 def split_run(run: str, counts: dict[str, int], total: int) -> list[str]:
@@ -147,31 +168,58 @@ def parsed(pages: DataFrame, *, keep: list[str], url: str = "url", rules=RULES)
 def split_hosts(hosts: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     """(host, host_words) of different hosts, with word counts (word, n) of which `total` is the sum."""
 
-    def runs(batches):
+    shared = hosts.sparkSession.sparkContext.broadcast(sieve_of(counts))
+
+    def made(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds.values())], names=list(kinds))
+
+    def in_batches(rows: Iterator[tuple], kinds: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in rows:
+            held.append(row)
+            size += 16 + sum(len(x) for x in row if isinstance(x, str | list))
+            if len(held) >= _PIECES or size > SLICE_BYTES:
+                yield made(held, kinds)
+                held, size = [], 0
+        yield made(held, kinds)
+
+    def rows_of(batches) -> Iterator[tuple]:
         for whole in batches:
             for batch in slices(whole):
-                rows = [(host, at, run) for host in batch.column(0).to_pylist() for at, run in enumerate(_WORD.findall(host))]
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int32(), pa.string()))], names=["host", "at", "run"])
+                yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
+
+    def runs(batches):
+        found = ((number, at, run) for number, host in rows_of(batches) for at, run in enumerate(_WORD.findall(host)))
+        yield from in_batches(found, {"host_no": pa.int64(), "at": pa.int32(), "run": pa.string()})
 
     def pieces(batches):
-        for batch in batches:
-            for whole in slices(batch, 1 << 15):  # a run has up to LONGEST_WORD pieces a letter
-                rows = [(run, piece) for run in whole.column(0).to_pylist() for piece in pieces_of(run)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(2)], names=["run", "word"])
+        def found():
+            for number, run in rows_of(batches):
+                seen: set[str] = set()
+                for piece in pieces_of(run):
+                    if piece not in seen and may_be_word(piece, shared.value):
+                        if len(seen) < _PIECES:  # what is said again beyond that is met again, and counts once below
+                            seen.add(piece)
+                        yield number, piece
 
-    def splits(batches):
-        for batch in batches:
-            words = [split_run(run, dict(known or ()), total) for run, known in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=["run", "words"])
+        yield from in_batches(found(), {"run_no": pa.int64(), "word": pa.string()})
 
-    placed = checkpointed(hosts.select("host").mapInArrow(runs, "host string, at int, run string"))
-    letters = checkpointed(placed.where(~F.col("run").rlike(r"^\d")).select("run").distinct())
+    def splits(batches):
+        found = ((run, split_run(run, dict(known or ()), total)) for run, known in rows_of(batches))
+        yield from in_batches(found, {"run": pa.string(), "words": pa.list_(pa.string())})
+
+    # numbers stay as they are once they are written
+    named = checkpointed(hosts.select(F.monotonically_increasing_id().alias("host_no"), "host"))
+    placed = checkpointed(named.mapInArrow(runs, "host_no long, at int, run string"))
+    letters = placed.where(~F.col("run").rlike(r"^\d")).select("run").distinct()
+    letters = checkpointed(letters.select(F.monotonically_increasing_id().alias("run_no"), "run"))
     # a piece such as a single letter is in very many runs
-    meets = spread_join(checkpointed(letters.mapInArrow(pieces, "run string, word string")), counts, "word").where("n is not null")
-    known = meets.groupBy("run").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))
-    made = checkpointed(letters.join(known, "run", "left").mapInArrow(splits, "run string, words array<string>"))
-    joined = spread_join(placed, made, "run").withColumn("words", F.coalesce("words", F.array(F.lit("0"))))  # runs of digits
-    return joined.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x.words)).alias("host_words"))
+    meets = spread_join(checkpointed(letters.mapInArrow(pieces, "run_no long, word string")), counts, "word").where("n is not null").distinct()
+    known = meets.groupBy("run_no").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))
+    split = checkpointed(letters.join(known, "run_no", "left").select("run", "known").mapInArrow(splits, "run string, words array<string>"))
+    joined = spread_join(placed, split, "run").withColumn("words", F.coalesce("words", F.array(F.lit("0"))))  # runs of digits
+    words = joined.groupBy("host_no").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x.words)).alias("host_words"))
+    return named.join(words, "host_no").select("host", "host_words")
 
 
 def segmented(pages: DataFrame, *, keep: list[str], url: str = "url", html: str = "html", rules=RULES) -> DataFrame:

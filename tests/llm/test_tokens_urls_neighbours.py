@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from citeloom.llm import common
 from citeloom.llm import neighbours as nn
 from citeloom.llm import token_counts as tc
 from citeloom.llm import url_filter as uf
@@ -150,6 +151,27 @@ def test_rare_words_of_many_titles(spark):
     assert len(found) == len(titles) and all(r.host_words[:2] == [words[7 * r.page_id], words[9 * r.page_id + 1]] for r in found)
 
 
+def test_very_long_labels(spark):
+    """A label of a million letters, a host of many dots, and a long label beside a plain one with the same words."""
+    long, dots = "thegraph" * 125_000, "a." * 20_000 + "com"
+    rows = [(1, f"http://{long}.org/es/1", "<title>The graph</title>"), (2, f"http://{dots}/en/", "<title>a</title>"), (3, "http://thegraph.net/de/1", None), (4, f"http://{long}.example/x", "")]
+    found = {r.page_id: r for r in uf.segmented(spark.createDataFrame(rows, "page_id long, url string, html string"), keep=["page_id"]).collect()}
+    assert found[1].host_words[:4] == ["the", "graph", "the", "graph"] and len(found[1].host_words) == 250_001 and found[1].rule == "org/es/"
+    assert len(found[2].host_words) == 20_001 and found[2].rule == "com/en/" and found[3].host_words[:2] == ["the", "graph"]
+    assert found[4].host_words[:2] == ["the", "graph"] and found[4].rule is None
+
+
+def test_frequent_keys_that_a_lookup_lacks(spark):
+    """Half of all rows have one key that the lookup lacks, a sixth has none: no partition of the join gets them all."""
+    rows = spark.range(60_000).select(F.when(F.col("id") % 6 == 5, None).when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 5000).alias("key"), "id")
+    lookup = spark.range(4000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+    joined = common.spread_join(rows.repartition(4), lookup, "key")
+    got = joined.selectExpr("id", "key", "twice", "spark_partition_id() AS part").collect()
+    assert len(got) == 60_000 and all(r.twice == (2 * r.key if r.key is not None and 0 <= r.key < 4000 else None) for r in got)
+    parts = Counter(r.part for r in got)
+    assert max(parts.values()) < 25_000
+
+
 def test_segmentation():
     counts = {"the": 50, "end": 20, "then": 10, "d": 1}
     total = sum(counts.values())
@@ -164,7 +186,7 @@ def test_segmentation():
     cost = lambda parts: sum(uf.cost_of(p, counts, total) for p in parts)
     for word in ("thendend", "xthey", "dthen"):
         assert abs(cost(uf.split_run(word, counts, total)) - max(map(cost, all_splits(word)))) < 1e-9
-        assert set(uf.split_run(word, counts, total)) <= uf.pieces_of(word)
+        assert set(uf.split_run(word, counts, total)) <= set(uf.pieces_of(word))
 
 
 def test_held_out_rules(spark, capsys):
@@ -274,3 +296,16 @@ def test_neighbour_cases(spark):
     assert small == found
     assert nn.nearest(df.limit(0), df.where("vec_id = 50")).collect() == []
     assert nn.nearest(df, df.limit(0)).collect() == []
+
+
+def test_wide_vectors_end_blocks(spark, monkeypatch):
+    """Vectors of 1,536 components are held in blocks of bounded bytes, and neighbours come from all of them."""
+    assert nn.BLOCK_BYTES < nn.BLOCK_ROWS * 1536 * 8
+    r = np.random.default_rng(9)
+    data = r.normal(size=(6000, 1536)).astype(np.float32)
+    data[1:101] = data[0] + 0.01 * r.normal(size=(100, 1536))
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(data)], "vec_id long, embedding array<float>").coalesce(1)
+    assert data.size * 8 > nn.BLOCK_BYTES
+    found = nn.nearest(rows, rows.where("vec_id = 0")).orderBy("rank").collect()
+    want = exact([(k, v) for k, v in enumerate(data[:200])])[0]
+    assert [(f.vec_id, round(f.score, 12)) for f in found] == [(i, round(s, 12)) for i, s in want]
