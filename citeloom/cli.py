@@ -26,7 +26,7 @@ def _rows(df) -> list[dict]:
 def corpus_build(spark, a):
     """Markdown below a folder, with metadata and labels of a warehouse, to documents, chunks and postings."""
     from citeloom.client import Warehouse
-    from citeloom.operators import corpus, search
+    from citeloom.operators import corpus, search, topk
     from citeloom.sources import records
 
     house = Warehouse(spark, a.data)
@@ -37,6 +37,8 @@ def corpus_build(spark, a):
     chunks.withColumn("chunk_id", F.xxhash64("document_id", "chunk_no")).write.mode("overwrite").parquet(f"{a.index}/chunks")
     chunks = spark.read.parquet(f"{a.index}/chunks")
     search.postings(search.searchable(docs, chunks)).repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{a.index}/postings")
+    index = spark.read.parquet(f"{a.index}/postings")
+    topk.built(index, search.chunk_lengths(index, chunks), f"{a.index}/top")
     _show(_rows(corpus.corpus_stats(docs, chunks)))
 
 
@@ -45,9 +47,11 @@ def _index(spark, a):
 
 
 def corpus_search(spark, a):
-    from citeloom.operators import search
+    from citeloom.operators import search, topk
+    from citeloom.sources import records
 
-    _show(_rows(search.search(*_index(spark, a), a.query, limit=a.limit, category=a.category, year_min=a.year_min, year_max=a.year_max, all_versions=a.all_versions, low_quality=a.low_quality, back_matter=a.back_matter)))
+    blocks = topk.opened(spark, f"{a.index}/top") if records.path_exists(spark, f"{a.index}/top/sizes") else None
+    _show(_rows(search.search(*_index(spark, a), a.query, blocks=blocks, limit=a.limit, category=a.category, year_min=a.year_min, year_max=a.year_max, all_versions=a.all_versions, low_quality=a.low_quality, back_matter=a.back_matter)))
 
 
 def corpus_stats(spark, a):
@@ -113,7 +117,7 @@ def classify(spark, a):
     log_path = f"{a.data}/classifications_7cat.jsonl"
     log = records.read_log(spark, log_path, records.LABELS, strict=False)
     if a.command == "prepare":
-        papers = records.normalize_papers(records.read_log(spark, f"{a.data}/discovered_papers.jsonl", records.PAPERS, strict=False))
+        papers = records.read_papers(spark, f"{a.data}/discovered_papers.jsonl", strict=False)
         open_ = papers.join(log.select("paper_id"), "paper_id", "left_anti").groupBy("paper_id").agg(F.min_by(F.struct("title", F.substring("abstract", 1, 600).alias("abstract")), "ord").alias("x"))
         numbered = labels.numbered_batches(open_.select("paper_id", "x.*"), [F.col("paper_id")], a.size)
         numbered.drop("place").write.mode("overwrite").partitionBy("batch").json(f"{a.data}/classify_batches")

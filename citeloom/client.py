@@ -40,7 +40,7 @@ class Warehouse:
         """Discovered papers first, seeds fill the gaps."""
         sources = []
         for name in ("discovered_papers.jsonl", "papers.jsonl"):
-            rows = records.normalize_papers(self._log(name, records.PAPERS)).drop("provenance")
+            rows = records.read_papers(self.spark, f"{self.data}/{name}", strict=False).drop("provenance")
             sources.append(self._canonical(rows.drop("abstract") if self.slim else rows, "paper_id"))
         return papers.fill_gaps(sources).cache()
 

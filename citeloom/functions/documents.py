@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import reduce
 from html import unescape
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,41 +24,50 @@ CHUNK = T.ArrayType(
 )
 
 
-def sections(text: str):
-    """(heading path, numbered lines) of the parts that headings begin. A heading replaces those of its level and below."""
+_LINE_END = re.compile("\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]")
+
+
+def lines_of(text: str) -> Iterator[str]:
+    """The lines of a text one after the other, as str.splitlines() has them all at once."""
+    at = 0
+    for end in _LINE_END.finditer(text):
+        yield text[at : end.start()]
+        at = end.end()
+    if at < len(text):
+        yield text[at:]
+
+
+def chunk_rows(text: str | None, most: int = 4_500) -> Iterator[tuple[str, int, int, str]]:
+    """(heading path, first line, last line, text) of sections packed greedily into pieces of at most `most` characters.
+
+    A heading begins a section and replaces those of its level and below; a longer line is a piece; blank pieces are left out.
+    Only the piece that is being packed is held.
+    """
     path: list[str] = []
-    part: list[tuple[int, str]] = []
-    name = "Document"
-    for number, line in enumerate(text.splitlines(), 1):
+    name, piece, first, size = "Document", [], 1, 0
+
+    def whole(last: int) -> Iterator[tuple[str, int, int, str]]:
+        body = "\n".join(piece).strip()
+        if body:
+            yield name, first, last, body
+
+    for number, line in enumerate(lines_of(text or ""), 1):
         found = _HEADING.match(line.strip())
+        if piece and (found or size + len(line) + 1 > most):
+            yield from whole(number - 1)
+            piece, size = [], 0
         if found:
-            if part:
-                yield name, part
             path = [*path[: len(found[1]) - 1], found[2].strip()]
-            name, part = " > ".join(path), []
-        part.append((number, line))
-    if part:
-        yield name, part
+            name = " > ".join(path)
+        if not piece:
+            first = number
+        piece.append(line)
+        size += len(line) + 1
+    yield from whole(first + len(piece) - 1)
 
 
 def chunks(text: str | None, most: int = 4_500) -> list[dict]:
-    """Sections packed greedily into pieces of at most `most` characters; a longer line is a piece. Blank pieces are left out."""
-    out = []
-    for heading, part in sections(text or ""):
-        pieces: list[list[tuple[int, str]]] = [[]]
-        size = 0
-        for number, line in part:
-            cost = len(line) + 1
-            if pieces[-1] and size + cost > most:
-                pieces.append([])
-                size = 0
-            pieces[-1].append((number, line))
-            size += cost
-        for piece in pieces:
-            body = "\n".join(line for _, line in piece).strip()
-            if body:
-                out.append({"heading": heading, "line_start": piece[0][0], "line_end": piece[-1][0], "text": body})
-    return out
+    return [dict(zip(("heading", "line_start", "line_end", "text"), row, strict=True)) for row in chunk_rows(text, most)]
 
 
 @F.pandas_udf(CHUNK)
@@ -98,6 +109,46 @@ def readable(html: str | None) -> str:
     return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", text)).strip()
 
 
+@F.pandas_udf(T.IntegerType())
+def chunk_count(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: sum(1 for _ in chunk_rows(t))).astype("int32")
+
+
+#: Characters of chunks that leave a task together.
+_SENT = 4 << 20
+
+
+def chunk_table(docs: DataFrame, key: str = "document_id") -> DataFrame:
+    """(key, chunk_no, heading, line_start, line_end, text) of documents (key, text), by a table function over Arrow batches.
+
+    Chunks are sent as they are read, so a task holds one batch of texts and a few chunks, however long a text is.
+    """
+
+    class Chunks:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            keys, texts = batch.column(0), batch.column(1)
+            for k in range(batch.num_rows):
+                held, size = [], 0
+                for number, row in enumerate(chunk_rows(texts[k].as_py())):
+                    held.append((number, *row))
+                    size += len(row[3])
+                    if size > _SENT:
+                        yield self.table(keys.slice(k, 1), held)
+                        held, size = [], 0
+                yield self.table(keys.slice(k, 1), held)
+
+        @staticmethod
+        def table(key: pa.Array, rows: list[tuple]) -> pa.Table:
+            kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string())
+            columns = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]
+            return pa.table([key.take(pa.array([0] * len(rows), pa.int32())), *columns], names=[name, "chunk_no", "heading", "line_start", "line_end", "text"])
+
+    name = key
+    kind = dict(docs.dtypes)[key]
+    made = F.arrow_udtf(Chunks, returnType=f"{key} {kind}, chunk_no int, heading string, line_start int, line_end int, text string")
+    return made(docs.select(key, "text").asTable())
+
+
 @F.pandas_udf(T.StringType())
 def html_to_markdown(html: pd.Series) -> pd.Series:
     return html.map(readable)

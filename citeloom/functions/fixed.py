@@ -96,6 +96,12 @@ BLOCKED_MARKERS = ("access denied", "just a moment...", "captcha", "403 forbidde
 # Layout geometry.
 LANES = {"fmri_gnn": 620.0, "fmri_geometric_manifold": 0.0, "fmri_graph_classical": -620.0}
 CONSTELLATIONS = {"fmri_graph_classical": (-430.0, 0.0), "fmri_gnn": (610.0, 350.0), "fmri_geometric_manifold": (620.0, -470.0)}
+#: Fixed: side of the force layout's box and radius of the circle of isolates; height of a lane, growth of a spiral, height of
+#: the map by citations; jitter (x, y) by layout; the least size of a node and what the best connected one has more (file, web).
+LAYOUT_SPAN, ISOLATE_RADIUS = 1800.0, 1050.0
+LANE_HEIGHT, SPIRAL_STEP, IMPACT_HEIGHT = 470, 7.6, 1380
+JITTER = {"timeline": (48, 7), "impact": (42, 15)}
+NODE_SIZES = {"size": (2.0, 12.0), "web_size": (1.4, 5.6)}
 CATEGORY_HEADINGS = {
     "fmri_gnn": "Graph and geometric deep learning",
     "fmri_geometric_manifold": "Geometric, manifold, and topological methods",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import text
 
+from .graph import cut_lineage
 from .papers import backfilled, titles_match, with_abstracts
 
 #: A cached response: a paper or work, or pages of citations around them.
@@ -105,13 +106,15 @@ def filled(papers: DataFrame, found: DataFrame, fetched_at: Column, confidence:
 def in_phases(papers: DataFrame, processed: DataFrame, phases: list[tuple[str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
     """(paper_id, abstract, source): each phase is asked for papers that none before found and that it didn't try already.
 
-    processed (key) holds `phase:paper_id` of tries before; a phase returns (paper_id, abstract).
+    processed (key) holds `phase:paper_id` of tries before; a phase returns (paper_id, abstract). A phase's answers are written
+    before they are used: they are both part of the result and what the next phase needn't ask for.
     """
     left, found = papers, None
     for name, phase in phases:
         tried = processed.where(F.col("key").startswith(f"{name}:")).select(F.expr(f"substring(key, {len(name) + 2})").alias("paper_id"))
         got = phase(left.join(tried, "paper_id", "left_anti")).where(text.has_text(F.col("abstract")))
         got = got.select("paper_id", text.strip_html(F.col("abstract")).alias("abstract"), F.lit(name).alias("source")).dropDuplicates(["paper_id"])
+        got = cut_lineage(got)
         found = got if found is None else found.unionByName(got)
         left = left.join(got.select("paper_id"), "paper_id", "left_anti")
     return found

@@ -59,7 +59,7 @@ def preferred_versions(docs: DataFrame) -> DataFrame:
 
 def chunked(docs: DataFrame) -> DataFrame:
     """(document_id, chunk_no, heading, line_start, line_end, text)."""
-    return docs.select("document_id", F.posexplode(D.chunk_markdown("text")).alias("chunk_no", "c")).select("document_id", "chunk_no", "c.*")
+    return D.chunk_table(docs)
 
 
 def build_documents(files: DataFrame, papers: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,8 +73,7 @@ def build_documents(files: DataFrame, papers: DataFrame, labels: DataFrame) -> t
     stem = F.regexp_replace(F.element_at(F.split("source_path", "/"), -1), r"\.[^.]*$", "")
     titled = joined.withColumn("title", F.coalesce(text.falsy_to_null(F.col("m_title")), text.markdown_title(F.col("text"), stem)))
     doi = F.coalesce(text.falsy_to_null(F.col("m_doi")), F.when(F.col("paper_id").startswith("doi:"), F.regexp_replace("paper_id", "^doi:", "")), F.lit(""))
-    pieces = D.chunk_markdown("text")
-    docs = canonical_keys(titled).withColumn("__chunks", F.size(pieces))
+    docs = canonical_keys(titled).withColumn("__chunks", D.chunk_count("text"))
     docs = docs.select(
         F.col("ord").alias("document_id"),
         "canonical_key",

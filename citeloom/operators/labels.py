@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from citeloom.functions import fixed, text
@@ -188,22 +192,56 @@ def audit_batches(log: DataFrame, *, sample: int = 100, size: int = 50, seed: in
     return numbered_batches(drawn, order, size).select("paper_id", "category", F.col("batch").cast("int").alias("batch"))
 
 
-def numbered_batches(df: DataFrame, order: list[Column], size: int, start: int = 0) -> DataFrame:
-    """df with batch and place: consecutive numbers in an order, without sorting everything in one task.
+def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with `place`: consecutive numbers from 0 in an order, by one shuffle, without sorting everything in one task.
+
+    Rows are range-partitioned and sorted within their partition, where they are numbered as they come; partition sizes, one
+    row each, give the offsets. Range bounds come from a sample, so the numbered rows are kept: sizes and places must see the
+    same ranges.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    kept = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()))
+    part, at = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    sizes = kept.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return kept.withColumn("__part", part).join(F.broadcast(offsets), "__part").select(*df.columns, (F.col("__before") + at).alias("place"))
 
-    `start` is the number of the first batch, for batches that continue others.
 
-    Rows are range-partitioned and numbered within their partition; partition sizes, one row each, give the offsets.
+def prefix_sums(df: DataFrame, keys: list[str], order: list[Column], value: str, name: str) -> DataFrame:
+    """df with `name`: the sum of `value` over the rows of the same keys that come before, in an order.
+
+    Rows are range-partitioned by keys and order, so the rows of one key, however many, are in several tasks; each sums its
+    own, and what the ranges before hold of a key is added: a row for each range that the key is in.
     """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(width, *keys, *order).sortWithinPartitions(*keys, *order).withColumn("__part", F.spark_partition_id())
+    names = ranged.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, 0.0
+        for batch in batches:
+            own = list(zip(*[batch.column(names.index(k)).to_pylist() for k in keys], strict=True))
+            before = []
+            for key, v in zip(own, batch.column(names.index(value)).to_pylist(), strict=True):
+                if key != last:
+                    last, total = key, 0.0
+                before.append(total)
+                total += v or 0.0
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.float64())], names=[*names, "__before"])
+
+    kept = cut_lineage(ranged.mapInArrow(run, T.StructType([*ranged.schema.fields, T.StructField("__before", T.DoubleType())])))
+    parts = kept.groupBy(*keys, "__part").agg(F.sum(value).alias("__sum"))
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
+    carried = parts.withColumn("__carried", F.sum("__sum").over(earlier)).where("__carried is not null").drop("__sum")
+    joined = kept.join(carried, [*keys, "__part"], "left")
+    return joined.select(*df.columns, (F.col("__before") + F.coalesce("__carried", F.lit(0.0))).alias(name))
+
+
+def numbered_batches(df: DataFrame, order: list[Column], size: int, start: int = 0) -> DataFrame:
+    """df with batch and place: consecutive numbers in an order. `start` is the number of the first batch, for batches that
+    continue others."""
     if size < 1:
         raise ValueError("a batch has one row at least")
-    spark = df.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(width, *order).withColumn("__part", F.spark_partition_id())
-    # range bounds come from a sample, so the numbered rows are kept: sizes and places must see the same ranges
-    placed = cut_lineage(ranged.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(*order))))
-    sizes = placed.groupBy("__part").agg(F.max("__at").alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    place = F.col("__before") + F.col("__at") - 1
-    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, (F.expr(f"(__before + __at - 1) div {size}") + start).alias("batch"), place.alias("place"))
+    return numbered(df, order).select(*df.columns, (F.expr(f"place div {size}") + start).alias("batch"), "place")

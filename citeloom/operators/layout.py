@@ -25,8 +25,9 @@ def timeline(papers: DataFrame, lanes: dict[str, float] = fixed.LANES) -> DataFr
     at = F.row_number().over(lane.orderBy("paper_id")) - 1
     count = F.count("*").over(lane)
     center = _of_category(F.col("category"), lanes)
-    y = F.when(count == 1, center).otherwise(center - 235 + at / (count - 1) * 470)
-    return rows.select("paper_id", (text.year_x(F.col("__year")) + text.jitter(F.col("paper_id"), 0, 48)).alias("x"), (y + text.jitter(F.col("paper_id"), 2, 7)).alias("y"))
+    y = F.when(count == 1, center).otherwise(center - fixed.LANE_HEIGHT / 2 + at / (count - 1) * fixed.LANE_HEIGHT)
+    wide, high = fixed.JITTER["timeline"]
+    return rows.select("paper_id", (text.year_x(F.col("__year")) + text.jitter(F.col("paper_id"), 0, wide)).alias("x"), (y + text.jitter(F.col("paper_id"), 2, high)).alias("y"))
 
 
 def atlas(papers: DataFrame, centers: dict[str, tuple[float, float]] = fixed.CONSTELLATIONS) -> DataFrame:
@@ -34,7 +35,7 @@ def atlas(papers: DataFrame, centers: dict[str, tuple[float, float]] = fixed.CON
     at = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("degree"), "paper_id")) - 1
     x0 = _of_category(F.col("category"), {k: v[0] for k, v in centers.items()})
     y0 = _of_category(F.col("category"), {k: v[1] for k, v in centers.items()})
-    radius = 7.6 * F.sqrt(at)
+    radius = fixed.SPIRAL_STEP * F.sqrt(at)
     return papers.select("paper_id", (x0 + radius * F.cos(at * _ANGLE)).alias("x"), (y0 + radius * F.sin(at * _ANGLE)).alias("y"))
 
 
@@ -44,10 +45,11 @@ def impact(papers: DataFrame) -> DataFrame:
     most = papers.agg(F.log1p(F.max(count)).alias("__most"))
     scale = F.when(F.col("__most") > 0, F.col("__most")).otherwise(1.0)
     rows = papers.crossJoin(F.broadcast(most))  # one row
+    wide, high = fixed.JITTER["impact"]
     return rows.select(
         "paper_id",
-        (text.year_x(F.coalesce("year", F.lit(2002))) + text.jitter(F.col("paper_id"), 0, 42)).alias("x"),
-        (-690 + F.log1p(count) / scale * 1380 + text.jitter(F.col("paper_id"), 2, 15)).alias("y"),
+        (text.year_x(F.coalesce("year", F.lit(2002))) + text.jitter(F.col("paper_id"), 0, wide)).alias("x"),
+        (-fixed.IMPACT_HEIGHT / 2 + F.log1p(count) / scale * fixed.IMPACT_HEIGHT + text.jitter(F.col("paper_id"), 2, high)).alias("y"),
     )
 
 
@@ -55,4 +57,4 @@ def node_sizes(nodes: DataFrame) -> DataFrame:
     """(paper_id, size, web_size) by degree."""
     most = nodes.agg(F.log1p(F.max("degree")).alias("__most"))
     share = F.sqrt(F.log1p("degree") / F.when(F.col("__most") > 0, F.col("__most")).otherwise(1.0))
-    return nodes.crossJoin(F.broadcast(most)).select("paper_id", (2.0 + 12.0 * share).alias("size"), (1.4 + 5.6 * share).alias("web_size"))  # one row
+    return nodes.crossJoin(F.broadcast(most)).select("paper_id", *[(low + more * share).alias(c) for c, (low, more) in fixed.NODE_SIZES.items()])  # one row

@@ -409,10 +409,15 @@ def search(
     low_quality: bool = False,
     back_matter: bool = False,
     per_doc: int = 2,
+    blocks=None,
 ) -> DataFrame:
-    """The best hits with snippets. The number of candidates before the limit a document is part of the result."""
+    """The best hits with snippets. The number of candidates before the limit a document is part of the result.
+
+    With `blocks` (topk.Blocks of the same chunks) queries of whole words read only what may be among the candidates.
+    """
+    from . import topk
+
     node = Parser(query).parse()
-    scores = bm25(index, chunk_lengths(index, chunks), node)
     kept = docs
     if not all_versions:
         kept = kept.where("preferred")
@@ -426,6 +431,10 @@ def search(
         kept = kept.where(F.col("year") <= year_max)
     parts = chunks if back_matter else chunks.where(~text.back_matter(F.col("heading")))
     meta = kept.select("document_id", "paper_id", "title", "year", "category", "origin", "converter_source", "evidence_status", "source_path")
-    hits = scores.join(parts, "chunk_id").join(meta, "document_id")
-    best = hits.orderBy("score", F.desc_nulls_last("year"), "chunk_id").limit(max(limit * max(per_doc, 1) * 10, 100))
+    hits, most = parts.join(meta, "document_id"), max(limit * max(per_doc, 1) * 10, 100)
+    order = [F.desc_nulls_last("year"), F.asc("chunk_id")]
+    if blocks is not None and topk.countable(node):
+        best = topk.best_hits(blocks, node, most, hits, order)
+    else:
+        best = bm25(index, chunk_lengths(index, chunks), node).join(hits, "chunk_id").orderBy("score", *order).limit(most)
     return with_snippets(per_document(best, per_doc, limit), node).drop("text").orderBy("score", F.desc_nulls_last("year"), "chunk_id")

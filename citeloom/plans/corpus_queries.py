@@ -8,6 +8,7 @@ from citeloom.functions import documents as D
 from citeloom.functions import text
 from citeloom.operators import corpus as R
 from citeloom.operators import search as S
+from citeloom.operators import topk as K
 from citeloom.operators.graph import cut_lineage
 
 from .registry import query, table
@@ -252,11 +253,14 @@ def find_document(spark, sf_dir):
     return found.select("document_id", "title", "preferred")
 
 
-def _searched(spark, sf_dir, query_text, **more):
+def _searched(spark, sf_dir, query_text, blocks=False, **more):
     docs, chunks = _built(spark, sf_dir)
     docs = cut_lineage(docs)
     chunks = cut_lineage(chunks.withColumn("chunk_id", F.col("document_id") * 100_000 + F.col("chunk_no")))
-    return S.search(docs, chunks, _index(S.searchable(docs, chunks)), query_text, **more)
+    index = _index(S.searchable(docs, chunks))
+    if blocks:
+        more["blocks"] = K.built(index, S.chunk_lengths(index, chunks))
+    return S.search(docs, chunks, index, query_text, **more)
 
 
 _HITS = _BUILT + f""",
@@ -306,6 +310,18 @@ def corpus_search_filtered(spark, sf_dir):
     return found.select(*_HIT_COLUMNS, F.round("score", 9).alias("score"))
 
 
+@query(
+    _hits_sql(
+        first="len(list_filter(ws, lambda x: x = 'the'))", second="len(list_filter(ws, lambda x: x = 'of'))",
+        where="f1 > 0 AND f2 > 0 AND preferred AND NOT list_contains(ws, 'zzz')", per_doc=2, in_title="false", most=10,
+    )
+)
+def corpus_search_top(spark, sf_dir):
+    """The ten best pieces by block bounds: spans of chunks that can't reach the candidates aren't read."""
+    found = _searched(spark, sf_dir, "the of NOT zzz", blocks=True, low_quality=True, back_matter=True)
+    return found.select(*_HIT_COLUMNS, F.round("score", 9).alias("score"))
+
+
 @query()
 def search_snippets(spark, sf_dir):
     """Snippets of the best hits; tests hold them against SQLite's."""

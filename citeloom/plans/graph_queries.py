@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import text
 from citeloom.operators import citations as C
 from citeloom.operators import communities as M
+from citeloom.operators import forces as W
 from citeloom.operators import layout as G
 from citeloom.operators import graph
 from citeloom.operators import idsets as S
@@ -261,6 +262,46 @@ def communities(spark, sf_dir):
     return M.communities(edges_of(spark, sf_dir))
 
 
+@query("""
+WITH e AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem), n AS (SELECT s, p, s_nationkey AS c, p_size % 25 AS d FROM e JOIN supplier ON s_suppkey = s JOIN part ON p_partkey = p),
+x AS (SELECT c, d FROM n UNION ALL SELECT d, c FROM n), m AS (SELECT count(*)::DOUBLE AS m FROM n)
+SELECT c AS community, CAST(count(*) FILTER (c = d) // 2 AS BIGINT) AS inside, count(*) AS degree, round(count(*) FILTER (c = d) / 2 / any_value(m) - pow(count(*) / (2 * any_value(m)), 2), 9) AS share FROM x, m GROUP BY 1""")
+def community_modularity(spark, sf_dir):
+    """What each community adds to the modularity: suppliers by nation, and parts of 25 sizes, tied by line items."""
+    supplier, part = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part")
+    members = supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("node"), F.col("s_nationkey").cast("int").alias("community")).unionByName(part.select(F.concat(F.lit("p"), "p_partkey").alias("node"), (F.col("p_size") % 25).cast("int").alias("community")))
+    lines = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("s"), "l_suppkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst"))
+    return M.modularity(lines, members).select("community", "inside", "degree", F.round("share", 9).alias("share"))
+
+
+def _supply(spark, sf_dir):
+    """Parts, suppliers and customers as papers; orders of a supplier's own nation's customers tie them, customers without are alone."""
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    nodes = supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("paper_id")).unionByName(part.select(F.concat(F.lit("p"), "p_partkey").alias("paper_id"))).unionByName(table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("paper_id")))
+    edges = table(spark, sf_dir, "lineitem").where("l_quantity >= 40").select(F.concat(F.lit("s"), "l_suppkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst"))
+    return nodes, edges
+
+
+@query()
+def network_layout(spark, sf_dir):
+    """Positions by forces of all suppliers and parts that large orders tie, and of all others on the circle."""
+    return W.force_layout(*_supply(spark, sf_dir), rounds=10)
+
+
+@query("""
+WITH n AS (SELECT 's' || s_suppkey AS paper_id FROM supplier UNION SELECT 'p' || p_partkey FROM part UNION SELECT 'c' || c_custkey FROM customer),
+e AS (SELECT DISTINCT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem WHERE l_quantity >= 40),
+t AS (SELECT src AS paper_id FROM e SEMI JOIN n ON n.paper_id = dst UNION SELECT dst FROM e SEMI JOIN n ON n.paper_id = src),
+i AS (SELECT paper_id, row_number() OVER (ORDER BY paper_id) - 1 AS k, count(*) OVER () AS m FROM n ANTI JOIN t USING (paper_id))
+SELECT paper_id, round(1050 * cos(2 * pi() * k / m), 6) + 0.0 AS x, round(1050 * sin(2 * pi() * k / m), 6) + 0.0 AS y FROM i""")
+def isolate_circle(spark, sf_dir):
+    """The nodes that no edge ties, on the circle of the layout."""
+    nodes, edges = _supply(spark, sf_dir)
+    tied = edges.join(nodes.select(F.col("paper_id").alias("dst")), "dst", "left_semi").join(nodes.select(F.col("paper_id").alias("src")), "src", "left_semi")
+    alone = nodes.join(tied.select(F.explode(F.array("src", "dst")).alias("paper_id")), "paper_id", "left_anti")
+    return W.isolates(alone).select("paper_id", (F.round("x", 6) + 0.0).alias("x"), (F.round("y", 6) + 0.0).alias("y"))
+
+
 @query("""
 SELECT 'union' AS op, count(*) AS n FROM (SELECT o_custkey FROM orders UNION SELECT user_id FROM events)
 UNION ALL SELECT 'difference', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)

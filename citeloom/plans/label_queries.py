@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from citeloom.operators import labels as L
 from citeloom.operators.graph import scratch
 from citeloom.sources import records
-from citeloom.streaming import logs
+from citeloom.streaming import keyed, logs
 
 from .registry import query, table
 
@@ -170,13 +170,20 @@ def unclassified_papers(spark, sf_dir):
 
 @query(f"WITH {_REDUCED} SELECT paper_id, category, CAST(tier AS INT) AS tier FROM reduced")
 def incremental_labels(spark, sf_dir):
-    """The log in three parts, as batches of a stream: the same as reducing it at once."""
+    """The log as a stream of three batches into keyed state: the same as reducing it at once."""
+    place = scratch(spark, "labels")
     log = label_log(spark, sf_dir)
-    state = scratch(spark, "labels")
-    add = logs.upsert_labels(state)
     for part in range(3):
-        add(log.where(F.col("ord") % 3 == part), part)
-    return logs.labels_of_state(spark, state, 2).select("paper_id", "category", "tier")
+        log.where(F.col("ord") % 3 == part).coalesce(1).write.mode("append").parquet(f"{place}/log")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/log")
+    # a state's partitions stay as they are for its life; a small log needs few
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(4, int(width)))
+    try:
+        keyed.kept(keyed.label_changes(stream), f"{place}/changes", f"{place}/checkpoint").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    return keyed.labels(spark, f"{place}/changes").select("paper_id", "category", "tier")
 
 
 @query("SELECT event_type, date_trunc('day', ts)::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import documents as D
 from citeloom.functions import text
 from citeloom.operators import papers as P
+from citeloom.operators import title_join as J
 from citeloom.operators import titles as S
 from citeloom.sources import writers
 
@@ -202,6 +203,21 @@ def loose_titles(spark, sf_dir):
     return page_titles(spark, sf_dir).select("paper_id", D.normalize_loosely("title").alias("key"))
 
 
+_LOOSE = "trim(regexp_replace(regexp_replace(strip_accents(lower({})), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""
+WITH {_TITLES}, a AS (SELECT {_LOOSE.format("title")} AS key, count(*) AS n FROM t GROUP BY 1),
+b AS (SELECT {_LOOSE.format("split_part(text, chr(10), 1)")} AS key, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1)
+SELECT a.key AS left, b.key AS right, a.n AS n_left, b.n AS n_right FROM a JOIN b ON a.key <> '' AND b.key <> '' AND (a.key = b.key
+  OR (length(a.key) > 20 AND length(a.key) < length(b.key) AND contains(b.key, a.key)) OR (length(b.key) > 20 AND length(b.key) < length(a.key) AND contains(a.key, b.key)))""")
+def matching_titles(spark, sf_dir):
+    """All titles of pages with the first lines of all documents."""
+    pages = page_titles(spark, sf_dir).select(D.normalize_loosely("title").alias("key"))
+    lines = table(spark, sf_dir, "documents").where("text is not null").select(D.normalize_loosely(F.split_part("text", F.lit("\n"), F.lit(1))).alias("key"))
+    return J.matching_titles(pages, lines)
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)")
 def insert_new(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_name")

@@ -46,7 +46,7 @@ def _in_file_order(rows: DataFrame, name: str | None = None) -> DataFrame:
     numbered = rows.select(*columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
     blocks = numbered.select("__path", "__start").distinct()
     ranked = blocks.withColumn("__rank", F.row_number().over(Window.orderBy("__path", "__start")) - 1)  # as many rows as blocks
-    placed = numbered.join(ranked.hint("broadcast"), ["__path", "__start"])
+    placed = numbered.join(ranked, ["__path", "__start"])
     row = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.select(*rows.columns, *(["file"] if name else []), F.shiftleft(F.col("__rank").cast("long"), 33).bitwiseOR(row).alias("ord"))
 
@@ -80,6 +80,50 @@ def normalize_papers(rows: DataFrame) -> DataFrame:
     )
 
 
+def read_papers(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
+    """normalize_papers() of a log, with one parse a line: a line is a VARIANT whose fields are taken by their kind.
+
+    Authors may be objects, texts, or both in one array; ids and numbers may be numbers or texts.
+    """
+    if not path_exists(spark, path):
+        return normalize_papers(read_log(spark, path, PAPERS))
+    lines = _in_file_order(spark.read.text(path)).where("trim(value) <> ''")
+    rows = lines.select((F.parse_json("value") if strict else F.try_parse_json("value")).alias("v"), "ord")
+    return papers_of(rows if strict else rows.where(F.schema_of_variant("v").startswith("OBJECT")))
+
+
+def papers_of(rows: DataFrame) -> DataFrame:
+    """The columns of normalize_papers() of rows (v, ord), where v is a VARIANT."""
+    get = lambda path, kind="string": F.try_variant_get("v", path, kind)
+    filled = lambda *paths: F.coalesce(*[F.nullif(get(p), F.lit("")) for p in paths])
+    ids = F.coalesce(get("$.external_ids", "map<string,string>"), get("$.externalIds", "map<string,string>"), F.create_map().cast("map<string,string>"))
+    author = lambda a: F.when(
+        F.schema_of_variant(a).startswith("OBJECT"), F.struct(F.try_variant_get(a, "$.name", "string").alias("name"), F.try_variant_get(a, "$.authorId", "string").alias("authorId"))
+    ).otherwise(F.struct(F.try_variant_get(a, "$", "string").alias("name"), F.lit(None).cast("string").alias("authorId")))
+    authors = F.transform(get("$.authors", "array<variant>"), author)
+    number = lambda c: c.try_cast("int")
+    made = rows.where(get("$.paper_id") != "").select(
+        get("$.paper_id").alias("paper_id"),
+        get("$.title").alias("title"),
+        number(get("$.year")).alias("year"),
+        get("$.venue").alias("venue"),
+        F.filter(F.coalesce(authors, F.array().cast(AUTHORS)), lambda a: F.trim(a.getField("name")) != "").alias("authors"),
+        get("$.abstract").alias("abstract"),
+        number(F.coalesce(get("$.citation_count"), get("$.citationCount"))).alias("citation_count"),
+        F.coalesce(ids["DOI"], filled("$.doi")).alias("doi"),
+        F.coalesce(ids["ArXiv"], filled("$.arxiv_id")).alias("arxiv"),
+        F.coalesce(ids["CorpusId"], filled("$.corpusId")).alias("s2"),
+        ids["PubMedCentral"].alias("pmc"),
+        ids["PubMed"].alias("pubmed"),
+        filled("$.s2_paper_id", "$.paperId").alias("s2hash"),
+        filled("$.openalex_id").alias("openalex"),
+        F.coalesce(get("$.open_access_pdf.url"), get("$.openAccessPdf.url")).alias("open_access_pdf_url"),
+        get("$.provenance", "struct<source:string,fetched_at:string,confidence:double>").alias("provenance"),
+        "ord",
+    )
+    return made
+
+
 def json_field(column: str, path: str, kind: str = "string") -> Column:
     """A field of JSON texts; null where the text isn't JSON, has no such field, or the field is of another kind."""
     return F.get_json_object(column, path).try_cast(kind)

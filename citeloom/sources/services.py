@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-import os
 import random
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions import text
+from citeloom.operators.graph import cut_lineage
+
+from . import bibliographic
+from .bibliographic import cached as cached
 
 Transport = Callable[[str, dict], dict | None]
 
 
 @dataclass
 class Pace:
-    """A token bucket: at most `per_minute` calls a minute, saved up to one minute's worth."""
+    """A token bucket: at most `per_minute` calls a minute, saved up to half a minute's worth (one call at least)."""
 
     per_minute: float
     clock: Callable[[], float] = time.monotonic
@@ -30,11 +31,15 @@ class Pace:
     last: float = field(init=False)
 
     def __post_init__(self) -> None:
-        self.tokens, self.last = float(self.per_minute), self.clock()
+        self.tokens, self.last = self.most, self.clock()
+
+    @property
+    def most(self) -> float:
+        return max(1.0, self.per_minute / 2)
 
     def wait(self) -> None:
         now = self.clock()
-        self.tokens = min(self.per_minute, self.tokens + (now - self.last) * self.per_minute / 60)
+        self.tokens = min(self.most, self.tokens + (now - self.last) * self.per_minute / 60)
         self.last = now
         if self.tokens < 1:
             self.sleep((1 - self.tokens) * 60 / self.per_minute)
@@ -48,36 +53,19 @@ def delay(attempt: int, jitter: Callable[[], float] = random.random) -> float:
 
 
 def fetch(transport: Transport, path: str, params: dict, *, tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> dict | None:
+    return fetched(transport, path, params, tries=tries, sleep=sleep)[0]
+
+
+def fetched(transport: Transport, path: str, params: dict, *, tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> tuple[dict | None, int]:
+    """The answer and how many tries it took."""
     for attempt in range(tries):
         try:
-            return transport(path, params)
+            return transport(path, params), attempt + 1
         except OSError:
             if attempt + 1 == tries:
                 raise
             sleep(delay(attempt))
-    return None
-
-
-def cached(transport: Transport, folder: str, prefix: str = "") -> Transport:
-    """A transport that keeps answers as files and asks once for each path and parameters. A torn file is asked for again."""
-
-    def get(path: str, params: dict) -> dict | None:
-        name = hashlib.sha1(json.dumps([path, params], sort_keys=True).encode()).hexdigest()
-        where = Path(folder) / f"{prefix}{name}.json"
-        if where.exists():
-            try:
-                return json.loads(where.read_text(encoding="utf-8"))
-            except ValueError:
-                pass
-        found = transport(path, params)
-        if found is not None:
-            where.parent.mkdir(parents=True, exist_ok=True)
-            fresh = where.with_suffix(f".{os.getpid()}.new")
-            fresh.write_text(json.dumps(found), encoding="utf-8")
-            fresh.replace(where)
-        return found
-
-    return get
+    return None, 0
 
 
 def batches(values: list, size: int) -> Iterator[list]:
@@ -92,20 +80,8 @@ CALLS_A_MINUTE = {"semantic_scholar": 15, "openalex": 60, "crossref": 50}
 
 def looked_up(ids: DataFrame, column: str, service: str, transport: Callable[[], Transport], partitions: int = 1) -> DataFrame:
     """(id, record) for each id, asked for in batches; transport() is made in the task, and the pace is shared among them."""
-    size, rate = BATCH_SIZES.get(service, 1), CALLS_A_MINUTE.get(service, 60) / partitions
-
-    def ask(frames):
-        import pandas as pd
-
-        call, pace = transport(), Pace(rate)
-        for frame in frames:
-            for part in batches(frame["id"].tolist(), size):
-                pace.wait()
-                found = fetch(call, service, {"ids": part}) or {}
-                yield pd.DataFrame({"id": part, "record": [json.dumps(found[i]) if i in found else None for i in part]})
-
-    wanted = ids.select(F.col(column).alias("id")).where("id is not null").distinct().repartition(partitions)
-    return wanted.mapInPandas(ask, "id string, record string")
+    got = bibliographic.asked(ids.select(F.col(column).alias("id")), transport, service=service, call="lookup", partitions=partitions)
+    return got.select("id", "record")
 
 
 # Calls of services (path, parameters, and where the records lie).
@@ -134,30 +110,20 @@ def records_in(answer, where: str) -> list:
 
 def called(ids: DataFrame, column: str, service: str, call: str, transport: Callable[[], Transport], *, limit: int = 25, partitions: int = 1) -> DataFrame:
     """(id, ord, record): one call for each id, with its records as JSON in the order of the answer."""
-    path, params, where = CALLS[service, call]
-    rate = CALLS_A_MINUTE.get(service, 60) / partitions
-
-    def ask(parts):
-        import pyarrow as pa
-
-        get, pace = transport(), Pace(rate)
-        for part in parts:
-            for i in part.column(0).to_pylist():
-                pace.wait()
-                filled = {k: v.format(id=i, limit=limit) for k, v in params.items()}
-                found = records_in(fetch(get, path.format(id=i), filled), where)[:limit]
-                columns = [pa.array([i] * len(found), pa.string()), pa.array(range(len(found)), pa.int64()), pa.array([json.dumps(r) for r in found], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "ord", "record"])
-
-    wanted = ids.select(F.col(column).cast("string").alias("id")).where("id is not null").distinct().repartition(partitions)
-    return wanted.mapInArrow(ask, "id string, ord long, record string")
+    if (service, call) not in CALLS:
+        raise KeyError((service, call))
+    got = bibliographic.asked(ids.select(F.col(column).cast("string").alias("id")), transport, service=service, call=call, limit=limit, partitions=partitions)
+    return got.where("record is not null").select("id", "ord", "record")
 
 
 def first_answer(ids: DataFrame, column: str, calls: list[tuple[str, str, Callable[[DataFrame], DataFrame]]], transport: Callable[[], Transport]) -> DataFrame:
-    """(id, paper columns, source): the first record of the first service that has one; others are asked for what is left."""
+    """(id, paper columns, source): the first record of the first service that has one; others are asked for what is left.
+
+    A service's answers are written before they are used, so that each id is asked for once.
+    """
     left, found = ids.select(F.col(column).alias("id")).distinct(), None
     for service, call, standardize in calls:
-        got = called(left, "id", service, call, transport, limit=1)
+        got = cut_lineage(called(left, "id", service, call, transport, limit=1))
         rows = standardize(got.where("ord = 0")).withColumn("source", F.lit(service))
         found = rows if found is None else found.unionByName(rows)
         left = left.join(rows.select("id"), "id", "left_anti")
@@ -227,10 +193,10 @@ def standardize_openalex(records: DataFrame, column: str = "record") -> DataFram
 
 
 def first_found(ids: DataFrame, phases: list[Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """(id, value, phase): phases in order of cost, each asked only for what the ones before didn't find."""
+    """(id, value, phase): phases in order of cost, each asked only for what the ones before didn't find, and once."""
     left, found = ids.select("id"), None
     for number, phase in enumerate(phases):
-        got = phase(left).where("value is not null").dropDuplicates(["id"]).select("id", "value", F.lit(number).alias("phase"))
+        got = cut_lineage(phase(left).where("value is not null").dropDuplicates(["id"]).select("id", "value", F.lit(number).alias("phase")))
         found = got if found is None else found.unionByName(got)
         left = left.join(got, "id", "left_anti")
     return found

@@ -1,9 +1,14 @@
-"""Writers: logs, tables, graph files, checksums and idempotent inserts. Rows reach the driver one partition at a time."""
+"""Writers: logs, tables, graph files, pages, batches, checksums and idempotent inserts.
+
+Graph files, tables, pages and batches are written by the tasks that hold their rows, through the data source of `textfiles`.
+Only `append_lines` and `write_lines`, which keep one log file of a warehouse on this machine, take rows through the driver.
+"""
 
 from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
 from collections.abc import Callable
 from pathlib import Path
@@ -14,7 +19,9 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import text
 from citeloom.operators.graph import cut_lineage
-from citeloom.operators.labels import numbered_batches
+from citeloom.operators.labels import numbered as in_order
+
+from .textfiles import fixed_text, json_text, rendered, section, write_files, write_sections
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -101,79 +108,98 @@ def labelled_nodes(nodes: DataFrame) -> DataFrame:
 _XML = {"string": "string", "int": "int", "bigint": "long", "double": "double", "boolean": "boolean"}
 
 
+def _split(path: str) -> tuple[str, str]:
+    folder, _, name = path.rpartition("/")
+    return folder or ".", name
+
+
 def write_graphml(nodes: DataFrame, edges: DataFrame, path: str, key: str = "paper_id") -> int:
     """GraphML with every other column of nodes as an attribute; missing ones are left out. Returns the edges written."""
     fields = [(c, _XML.get(k, "string")) for c, k in nodes.dtypes if c != key]
-    n = 0
-    with Path(path).open("w", encoding="utf-8") as out:
-        out.write('<?xml version="1.0" encoding="UTF-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n')
-        for c, kind in fields:
-            out.write(f'  <key id="{c}" for="node" attr.name="{c}" attr.type="{kind}"/>\n')
-        out.write('  <key id="relation" for="edge" attr.name="relation" attr.type="string"/>\n  <graph edgedefault="directed">\n')
-        for r in nodes.orderBy(key).toLocalIterator():
-            data = "".join(f'<data key="{c}">{escape(str(r[c]))}</data>' for c, _ in fields if r[c] not in (None, ""))
-            out.write(f"    <node id={quoteattr(str(r[key]))}>{data}</node>\n")
-        for n, r in enumerate(edges.orderBy("src", "dst").toLocalIterator(), 1):
-            out.write(f'    <edge id="e{n - 1}" source={quoteattr(str(r["src"]))} target={quoteattr(str(r["dst"]))}><data key="relation">cites</data></edge>\n')
-        out.write("  </graph>\n</graphml>\n")
-    return n
+    keys = "".join(f'  <key id="{c}" for="node" attr.name="{c}" attr.type="{kind}"/>\n' for c, kind in fields)
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n' + keys
+    head += '  <key id="relation" for="edge" attr.name="relation" attr.type="string"/>\n  <graph edgedefault="directed">\n'
+
+    def node(r: dict) -> str:
+        data = "".join(f'<data key="{c}">{escape(str(r[c]))}</data>' for c, _ in fields if r[c] not in (None, ""))
+        return f"    <node id={quoteattr(str(r[key]))}>{data}</node>\n"
+
+    def edge(r: dict) -> str:
+        return f'    <edge id="e{r["place"]}" source={quoteattr(str(r["src"]))} target={quoteattr(str(r["dst"]))}><data key="relation">cites</data></edge>\n'
+
+    spark, (folder, name) = nodes.sparkSession, _split(path)
+    ends = cut_lineage(edges.select("src", "dst"))
+    parts = [fixed_text(spark, head, 0, name), section(nodes, [F.col(key)], node, 1, name), section(ends, [F.col("src"), F.col("dst")], edge, 2, name), fixed_text(spark, "  </graph>\n</graphml>\n", 3, name)]
+    write_sections(parts, folder)
+    return ends.count()
 
 
 def write_gexf(nodes: DataFrame, edges: DataFrame, path: str, colors: dict[str, tuple[int, int, int]]) -> None:
     """GEXF 1.2 of nodes (paper_id, title, category, x, y, size) with positions, sizes and colours."""
-    with Path(path).open("w", encoding="utf-8") as out:
-        out.write('<?xml version="1.0" encoding="UTF-8"?>\n<gexf xmlns="http://www.gexf.net/1.2draft" xmlns:viz="http://www.gexf.net/1.2draft/viz" version="1.2">\n<graph defaultedgetype="directed">\n<nodes>\n')
-        for r in nodes.orderBy("paper_id").toLocalIterator():
-            red, green, blue = colors.get(r["category"], (120, 130, 128))
-            out.write(
-                f"<node id={quoteattr(str(r['paper_id']))} label={quoteattr(str(r['title'] or r['paper_id']))}>"
-                f'<viz:position x="{r["x"]}" y="{r["y"]}" z="0.0"/><viz:size value="{r["size"]}"/><viz:color r="{red}" g="{green}" b="{blue}"/></node>\n'
-            )
-        out.write("</nodes>\n<edges>\n")
-        for n, r in enumerate(edges.orderBy("src", "dst").toLocalIterator()):
-            out.write(f'<edge id="{n}" source={quoteattr(str(r["src"]))} target={quoteattr(str(r["dst"]))} label="cites"/>\n')
-        out.write("</edges>\n</graph>\n</gexf>\n")
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n<gexf xmlns="http://www.gexf.net/1.2draft" xmlns:viz="http://www.gexf.net/1.2draft/viz" version="1.2">\n<graph defaultedgetype="directed">\n<nodes>\n'
 
+    def node(r: dict) -> str:
+        red, green, blue = colors.get(r["category"], (120, 130, 128))
+        return (
+            f"<node id={quoteattr(str(r['paper_id']))} label={quoteattr(str(r['title'] or r['paper_id']))}>"
+            f'<viz:position x="{r["x"]}" y="{r["y"]}" z="0.0"/><viz:size value="{r["size"]}"/><viz:color r="{red}" g="{green}" b="{blue}"/></node>\n'
+        )
 
-def write_cx(nodes: DataFrame, edges: DataFrame, path: str, name: str) -> None:
-    """CX JSON; nodes are numbered in order of their id and named by their title. Rows are written one after the other.
+    def edge(r: dict) -> str:
+        return f'<edge id="{r["place"]}" source={quoteattr(str(r["src"]))} target={quoteattr(str(r["dst"]))} label="cites"/>\n'
+
+    spark, (folder, name) = nodes.sparkSession, _split(path)
+    between, tail = fixed_text(spark, "</nodes>\n<edges>\n", 2, name), fixed_text(spark, "</edges>\n</graph>\n</gexf>\n", 4, name)
+    parts = [fixed_text(spark, head, 0, name), section(nodes, [F.col("paper_id")], node, 1, name), between, section(edges.select("src", "dst"), [F.col("src"), F.col("dst")], edge, 3, name), tail]
+    write_sections(parts, folder)
 
-    The numbers of the ends of edges come from joins, so the driver holds no list of nodes.
-    """
-    numbered = numbered_batches(nodes, [F.col("paper_id")], 1).select(*nodes.columns, F.col("place").alias("__n"))
-    numbered = cut_lineage(numbered)
-    ids = numbered.select("paper_id", "__n")
-    pairs = edges.join(ids.toDF("src", "__s"), "src").join(ids.toDF("dst", "__t"), "dst").orderBy("src", "dst")
-    extra = [c for c in nodes.columns if c not in ("paper_id", "title")]
 
-    def aspect(out, key: str, rows) -> None:
-        out.write(f',\n{{"{key}": [')
-        for k, row in enumerate(rows):
-            out.write((",\n" if k else "\n") + json.dumps(row, ensure_ascii=False))
-        out.write("\n]}")
+def _numbered_graph(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes with `__n`, their numbers in the order of ids, and edges with those of their ends, `__s` and `__t`, by joins."""
+    named = cut_lineage(in_order(nodes, [F.col("paper_id")]).withColumnRenamed("place", "__n"))
+    ids = named.select("paper_id", "__n")
+    pairs = edges.join(ids.toDF("src", "__s"), "src").join(ids.toDF("dst", "__t"), "dst")
+    return named, pairs.select("src", "dst", "__s", "__t")
 
-    ordered = numbered.orderBy("__n")
-    with Path(path).open("w", encoding="utf-8") as out:
-        out.write(json.dumps([{"networkAttributes": [{"n": "name", "v": name}]}], ensure_ascii=False)[:-1])
-        aspect(out, "nodes", ({"@id": r["__n"], "n": r["title"] or str(r["paper_id"]), "r": str(r["paper_id"])} for r in ordered.toLocalIterator()))
-        aspect(out, "edges", ({"@id": k, "s": r["__s"], "t": r["__t"], "i": "cites"} for k, r in enumerate(pairs.toLocalIterator())))
-        aspect(out, "nodeAttributes", ({"po": r["__n"], "n": c, "v": str(r[c])} for r in ordered.toLocalIterator() for c in extra if r[c] not in (None, "")))
-        out.write("]")
+
+def _listed(r: dict, text: str) -> str:
+    """An item of a JSON list: commas stand before all but the first."""
+    return (",\n" if r["place"] else "\n") + text
+
+
+def write_cx(nodes: DataFrame, edges: DataFrame, path: str, name: str) -> None:
+    """CX JSON; nodes are numbered in order of their id and named by their title."""
+    named, pairs = _numbered_graph(nodes, edges)
+    extra = [c for c in nodes.columns if c not in ("paper_id", "title")]
+    kinds = dict(nodes.dtypes)
+    values = F.array(*[F.struct(F.lit(c).alias("c"), (F.initcap(F.col(c).cast("string")) if kinds[c] == "boolean" else F.col(c).cast("string")).alias("v"), F.lit(k).alias("k")) for k, c in enumerate(extra)]) if extra else F.array().cast("array<struct<c:string,v:string,k:int>>")
+    attributes = named.select("__n", F.explode(values).alias("e")).select("__n", "e.*").where("v is not null and v <> ''")
+    spark, (folder, file) = nodes.sparkSession, _split(path)
+    head = json.dumps([{"networkAttributes": [{"n": "name", "v": name}]}], ensure_ascii=False)[:-1]
+    parts = [
+        fixed_text(spark, head + ',\n{"nodes": [', 0, file),
+        section(named, [F.col("__n")], lambda r: _listed(r, json_text({"@id": r["__n"], "n": r["title"] or str(r["paper_id"]), "r": str(r["paper_id"])})), 1, file),
+        fixed_text(spark, '\n]},\n{"edges": [', 2, file),
+        section(pairs, [F.col("src"), F.col("dst")], lambda r: _listed(r, json_text({"@id": r["place"], "s": r["__s"], "t": r["__t"], "i": "cites"})), 3, file),
+        fixed_text(spark, '\n]},\n{"nodeAttributes": [', 4, file),
+        section(attributes, [F.col("__n"), F.col("k")], lambda r: _listed(r, json_text({"po": r["__n"], "n": r["c"], "v": r["v"]})), 5, file),
+        fixed_text(spark, "\n]}]", 6, file),
+    ]
+    write_sections(parts, folder)
 
 
 def write_web_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     """The JSON of a web viewer: nodes (paper_id, title, year, venue, category, x, y, size, degree) and pairs of their numbers."""
-    numbered = cut_lineage(numbered_batches(nodes, [F.col("paper_id")], 1).select(*nodes.columns, F.col("place").alias("__n")))
-    ids = numbered.select("paper_id", "__n")
-    pairs = edges.join(ids.toDF("src", "__s"), "src").join(ids.toDF("dst", "__t"), "dst").orderBy("__s", "__t")
-    with Path(path).open("w", encoding="utf-8") as out:
-        out.write('{"nodes": [')
-        for k, r in enumerate(numbered.orderBy("__n").drop("__n").toLocalIterator()):
-            out.write((",\n" if k else "\n") + json.dumps(r.asDict(), ensure_ascii=False))
-        out.write('\n], "edges": [')
-        for k, r in enumerate(pairs.toLocalIterator()):
-            out.write(("," if k else "") + f"[{r['__s']},{r['__t']}]")
-        out.write("]}\n")
+    named, pairs = _numbered_graph(nodes, edges)
+    names, (folder, file), spark = nodes.columns, _split(path), nodes.sparkSession
+    parts = [
+        fixed_text(spark, '{"nodes": [', 0, file),
+        section(named, [F.col("__n")], lambda r: _listed(r, json_text({c: r[c] for c in names})), 1, file),
+        fixed_text(spark, '\n], "edges": [', 2, file),
+        section(pairs, [F.col("__s"), F.col("__t")], lambda r: ("," if r["place"] else "") + f"[{r['__s']},{r['__t']}]", 3, file),
+        fixed_text(spark, "]}\n", 4, file),
+    ]
+    write_sections(parts, folder)
 
 
 def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -183,20 +209,27 @@ def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def write_checksums(folder: str, names: list[str]) -> None:
-    """SHA256SUMS of files of a folder, in the order of their names given."""
-    lines = [f"{hashlib.sha256((Path(folder) / n).read_bytes()).hexdigest()}  {n}" for n in names]
+    """SHA256SUMS of files of a folder, in the order of their names given; a file is read a piece at a time."""
+    lines = []
+    for n in names:
+        with (Path(folder) / n).open("rb") as file:
+            lines.append(f"{hashlib.file_digest(file, 'sha256').hexdigest()}  {n}")
     (Path(folder) / "SHA256SUMS").write_text("\n".join(lines) + "\n", encoding="utf-8")
 
 
+def _csv_line(values: list) -> str:
+    out = io.StringIO(newline="")
+    csv.writer(out).writerow(["" if x is None else x for x in values])
+    return out.getvalue()
+
+
 def write_table(rows: DataFrame, path: str, *order: str) -> int:
-    """One CSV file with a header and empty cells for nulls, row after row. Returns the rows written."""
-    n = 0
-    with Path(path).open("w", encoding="utf-8", newline="") as out:
-        writer = csv.writer(out)
-        writer.writerow(rows.columns)
-        for n, r in enumerate(rows.orderBy(*order).toLocalIterator(), 1):
-            writer.writerow(["" if x is None else x for x in r])
-    return n
+    """One CSV file with a header and empty cells for nulls. Returns the rows written."""
+    names, (folder, file) = rows.columns, _split(path)
+    kept = cut_lineage(rows)
+    body = section(kept, [F.col(c) for c in order], lambda r: _csv_line([r[c] for c in names]), 1, file)
+    write_sections([fixed_text(rows.sparkSession, _csv_line(names), 0, file), body], folder)
+    return kept.count()
 
 
 def write_release(nodes: DataFrame, edges: DataFrame, stats: DataFrame, folder: str, version: str = "v1") -> dict:
@@ -215,7 +248,7 @@ def write_release(nodes: DataFrame, edges: DataFrame, stats: DataFrame, folder:
 
 
 def write_pages(lines: DataFrame, folder: str) -> int:
-    """Pages of (page, place, line) rows, each written line after line. Returns the pages written.
+    """Pages of (page, place, line) rows. Returns the pages written.
 
     All pages are looked at first, so one edited by hand stops the run before anything changes; generated pages of the
     folders written to that are no more go.
@@ -226,19 +259,16 @@ def write_pages(lines: DataFrame, folder: str) -> int:
     for p in old:
         if not _generated(p):
             raise FileExistsError(f"{p} was edited by hand")
-    for f in folders:
-        f.mkdir(parents=True, exist_ok=True)
-    out, at = None, None
-    for r in lines.orderBy("page", "place").toLocalIterator():
-        if r["page"] != at:
-            if out:
-                out.close()
-            at = r["page"]
-            out = (Path(folder) / at).open("w", encoding="utf-8")
-            out.write(MARKER + "\n")
-        out.write(("\n" if r["line"].startswith("#") else "") + r["line"] + "\n" + ("" if r["line"].startswith(("- ", "|")) else "\n"))
-    if out:
-        out.close()
+
+    def line(r: dict) -> str:
+        if r["line"] is None:
+            return MARKER + "\n"
+        return ("\n" if r["line"].startswith("#") else "") + r["line"] + "\n" + ("" if r["line"].startswith(("- ", "|")) else "\n")
+
+    kind = dict(lines.dtypes)["place"]
+    heads = lines.select("page").distinct().select("page", F.lit(0).alias("body"), F.lit(None).cast(kind).alias("place"), F.lit(None).cast("string").alias("line"))
+    rows = lines.select("page", F.lit(1).alias("body"), "place", "line").unionByName(heads)
+    write_files(rendered(rows, line, "page", "body", "place").withColumnRenamed("page", "file"), folder, "body", "place")
     kept = {Path(folder) / n for n in names}
     for p in old:
         if p not in kept:
@@ -251,42 +281,40 @@ def write_neighbourhood(nodes: DataFrame, edges: DataFrame, page: str, folder: s
     where = Path(folder)
     where.mkdir(parents=True, exist_ok=True)
     counts = {}
-    for kind, rows in (("nodes", nodes.orderBy("paper_id")), ("edges", edges.orderBy("source", "target", "relation"))):
-        with (where / f"{name}.{kind}.jsonl").open("w", encoding="utf-8") as out:
-            counts[kind] = 0
-            for r in rows.toLocalIterator():
-                out.write(json.dumps(r.asDict(True), ensure_ascii=False, sort_keys=True) + "\n")
-                counts[kind] += 1
+    for kind, df, order in (("nodes", nodes, ("paper_id",)), ("edges", edges, ("source", "target", "relation"))):
+        names, kept = df.columns, cut_lineage(df)
+        # values as JSON take any type of column; null fields stay
+        text_of = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("__row")
+        placed = section(kept.select(*order, text_of), [F.col(c) for c in order], lambda r: json.dumps(json.loads(r["__row"]), ensure_ascii=False, sort_keys=True) + "\n", 0, f"{name}.{kind}.jsonl")
+        write_sections([placed, fixed_text(df.sparkSession, "", 1, f"{name}.{kind}.jsonl")], folder)
+        counts[kind] = kept.count()
     (where / f"{name}.md").write_text(page, encoding="utf-8")
     return counts
 
 
 def write_batches(numbered: DataFrame, folder: str, prefix: str = "batch", start: int | None = None) -> int:
-    """Numbered batches as JSON arrays, a file each, row after row. Without `start` older files go; else they stay.
+    """Numbered batches as JSON arrays, a file each. Without `start` older files go; else they stay.
 
     numbered has `batch` and what a file shall hold. Returns the files written.
     """
-    where, n, at, out = Path(folder), 0, None, None
+    where = Path(folder)
     where.mkdir(parents=True, exist_ok=True)
     if start is None:
         for old in where.glob(f"{prefix}_*.json"):
             old.unlink()
-    columns = [c for c in numbered.columns if c != "batch"]
-    for r in numbered.orderBy("batch", *[c for c in ("place",) if c in numbered.columns]).toLocalIterator():
-        if r["batch"] != at:
-            if out:
-                out.write("\n]\n")
-                out.close()
-            at, n = r["batch"], n + 1
-            out = (where / f"{prefix}_{at + (start or 0):04d}.json").open("w", encoding="utf-8")
-            out.write("[\n")
-        else:
-            out.write(",\n")
-        out.write(json.dumps({c: r[c] for c in columns if c != "place"}, ensure_ascii=False))
-    if out:
-        out.write("\n]\n")
-        out.close()
-    return n
+    columns = [c for c in numbered.columns if c not in ("batch", "place")]
+    file = F.concat(F.lit(f"{prefix}_"), F.lpad((F.col("batch") + (start or 0)).cast("string"), 4, "0"), F.lit(".json"))
+    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row")
+    if "place" in numbered.columns:
+        kept = cut_lineage(numbered.select(file.alias("file"), F.col("place").cast("long").alias("place"), row))
+    else:
+        kept = in_order(numbered.select(file.alias("file"), row), [F.col("file"), F.col("row")])
+    # a comma stands before every row but a file's first
+    rows = kept.join(kept.groupBy("file").agg(F.min("place").alias("__first")), "file")
+    body = rendered(rows.select("file", "place", "row", "__first"), lambda r: ("[\n" if r["place"] == r["__first"] else ",\n") + json_text(json.loads(r["row"])), "file", "place")
+    tail = kept.select("file").distinct().select("file", F.lit((1 << 63) - 1).alias("place"), F.lit("\n]\n").alias("text"))
+    write_files(body.unionByName(tail), folder, "place")
+    return kept.select("file").distinct().count()
 
 
 def upserted(rows: DataFrame, client: Callable[[], Callable[[str, list[dict]], None]], statement: str, size: int = 500) -> None:

@@ -1,4 +1,4 @@
-"""Incremental forms of the log operators, on Structured Streaming."""
+"""Log folders as streams: new files, work on new keys, and windows of event time. Reductions of logs are in `keyed`."""
 
 from __future__ import annotations
 
@@ -7,96 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.operators.labels import reduced_labels
 from citeloom.sources.records import path_exists
 
+from . import keyed
+
 
 def stream_log(spark: SparkSession, folder: str, schema: str, files_a_batch: int = 100) -> DataFrame:
     """New files of a log folder; malformed lines are left out, as writers may be at work."""
     return spark.readStream.schema(schema).option("mode", "DROPMALFORMED").option("maxFilesPerTrigger", files_a_batch).json(folder)
 
 
-def first_wins(state_path: str, key: str = "paper_id", order: str = "ord") -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: keeps the first row of each key, that of the least `order`, also if it comes in a later batch.
-
-    No watermark: a key stays known for ever, as late rows must not come back. Versions are kept as by upsert_labels.
-    """
-
-    def run(batch: DataFrame, number: int) -> None:
-        rest = [c for c in batch.columns if c != key]
-        rows = _with_state(batch, state_path, number).where(F.col(key).isNotNull())
-        kept = rows.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("x")).select(key, "x.*")
-        _next_state(kept.select(*batch.columns), state_path, number)
-
-    return run
-
-
-def _versions(spark: SparkSession, state_path: str) -> list[int]:
-    where = spark._jvm.org.apache.hadoop.fs.Path(state_path)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(where):
-        return []
-    # a version counts once its job has marked it as whole
-    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName()[2:]) for s in done)
-
-
-def _with_state(batch: DataFrame, state_path: str, number: int) -> DataFrame:
-    """The batch's rows and the state before it: the last whole version below `number`. Batch 0 begins without one; a later
-    batch that finds none raises, as its state was lost."""
-    spark = batch.sparkSession
-    before = [v for v in _versions(spark, state_path) if v < number]
-    if before:
-        return batch.unionByName(spark.read.schema(batch.schema).parquet(f"{state_path}/v={before[-1]}"))
-    if number:
-        raise RuntimeError(f"no state before batch {number} in {state_path}")
-    return batch
-
-
-def _next_state(rows: DataFrame, state_path: str, number: int) -> None:
-    """Writes version `number`; of older ones the last stays, for a batch that is run again."""
-    spark = rows.sparkSession
-    rows.write.mode("overwrite").parquet(f"{state_path}/v={number}")
-    for old in [v for v in _versions(spark, state_path) if v < number][:-1]:
-        where = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v={old}")
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def upsert_labels(state_path: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: keeps one winning row a paper. A late row of a higher tier still wins, and so nothing expires.
+def process_new(stream: DataFrame, done_path: str, key: str, work: Callable[[DataFrame], None]):
+    """Works on keys not processed before and then marks them, so a run can be resumed.
 
-    Every batch reads the last version of the state and writes the next one; a batch that is run again writes the same.
+    Keys of the run itself are keyed state; those that other runs marked are read once, when the state begins.
     """
+    spark = stream.sparkSession
+    done = spark.read.parquet(done_path).select(key) if path_exists(spark, f"{done_path}/batch=*") else None
 
     def run(batch: DataFrame, number: int) -> None:
-        columns = ["category", "tier", "confidence", "classified_at", "is_core", "ord"]
-        rows = _with_state(batch.select("paper_id", *columns), state_path, number)
-        rank = F.struct(F.coalesce("tier", F.lit(-1)), F.coalesce(F.col("classified_at").cast("string"), F.lit("")), -F.col("ord"))
-        kept = rows.where("paper_id is not null").groupBy("paper_id").agg(F.max_by(F.struct(*columns), rank).alias("x"))
-        _next_state(kept.select("paper_id", "x.*"), state_path, number)
-
-    return run
-
-
-def labels_of_state(spark: SparkSession, state_path: str, number: int) -> DataFrame:
-    return reduced_labels(spark.read.parquet(f"{state_path}/v={number}"))
-
-
-def process_new(stream: DataFrame, done_path: str, key: str, work: Callable[[DataFrame], None]):
-    """foreachBatch that works on keys not processed before and then marks them, so a run can be resumed."""
-
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
-        if path_exists(spark, done_path):
-            done = spark.read.parquet(done_path).where(F.col("batch") != number).select(key)
-            fresh = fresh.join(done, key, "left_anti")
-        fresh = fresh.persist()
+        fresh = batch.persist()
         work(fresh)
-        fresh.select(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{done_path}/batch={number}")
+        fresh.select(key).write.mode("overwrite").parquet(f"{done_path}/batch={number}")
         fresh.unpersist()
 
-    return stream.writeStream.foreachBatch(run)
+    return keyed.new_keys(stream, key, done).writeStream.outputMode("update").foreachBatch(run)
 
 
 def event_windows(events: DataFrame, *, late: str = "1 hour", width: str = "1 day") -> DataFrame:

@@ -71,10 +71,19 @@ def test_pace_and_retries():
         slept.append(s)
         now[0] += s
 
+    # half a minute's worth is saved up, also after a long rest
     pace = Sv.Pace(60, clock=lambda: now[0], sleep=sleep)
-    for _ in range(62):
-        pace.wait()
-    assert len(slept) == 2 and all(abs(s - 1) < 1e-6 for s in slept)
+    for rest in (0, 1000):
+        now[0] += rest
+        slept.clear()
+        for _ in range(32):
+            pace.wait()
+        assert len(slept) == 2 and all(abs(s - 1) < 1e-6 for s in slept)
+    slow = Sv.Pace(1, clock=lambda: now[0], sleep=sleep)
+    slept.clear()
+    slow.wait()
+    slow.wait()
+    assert len(slept) == 1 and abs(slept[0] - 60) < 1e-6
     calls = []
 
     def failing(path, params):
@@ -162,28 +171,24 @@ def test_streams(spark, tmp_path):
     (tmp_path / "in").mkdir()
     write(tmp_path / "in" / "1.json", {"paper_id": "a", "category": "x", "tier": 3, "classified_at": "2020", "ord": 0}, {"paper_id": "b", "category": "y", "tier": 1, "classified_at": "2020", "ord": 1})
     write(tmp_path / "in" / "2.json", {"paper_id": "a", "category": "z", "tier": 1, "classified_at": "2024", "ord": 2}, {"paper_id": "b", "category": "w", "tier": 2, "classified_at": "2010", "ord": 3}, "{torn")
-    state = f"{tmp_path}/state"
-    stream = St.stream_log(spark, f"{tmp_path}/in", schema, files_a_batch=1)
-    run = stream.writeStream.foreachBatch(St.upsert_labels(state)).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
-    run.awaitTermination()
-    got = {r.paper_id: r.category for r in St.labels_of_state(spark, state, 1).collect()}
-    assert got == {"a": "x", "b": "w"}
-
-    first = St.stream_log(spark, f"{tmp_path}/in", schema, files_a_batch=1).writeStream.foreachBatch(St.first_wins(f"{tmp_path}/firsts"))
-    first.trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/ck2").start().awaitTermination()
-    assert sorted((r.paper_id, r.category) for r in spark.read.parquet(f"{tmp_path}/firsts/v=1").collect()) == [("a", "x"), ("b", "y")]
-    # a batch that is run again gives the same, one whose state was lost is an error
-    St.first_wins(f"{tmp_path}/firsts")(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(f"{tmp_path}/in/2.json"), 1)
-    assert sorted((r.paper_id, r.category) for r in spark.read.parquet(f"{tmp_path}/firsts/v=1").collect()) == [("a", "x"), ("b", "y")]
-    with pytest.raises(RuntimeError):
-        St.first_wins(f"{tmp_path}/lost")(spark.read.schema(schema).json(f"{tmp_path}/in"), 3)
-
     seen = []
-    for k in range(2):
-        new = St.process_new(St.stream_log(spark, f"{tmp_path}/in", schema), f"{tmp_path}/done", "paper_id", lambda df: seen.append(sorted(r.paper_id for r in df.collect())))
-        new.option("checkpointLocation", f"{tmp_path}/ck3{k}").trigger(availableNow=True).start().awaitTermination()
-        # a second run with another checkpoint sees the same files, under a later batch number only if marked
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+
+    def again(checkpoint, done):
+        new = St.process_new(St.stream_log(spark, f"{tmp_path}/in", schema), f"{tmp_path}/{done}", "paper_id", lambda df: seen.append(sorted(r.paper_id for r in df.collect())))
+        new.option("checkpointLocation", f"{tmp_path}/{checkpoint}").trigger(availableNow=True).start().awaitTermination()
+
+    again("ck3", "done")
     assert seen[0] == ["a", "b"]
+    # the same run goes on with new keys alone, another one leaves out what was marked before it began
+    write(tmp_path / "in" / "3.json", {"paper_id": "b", "category": "q"}, {"paper_id": "c", "category": "q"})
+    again("ck3", "done")
+    assert seen[-1] == ["c"]
+    write(tmp_path / "in" / "4.json", {"paper_id": "d", "category": "q"})
+    again("ck4", "done")
+    assert seen[-1] == ["d"]
+    spark.conf.set("spark.sql.shuffle.partitions", width)
 
 
 def test_event_windows(spark, tmp_path):
