@@ -146,15 +146,17 @@ def build_network(spark, a):
     answers = read("haiku_classifications.jsonl", "paper_id string, is_fmri_gnn boolean").withColumnRenamed("is_fmri_gnn", "is_positive")
     tags = cut_lineage(labels.layered_labels(read("classifications.jsonl", "paper_id string, category string"), answers, read("classifications_7cat.jsonl", records.LABELS)))
     core, secondary = (tags.where(F.col("category").isin(*c)).select("paper_id") for c in (fixed.CORE_CATEGORIES, fixed.SECONDARY_CATEGORIES))
-    rows = read("citations.jsonl", records.CITATIONS).select(F.col("from").alias("src"), F.col("to").alias("dst"), "ord")
+    rows = read("citations.jsonl", records.CITATIONS).select(F.col("from").alias("src"), F.col("to").alias("dst"), F.coalesce("relation", F.lit("cites")).alias("relation"), "source", "ord")
     edges = cut_lineage(citations.network_edges(rows.where("src <> '' and dst <> ''"), core.union(secondary)))
     nodes = cut_lineage(citations.network_nodes(core, secondary, citations.boundary_nodes(edges)))
     house = Warehouse(spark, a.data)
     full = nodes.join(tags, "paper_id", "left").na.fill(fixed.EXCLUDED_CATEGORY, ["category"]).join(house.papers, "paper_id", "left")
     writers.overwrite_log(full, f"{a.data}/network/nodes", "paper_id")
-    writers.overwrite_log(edges.select(F.col("src").alias("from"), F.col("dst").alias("to")), f"{a.data}/network/edges")
-    stats = {**citations.network_stats(nodes, edges).first().asDict(), "categories": _rows(citations.category_distribution(nodes, tags, fixed.EXCLUDED_CATEGORY).orderBy("node_type", "category"))}
-    writers.write_json(f"{a.data}/network/stats.json", stats)
+    writers.overwrite_log(edges.select(F.col("src").alias("from"), F.col("dst").alias("to"), "relation", "source"), f"{a.data}/network/edges")
+    by_category = citations.category_distribution(nodes, tags, fixed.EXCLUDED_CATEGORY).groupBy("category").agg(F.sum("n").alias("n")).orderBy("category")
+    built_at = spark.range(1).select(text.now_iso().alias("at")).first()["at"]
+    stats = citations.stats_file(citations.network_stats(nodes, edges).first().asDict(), {r["category"]: r["n"] for r in by_category.collect()}, str(built_at))
+    writers.write_json(f"{a.data}/network/network_stats.json", stats)
     _show(stats)
 
 
@@ -276,11 +278,12 @@ def abstracts(spark, a, transport=_transport):
     """Abstracts of papers without one: cached responses first, then, with --fetch, DOIs and title searches."""
     from citeloom.functions import documents
     from citeloom.operators import backfill
+    from citeloom.operators.graph import cut_lineage
     from citeloom.sources import records, services, writers
 
     known = _read(spark, a)("abstracts.jsonl", "paper_id string, abstract string")
     papers = _flat_papers(spark, a).groupBy("paper_id").agg(F.max_by(F.struct("title", "doi", "corpus_id", "openalex_id", "ord"), "ord").alias("x")).select("paper_id", "x.*")
-    open_ = papers.join(known.select("paper_id"), "paper_id", "left_anti").cache()
+    open_ = cut_lineage(papers.join(known.select("paper_id"), "paper_id", "left_anti"))
     found = backfill.mined_abstracts(open_, _responses(spark, a))
 
     def by_doi(rows):
@@ -295,8 +298,20 @@ def abstracts(spark, a, transport=_transport):
 
     if a.fetch:
         left = open_.join(found.select("paper_id"), "paper_id", "left_anti")
-        tried = spark.createDataFrame([], "key string")
-        found = found.unionByName(backfill.in_phases(left, tried, [("doi_csl", by_doi), ("europe_pmc_title", by_title)]))
+        # what was tried before, found or not, isn't asked for again
+        worked = f"{a.data}/worked_abstracts"
+        tried, asked = cut_lineage(writers.known_keys(spark, worked)), []
+
+        def noted(name, phase):
+            def run(rows):
+                asked.append(rows.select(F.concat(F.lit(f"{name}:"), "paper_id").alias("key")))
+                return phase(rows)
+
+            return name, run
+
+        found = cut_lineage(found.unionByName(backfill.in_phases(left, tried, [noted("doi_csl", by_doi), noted("europe_pmc_title", by_title)])))
+        for keys in asked:
+            writers.mark_keys(keys, worked)
     _show({"found": writers.append_lines(found, f"{a.data}/abstracts.jsonl")})
 
 

@@ -75,9 +75,12 @@ def isolates(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def network_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
-    """Distinct edges with an end among `members` (self-loops stay), with src_in and dst_in."""
+    """Distinct edges with an end among `members` (self-loops stay), with src_in and dst_in; of repeated ones the first row's
+    further columns, such as relation and source, stay."""
     ids = members.select("paper_id").distinct()
-    ends = edges.where("src is not null and dst is not null").groupBy("src", "dst").agg(F.min("ord").alias("ord"))
+    more = [c for c in edges.columns if c not in ("src", "dst", "ord")]
+    first = [F.min_by(c, "ord").alias(c) for c in more]
+    ends = edges.where("src is not null and dst is not null").groupBy("src", "dst").agg(F.min("ord").alias("ord"), *first)
     ends = ends.join(ids.select(F.col("paper_id").alias("src"), F.lit(True).alias("src_in")), "src", "left")
     ends = ends.join(ids.select(F.col("paper_id").alias("dst"), F.lit(True).alias("dst_in")), "dst", "left")
     return ends.na.fill(False, ["src_in", "dst_in"]).where("src_in or dst_in")
@@ -116,6 +119,18 @@ def network_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return counts.withColumn("density", F.round(F.when(pairs > 0, 2.0 * F.col("n_edges") / pairs).otherwise(0.0), 8))
 
 
+def stats_file(stats: dict, categories: dict[str, int], built_at: str) -> dict:
+    """What the statistics' file of a network holds, of a row of network_stats() and counts by category."""
+    return {
+        "nodes": {"total": stats["n_nodes"], **{k: stats[k] for k in ("core", "secondary", "boundary")}},
+        "edges": {"total": stats["n_edges"], "deduplicated": True},
+        "components": {"total": stats["components"], "largest": stats["largest"], "isolated": stats["isolated"]},
+        "density": stats["density"],
+        "category_distribution": categories,
+        "built_at": built_at,
+    }
+
+
 def category_distribution(nodes: DataFrame, labels: DataFrame, default: str) -> DataFrame:
     """(node_type, category, n) of a network's nodes; nodes without a label have the default one."""
     joined = nodes.join(labels.select("paper_id", "category"), "paper_id", "left").na.fill(default, ["category"])

@@ -306,3 +306,46 @@ def test_phases_ask_for_what_is_left(spark):
     found = B.in_phases(papers, tried, [("one", phase("one", ["a"])), ("two", phase("two", ["b", "c"])), ("three", phase("three", ["c"]))])
     assert sorted(map(tuple, found.collect())) == [("a", "one", "one"), ("b", "two", "two"), ("c", "three", "three")]
     assert asked == [("one", ["a", "b", "c"]), ("two", ["b"]), ("three", ["c"])]
+
+
+def test_network_files(spark, tmp_path, capsys):
+    """Edges keep the relation and source of their first row; the statistics have the names of the file that others read."""
+    data = tmp_path / "w"
+    St.scaffold(str(data))
+    lines = lambda name, rows: (data / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+    lines("papers.jsonl", [{"paper_id": x, "title": x.upper()} for x in "abc"])
+    lines("citations.jsonl", [{"from": "a", "to": "b", "relation": "references", "source": "s2"}, {"from": "a", "to": "b", "source": "later"}, {"from": "b", "to": "x"}, {"from": "x", "to": "y"}])
+    lines("classifications_7cat.jsonl", [{"paper_id": "a", "category": "fmri_gnn"}, {"paper_id": "b", "category": "fmri_gnn"}])
+    cli.build_network(spark, argparse.Namespace(data=str(data)))
+    edges = sorted((r["from"], r["to"], r["relation"], r["source"]) for r in map(lambda r: r.asDict(), spark.read.json(f"{data}/network/edges").collect()))
+    assert edges == [("a", "b", "references", "s2"), ("b", "x", "cites", None)]
+    stats = json.loads((data / "network" / "network_stats.json").read_text())
+    assert stats["nodes"] == {"total": 3, "core": 2, "secondary": 0, "boundary": 1} and stats["edges"] == {"total": 2, "deduplicated": True}
+    assert stats["components"] == {"total": 1, "largest": 3, "isolated": 0} and sum(stats["category_distribution"].values()) == 3 and stats["built_at"]
+    capsys.readouterr()
+
+
+def test_abstracts_that_were_tried(spark, tmp_path, capsys):
+    """A second run asks for nothing that the first one asked for, whether it was found or not."""
+    data, log = tmp_path / "w", tmp_path / "log"
+    St.scaffold(str(data))
+    log.mkdir()
+    (data / "papers.jsonl").write_text("".join(json.dumps({"paper_id": x, "title": f"A long title of {x}", "doi": f"10.1/{x}"}) + "\n" for x in "ab"))
+
+    def transport(service):
+        def make():
+            def get(path, params):
+                import uuid
+
+                (log / uuid.uuid4().hex).write_text(path)
+                return {"abstract": "Found"} if path.endswith("/a") else {}
+
+            return get
+
+        return make
+
+    for calls in (3, 3):  # two DOIs, and a title for the one without an answer
+        cli.abstracts(spark, argparse.Namespace(data=str(data), fetch=True), transport)
+        assert len(list(log.iterdir())) == calls
+    assert [r["paper_id"] for r in rows_of(data / "abstracts.jsonl")] == ["a"]
+    capsys.readouterr()
