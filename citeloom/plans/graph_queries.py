@@ -274,6 +274,24 @@ def community_modularity(spark, sf_dir):
     return M.modularity(lines, members).select("community", "inside", "degree", F.round("share", 9).alias("share"))
 
 
+@query("""
+WITH p AS (SELECT p_partkey % 3 AS component, p_size % 5 AS community, p_brand AS venue, p_name AS title FROM part),
+v AS (SELECT component, community, venue AS w, row_number() OVER (PARTITION BY component, community ORDER BY count(*) DESC, venue) AS r FROM p GROUP BY 1, 2, 3),
+t AS (SELECT component, community, unnest(regexp_split_to_array(lower(title), '\\s+')) AS w FROM p),
+k AS (SELECT component, community, w, row_number() OVER (PARTITION BY component, community ORDER BY count(*) DESC, w) AS r FROM t WHERE length(w) > 4 GROUP BY 1, 2, 3)
+SELECT component, community, (SELECT count(*) FROM p WHERE p.component = a.component AND p.community = a.community) AS size,
+  (SELECT string_agg(w, '|' ORDER BY r) FROM v WHERE v.component = a.component AND v.community = a.community AND r <= 3) AS top_venues,
+  (SELECT string_agg(w, '|' ORDER BY r) FROM k WHERE k.component = a.component AND k.community = a.community AND r <= 5) AS top_keywords
+FROM (SELECT DISTINCT component, community FROM p) AS a""")
+def community_words(spark, sf_dir):
+    """The commonest venues and title words of given communities: parts by key and size."""
+    part = table(spark, sf_dir, "part")
+    found = part.select(F.col("p_partkey").alias("node"), (F.col("p_partkey") % 3).alias("component"), (F.col("p_size") % 5).alias("community"))
+    papers = part.select(F.col("p_partkey").alias("paper_id"), F.col("p_brand").alias("venue"), F.col("p_name").alias("title"))
+    rows = M.community_summary(found, papers)
+    return rows.select("component", "community", "size", F.concat_ws("|", "top_venues").alias("top_venues"), F.concat_ws("|", "top_keywords").alias("top_keywords"))
+
+
 def _supply(spark, sf_dir):
     """Parts, suppliers and customers as papers; orders of a supplier's own nation's customers tie them, customers without are alone."""
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")

@@ -206,3 +206,13 @@ def log_extract(spark, sf_dir):
     answer = F.to_json(F.struct(F.col("user_id").cast("string").alias("paper_id"), F.col("event_type").alias("category")))
     wrapped = F.to_json(F.struct(F.struct(F.concat(F.lit("done\\n"), answer, F.lit("\\nend")).alias("content")).alias("message")))
     return records.answers_in_logs(events.select(F.when(F.col("event_id") % 2 == 0, answer).otherwise(wrapped).alias("value")))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS paper_id, event_type AS category FROM events")
+def text_answers(spark, sf_dir):
+    """Answers out of texts: a JSON array within words, or lines of which some are JSON objects."""
+    events = table(spark, sf_dir, "events")
+    answer = F.to_json(F.struct(F.col("user_id").cast("string").alias("paper_id"), F.col("event_type").alias("category")))
+    array = F.concat(F.lit("Here you are: ["), answer, F.lit("] and that is all."))
+    lines = F.concat(F.lit("Answers\n"), answer, F.lit("\nno more {of them}"))
+    return records.answers_in_text(events.select(F.when(F.col("event_id") % 2 == 0, array).otherwise(lines).alias("value"))).select("paper_id", "category")
