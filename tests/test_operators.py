@@ -202,3 +202,14 @@ def test_catalog(spark):
     assert rows(K.year_pivot(papers, ["x", "y"])) == [(2020, 2, 1, 1), (None, 1, 1, 0)]
     line = spark.range(1).select(K.paper_line(F.lit("T?"), F.lit(None).cast("string"), F.array().cast("array<string>"))).first()[0]
     assert line == "- T? Source link pending"
+
+
+def test_components_of_long_paths_and_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df, real=graph.cut_lineage: written.append(df.schema.simpleString()) or real(df))
+    path = spark.range(2000).selectExpr("concat('p', id) as src", "concat('p', id + 1) as dst")
+    star = spark.range(500).selectExpr("concat('s', id) as src", "'s' as dst")
+    found = {r["node"]: r["component"] for r in graph.connected_components(path.union(star)).collect()}
+    assert found == {f"p{k}": "p0" for k in range(2001)} | {f"s{k}": "s" for k in range(500)} | {"s": "s"}
+    # rounds work on numbers: of the tables that are written, only the first and the last hold names
+    assert sum("string" in kinds for kinds in written) == 2 and len(written) < 45
