@@ -107,6 +107,8 @@ def test_entities_without_semicolon(spark):
     page = "<title>a&amp;&amp</title><p>&copy;&#65;&#x42; &ampx; &AMP x&copy</p>"
     rows = spark.createDataFrame([(page,)], "html string").select(D.html_to_markdown("html")).first()
     assert rows[0] == "a&&amp\n©AB &ampx; &AMP x&copy"
+    pages = spark.createDataFrame([(1, page)], "document_id long, html string").select("document_id", D.html_to_markdown("html").alias("text"))
+    assert [r["text"] for r in D.chunk_table(pages).collect()] == [rows[0]]
     assert D.readable(page) == "a&&\n©AB &x; & x©"
 
 
