@@ -70,9 +70,9 @@ def summed(rows: DataFrame, work: Callable[[np.ndarray], np.ndarray], size: int)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], names=["place", "part"])
 
     parts = rows.select("x").mapInArrow(run, "place int, part double")
+    got = parts.groupBy("place").agg(F.sum("part").alias("part")).toArrow()  # `size` rows, in one job
     out = np.zeros(size)
-    for r in parts.groupBy("place").agg(F.sum("part").alias("part")).toLocalIterator():
-        out[r["place"]] = r["part"]
+    out[got["place"].to_numpy()] = got["part"].to_numpy()
     return out
 
 
@@ -162,7 +162,7 @@ def fitted(rows: DataFrame, *, components: int = COMPONENTS, block: int = BLOCK)
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int32()), pa.array([Decimal(v) for _, v in made], pa.decimal128(38, 0))], names=["place", "part"])
 
     got = once.mapInArrow(totals, "place int, part decimal(38,0)").groupBy("place").agg(F.sum("part").cast("decimal(38,0)").alias("part"))
-    found = {r["place"]: int(r["part"]) for r in got.toLocalIterator()}
+    found = {r["place"]: int(r["part"]) for r in got.collect()}  # a row a dimension
     if not found:
         return None
     n, size = found.pop(-1), len(found)

@@ -91,3 +91,19 @@ def test_early_end():
     a, passes = q @ np.diag(values) @ q.T, []
     got, _ = whitening.block_lanczos(lambda b: passes.append(b.shape[1]) or a @ b, 200, 4)
     assert np.allclose(got, values[:4], rtol=1e-12) and sum(passes) < 200
+
+
+def test_sums_come_in_one_job_however_many_partitions(spark):
+    conf = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {c: spark.conf.get(c) for c in conf}
+    rows = spark.createDataFrame([([k, 2 * k],) for k in range(100)], "x array<long>")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    try:
+        for c, value in conf.items():
+            spark.conf.set(c, value)
+        before = jobs()
+        assert whitening.summed(rows, lambda x: x.sum(axis=0), 2).tolist() == [4950, 9900]
+        assert jobs() - before < 8
+    finally:
+        for c, value in old.items():
+            spark.conf.set(c, value)
