@@ -192,20 +192,40 @@ def trie(numbers: Numbers, ids: np.ndarray, starts: int) -> Nodes:
     one, two, _ = shifts_of((words, words, words))
     rank = np.zeros(len(numbers), np.int64)
     rank[[numbers[w] for w in words]] = np.arange(1, len(words) + 1)
-    r = np.concatenate([rank[ids], [0, 0]])
-    first, second, third = r[:starts], r[1 : starts + 1], r[2 : starts + 2]
-    place = first << one | second << two | np.where(second > 0, third, 0)
-    leaf, n = np.unique(place[first > 0], return_counts=True)
-    levels = []
-    for shift, above in ((0, two), (two, one), (one, 63)):
-        up = leaf >> shift << shift
-        begins = np.flatnonzero(np.concatenate([[True], up[1:] != up[:-1]])) if len(up) else np.zeros(0, np.int64)
-        sums = np.add.reduceat(n, begins) if len(up) else n
-        real = up[begins] >> shift & (1 << above - shift) - 1 > 0
-        levels.append((up[begins][real], sums[real]))
-    keys = np.concatenate([k for k, _ in levels])
-    order = np.argsort(keys, kind="stable")
-    return Nodes((words, words, words), keys[order], np.concatenate([c for _, c in levels])[order])
+    # few arrays of a run's length are alive at once: what a worker once took it seldom gives back
+    r = np.concatenate([rank[ids], np.zeros(2, np.int64)])
+    place = r[2:] * (r[1:-1] > 0)
+    place[:] |= r[1:-1] << two
+    place[:] |= r[:-2] << one
+    place = place[:starts][r[:starts] > 0]
+    del r
+    place.sort()
+    begins = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+    leaf, n = place[begins], np.diff(begins, append=len(place)).astype(np.int32)
+    del place, begins
+    # a leaf stands behind the nodes above it that begin with it; a path of one or two words is a node above alone
+    news = []
+    for shift, above in ((one, 63), (two, one)):
+        up = leaf >> shift
+        new = np.append(True, up[1:] != up[:-1])[: len(up)]
+        news.append((shift, new, new & (up & (1 << above - shift) - 1 > 0)))
+        del up
+    own = leaf & (1 << two) - 1 > 0
+    size = own.astype(np.int8)
+    for _, _, real in news:
+        size += real
+    ends = np.cumsum(size, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    keys, counts = np.zeros(total, np.int64), np.zeros(total, np.int32)
+    at = ends - size
+    for shift, new, real in news:
+        where = at[real]
+        keys[where] = leaf[real] >> shift << shift
+        if len(leaf):
+            counts[where] = np.add.reduceat(n, np.flatnonzero(new))[real[new]]
+        at += real
+    keys[at[own]], counts[at[own]] = leaf[own], n[own]
+    return Nodes((words, words, words), keys, counts)
 
 
 class Shard:
@@ -217,18 +237,20 @@ class Shard:
 
     def add(self, lang: str, text: bytes, end: bool) -> None:
         numbers, parts = self.kept.setdefault(lang, (Numbers(), []))
-        ids = np.fromiter(map(numbers.__getitem__, text.replace(b"\n", b" \n ").split(b" ")), np.int64)
+        ids = np.fromiter(map(numbers.__getitem__, text.replace(b"\n", b" \n ").split(b" ")), np.int32)
         ids = ids[ids != 1]
         if end:
-            ids = np.append(ids, 0)
+            ids = np.append(ids, np.int32(0))
         parts.append(ids)
         self.size += len(ids)
 
     def runs(self) -> Iterator[tuple[str, Nodes]]:
         """Tries of what was read; the last two words of a piece that isn't at its end stay for the next run."""
         old, self.kept, self.size = self.kept, {}, 0
-        for lang, (numbers, parts) in old.items():
+        for lang in list(old):
+            numbers, parts = old.pop(lang)
             ids = np.concatenate(parts)
+            del parts
             tail = ids[-2:]
             open_ = len(tail) and tail[-1] != 0
             keep = 0 if not open_ else len(tail) if tail[0] != 0 else 1

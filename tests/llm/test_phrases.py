@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from citeloom.llm import phrases
@@ -111,3 +113,14 @@ def test_order_and_top(spark):
     # 'z z' occurs more often than it is held; equal scores and counts go by the phrase
     assert [r["phrase"] for r in top] == sorted(["b a", "c d", "d c"], key=lambda p: (-plain([("en", t) for _, t, _ in rows], 5)["en", p][4], p))
     assert phrases.best(phrases.collocations(documents(spark, []))).count() == 0
+
+
+def test_trie_memory():
+    """A run's trie takes less than 100 bytes a word at its peak, with nearly as many different phrases as words."""
+    size, numbers = 1 << 18, phrases.Numbers()
+    ids = np.array([numbers[b"w%d" % k] for k in np.power(20_000, np.random.default_rng(5).random(size)).astype(int)], np.int32)
+    tracemalloc.start()
+    found = phrases.trie(numbers, ids, size)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.counts[found.depths() == 1].sum() == size and len(found.keys) > size and peak < 100 * size
