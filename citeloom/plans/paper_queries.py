@@ -238,11 +238,8 @@ def lookup_ids(spark, sf_dir):
 @query("SELECT doc_id, array_to_string(string_split_regex(text, ' +'), ' ') AS abstract FROM documents")
 def abstracts(spark, sf_dir):
     """Texts to inverted indexes and back; runs of spaces become one."""
-    words = F.posexplode(F.split("text", " +")).alias("at", "word")
-    each = table(spark, sf_dir, "documents").select("doc_id", words)
-    index = each.groupBy("doc_id", "word").agg(F.collect_list("at").alias("places")).groupBy("doc_id")
-    entries = index.agg(F.map_from_entries(F.collect_list(F.struct("word", "places"))).alias("index"))
-    return entries.select("doc_id", text.abstract_of(F.col("index")).alias("abstract"))
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", text.abstract_of(D.inverted_index(F.split("text", " +"))).alias("abstract"))
 
 
 @query("SELECT role, length(word) AS size, count(*) AS n FROM (SELECT role, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM conversations) WHERE length(word) > 0 GROUP BY 1, 2")

@@ -159,3 +159,17 @@ def test_terms_against_sqlite(seed):
 
 def test_taxonomy():
     assert set(fixed.LEGACY_CATEGORIES.values()) <= set(fixed.VALID_CATEGORIES)
+
+
+def test_abstracts_within_rows(spark, tmp_path):
+    """Each text by itself, without a shuffle: null and empty ones, repeated ids, and places of repeated words."""
+    from citeloom.plans import catalogue
+
+    rows = [(1, "a b  a c a"), (2, None), (3, ""), (4, " x"), (1, "b a"), (5, "é  e é")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalogue.queries()["abstracts"](spark, str(tmp_path))
+    want = [(k, t and t.replace("  ", " ")) for k, t in rows]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    index = spark.createDataFrame([(["b", "a", "b"],), (None,), ([],)], "w array<string>").select(D.inverted_index("w").alias("i"))
+    assert [r.i for r in index.collect()] == [{"b": [0, 2], "a": [1]}, None, {}]
