@@ -9,8 +9,11 @@ once at most, and never by a common gram if the shorter has a rare one. What mee
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .graph import cut_lineage
 
@@ -20,12 +23,27 @@ GRAM = 8
 WINDOW = CONTAINED + 1 - GRAM + 1
 
 
-def grams(key: Column) -> Column:
+#: Odd factors of a gram's hash, which is a polynomial of its characters modulo 2 ** 64, mixed once.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
+def _least_hashes(title: str) -> np.ndarray:
+    h = np.frombuffer(title.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    for k, factor in enumerate(_FACTORS):  # of 2, 4 and GRAM characters
+        h = h[: -(1 << k)] * np.uint64(factor) + h[1 << k :]
+    h = ((h ^ h >> np.uint64(31)) * np.uint64(_FACTORS[0])).view(np.int64)
+    width = 1
+    while width < WINDOW:  # least of 2, 4, 8 and WINDOW hashes in a row
+        step = min(width, WINDOW - width)
+        h = np.minimum(h[:-step], h[step:])
+        width += step
+    return np.unique(h)
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def grams(keys: pa.Array) -> pa.Array:
     """The hashes that stand for a title: the least of every window; none for titles of up to CONTAINED characters."""
-    hashes = F.transform(F.sequence(F.lit(1), F.length(key) - (GRAM - 1)), lambda i: F.xxhash64(F.substr(key, i, F.lit(GRAM))))
-    # bound to a variable, so that hashes are made once for all windows
-    least = F.transform(F.array(hashes), lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.array_min(F.slice(h, i, F.lit(WINDOW)))))
-    return F.when(F.length(key) > CONTAINED, F.array_distinct(F.get(least, F.lit(0))))
+    return pa.array([_least_hashes(k) if k is not None and len(k) > CONTAINED else None for k in keys.to_pylist()], pa.list_(pa.int64()))
 
 
 def matching_titles(left: DataFrame, right: DataFrame, key: str = "key") -> DataFrame:
@@ -34,16 +52,27 @@ def matching_titles(left: DataFrame, right: DataFrame, key: str = "key") -> Data
     Empty and null titles match nothing. Titles of one table alone aren't compared with each other.
     """
     sides = left.select(F.col(key).alias("key"), F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(F.col(key).alias("key"), F.lit(0).alias("l"), F.lit(1).alias("r")))
-    keys = cut_lineage(sides.where("key <> ''").groupBy("key").agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right")))
-    rows = cut_lineage(keys.select("key", "n_left", "n_right", F.explode(grams(F.col("key"))).alias("gram")))
-    often = rows.groupBy("gram").agg(F.count("*").alias("often"))
-    rarest = rows.select("key", "n_left", "n_right", "gram").join(often, "gram").groupBy("key", "n_left", "n_right").agg(F.min(F.struct("often", "gram")).alias("x"))
-    short = rarest.select(F.col("key").alias("short"), F.col("n_left").alias("s_left"), F.col("n_right").alias("s_right"), F.col("x.gram").alias("gram"))
-    met = short.join(rows.withColumnRenamed("key", "long"), "gram").where((F.length("short") < F.length("long")) & (F.instr(F.col("long"), F.col("short")) > 0))
-    one = met.where("s_left > 0 and n_right > 0").select(F.col("short").alias("left"), F.col("long").alias("right"), F.col("s_left").alias("n_left"), "n_right")
-    other = met.where("n_left > 0 and s_right > 0").select(F.col("long").alias("left"), F.col("short").alias("right"), "n_left", F.col("s_right").alias("n_right"))
+    keys = sides.where("key <> ''").groupBy("key").agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+    keys = cut_lineage(keys.withColumn("id", F.monotonically_increasing_id()))
+    on_left, on_right, length = F.col("n_left") > 0, F.col("n_right") > 0, F.length("key")
+    most = keys.agg(F.max(F.when(on_left, length)).alias("left"), F.max(F.when(on_right, length)).alias("right")).first()
+    sought = (on_left & (length < (most["right"] or 0))) | (on_right & (length < (most["left"] or 0)))
+    # titles go by number: a long one has many grams, and its text must not go with each
+    numbers = keys.where(length > CONTAINED).select("id", on_left.alias("l"), on_right.alias("r"), sought.alias("sought"), F.explode(grams(F.col("key"))).alias("gram"))
+    rows = cut_lineage(numbers)
+    often = rows.groupBy("gram").agg(F.count_if("l").alias("often_l"), F.count_if("r").alias("often_r"), F.bool_or("sought").alias("any")).where("any").drop("any")
+    others = F.when(F.col("l"), F.col("often_r")).otherwise(0) + F.when(F.col("r"), F.col("often_l")).otherwise(0)
+    rarest = rows.where("sought").join(often, "gram").groupBy("id", "l", "r").agg(F.min(F.struct(others.alias("often"), "gram")).alias("x")).where("x.often > 0")
+    rarest = rarest.select(F.col("id").alias("short_id"), F.col("l").alias("s_l"), F.col("r").alias("s_r"), F.col("x.gram").alias("gram"))
+    met = rarest.join(rows, "gram").where("short_id <> id and (s_l and r or s_r and l)").select("short_id", "id")
+    short = keys.where((length > CONTAINED) & sought).select(F.col("id").alias("short_id"), F.col("key").alias("short"), F.col("n_left").alias("s_left"), F.col("n_right").alias("s_right"))
+    met = met.join(short, "short_id").join(keys.withColumnRenamed("key", "long"), "id")
+    met = met.where((F.length("short") < F.length("long")) & (F.instr(F.col("long"), F.col("short")) > 0))
+    one = F.when((F.col("s_left") > 0) & on_right, F.struct(F.col("short").alias("left"), F.col("long").alias("right"), F.col("s_left").alias("n_left"), F.col("n_right").alias("n_right")))
+    other = F.when((F.col("s_right") > 0) & on_left, F.struct(F.col("long").alias("left"), F.col("short").alias("right"), F.col("n_left").alias("n_left"), F.col("s_right").alias("n_right")))
+    within = met.select(F.explode(F.array_compact(F.array(one, other))).alias("x")).select("x.*")
     equal = keys.where("n_left > 0 and n_right > 0").select(F.col("key").alias("left"), F.col("key").alias("right"), "n_left", "n_right")
-    return equal.unionByName(one).unionByName(other)
+    return equal.unionByName(within)
 
 
 def matched_rows(left: DataFrame, right: DataFrame, pairs: DataFrame, left_id: str, right_id: str, key: str = "key") -> DataFrame:

@@ -57,3 +57,13 @@ def test_no_pair_twice(spark):
     frame = lambda *ts: spark.createDataFrame([(t,) for t in ts], "key string")
     assert frame(t).select(F.size(J.grams(F.col("key"))).alias("n")).first().n > 3
     assert len(J.matching_titles(frame(t), frame(f"on {t}", f"{t} ii")).collect()) == 2
+
+
+def test_grams_go_without_texts(spark, monkeypatch):
+    """Tables of grams hold numbers of titles: a long title with each of its grams would be a square of its length."""
+    seen, real = [], J.cut_lineage
+    monkeypatch.setattr(J, "cut_lineage", lambda df: seen.append(dict(df.dtypes)) or real(df))
+    frame = lambda *ts: spark.createDataFrame([(t,) for t in ts], "key string")
+    t = "a rather long title about brain graphs and their uses"
+    assert J.matching_titles(frame(t, "quite another title of this table"), frame(f"on {t}", t[5:40])).count() == 2
+    assert [k for k in seen if "gram" in k] and not [k for k in seen if "gram" in k and "string" in k.values()]
