@@ -84,7 +84,8 @@ def overwrite_log(df: DataFrame, path: str, *order: str) -> None:
 
 def insert_new(df: DataFrame, existing: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
     """Rows of df whose key isn't there yet, the first of each key: what an insert-or-ignore would add."""
-    fresh = df.join(existing.select(*keys), keys, "left_anti")
+    # a key that is there often goes once: tables of them are larger than what is added
+    fresh = df.join(existing.select(*keys).distinct(), keys, "left_anti")
     if order is None:
         return fresh.dropDuplicates(keys)
     rest = [c for c in df.columns if c not in keys]

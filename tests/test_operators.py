@@ -213,3 +213,12 @@ def test_components_of_long_paths_and_stars(spark, monkeypatch):
     assert found == {f"p{k}": "p0" for k in range(2001)} | {f"s{k}": "s" for k in range(500)} | {"s": "s"}
     # rounds work on numbers: of the tables that are written, only the first and the last hold names
     assert sum("string" in kinds for kinds in written) == 2 and len(written) < 45
+
+
+def test_insert_new_takes_each_key_that_is_there_once(spark):
+    from citeloom.sources import writers
+
+    seen = spark.createDataFrame([(k % 3,) for k in range(30)] + [(None,)], "k int")
+    found = writers.insert_new(spark.createDataFrame([(1, "a"), (5, "c"), (5, "b"), (None, "n")], "k int, v string"), seen, ["k"], F.col("v"))
+    assert sorted(map(tuple, found.collect()), key=str) == [(5, "b"), (None, "n")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
