@@ -84,3 +84,20 @@ def test_nodes_on_one_spot_part(spark):
     links = spark.createDataFrame([], "a long, b long")
     rows = L.moved(places, links, 10.0, 3, 1.0).agg(F.countDistinct("x", "y").alias("n")).first()
     assert rows.n == 5
+
+
+def test_isolates_are_found_by_ends_that_go_once(spark, tmp_path, monkeypatch):
+    """Edges and their ends are made distinct before they are joined; they repeat each node many times."""
+    from citeloom.operators import forces
+    from citeloom.plans import catalogue
+
+    tables = {"supplier": "s_suppkey long", "part": "p_partkey long", "customer": "c_custkey long"}
+    for name, schema in tables.items():
+        spark.createDataFrame([(k,) for k in range(4)], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = [(1, 2, 50.0)] * 20 + [(3, 9, 50.0), (2, 3, 1.0)]
+    spark.createDataFrame(lines, "l_suppkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, real = [], forces.isolates
+    monkeypatch.setattr(forces, "isolates", lambda nodes: seen.append(nodes) or real(nodes))
+    found = catalogue.queries()["isolate_circle"](spark, str(tmp_path))
+    assert {r.paper_id for r in found.collect()} == {"s0", "s2", "s3", "p0", "p1", "p3", "c0", "c1", "c2", "c3"}
+    assert seen[0]._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") >= 2
