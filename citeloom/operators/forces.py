@@ -32,6 +32,8 @@ MOST_DEPTH = 10
 UNIT = 1 << 16
 #: Side of the square over the root of the nodes: the ideal length of an edge is 1.
 ROOM = 3.0
+#: Where an empty cell has its centre: outside of all squares.
+FAR = 1e12
 
 
 def depth_of(nodes: int) -> int:
@@ -50,38 +52,76 @@ class Pyramid:
         for _ in range(depth):
             up = self.levels[0]
             self.levels.insert(0, up[:, ::2, ::2] + up[:, 1::2, ::2] + up[:, ::2, 1::2] + up[:, 1::2, 1::2])
+        self._around: dict[int, np.ndarray] = {}
+
+    def around(self, level: int) -> np.ndarray:
+        """Mass, x and y of the centres of mass of a level's cells, one row a cell, in a frame of two empty cells on each side."""
+        if level not in self._around:
+            width = (1 << level) + 4
+            rows = np.zeros((width, width, 3))
+            mass, sx, sy = self.levels[level]
+            full = mass > 0.5
+            inner = rows[2:-2, 2:-2]
+            # empty cells are far off, where no mass pulls with nothing
+            rows[..., 1:] = FAR
+            inner[..., 0] = np.where(full, mass, 0)
+            for k, total in ((1, sx), (2, sy)):
+                np.divide(total, mass, out=inner[..., k], where=full)
+            self._around[level] = rows.reshape(-1, 3)
+        return self._around[level]
 
     def forces(self, x: np.ndarray, y: np.ndarray, angle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Repulsion at positions of nodes that are part of the masses; those on one spot part in the direction of their angle."""
+        """Repulsion at positions of nodes that are part of the masses; those on one spot part in the direction of their angle.
+
+        Nodes that are alike in where their cell lies in its parent have the same cells around them, relative to it: they are
+        one block of arrays, without masks.
+        """
         fx, fy = np.zeros(len(x)), np.zeros(len(x))
         for level in range(2, self.depth + 1):
             width = 1 << level
             i, j = (np.clip(((p / self.side + 0.5) * width).astype(np.int64), 0, width - 1) for p in (x, y))
-            last = level == self.depth
-            # children of the cells around the parent, of which those that touch the own cell are left to the finer grid
-            for a in range(-2, 4):
-                for b in range(-2, 4):
-                    u, v = (i // 2) * 2 + a, (j // 2) * 2 + b
-                    near = (np.abs(u - i) <= 1) & (np.abs(v - j) <= 1)
-                    inside = (u >= 0) & (u < width) & (v >= 0) & (v < width)
-                    use = np.flatnonzero(inside if last else inside & ~near)
-                    if not len(use):
-                        continue
-                    mass, sx, sy = self.levels[level][:, u[use], v[use]]
-                    if last:
-                        own = (u[use] == i[use]) & (v[use] == j[use])
-                        mass, sx, sy = mass - own, sx - own * x[use], sy - own * y[use]
-                    full = mass > 0.5
-                    use, mass, sx, sy = use[full], mass[full], sx[full], sy[full]
-                    dx, dy = x[use] - sx / mass, y[use] - sy / mass
-                    square = dx * dx + dy * dy
-                    spot = square < 1e-8
-                    dx, dy = np.where(spot, 1e-2 * np.cos(angle[use]), dx), np.where(spot, 1e-2 * np.sin(angle[use]), dy)
-                    pull = mass / np.where(spot, 1e-4, square)
-                    fx[use] += pull * dx
-                    fy[use] += pull * dy
+            last, table = level == self.depth, self.around(level)
+            kind = (i & 1) * 2 + (j & 1)
+            for k in range(4):
+                at = np.flatnonzero(kind == k)
+                if not len(at):
+                    continue
+                block = [p[at] for p in (x, y, angle, fx, fy)]
+                corner = (i[at] - k // 2 + 2) * (width + 4) + j[at] - k % 2 + 2
+                # children of the cells around the parent, of which those that touch the own cell are left to the finer grid
+                for a in range(-2, 4):
+                    for b in range(-2, 4):
+                        if not last and abs(a - k // 2) <= 1 and abs(b - k % 2) <= 1:
+                            continue
+                        mass, cx, cy = table.take(corner + (a * (width + 4) + b), axis=0).T
+                        if last and (a, b) == (k // 2, k % 2):
+                            mass, cx, cy = self._without(i[at], j[at], *block[:2])
+                        _repel(*block, mass, cx, cy)
+                fx[at], fy[at] = block[3:]
         return fx, fy
 
+    def _without(self, i: np.ndarray, j: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Mass and centre of mass of nodes' own finest cells, without the nodes."""
+        mass, sx, sy = self.levels[self.depth][:, i, j]
+        mass, sx, sy = mass - 1, sx - x, sy - y
+        full = mass > 0.5
+        return np.where(full, mass, 0), *(np.divide(total, mass, out=np.full(len(x), FAR), where=full) for total in (sx, sy))
+
+
+def _repel(x: np.ndarray, y: np.ndarray, angle: np.ndarray, fx: np.ndarray, fy: np.ndarray, mass: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> None:
+    """Adds what one mass a node does to its force."""
+    dx, dy = x - cx, y - cy
+    square = dx * dx
+    square += dy * dy
+    spot = square < 1e-8
+    if spot.any():
+        dx, dy, square = np.where(spot, 1e-2 * np.cos(angle), dx), np.where(spot, 1e-2 * np.sin(angle), dy), np.where(spot, 1e-4, square)
+    pull = mass / square
+    dx *= pull
+    dy *= pull
+    fx += dx
+    fy += dy
+
 
 def _cell(side: float, depth: int):
     width = 1 << depth

@@ -101,3 +101,37 @@ def test_isolates_are_found_by_ends_that_go_once(spark, tmp_path, monkeypatch):
     found = catalogue.queries()["isolate_circle"](spark, str(tmp_path))
     assert {r.paper_id for r in found.collect()} == {"s0", "s2", "s3", "p0", "p1", "p3", "c0", "c1", "c2", "c3"}
     assert seen[0]._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") >= 2
+
+
+def test_forces_of_cells_have_no_masks(monkeypatch):
+    """The sums of node by node, to the last bit, with four blocks a level, not an array of masks for each cell around."""
+    r = np.random.default_rng(5)
+    side, depth, n = 30.0, 5, 120
+    x, y = (np.round(r.uniform(-side / 2, side / 2, n) * 64) / 64 for _ in range(2))
+    x[:3], y[:3] = x[0], y[0]
+    angle, width = r.uniform(0, 6, n), 1 << depth
+    at = lambda p, w: min(max(int((p / side + 0.5) * w), 0), w - 1)
+    cells = np.array([at(a, width) * width + at(b, width) for a, b in zip(x, y, strict=True)])
+    known, inverse = np.unique(cells, return_inverse=True)
+    grid = L.Pyramid(side, depth, known, np.bincount(inverse).astype(float), np.bincount(inverse, x), np.bincount(inverse, y))
+    want = np.zeros((2, n))
+    for k in range(n):
+        for level in range(2, depth + 1):
+            w = 1 << level
+            i, j = at(x[k], w), at(y[k], w)
+            for u in range(i // 2 * 2 - 2, i // 2 * 2 + 4):
+                for v in range(j // 2 * 2 - 2, j // 2 * 2 + 4):
+                    if not (0 <= u < w and 0 <= v < w) or (level < depth and abs(u - i) <= 1 and abs(v - j) <= 1):
+                        continue
+                    own = float(level == depth and (u, v) == (i, j))
+                    mass, sx, sy = grid.levels[level][:, u, v] - own * np.array([1.0, x[k], y[k]])
+                    if mass > 0.5:
+                        dx, dy = x[k] - sx / mass, y[k] - sy / mass
+                        square = dx * dx + dy * dy
+                        if square < 1e-8:
+                            dx, dy, square = 1e-2 * np.cos(angle[k]), 1e-2 * np.sin(angle[k]), 1e-4
+                        want[:, k] += mass / square * dx, mass / square * dy
+    calls, real = [], np.flatnonzero
+    monkeypatch.setattr(L.np, "flatnonzero", lambda m: calls.append(1) or real(m))
+    assert np.array_equal(grid.forces(x, y, angle), want)
+    assert len(calls) <= 4 * (depth - 1)
