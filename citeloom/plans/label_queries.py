@@ -13,6 +13,8 @@ from citeloom.streaming import keyed, logs
 from .registry import query, table
 
 TYPES = ("click", "error", "purchase", "signup", "view")
+#: Rows of a log for which its state has one more partition.
+ROWS_A_STATE = 250_000
 _LEGACY = {"click": "brain_connectivity", "error": "tda_brain", "purchase": "fmri_gnn", "signup": "graph_no_brain", "view": "spectral_brain"}
 
 
@@ -170,17 +172,19 @@ def unclassified_papers(spark, sf_dir):
 
 @query(f"WITH {_REDUCED} SELECT paper_id, category, CAST(tier AS INT) AS tier FROM reduced")
 def incremental_labels(spark, sf_dir):
-    """The log as a stream of three batches into keyed state: the same as reducing it at once."""
+    """The log as a stream of three batches into keyed state, each a run that goes on from the one before: the same as reducing
+    it at once."""
     place = scratch(spark, "labels")
     log = label_log(spark, sf_dir)
-    for part in range(3):
-        log.where(F.col("ord") % 3 == part).coalesce(1).write.mode("append").parquet(f"{place}/log")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/log")
+    stream = None
     # a state's partitions stay as they are for its life; a small log needs few
     width = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", min(4, int(width)))
+    spark.conf.set("spark.sql.shuffle.partitions", min(max(4, log.count() // ROWS_A_STATE), int(width)))
     try:
-        keyed.kept(keyed.label_changes(stream), f"{place}/changes", f"{place}/checkpoint").awaitTermination()
+        for part in range(3):
+            log.where(F.col("ord") % 3 == part).write.mode("append").parquet(f"{place}/log")
+            stream = stream or keyed.label_changes(spark.readStream.schema(log.schema).parquet(f"{place}/log"))
+            keyed.kept(stream, f"{place}/changes", f"{place}/checkpoint").awaitTermination()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", width)
     return keyed.labels(spark, f"{place}/changes").select("paper_id", "category", "tier")

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +43,7 @@ class KeepBest(StatefulProcessor):
         self.kept = handle.getValueState("best", self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[T.Row]:
-        held = self.kept.get() if self.kept.exists() else None
+        held = self.kept.get()
         best = held
         for row in rows:
             if best is None or self._better(row, best):
@@ -82,14 +83,40 @@ class Once(StatefulProcessor):
         pass
 
 
+#: Best rows that a task holds before it gives them out.
+HELD_ROWS = 200_000
+
+
 def combined(rows: DataFrame, key: str, rank: list[str]) -> DataFrame:
-    """The best row of each key within each Arrow batch, so that a key of very many rows is few before they are shuffled."""
+    """The best row of each key among the rows of a task, so that keys of many rows are few before they are shuffled.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.sort_values(rank, kind="stable").drop_duplicates(key, keep="last")
+    A task holds HELD_ROWS best rows at most, and what came since; beyond that it gives them out and begins anew.
+    """
 
-    return rows.mapInPandas(run, rows.schema)
+    def best(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches)
+        order = table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in rank]))
+        places = pa.table({"key": order[key], "at": pa.array(range(len(order)), pa.int64())})
+        last = places.group_by("key", use_threads=False).aggregate([("at", "max")])["at_max"]
+        return order.take(last).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, few, size = [], 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            if size >= max(50_000, 2 * few):
+                held = [best(held)]
+                few = size = held[0].num_rows
+                if few >= HELD_ROWS:
+                    yield held[0]
+                    held, few, size = [], 0, 0
+        if held:
+            yield best(held)
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def best_rows(stream: DataFrame, key: str, rank: dict[str, str]) -> DataFrame:
@@ -99,7 +126,8 @@ def best_rows(stream: DataFrame, key: str, rank: dict[str, str]) -> DataFrame:
     one that is met first stays.
     """
     rows = stream.where(F.col(key).isNotNull()).withColumns({c: F.expr(sql) for c, sql in rank.items()})
-    few = combined(rows, key, list(rank))
+    # once where they are read, for keys of very many rows, and once where a key's rows meet: each row costs calls into the state
+    few = combined(combined(rows, key, list(rank)).repartition(key), key, list(rank))
     processor = KeepBest(rows.schema, list(rank))
     return few.groupBy(key).transformWithState(statefulProcessor=processor, outputStructType=rows.schema, outputMode="Update", timeMode="None")
 

@@ -79,3 +79,34 @@ def test_hot_key_is_few_rows_before_the_shuffle(spark):
     rows = spark.range(50_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("__place")).coalesce(1)
     few = K.combined(rows, "k", ["__place"]).where("k = 'hot'")
     assert few.count() <= 50_000 / 10_000 + 1 and few.agg(F.max("__place")).first()[0] == 49_999
+
+
+def test_keys_of_many_rows_are_few_rows_before_the_shuffle(spark):
+    """A task gives out one row a key, however many batches its rows come in; large numbers and nulls stay as they are."""
+    rows = spark.range(60_000).select((F.col("id") % 700).alias("k"), (F.col("id") * 1009 % 60_000).alias("__place"), F.when(F.col("id") % 2 == 0, F.col("id") + 2**60).alias("big")).coalesce(1)
+    few = K.combined(rows, "k", ["__place"]).collect()
+    want = rows.groupBy("k").agg(F.max_by(F.struct("__place", "big"), "__place").alias("x")).select("k", "x.*").collect()
+    assert len(few) == 700 and {tuple(r) for r in few} == {tuple(r) for r in want}
+
+
+def test_task_holds_few_rows(spark, monkeypatch):
+    """Beyond its limit a task gives out what it holds; the best rows of all keys are still there."""
+    rows = spark.range(130_000).select((F.col("id") % 40_000).alias("k"), F.col("id").alias("__place")).coalesce(1)
+    monkeypatch.setattr(K, "HELD_ROWS", 30_000)
+    found = K.combined(rows, "k", ["__place"]).groupBy("k").agg(F.max("__place").alias("p"))
+    assert found.where("p < 90000").count() == 0 and found.count() == 40_000
+
+
+def test_state_grows_with_the_log(spark, tmp_path, monkeypatch):
+    """A large log has more state partitions, and each part of it is one batch, written by as many tasks as read it."""
+    from citeloom.plans import label_queries as Q
+
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    events = spark.range(60).selectExpr("id as event_id", "timestamp '2024-01-01' as ts", "id % 7 as user_id", "'view' as event_type", "cast(id as double) as value")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(Q, "ROWS_A_STATE", 10)
+    place = tmp_path / "work"
+    monkeypatch.setattr(Q, "scratch", lambda *a: str(place))
+    assert Q.incremental_labels(spark, str(tmp_path)).count() == 7
+    assert len(list((place / "checkpoint" / "state" / "0").glob("[0-9]*"))) == 6
+    assert len(list((place / "changes").glob("batch=*"))) == 3 and len(list((place / "log").glob("*.parquet"))) > 3
