@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .graph import connected_components, cut_lineage
+from .graph import component_roots, cut_lineage
 
 
 def clean_edges(edges: DataFrame, *, loops: bool = False) -> DataFrame:
@@ -76,14 +76,16 @@ def isolates(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def network_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
     """Distinct edges with an end among `members` (self-loops stay), with src_in and dst_in; of repeated ones the first row's
-    further columns, such as relation and source, stay."""
+    further columns, such as relation and source, stay. Edges outside go before the others are grouped."""
     ids = members.select("paper_id").distinct()
     more = [c for c in edges.columns if c not in ("src", "dst", "ord")]
     first = [F.min_by(c, "ord").alias(c) for c in more]
-    ends = edges.where("src is not null and dst is not null").groupBy("src", "dst").agg(F.min("ord").alias("ord"), *first)
+    ends = edges.where("src is not null and dst is not null")
     ends = ends.join(ids.select(F.col("paper_id").alias("src"), F.lit(True).alias("src_in")), "src", "left")
     ends = ends.join(ids.select(F.col("paper_id").alias("dst"), F.lit(True).alias("dst_in")), "dst", "left")
-    return ends.na.fill(False, ["src_in", "dst_in"]).where("src_in or dst_in")
+    kept = ends.na.fill(False, ["src_in", "dst_in"]).where("src_in or dst_in")
+    kept = kept.groupBy("src", "dst", "src_in", "dst_in").agg(F.min("ord").alias("ord"), *first)
+    return kept.select("dst", "src", "ord", *more, "src_in", "dst_in")
 
 
 def boundary_nodes(edges: DataFrame) -> DataFrame:
@@ -103,14 +105,16 @@ def network_nodes(core: DataFrame, secondary: DataFrame, boundary: DataFrame) ->
 
 def component_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row: components, the largest, and isolated nodes."""
-    parts = connected_components(edges)
+    parts = component_roots(edges)
     whole = nodes.select("paper_id").join(parts.withColumnRenamed("node", "paper_id"), "paper_id", "left")
-    sizes = whole.groupBy(F.coalesce("component", "paper_id").alias("component")).agg(F.count("*").alias("size"))
+    # nodes without edges are components by their names
+    sizes = whole.groupBy("root", F.when(F.col("root").isNull(), F.col("paper_id")).alias("alone")).agg(F.count("*").alias("size"))
     return sizes.agg(F.count("*").alias("components"), F.coalesce(F.max("size"), F.lit(0)).alias("largest"), F.count_if(F.col("size") == 1).alias("isolated"))
 
 
 def network_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: nodes by type, edges, density by the undirected formula, and components."""
+    """One row: nodes by type, edges, density by the undirected formula, and components. Nodes are written, as they are read twice."""
+    nodes = cut_lineage(nodes)
     kinds = nodes.agg(
         F.count("*").alias("n_nodes"), *[F.count_if(F.col("node_type") == k).alias(k) for k in ("core", "secondary", "boundary")]
     )
