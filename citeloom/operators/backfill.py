@@ -24,8 +24,13 @@ CACHED = (
 
 
 def parsed_responses(responses: DataFrame, column: str = "value") -> DataFrame:
-    """(ord, response columns) of JSON texts; what isn't JSON is left out."""
-    return responses.select("ord", F.from_json(column, CACHED).alias("r")).where("r is not null").select("ord", "r.*")
+    """(ord, response columns) of JSON texts; what isn't JSON is left out.
+
+    Texts are dealt out to all tasks, parsed once each and written: a filter or a field on a parsed column would parse it again,
+    and so would each of those that read it.
+    """
+    parsed = F.explode(F.array(F.from_json(column, CACHED))).alias("r")
+    return cut_lineage(responses.select("ord", column).repartition("ord").select("ord", parsed).where("r is not null").select("ord", "r.*"))
 
 
 def works(responses: DataFrame) -> DataFrame:
@@ -49,13 +54,11 @@ def cited_records(responses: DataFrame) -> DataFrame:
 def matched(papers: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """found rows with paper_id: by the first of `keys` that names a paper. Of papers with one key the last counts.
 
-    Every key is a join of its own on the keys alone, and a found row takes the best answer.
+    All keys are one join, on their ranks and values alone, so that both sides are read once; a found row takes the best answer.
     """
-    rows = None
-    for rank, key in enumerate(keys):
-        owner = papers.where(text.has_text(F.col(key))).groupBy(F.lower(key).alias("__key")).agg(F.max_by("paper_id", "ord").alias("paper_id"))
-        hit = found.where(text.has_text(F.col(key))).withColumn("__key", F.lower(key)).join(owner, "__key").drop("__key").withColumn("rank", F.lit(rank))
-        rows = hit if rows is None else rows.unionByName(hit)
+    each = F.posexplode(F.array(*[F.when(text.has_text(F.col(k)), F.lower(k)) for k in keys])).alias("rank", "__key")
+    owners = papers.select("paper_id", "ord", each).where("__key is not null").groupBy("rank", "__key").agg(F.max_by("paper_id", "ord").alias("paper_id"))
+    rows = found.select("*", each).where("__key is not null").join(owners, ["rank", "__key"]).drop("__key")
     best = rows.groupBy("ord").agg(F.min_by(F.struct(*rows.columns), F.struct("rank", "paper_id")).alias("x"))
     return best.select("x.*").drop("rank")
 
@@ -97,6 +100,7 @@ def missing_counts(papers: DataFrame) -> DataFrame:
 
 def filled(papers: DataFrame, found: DataFrame, fetched_at: Column, confidence: float) -> DataFrame:
     """The papers that `found` (paper_id, title, year, venue, source) changed, with the provenance of the change."""
+    found = cut_lineage(found)  # it is read twice
     changed = backfilled(papers, found.drop("source")).where("changed").drop("changed")
     stamp = F.struct(F.col("__source").alias("source"), fetched_at.alias("fetched_at"), F.lit(confidence).alias("confidence"), F.lit(True).alias("backfill"))
     named = changed.join(found.select("paper_id", F.col("source").alias("__source")), "paper_id")

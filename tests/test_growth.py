@@ -34,3 +34,19 @@ def test_components_are_counted_without_their_names(spark, monkeypatch):
     assert tuple(C.component_stats(nodes, edges.limit(0)).first()) == (8, 1, 8)
     assert tuple(C.component_stats(nodes.limit(0), edges).first()) == (0, 0, 0)
     assert tuple(C.component_stats(nodes, edges.where("src = 'x'")).first()) == (8, 1, 8)
+
+
+def test_responses_are_parsed_once(spark):
+    rows = [(1, json.dumps({"id": "w1", "doi": "10.1/A"})), (2, "{torn"), (3, None), (4, json.dumps({"data": [{"citedPaper": {"corpusId": "7"}}]}))]
+    parsed = B.parsed_responses(spark.createDataFrame(rows, "ord long, value string"))
+    assert "from_json" not in plan(parsed)
+    found = {r.ord: r for r in parsed.collect()}
+    assert found[1].doi == "10.1/A" and found[4].data[0].citedPaper.corpusId == "7" and 3 not in found
+
+
+def test_keys_are_one_join(spark):
+    papers = spark.createDataFrame([("p1", "W1", "10.1/a", 1), ("p2", "", "10.1/B", 2), ("p3", "w1", None, 3), ("p4", None, "10.1/c", 4)], "paper_id string, w string, doi string, ord long")
+    found = spark.createDataFrame([(1, "W1", "10.1/c", "x"), (2, None, "10.1/b", "y"), (3, "none", "10.1/A", "z"), (4, "", None, "q")], "ord long, w string, doi string, v string")
+    rows = B.matched(papers, found, ["w", "doi"])
+    assert plan(rows).count("Join ") == 1
+    assert {(r.ord, r.v, r.paper_id) for r in rows.collect()} == {(1, "x", "p3"), (2, "y", "p2"), (3, "z", "p1")}
