@@ -9,10 +9,21 @@ from pyspark.sql.window import Window
 from .graph import component_roots, cut_lineage
 
 
+#: Edges of which a task finds the distinct ones.
+EDGES_A_TASK = 250_000
+
+
+def distinct_edges(edges: DataFrame) -> DataFrame:
+    """Each (src, dst) once. Tasks are as many as the edges need, so that the memory of one doesn't grow with the table: a
+    distinct() alone holds all edges of a file's split, and then of a merged partition."""
+    tasks = max(1, -(-edges.count() // EDGES_A_TASK))
+    return edges.select("src", "dst").repartition(tasks, "src", "dst").distinct()
+
+
 def clean_edges(edges: DataFrame, *, loops: bool = False) -> DataFrame:
     """Distinct edges with both ends; self-loops only if asked for."""
     kept = edges.where("src is not null and dst is not null")
-    return (kept if loops else kept.where("src <> dst")).select("src", "dst").distinct()
+    return distinct_edges(kept if loops else kept.where("src <> dst"))
 
 
 def cites(edges: DataFrame, node) -> DataFrame:

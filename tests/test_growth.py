@@ -50,3 +50,15 @@ def test_keys_are_one_join(spark):
     rows = B.matched(papers, found, ["w", "doi"])
     assert plan(rows).count("Join ") == 1
     assert {(r.ord, r.v, r.paper_id) for r in rows.collect()} == {(1, "x", "p3"), (2, "y", "p2"), (3, "z", "p1")}
+
+
+@pytest.mark.parametrize("repeats", [1, 3])
+def test_a_task_has_few_edges(spark, monkeypatch, repeats):
+    """Tasks that make edges distinct are as many as the edges need, and none holds a whole split before."""
+    monkeypatch.setattr(C, "EDGES_A_TASK", 10)
+    edges = spark.range(100 * repeats).select((F.col("id") % 100).cast("string").alias("src"), F.concat(F.lit("hub"), F.col("id") % 1).alias("dst"))
+    clean = C.clean_edges(edges)
+    assert clean.rdd.getNumPartitions() == 10 * repeats and clean.count() == 100
+    found = {r.paper_id: (r.in_degree, r.out_degree, r.degree) for r in C.degrees(clean).collect()}
+    assert found["hub0"] == (100, 0, 100) and found["7"] == (0, 1, 1) and len(found) == 101
+    assert C.clean_edges(edges.limit(0)).count() == 0
