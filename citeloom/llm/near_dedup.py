@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from citeloom.operators.graph import connected_components, drop_kept
+from citeloom.operators.graph import BROADCAST_ROWS, by_shuffle, connected_components, drop_kept
 
 from .common import HOT_KEYS, arrow_map, checkpointed, shuffle_width, slices, split_words, table
 
@@ -56,8 +56,6 @@ IDF_PARTS = 64
 #: Pairs with one hub that a task verifies as one run, and the shingles beyond the hub that it holds of them, at most.
 RUN_PAIRS = 512
 RUN_KEYS = 1 << 21
-#: Rows of 24 bytes in a broadcast, at most; beyond it texts are joined by a shuffle.
-BROADCAST_ROWS = 200_000
 #: Nodes whose rows get their class by a broadcast, at most: those with at least this part of all rows.
 HOT_NODES = 1024
 #: Further hubs of a key that join components before the next round.
@@ -257,7 +255,7 @@ def texts_of(nodes: DataFrame, docs: DataFrame, *, doc_id: str, text: str) -> Da
     A node's text is found by the node's doc_id, and by its digest: other texts can have the same doc_id, or none.
     """
     ids = checkpointed(nodes.select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
-    small = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
+    small = F.broadcast if ids.count() <= BROADCAST_ROWS else by_shuffle
     source = docs.select(docs[doc_id].alias("__id"), docs[text].alias("text"))
     found = source.join(small(ids.where("__id is not null").select("__id").distinct()), "__id", "left_semi")
     nameless = ids.where("__id is null")
@@ -311,13 +309,13 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, similarity:
     degree = checkpointed(pairs.groupBy("low").agg((F.floor(F.count("*") / RUN_PAIRS) + 1).cast("int").alias("runs")))
     # only hubs of several runs have to be told to their pairs: one for RUN_PAIRS pairs at most, so a hub of very many is no hot key
     wide = degree.where("runs > 1")
-    wide = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else wide
+    wide = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else by_shuffle(wide)
     members = pairs.join(wide, "low", "left").withColumn("runs", F.coalesce("runs", F.lit(1)))
     run = F.pmod(F.xxhash64("high"), F.col("runs")).cast("int")
     members = members.select("low", run.alias("run"), "runs", F.col("high").alias("node"), "weight")
     every = F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run")
     heads = degree.select("low", "runs", every).select("low", "run", "runs", F.col("low").alias("node"), F.lit(0.0).alias("weight"))
-    rows = members.unionByName(heads).join(texts, "node").withColumn("role", (F.col("low") != F.col("node")).cast("int"))
+    rows = members.unionByName(heads).join(by_shuffle(texts), "node").withColumn("role", (F.col("low") != F.col("node")).cast("int"))
     rows = rows.select("low", "run", "runs", "node", "weight", "text", "role").repartition(width, "low", "run").sortWithinPartitions("low", "run", "role", "node")
     shared = spark.sparkContext.broadcast(idf)
     kinds = (pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float32()))
@@ -357,7 +355,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, similarity:
 def _shared_keys(rows: DataFrame, owner: str) -> DataFrame:
     """The rows of keys that two owners have at least, with how often the key occurs."""
     often = rows.groupBy("key").agg(F.min(owner).alias("lo"), F.max(owner).alias("hi"), F.count("*").alias("often")).where("lo <> hi").select("key", "often")
-    return rows.join(often, "key")
+    return rows.join(by_shuffle(often), "key")
 
 
 def _open_keys(compared: DataFrame) -> DataFrame:
@@ -369,8 +367,8 @@ def _open_keys(compared: DataFrame) -> DataFrame:
     rows = compared.select("pair", F.explode(F.arrays_zip("keys", "rests")).alias("x")).select("pair", F.col("x.keys").alias("key"), F.col("x.rests").alias("rest"))
     rows = checkpointed(_shared_keys(rows, "pair"))
     mass = rows.groupBy("pair").agg(F.sum("rest").alias("mass"))
-    able = compared.select("pair", F.col("high").alias("node"), "weight", "least").join(mass, "pair").where("least <= 0 or mass >= least")
-    placed = rows.join(able.select("pair", "node", "weight", "least", (F.col("least") > 0).alias("alive")), "pair")
+    able = compared.select("pair", F.col("high").alias("node"), "weight", "least").join(by_shuffle(mass), "pair").where("least <= 0 or mass >= least")
+    placed = rows.join(by_shuffle(able.select("pair", "node", "weight", "least", (F.col("least") > 0).alias("alive"))), "pair")
     # of an alive node's keys, rare ones first, the last that weigh too little together can be left out: a pair meets before
     tail = F.sum("rest").over(Window.partitionBy("pair").orderBy(F.desc("often"), F.desc("key")))
     placed = placed.withColumn("tail", tail).where("not alive or tail >= least")
@@ -381,12 +379,12 @@ def _open_keys(compared: DataFrame) -> DataFrame:
 
 def _apart(placed: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
     """The rows of keys with an alive node and nodes of two components, with components (part), and the pairs to verify."""
-    placed = placed.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    placed = placed.join(by_shuffle(parts.withColumnRenamed("component", "part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
     within = placed.groupBy("key", "part").agg(F.count("*").alias("n"), F.count_if("alive").alias("live"))
     state = within.groupBy("key").agg(F.sum("n").alias("n"), F.sum("live").alias("live"), F.sum(F.col("n") * F.col("live")).alias("inside"))
     state = state.withColumn("pairs", F.col("n") * F.col("live") - F.col("inside")).where("pairs > 0")
     state = checkpointed(state.select("key", "pairs"))
-    left = checkpointed(placed.join(state.select("key"), "key"))
+    left = checkpointed(placed.join(by_shuffle(state.select("key")), "key"))
     return left, state.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
 
 
@@ -414,9 +412,9 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float, rare
     # the hubs of buckets that a large share of all nodes is in, HOT_KEYS at most, go to the nodes; no task gets such a bucket
     total = BANDS * nodes.count()
     hot, rest = F.broadcast(hubs.where(F.col("n") * HOT_KEYS >= total).drop("n")), hubs.where(F.col("n") * HOT_KEYS < total).drop("n")
-    met = placed.join(hot, "key").unionByName(placed.join(hot.select("key"), "key", "left_anti").join(rest, "key")).where("node <> low")
+    met = placed.join(hot, "key").unionByName(placed.join(hot.select("key"), "key", "left_anti").join(by_shuffle(rest), "key")).where("node <> low")
     stars = checkpointed(met.select("low", F.col("node").alias("high"), "weight").distinct())
-    inside = nodes.join(stars.select(F.col("high").alias("node")).union(stars.select("low")).distinct(), "node", "left_semi")
+    inside = nodes.join(by_shuffle(stars.select(F.col("high").alias("node")).union(stars.select("low")).distinct()), "node", "left_semi")
     texts = checkpointed(texts_of(inside, docs, doc_id=doc_id, text=text))
     most = PAIRS_A_NODE * nodes.count()
     links, parts = None, None
@@ -438,8 +436,8 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float, rare
             # other hubs join what the lightest left apart, and leave fewer pairs of two components
             seeds = [F.min_by("node", F.xxhash64("node", F.lit(seed))).alias(f"hub{seed}") for seed in range(SWEEP_HUBS)]
             hubs = left.groupBy("key").agg(*seeds).select("key", F.explode(F.array(*[f"hub{k}" for k in range(SWEEP_HUBS)])).alias("hub"))
-            hubs = hubs.distinct().join(left.select("key", F.col("node").alias("hub"), F.col("part").alias("of")), ["key", "hub"])
-            near = left.join(hubs, "key").where("part <> of")
+            hubs = hubs.distinct().join(by_shuffle(left.select("key", F.col("node").alias("hub"), F.col("part").alias("of"))), ["key", "hub"])
+            near = left.join(by_shuffle(hubs), "key").where("part <> of")
             near = near.select(F.least("hub", "node").alias("low"), F.greatest("hub", "node").alias("high"), F.lit(0.0).alias("weight")).distinct()
             drop_kept(linked(checkpointed(near)))
             left, pairs = _apart(opened, parts)
@@ -447,24 +445,24 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, similarity: float, rare
         if not pairs:
             break
         if pairs <= most or turn + 1 == MOST_ROUNDS:
-            a, b = left.where("alive").alias("a"), left.alias("b")
+            a, b = left.where("alive").alias("a"), by_shuffle(left).alias("b")
             near = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part")))
             near = near.select(F.least("a.node", "b.node").alias("low"), F.greatest("a.node", "b.node").alias("high"), F.lit(0.0).alias("weight")).distinct()
             drop_kept(linked(checkpointed(near)))
             break
         hubs = left.groupBy("key").agg(F.min(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("low"))
-        stars = checkpointed(left.join(hubs, "key").where("node <> low").select("low", F.col("node").alias("high"), "weight").distinct())
+        stars = checkpointed(left.join(by_shuffle(hubs), "key").where("node <> low").select("low", F.col("node").alias("high"), "weight").distinct())
     drop_kept(texts)
 
-    member = nodes.select("node", "copies", "first").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    member = nodes.select("node", "copies", "first").join(by_shuffle(parts), "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = member.groupBy("component").agg(F.min("first").alias("first"), F.sum("copies").alias("class_size"))
     classes = classes.select("component", F.col("first.doc_id").alias("class_id"), F.col("first.raw").alias("class_raw"), "class_size")
-    by_node = checkpointed(member.join(classes, "component").select("node", "copies", "class_id", "class_raw", "class_size"))
+    by_node = checkpointed(member.join(by_shuffle(classes), "component").select("node", "copies", "class_id", "class_raw", "class_size"))
     # nodes of very many rows, HOT_NODES at most, are joined by a broadcast, so no task gets all rows of one
     total = rows.count()
     hot = by_node.where(F.col("copies") * HOT_NODES >= total).drop("copies")
     own = rows.select("doc_id", "raw", "node")
-    named = own.join(F.broadcast(hot), "node").unionByName(own.join(F.broadcast(hot), "node", "left_anti").join(by_node.drop("copies"), "node", "left"))
+    named = own.join(F.broadcast(hot), "node").unionByName(own.join(F.broadcast(hot), "node", "left_anti").join(by_shuffle(by_node.drop("copies")), "node", "left"))
     return named.select(
         "doc_id",
         "raw",
