@@ -483,7 +483,7 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     kept = F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_raw") == F.col("raw"))
     each = rows.groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw")).agg(F.bool_or(kept).alias("kept"), F.count("*").alias("n"))
     each = checkpointed(each.where("not kept or n > 1"))
-    small = F.broadcast if each.count() <= BROADCAST_ROWS else lambda x: x
+    small = F.broadcast if each.count() <= BROADCAST_ROWS else by_shuffle
     names = docs.columns
     plain = docs.toDF(*[f"__{k}" for k in range(len(names))])
     own_id, own_text = (f"__{names.index(c)}" for c in (doc_id, text))
