@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from citeloom.functions import documents as D
 from citeloom.functions import text
 
+from .graph import BROADCAST_ROWS, cut_lineage
+
 #: Normalised titles of fewer characters don't make two documents one.
 TITLE_KEY_CHARS = 30
 
@@ -36,12 +38,12 @@ def yearly_selection(index: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def canonical_keys(docs: DataFrame) -> DataFrame:
-    """docs (ord, text, title, canonical_key) with the key of the first document of equal text, else of equal long title.
+    """docs (ord, text or its sha256, title, canonical_key) with the key of the first document of equal text, else of equal long title.
 
     Later documents take the key that the first of their kind registered. A title is registered by documents that are the
     first of their text, so a document that is first in neither of two overlapping groups follows its text.
     """
-    digest = F.sha2("text", 256)
+    digest = F.col("sha256") if "sha256" in docs.columns else F.sha2("text", 256)
     title = F.when(F.length(text.title_key(F.col("title"))) >= TITLE_KEY_CHARS, text.title_key(F.col("title")))
     named = docs.withColumn("sha256", digest).withColumn("__title", title)
     first = named.groupBy("sha256").agg(F.min_by(F.struct("ord", "canonical_key", "__title"), "ord").alias("f")).select("sha256", "f.*")
@@ -62,19 +64,32 @@ def chunked(docs: DataFrame) -> DataFrame:
     return D.chunk_table(docs)
 
 
-def build_documents(files: DataFrame, papers: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, chunks) of Markdown files (ord, source_path, origin, text) with metadata and labels by lower-cased paper id."""
+def build_documents(files: DataFrame, papers: DataFrame, labels: DataFrame, texts: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(documents, chunks) of Markdown files (ord, source_path, origin, text) with metadata and labels by lower-cased paper id.
+
+    A text is shuffled once at most, to its metadata: what is known of it goes on without it, and chunks are made of files as they are
+    read. Documents get their texts back at the end, unless `texts` is false.
+    """
     key, paper_id, converter = text.identity_from_path(F.col("source_path"))
     named = files.withColumn("canonical_key", key).withColumn("__paper", paper_id).withColumn("converter_source", converter)
     meta = papers.select(F.lower("paper_id").alias("__paper"), F.col("paper_id").alias("m_id"), F.col("title").alias("m_title"), "year", "venue", F.col("doi").alias("m_doi"), F.lit(True).alias("m"))
-    joined = named.join(meta, "__paper", "left")
-    joined = joined.withColumn("paper_id", F.lower(F.coalesce(text.falsy_to_null(F.col("m_id")), "__paper")))
-    joined = joined.join(labels.select(F.lower("paper_id").alias("paper_id"), "category"), "paper_id", "left")
+    # few titles go to the texts; else texts are shuffled, but not sorted
+    joined = named.join(F.broadcast(meta) if meta.count() <= BROADCAST_ROWS else meta.hint("shuffle_hash"), "__paper", "left")
     stem = F.regexp_replace(F.element_at(F.split("source_path", "/"), -1), r"\.[^.]*$", "")
     titled = joined.withColumn("title", F.coalesce(text.falsy_to_null(F.col("m_title")), text.markdown_title(F.col("text"), stem)))
+    known = {
+        "evidence_status": text.evidence_status(F.col("text"), F.col("title"), F.col("origin")),
+        "size_bytes": F.octet_length("text"),
+        "character_count": F.length("text"),
+        "sha256": F.sha2("text", 256),
+        "__chunks": D.chunk_count("text"),
+    }
+    # written without the texts, which several joins would read and shuffle anew
+    joined = cut_lineage(titled.withColumns(known).withColumn("quality_score", text.quality_score(F.col("text"), F.col("__chunks"))).drop("text"))
+    joined = joined.withColumn("paper_id", F.lower(F.coalesce(text.falsy_to_null(F.col("m_id")), "__paper")))
+    joined = joined.join(labels.select(F.lower("paper_id").alias("paper_id"), "category"), "paper_id", "left")
     doi = F.coalesce(text.falsy_to_null(F.col("m_doi")), F.when(F.col("paper_id").startswith("doi:"), F.regexp_replace("paper_id", "^doi:", "")), F.lit(""))
-    docs = canonical_keys(titled).withColumn("__chunks", D.chunk_count("text"))
-    docs = docs.select(
+    docs = canonical_keys(joined).select(
         F.col("ord").alias("document_id"),
         "canonical_key",
         "paper_id",
@@ -85,17 +100,17 @@ def build_documents(files: DataFrame, papers: DataFrame, labels: DataFrame) -> t
         F.coalesce("category", F.lit("")).alias("category"),
         "origin",
         "converter_source",
-        text.evidence_status(F.col("text"), F.col("title"), F.col("origin")).alias("evidence_status"),
+        "evidence_status",
         "source_path",
-        F.octet_length("text").alias("size_bytes"),
-        F.length("text").alias("character_count"),
+        "size_bytes",
+        "character_count",
         "sha256",
-        text.quality_score(F.col("text"), F.col("__chunks")).alias("quality_score"),
+        "quality_score",
         F.coalesce("m", F.lit(False)).alias("metadata_matched"),
-        "text",
     ).withColumn("evidence_ready", F.col("evidence_status") == "ready")
     docs = preferred_versions(docs)
-    return docs, chunked(docs)
+    own = files.select(F.col("ord").alias("document_id"), "text")
+    return docs.join(own, "document_id") if texts else docs, chunked(own)
 
 
 def corpus_stats(docs: DataFrame, chunks: DataFrame) -> DataFrame:
