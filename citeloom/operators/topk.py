@@ -36,8 +36,9 @@ class Blocks:
     mean: float
 
 
-def gain(f: Column, words: Column, mean: float) -> Column:
-    return f * (K1 + 1) / (f + K1 * (1 - B + B * words / F.lit(mean)))
+def gain(f: Column, words: Column, mean: float, idf: Column | None = None) -> Column:
+    """What a word adds to a score, times its idf if given: multiplied in the order of search.bm25(), as ties show the last digit."""
+    return (f if idf is None else idf * f) * (K1 + 1) / (f + K1 * (1 - B + B * words / F.lit(mean)))
 
 
 def built(index: DataFrame, lengths: DataFrame, folder: str | None = None, span: int = SPAN) -> Blocks:
@@ -124,7 +125,7 @@ class Query:
         present = {p: F.col(f"f{k}") > 0 for k, p in enumerate(self.phrases)}
         total = F.lit(0.0)
         for p, within in scored_phrases(self.node):
-            part = self.idf[p] * gain(F.col(f"f{self.phrases.index(p)}"), F.col("words"), self.index.mean)
+            part = gain(F.col(f"f{self.phrases.index(p)}"), F.col("words"), self.index.mean, self.idf[p])
             counts = reduce(lambda a, c: a & c, [_holds(w, present, False) for w in within], present[p])
             total = total + F.when(counts, part).otherwise(0.0)
         return each.where(_holds(self.node, present, False)).select("chunk_id", (-total).alias("score"))

@@ -70,3 +70,12 @@ def test_written_blocks(spark, index, tmp_path):
     for query in ('"graph brain"', "gra*", "^graph", "NEAR(graph brain)"):
         with pytest.raises(ValueError):
             K.Query(again, S.Parser(query).parse())
+
+
+def test_scores_to_the_last_digit(spark, index):
+    """Hits that tie in one sum tie in the other: two words, whose order in the sum is no matter."""
+    postings, lengths, blocks = index
+    node = S.Parser("the graph").parse()
+    every = {r.chunk_id: r.score for r in S.bm25(postings, lengths, node).collect()}
+    query = K.Query(blocks, node)
+    assert {r.chunk_id: r.score for r in query.scores(query.bounds()).collect()} == every and len(every) > 300
